@@ -9,7 +9,6 @@ from tidewater.functions.columns import parse_number_grouped, parse_timestamp_mu
 from tidewater.operators.project import add_missing_columns, rename_by_map
 from tidewater.plans import trips as job
 from tidewater.plans.registry import query, rounded
-from tidewater.session import materialise
 from tidewater.sources.files import read_csv_text, write_csv, write_parquet
 from tidewater.tables import Tables
 
@@ -77,15 +76,17 @@ def text_feeds(t: Tables) -> dict[str, DataFrame]:
     return feeds
 
 
-_conformed: dict[tuple[str, str], DataFrame] = {}
+_conformed: dict[tuple[str, str], str] = {}
 
 
 def conformed(t: Tables) -> DataFrame:
     """The conformed table: parsed and written once per session, read by every report."""
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _conformed:
-        _conformed[key] = materialise(job.conform_feeds(text_feeds(t)), "trips")
-    return t.spark.read.schema(_conformed[key].schema).parquet(*_conformed[key].inputFiles())
+        path = t.scratch("trips")
+        job.conform_feeds(text_feeds(t)).write.parquet(path)
+        _conformed[key] = path
+    return t.spark.read.parquet(_conformed[key])
 
 
 def analysed(t: Tables) -> DataFrame:
