@@ -13,13 +13,23 @@ KM_PER_MILE = 1.60934
 
 
 def parse_timestamp_multi(text: Column, patterns: tuple[str, ...] = TIMESTAMP_PATTERNS) -> Column:
-    """First pattern that parses, else NULL."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in patterns])
+    """The time in any of the patterns, else NULL.
+
+    A failed parse is slow, so a pattern is tried only on text that holds its date separator, and a short
+    pattern comes before the padded one, whose texts it reads to the same time.
+    """
+    def separator(pattern: str) -> str:
+        return next(ch for ch in pattern if not ch.isalpha())
+
+    tried = sorted(patterns, key=len)
+    return F.coalesce(
+        *[F.when(F.contains(text, F.lit(separator(p))), F.try_to_timestamp(text, F.lit(p))) for p in tried]
+    )
 
 
 def parse_number_grouped(text: Column) -> Column:
     """``1,234.50`` to 1234.5; text that is no number becomes NULL."""
-    return F.regexp_replace(text, ",", "").try_cast("double")
+    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
 
 
 def nan_to_null(value: Column) -> Column:

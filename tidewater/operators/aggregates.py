@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.operators.ordering import GROUP_BOUND
-from tidewater.operators.quantiles import quantiles
+from tidewater.operators.quantiles import QUANTILE_BOUND, aggregate_with_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -65,7 +64,7 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def describe(
-    df: DataFrame, columns: list[str], keys: list[str] | None = None, group_bound: int = GROUP_BOUND
+    df: DataFrame, columns: list[str], keys: list[str] | None = None, group_bound: int = QUANTILE_BOUND
 ) -> DataFrame:
     """count, mean, std, min, quartiles and max per column, overall or per non-NULL group; quartiles are exact."""
     keys = keys or []
@@ -76,15 +75,11 @@ def describe(
             F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"),
             F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
         ]
-    quartiles = quantiles(rows, columns, QUARTILES, keys, group_bound=group_bound)
-    if keys:
-        return rows.groupBy(*keys).agg(*parts).join(quartiles, keys)
-    # two one-row results
-    return rows.agg(*parts).crossJoin(quartiles)
+    return aggregate_with_quantiles(rows, parts, columns, QUARTILES, keys, group_bound=group_bound)
 
 
 def group_agg(
-    df: DataFrame, keys: list[str], functions: dict[str, list[str]], group_bound: int = GROUP_BOUND
+    df: DataFrame, keys: list[str], functions: dict[str, list[str]], group_bound: int = QUANTILE_BOUND
 ) -> DataFrame:
     """Functions per column by a dict, flat names ``<column>_<function>``; medians are exact. NULL groups are left out."""
     built_in = {"min": F.min, "max": F.max, "mean": F.avg, "sum": F.sum, "count": F.count, "std": F.stddev_samp}
@@ -93,11 +88,9 @@ def group_agg(
         built_in[f](c).alias(f"{c}_{f}") for c, names in functions.items() for f in names if f != "median"
     ]
     medians = [c for c, names in functions.items() if "median" in names]
-    result = rows.groupBy(*keys).agg(*parts) if parts else None
     if medians:
-        exact = quantiles(rows, medians, {"median": 0.5}, keys, group_bound=group_bound)
-        result = exact if result is None else result.join(exact, keys)
-    return result
+        return aggregate_with_quantiles(rows, parts, medians, {"median": 0.5}, keys, group_bound=group_bound)
+    return rows.groupBy(*keys).agg(*parts)
 
 
 def group_means(df: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:

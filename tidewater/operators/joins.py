@@ -2,64 +2,114 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# A key with more rows than this is too much for one task of a shuffled join.
 HOT_ROWS = 5_000_000
 SALTS = 64
+# Expected rows of a key at the HOT_ROWS limit in the sample that looks for hot keys.
+SAMPLED_ROWS = 1_000
 
 
 class JoinCardinalityError(ValueError):
     """The keys break the declared relation between the two sides."""
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys held by more than ``hot_rows`` rows.
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[list[Row], bool]:
+    """(keys held by more than about ``hot_rows`` rows, whether a NULL key is held by as many).
 
-    The counts are combined before the shuffle, and at most (rows / hot_rows) keys can qualify, which
-    keeps the result small enough to broadcast.
+    Found by counting a sample of the key columns. About (rows / hot_rows) keys can qualify, so the list is
+    small. It only steers how rows are spread: results do not depend on which keys are in it.
     """
-    known = df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("__n"))
-    return known.filter(F.col("__n") > hot_rows).select(*keys)
+    fraction = min(1.0, SAMPLED_ROWS / hot_rows)
+    rows = df.select(*keys)
+    counted = (rows if fraction == 1.0 else rows.sample(fraction=fraction, seed=1)).groupBy(*keys).agg(F.count("*").alias("__n"))
+    found = counted.filter(F.col("__n") > hot_rows * fraction).drop("__n").collect()
+    known = [r for r in found if all(v is not None for v in r)]
+    return known, len(known) < len(found)
 
 
 def skew_join(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot_rows: int = HOT_ROWS, salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    right_unique: bool = False,
+    hot_rows: int = HOT_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi join on ``on`` that splits keys which are hot on the right (for ``how="right"``: the left).
+    """Equi join on ``on`` (inner, left, right, full) that splits hot keys of either side over several tasks.
 
-    AQE cannot split the inner side of an outer join. Rows of a hot key get one of ``salts`` numbers, the
-    other side's rows of that key are repeated for each number, and the join key becomes (key, salt). A
-    hot key always has a partner, so a repeated row left without one is only a by-product and is removed.
-    NULL keys never match; in an outer join they are spread by the same numbers. Without hot keys this is
-    the plain join.
+    Rows of a hot key get one of ``salts`` numbers, the other side's rows of that key are repeated once per
+    number, and (key, number) becomes the join key. A hot key exists on its own side, so a repeated row of
+    the other side has a partner under some number; its copies without one are by-products and removed.
+    NULL keys match nothing and are spread by the same numbers. Without hot keys this is the plain join.
+    ``right_unique`` says that the right side has one row per key and needs no search.
     """
-    if how == "right":
-        swapped = skew_join(right, left, on, "left", hot_rows, salts)
-        rest = [c for c in left.columns if c not in on] + [c for c in right.columns if c not in on]
-        return swapped.select(*on, *rest)
-    if how not in ("inner", "left", "full"):
+    if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"unsupported join type {how}")
-    hot = hot_keys(right, on, hot_rows).withColumn("__hot", F.lit(True))
-    if hot.isEmpty():
+    hot_right, null_right = ([], False) if right_unique else hot_keys(right, on, hot_rows)
+    hot_left, null_left = hot_keys(left, on, hot_rows)
+    if not (hot_right or hot_left or null_right or null_left):
         return left.join(right, on, how)
-    number = F.monotonically_increasing_id() % salts
+
+    seen = set(hot_right)
+    sides = [(*r, "right") for r in hot_right] + [(*r, "left") for r in hot_left if r not in seen]
+    fields = [T.StructField(k, left.schema[k].dataType) for k in on] + [T.StructField("__hot", T.StringType())]
+    hot = F.broadcast(left.sparkSession.createDataFrame(sides, T.StructType(fields)))
     has_null = F.lit(False)
     for key in on:
         has_null = has_null | F.col(key).isNull()
-    is_hot = F.coalesce(F.col("__hot"), F.lit(False))
-    salted_right = (
-        right.join(F.broadcast(hot), on, "left")
-        .withColumn("__salt", F.when(is_hot | has_null, number).otherwise(F.lit(0)).cast("int"))
-        .withColumn("__matched", F.lit(True))
-        .drop("__hot")
-    )
+    number = (F.monotonically_increasing_id() % salts).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    spread = F.when(is_hot, every).when(has_null, F.array(number.cast("int"))).otherwise(F.array(F.lit(0)))
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn("__salt", F.explode(spread))
-    joined = salted_left.join(salted_right, [*on, "__salt"], how)
-    by_product = F.coalesce(F.col("__hot"), F.lit(False)) & F.col("__matched").isNull()
-    return joined.filter(~by_product).drop("__salt", "__hot", "__matched")
+
+    def salted(df: DataFrame, side: str) -> DataFrame:
+        here, other = ("left", "right") if side == "left" else ("right", "left")
+        spread = (
+            F.when((F.col("__hot") == here) | has_null, F.array(number))
+            .when(F.col("__hot") == other, every)
+            .otherwise(F.array(F.lit(0)))
+        )
+        return (
+            df.join(hot, on, "left")
+            .withColumn("__salt", F.explode(spread))
+            .withColumnRenamed("__hot", f"__hot_{side}")
+            .withColumn(f"__in_{side}", F.lit(True))
+        )
+
+    joined = salted(left, "left").join(salted(right, "right"), [*on, "__salt"], how)
+    by_product = (F.col("__in_right").isNull() & (F.col("__hot_left") == "right")) | (
+        F.col("__in_left").isNull() & (F.col("__hot_right") == "left")
+    )
+    return joined.filter(~F.coalesce(by_product, F.lit(False))).drop(
+        "__salt", "__hot_left", "__hot_right", "__in_left", "__in_right"
+    )
+
+
+def _unique_keys(df: DataFrame, key: str, name: str) -> DataFrame:
+    return df.select(F.col(key).alias(name)).filter(F.col(name).isNotNull()).distinct()
+
+
+def lookup_join(
+    df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, how: str = "left", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join with a table that has one row per key, keeping ``df``'s key and the lookup's other columns."""
+    return skew_join(df, lookup.withColumnRenamed(lookup_key, key), [key], how, right_unique=True, hot_rows=hot_rows)
+
+
+def semi(df: DataFrame, other: DataFrame, df_key: str, other_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows with a match. The other side is reduced to its distinct keys before it is shuffled to the join."""
+    keys = _unique_keys(other, other_key, df_key)
+    return skew_join(df, keys, [df_key], "inner", right_unique=True, hot_rows=hot_rows).select(*df.columns)
+
+
+def anti(df: DataFrame, other: DataFrame, df_key: str, other_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Rows without a match; NULL keys count as unmatched."""
+    keys = _unique_keys(other, other_key, df_key).withColumn("__found", F.lit(True))
+    joined = skew_join(df, keys, [df_key], "left", right_unique=True, hot_rows=hot_rows)
+    return joined.filter(F.col("__found").isNull()).select(*df.columns)
 
 
 def suffix_clashes(
@@ -125,18 +175,6 @@ def cartesian(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.crossJoin(right)
 
 
-def semi(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
-    """Rows with a match. The other side is reduced to its distinct keys, so its hot keys cost nothing."""
-    keys = other.select(F.col(other_key).alias("__key")).distinct()
-    return df.join(keys, F.col(df_key) == F.col("__key"), "left_semi")
-
-
-def anti(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
-    """Rows without a match (NULL keys count as unmatched)."""
-    keys = other.select(F.col(other_key).alias("__key")).distinct()
-    return df.join(keys, F.col(df_key) == F.col("__key"), "left_anti")
-
-
 def not_in(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
     """SQL's NOT IN: nothing qualifies once ``other`` holds a NULL key, a NULL key never qualifies.
 

@@ -60,10 +60,20 @@ def range_layout(df: DataFrame, order_by: list[str], descending: bool = False) -
     return materialise(_laid_out(df, order_by, descending), "layout")
 
 
+def sort_rows(df: DataFrame, *keys: Column) -> DataFrame:
+    """Stable global sort. The scan position as last key lets rows with equal keys fall into several tasks."""
+    return df.withColumn(TIE, F.monotonically_increasing_id()).orderBy(*keys, TIE).drop(TIE)
+
+
 def with_positions(
-    df: DataFrame, order_by: list[str], name: str = "pos", start: int = 0, descending: bool = False
+    df: DataFrame,
+    order_by: list[str],
+    name: str = "pos",
+    start: int = 0,
+    descending: bool = False,
+    keep_part: bool = False,
 ) -> DataFrame:
-    """Adds consecutive numbers from ``start`` in the given order.
+    """Adds consecutive numbers from ``start`` in the given order; ``keep_part`` also keeps the range partition.
 
     Two passes: sizes per range partition (one row each, hence broadcast), then offset + row number.
     """
@@ -75,7 +85,9 @@ def with_positions(
         .select(PART, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
     )
     return laid.join(F.broadcast(offsets), PART).select(
-        *df.columns, (F.col("offset") + F.col(ROW) + F.lit(start)).cast("long").alias(name)
+        *df.columns,
+        (F.col("offset") + F.col(ROW) + F.lit(start)).cast("long").alias(name),
+        *([PART] if keep_part else []),
     )
 
 
@@ -213,10 +225,14 @@ def dense_rank_in_group(
         ranked = F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last()))
         return df.withColumn(name, F.when(F.col(value).isNotNull(), ranked))
     pairs = df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
-    placed = with_positions(pairs, [*keys, value], "__place")
-    first = placed.groupBy(*keys).agg(F.min("__place").alias("__first"))
+    placed = with_positions(pairs, [*keys, value], "__place", keep_part=True)
+    # where each group starts, known in every range partition that the group reaches: at most one row per
+    # group and partition, so a long group is looked up partition by partition
+    first = placed.groupBy(*keys, PART).agg(F.min("__place").alias("__first"))
+    first = first.withColumn("__first", F.min("__first").over(Window.partitionBy(*keys)))
     p, f = placed.alias("p"), first.alias("f")
-    ranks = p.join(f, [F.col(f"p.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]).select(
+    same = [F.col(f"p.{PART}") == F.col(f"f.{PART}")] + [F.col(f"p.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
+    ranks = p.join(f, same).select(
         *[F.col(f"p.{k}").alias(f"__k_{k}") for k in keys],
         F.col(f"p.{value}").alias("__value"),
         (F.col("__place") - F.col("__first") + 1).cast("int").alias(name),

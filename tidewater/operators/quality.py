@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.filters import holds_or_unknown
-from tidewater.operators.joins import anti, semi
+from tidewater.operators.joins import anti, lookup_join, semi
 from tidewater.operators.ordering import with_positions
 
 
@@ -36,11 +36,12 @@ def insert_with_fk_gate(
     batch: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 ) -> tuple[DataFrame, DataFrame]:
     """(accepted rows, rejected rows with ``reject_reason``)."""
-    rejected = check_foreign_key(batch, parent, child_key, parent_key)
-    keys = parent.select(F.col(parent_key).alias("__key")).distinct()
-    known = batch.join(keys, F.col(child_key) == F.col("__key"), "left_semi")
-    accepted = known.unionByName(batch.filter(F.col(child_key).isNull()))
-    return accepted, rejected.withColumn("reject_reason", F.lit(f"{child_key} has no parent"))
+    keys = parent.select(parent_key).filter(F.col(parent_key).isNotNull()).distinct().withColumn("__known", F.lit(True))
+    checked = lookup_join(batch, keys, child_key, parent_key)
+    passes = F.col("__known").isNotNull() | F.col(child_key).isNull()
+    accepted = checked.filter(passes).select(*batch.columns)
+    rejected = checked.filter(~passes).select(*batch.columns, F.lit(f"{child_key} has no parent").alias("reject_reason"))
+    return accepted, rejected
 
 
 def delete_restrict(
@@ -57,22 +58,18 @@ def delete_cascade(child: DataFrame, deleted: DataFrame, child_key: str, parent_
 
 def delete_set_null(child: DataFrame, deleted: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Children keep their row, keys of deleted parents become NULL."""
-    gone = deleted.select(F.col(parent_key).alias("__key")).distinct()
-    joined = child.join(gone, F.col(child_key) == F.col("__key"), "left")
+    gone = deleted.select(parent_key).filter(F.col(parent_key).isNotNull()).distinct().withColumn("__gone", F.lit(True))
+    joined = lookup_join(child, gone, child_key, parent_key)
     return joined.select(
-        *[F.when(F.col("__key").isNull(), F.col(c)).alias(c) if c == child_key else F.col(c) for c in child.columns]
+        *[F.when(F.col("__gone").isNull(), F.col(c)).alias(c) if c == child_key else F.col(c) for c in child.columns]
     )
 
 
 def _replace_key(df: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """``changes`` has one row (old_key, new_key) per changed key."""
-    joined = df.join(changes, F.col(key) == F.col("old_key"), "left")
-    return joined.select(
-        *[
-            F.when(F.col("old_key").isNotNull(), F.col("new_key")).otherwise(F.col(c)).alias(c) if c == key else F.col(c)
-            for c in df.columns
-        ]
-    )
+    joined = lookup_join(df, changes.withColumn("__changed", F.lit(True)), key, "old_key")
+    new = F.when(F.col("__changed"), F.col("new_key")).otherwise(F.col(key)).cast(df.schema[key].dataType)
+    return joined.select(*[new.alias(c) if c == key else F.col(c) for c in df.columns])
 
 
 def update_key(

@@ -2,10 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.ordering import GROUP_BOUND, PART, largest_group, range_layout
+from tidewater.operators.ordering import PART, largest_group, range_layout
+
+# The built-in exact percentiles hold a map of a group's distinct values, for many groups at once.
+QUANTILE_BOUND = 250_000
+
+
+def quantile_columns(columns: list[str], probs: dict[str, float], discrete: bool = False) -> list[Column]:
+    """Built-in exact percentiles as aggregate columns ``<column>_<label>``, for groups of bounded size."""
+    kind = "percentile_disc" if discrete else "percentile_cont"
+    return [
+        F.expr(f"{kind}({p}D) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))").alias(f"{c}_{label}")
+        for c in columns
+        for label, p in probs.items()
+    ]
+
+
+def aggregate_with_quantiles(
+    df: DataFrame,
+    aggregates: list[Column],
+    columns: list[str],
+    probs: dict[str, float],
+    keys: list[str],
+    discrete: bool = False,
+    group_bound: int = QUANTILE_BOUND,
+) -> DataFrame:
+    """Ordinary aggregates and exact quantiles per group: one aggregate when all groups are within the bound,
+    else the aggregates joined with the distributed quantiles. Keys must not be NULL."""
+    if largest_group(df, keys) <= group_bound:
+        return df.groupBy(*keys).agg(*aggregates, *quantile_columns(columns, probs, discrete))
+    on = keys or ["__all"]
+    exact = _distributed(df, columns, probs, keys, discrete)
+    base = df.groupBy(*keys).agg(*aggregates)
+    if not keys:  # two one-row results
+        base, exact = base.withColumn("__all", F.lit(1)), exact.withColumn("__all", F.lit(1))
+    return base.join(exact, on).drop("__all")
 
 
 def quantiles(
@@ -14,7 +48,7 @@ def quantiles(
     probs: dict[str, float],
     keys: list[str] | None = None,
     discrete: bool = False,
-    group_bound: int = GROUP_BOUND,
+    group_bound: int = QUANTILE_BOUND,
 ) -> DataFrame:
     """Columns ``<column>_<label>`` per group; interpolated as a median is, or ``discrete`` (an existing value).
 
@@ -24,13 +58,7 @@ def quantiles(
     """
     keys = keys or []
     if largest_group(df, keys) <= group_bound:
-        kind = "percentile_disc" if discrete else "percentile_cont"
-        exprs = [
-            F.expr(f"{kind}({p}D) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))").alias(f"{c}_{label}")
-            for c in columns
-            for label, p in probs.items()
-        ]
-        return df.groupBy(*keys).agg(*exprs) if keys else df.agg(*exprs)
+        return df.groupBy(*keys).agg(*quantile_columns(columns, probs, discrete))
     return _distributed(df, columns, probs, keys, discrete)
 
 

@@ -15,7 +15,7 @@ from tidewater.tables import Tables
 EVENT_SQL = """WITH ev AS (
   SELECT event_id, event_type, user_id,
          CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS price,
-         CASE WHEN event_id % 20 = 0 THEN NULL ELSE 1.5 END AS amount,
+         CASE WHEN event_id % 20 = 0 THEN NULL ELSE 1.5::DOUBLE END AS amount,
          nullif(regexp_extract(props, '"k": ([0-9]+)', 1), '7') AS currency,
          CASE WHEN event_id % 9 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS ts,
          event_type AS source
@@ -90,16 +90,14 @@ def _(t):
 @query("stream_revenue", revenue_sql("currency", "'purchase'"))
 def _(t):
     landing = t.scratch("event-stream-in")
-    event_lines(t).repartition(4).write.text(landing)
+    event_lines(t).write.text(landing)
     return rounded(stream_revenue(t.spark, landing, t.scratch("event-stream-out"), "currency", "purchase"), 2)
 
 
-@query(
-    "stream_batch_counts",
-    "SELECT count(*) AS total_count, 2 AS n_batches FROM events WHERE event_type = 'purchase'",
-)
+@query("stream_batch_counts", "SELECT count(*) AS total_count FROM events WHERE event_type = 'purchase'")
 def _(t):
     landing = t.scratch("event-batches-in")
-    event_lines(t).repartition(4).write.text(landing)
-    counts = stream_batch_counts(t.spark, landing, t.scratch("event-batches-out"), "purchase", max_files=2)
-    return counts.agg(F.sum("n_events").alias("total_count"), F.countDistinct("batch_id").cast("int").alias("n_batches"))
+    event_lines(t).write.text(landing)
+    files = t.spark.sparkContext.defaultParallelism
+    counts = stream_batch_counts(t.spark, landing, t.scratch("event-batches-out"), "purchase", max_files=files)
+    return counts.agg(F.sum("n_events").alias("total_count"))

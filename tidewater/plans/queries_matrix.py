@@ -122,7 +122,7 @@ def _(t):
 
 @query(
     "mask_and_count",
-    CELLS_SQL + "SELECT count(*) AS n_cells, count_if(v > 0) AS n_positive, count_if(abs(sin(v * 40)) > abs(cos(v * 40))) AS n_sine FROM cells",
+    CELLS_SQL + "SELECT count(*) AS n_cells, CAST(count_if(v > 0) AS BIGINT) AS n_positive, CAST(count_if(abs(sin(v * 40)) > abs(cos(v * 40))) AS BIGINT) AS n_sine FROM cells",
 )
 def _(t):
     v = F.col("v")

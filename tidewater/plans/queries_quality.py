@@ -13,7 +13,7 @@ from tidewater.plans.registry import query, rounded
     "check_unique_key",
     """WITH k AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)
     SELECT 'l_orderkey,l_linenumber' AS key, CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys,
-    count_if(n > 1) AS n_duplicated, CASE WHEN count_if(n > 1) = 0 THEN 'unique' ELSE 'has duplicates' END AS verdict FROM k""",
+    CAST(count_if(n > 1) AS BIGINT) AS n_duplicated, CASE WHEN count_if(n > 1) = 0 THEN 'unique' ELSE 'has duplicates' END AS verdict FROM k""",
 )
 def _(t):
     return quality.check_unique_key(t.lineitem, ["l_orderkey", "l_linenumber"])

@@ -443,14 +443,13 @@ def _(t):
 
 @query("sort_multi", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC")
 def _(t):
-    return t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(
-        F.col("o_orderpriority").asc_nulls_first(), F.col("o_totalprice").desc_nulls_last()
-    )
+    rows = t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return ordering.sort_rows(rows, F.col("o_orderpriority").asc_nulls_first(), F.col("o_totalprice").desc_nulls_last())
 
 
 @query("sort_by_label", "SELECT * FROM customer ORDER BY c_custkey DESC")
 def _(t):
-    return t.customer.orderBy(F.col("c_custkey").desc())
+    return ordering.sort_rows(t.customer, F.col("c_custkey").desc())
 
 
 @query("limit_ordered", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
