@@ -1,45 +1,209 @@
-"""Exact quantiles, overall or per group, that also work for a group no task can hold."""
+"""Exact quantiles, overall or per group, that also work for a group no task can hold.
+
+A quantile is the value at a rank of the sorted, counted values (or lies between two of them).
+
+* Groups of bounded size are sorted by a window.
+* A few large groups: a sketch brackets every wanted value, one scan counts what lies below the brackets and
+  inside them, and only the values inside are shuffled and sorted. The brackets are checked, never trusted.
+* Many groups with large ones among them: all counted values are range-partitioned, and only the partitions
+  that hold a wanted rank are read again.
+
+Everything is sorting and summing inside the engine, which spills; the built-in exact percentiles hold one
+map of boxed values per group and percentile.
+"""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.operators.ordering import PART, largest_group, range_layout
+from tidewater.functions.columns import any_of, nan_to_null
+from tidewater.operators.ordering import GROUP_BOUND, PART, range_layout
 
-# The built-in exact percentiles hold a map of a group's distinct values, for many groups at once.
-QUANTILE_BOUND = 250_000
+# Larger groups are worth being sorted by several tasks.
+QUANTILE_BOUND = 100_000
+# Brackets of more groups than this are not sent to every task.
+BRACKET_GROUPS = 1_000
+SKETCH_ACCURACY = 10_000
 
+TARGETS = "array<struct<c:int,q:int,high:boolean,weight:double,rank:double>>"
 
-def quantile_columns(columns: list[str], probs: dict[str, float], discrete: bool = False) -> list[Column]:
-    """Built-in exact percentiles as aggregate columns ``<column>_<label>``, for groups of bounded size."""
-    kind = "percentile_disc" if discrete else "percentile_cont"
-    return [
-        F.expr(f"{kind}({p}D) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))").alias(f"{c}_{label}")
-        for c in columns
-        for label, p in probs.items()
-    ]
 
+class _Job:
+    """Input columns under internal names, and the wanted quantiles."""
+
+    def __init__(self, df: DataFrame, keys: list[str], columns: list[str], probs: list[float], discrete: bool):
+        self.group = [f"__k{i}" for i in range(len(keys))]
+        self.values = [f"__v{i}" for i in range(len(columns))]
+        self.probs, self.discrete = probs, discrete
+        self.rows = df.select(
+            *[F.col(k).alias(g) for k, g in zip(keys, self.group)],
+            *[nan_to_null(F.col(c).cast("double")).alias(v) for c, v in zip(columns, self.values)],
+        )
+
+    def ranks(self, q: int, total: Column) -> tuple[Column, Column, Column]:
+        """(lower rank, upper rank, weight of the upper value) of quantile ``q``; ranks count from 1."""
+        if self.discrete:
+            rank = F.greatest(F.lit(1.0), F.ceil(F.lit(self.probs[q]) * total).cast("double"))
+            return rank, rank, F.lit(0.0)
+        place = F.lit(self.probs[q]) * (total - 1)
+        return F.floor(place) + 1.0, F.ceil(place) + 1.0, place - F.floor(place)
+
+    def ranks_of(self, q: int, total: int) -> tuple[int, int, float]:
+        """The same for a known total."""
+        if self.discrete:
+            rank = max(1, math.ceil(self.probs[q] * total))
+            return rank, rank, 0.0
+        place = self.probs[q] * (total - 1)
+        return math.floor(place) + 1, math.ceil(place) + 1, place - math.floor(place)
+
+    def targets(self, q: int, c: Column, total: Column, before: Column) -> list[Column]:
+        low, high, weight = self.ranks(q, total)
+        return [
+            F.struct(
+                c.alias("c"), F.lit(q).alias("q"), F.lit(is_high).alias("high"), weight.alias("weight"),
+                (rank - before).alias("rank"),
+            )
+            for is_high, rank in ((False, low), (True, high))
+        ]
+
+    def counted(self) -> DataFrame:
+        """(group, series, value, rows): a frequent value becomes one row before any sort. Series = column."""
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.col(v).alias("v")) for i, v in enumerate(self.values)]))
+        long = self.rows.select(*self.group, cells.alias("cell")).select(*self.group, "cell.s", "cell.v")
+        return long.filter(F.col("v").isNotNull()).groupBy(*self.group, "s", "v").agg(F.count("*").alias("n"))
+
+
+def _held_by_row() -> Column:
+    """The targets that fall on this row: it stands for the ranks (upto - n, upto]."""
+    upto, n = F.col("upto"), F.col("n")
+    return F.explode(F.filter("targets", lambda t: (t["rank"] <= upto) & (t["rank"] > upto - n))).alias("t")
+
+
+def _by_window(job: _Job) -> DataFrame:
+    one = Window.partitionBy(*job.group, "s")
+    total, upto = F.col("total"), F.col("upto")
+    quantile_ids = range(len(job.probs))
+    # plain comparisons leave the few rows that hold a rank before any array is built
+    holds = [(rank <= upto) & (rank > upto - F.col("n")) for q in quantile_ids for rank in job.ranks(q, total)[:2]]
+    targets = [t for q in quantile_ids for t in job.targets(q, F.col("s"), total, F.lit(0))]
+    return (
+        job.counted()
+        .withColumn("upto", F.sum("n").over(one.orderBy("v")))
+        .withColumn("total", F.sum("n").over(one))
+        .filter(any_of(holds))
+        .withColumn("targets", F.array(*targets))
+        .select(*job.group, "v", _held_by_row())
+    )
+
+
+def _by_range(job: _Job, counted: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` has one row of targets per group and series; their ranks refer to ``counted``."""
+    laid = range_layout(counted, [*job.group, "s", "v"])
+    series = [*job.group, "s"]
+    spans = (
+        laid.groupBy(*series, PART)
+        .agg(F.sum("n").alias("size"))
+        .withColumn("start", F.sum("size").over(Window.partitionBy(*series).orderBy(PART)) - F.col("size"))
+    )
+
+    def same(right: list[str]) -> list[Column]:
+        return [F.col(name).eqNullSafe(F.col(f"p_{name}")) for name in right]
+
+    plan = plan.withColumnsRenamed({name: f"p_{name}" for name in series})
+    moved = F.transform("targets", lambda t: t.withField("rank", t["rank"] - F.col("start")))
+    here = (
+        spans.join(plan, same(series))
+        .select(*series, PART, F.filter(moved, lambda t: (t["rank"] >= 1) & (t["rank"] <= F.col("size"))).alias("targets"))
+        .filter(F.size("targets") > 0)
+        .withColumnsRenamed({name: f"p_{name}" for name in [*series, PART]})
+    )
+    running = F.sum("n").over(Window.partitionBy(*series, PART).orderBy("v"))
+    return laid.join(here, same([*series, PART])).withColumn("upto", running).select(*job.group, "v", _held_by_row())
+
+
+def _all_values(job: _Job) -> tuple[DataFrame, DataFrame]:
+    counted = job.counted()
+    totals = counted.groupBy(*job.group, "s").agg(F.sum("n").alias("total"))
+    targets = [t for q in range(len(job.probs)) for t in job.targets(q, F.col("s"), F.col("total"), F.lit(0))]
+    return counted, totals.select(*job.group, "s", F.array(*targets).alias("targets"))
 
-def aggregate_with_quantiles(
-    df: DataFrame,
-    aggregates: list[Column],
-    columns: list[str],
-    probs: dict[str, float],
-    keys: list[str],
-    discrete: bool = False,
-    group_bound: int = QUANTILE_BOUND,
-) -> DataFrame:
-    """Ordinary aggregates and exact quantiles per group: one aggregate when all groups are within the bound,
-    else the aggregates joined with the distributed quantiles. Keys must not be NULL."""
-    if largest_group(df, keys) <= group_bound:
-        return df.groupBy(*keys).agg(*aggregates, *quantile_columns(columns, probs, discrete))
-    on = keys or ["__all"]
-    exact = _distributed(df, columns, probs, keys, discrete)
-    base = df.groupBy(*keys).agg(*aggregates)
-    if not keys:  # two one-row results
-        base, exact = base.withColumn("__all", F.lit(1)), exact.withColumn("__all", F.lit(1))
-    return base.join(exact, on).drop("__all")
+
+def _bracketed(job: _Job) -> tuple[DataFrame, DataFrame, int] | None:
+    """(counted values inside the brackets, plan, most rows inside one bracket); None when a bracket misses its value.
+
+    What the driver sees is one row of sketch bounds and one of counts per group, BRACKET_GROUPS at most.
+    """
+    spark = job.rows.sparkSession
+    margin = 2.0 / SKETCH_ACCURACY
+    bounds = [b for p in job.probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketches = job.rows.groupBy(*job.group).agg(
+        *[F.count(v).alias(f"n{v}") for v in job.values],
+        *[F.percentile_approx(v, bounds, SKETCH_ACCURACY).alias(f"b{v}") for v in job.values],
+    )
+    known = sketches.collect()
+    series = [(c, v, q) for c, v in enumerate(job.values) for q in range(len(job.probs))]
+    if job.group:
+        schema = T.StructType([T.StructField(f"p_{f.name}", f.dataType) for f in sketches.schema.fields])
+        right = F.broadcast(spark.createDataFrame(known, schema))
+        rows = job.rows.join(right, [F.col(g).eqNullSafe(F.col(f"p_{g}")) for g in job.group])
+
+        def bound(v: str, i: int) -> Column:
+            return F.col(f"p_b{v}")[i]
+    else:
+        rows = job.rows
+
+        def bound(v: str, i: int) -> Column:
+            return F.lit(known[0][f"b{v}"][i] if known[0][f"b{v}"] else None)
+
+    def below(v: str, q: int) -> Column:
+        return F.lit(False) if job.probs[q] <= margin else F.col(v) < bound(v, 2 * q)
+
+    def inside(v: str, q: int) -> Column:
+        """A bracket that reaches the first or last rank is open there."""
+        condition = F.col(v).isNotNull()
+        if job.probs[q] > margin:
+            condition = condition & (F.col(v) >= bound(v, 2 * q))
+        if job.probs[q] < 1 - margin:
+            condition = condition & (F.col(v) <= bound(v, 2 * q + 1))
+        return condition
+
+    hits = [inside(v, q) for _, v, q in series]
+    found = rows.groupBy(*job.group).agg(
+        *[F.count_if(below(v, q)).alias(f"below{i}") for i, (_, v, q) in enumerate(series)],
+        *[F.count_if(hit).alias(f"inside{i}") for i, hit in enumerate(hits)],
+    )
+    totals = {tuple(r[g] for g in job.group): r for r in known}
+    plan, most = [], 0
+    for r in found.collect():
+        group = tuple(r[g] for g in job.group)
+        for i, (c, v, q) in enumerate(series):
+            total, before, held = totals[group][f"n{v}"], r[f"below{i}"], r[f"inside{i}"]
+            if total == 0:
+                continue
+            low, high, weight = job.ranks_of(q, total)
+            if low <= before or high > before + held:
+                return None
+            wanted = [(c, q, False, weight, float(low - before)), (c, q, True, weight, float(high - before))]
+            plan.append((*group, i, wanted))
+            most = max(most, held)
+    fields = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in sketches.schema.fields[: len(job.group)]], f"s int, targets {TARGETS}"])
+    # plain comparisons first: few rows lie in a bracket
+    cells = [F.struct(F.lit(i).alias("s"), hit.alias("hit"), F.col(v).alias("v")) for (i, (_, v, _)), hit in zip(enumerate(series), hits)]
+    kept = rows.filter(any_of(hits)).select(*job.group, F.explode(F.filter(F.array(*cells), lambda h: h["hit"])).alias("h"))
+    counted = kept.groupBy(*job.group, F.col("h.s").alias("s"), F.col("h.v").alias("v")).agg(F.count("*").alias("n"))
+    return counted, spark.createDataFrame(plan, fields), most
+
+
+def _by_planned_window(job: _Job, counted: DataFrame, plan: DataFrame) -> DataFrame:
+    series = [*job.group, "s"]
+    mine = F.broadcast(plan.withColumnsRenamed({name: f"p_{name}" for name in series}))
+    running = F.sum("n").over(Window.partitionBy(*series).orderBy("v"))
+    joined = counted.withColumn("upto", running).join(mine, [F.col(n).eqNullSafe(F.col(f"p_{n}")) for n in series])
+    return joined.select(*job.group, "v", _held_by_row())
 
 
 def quantiles(
@@ -49,73 +213,23 @@ def quantiles(
     keys: list[str] | None = None,
     discrete: bool = False,
     group_bound: int = QUANTILE_BOUND,
+    bracket_groups: int = BRACKET_GROUPS,
 ) -> DataFrame:
-    """Columns ``<column>_<label>`` per group; interpolated as a median is, or ``discrete`` (an existing value).
-
-    Groups within the bound use Spark's exact percentile functions, whose state is one map per group.
-    Larger ones are counted per value, range-partitioned, and only the partitions that hold a wanted
-    rank are read again.
-    """
+    """Columns ``<column>_<label>`` per group; interpolated as a median is, or ``discrete`` (an existing value)."""
     keys = keys or []
-    if largest_group(df, keys) <= group_bound:
-        return df.groupBy(*keys).agg(*quantile_columns(columns, probs, discrete))
-    return _distributed(df, columns, probs, keys, discrete)
-
-
-def _distributed(df: DataFrame, columns: list[str], probs: dict[str, float], keys: list[str], discrete: bool) -> DataFrame:
-    group = [f"__k{i}" for i in range(len(keys))]
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
-    )
-    values = df.select(*[F.col(k).alias(g) for k, g in zip(keys, group)], cells.alias("cell")).select(
-        *group, "cell.c", "cell.v"
-    )
-    # counting per value first: a value held by many rows is one row from here on
-    counted = values.filter(F.col("v").isNotNull()).groupBy(*group, "c", "v").agg(F.count("*").alias("n"))
-    laid = range_layout(counted, [*group, "c", "v"])
-
-    by_column = Window.partitionBy(*group, "c")
-    spans = (
-        laid.groupBy(*group, "c", PART)
-        .agg(F.sum("n").alias("size"))
-        .withColumn("upto", F.sum("size").over(by_column.orderBy(PART)))
-        .withColumn("total", F.sum("size").over(by_column))
-    )
-    # per group, column and partition: the wanted ranks that lie inside, relative to its first row
-    ranks = []
-    for i, p in enumerate(probs.values()):
-        if discrete:
-            low = high = F.greatest(F.lit(1.0), F.ceil(F.lit(p) * F.col("total")).cast("double"))
-            weight = F.lit(0.0)
+    job = _Job(df, keys, columns, list(probs.values()), discrete)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.count("*").alias("groups")).first()
+    if (sizes["largest"] or 0) <= group_bound:
+        found = _by_window(job)
+    else:
+        narrowed = _bracketed(job) if sizes["groups"] <= bracket_groups else None
+        if narrowed is None:
+            found = _by_range(job, *_all_values(job))
+        elif narrowed[2] <= GROUP_BOUND:
+            found = _by_planned_window(job, *narrowed[:2])
         else:
-            place = F.lit(p) * (F.col("total") - 1)
-            low, high = F.floor(place) + 1.0, F.ceil(place) + 1.0
-            weight = place - F.floor(place)
-        for is_high, rank in ((False, low), (True, high)):
-            ranks.append(
-                F.struct(
-                    F.lit(i).alias("q"), F.lit(is_high).alias("high"), weight.alias("weight"),
-                    (rank - (F.col("upto") - F.col("size"))).alias("rank"),
-                )
-            )
-    inside = F.filter(F.array(*ranks), lambda r: (r["rank"] >= 1) & (r["rank"] <= F.col("size")))
-    targets = spans.select(*[F.col(g).alias(f"t{g}") for g in group], F.col("c").alias("tc"),
-                           F.col(PART).alias("tpart"), inside.alias("targets")).filter(F.size("targets") > 0)
-
-    match = [F.col(g).eqNullSafe(F.col(f"t{g}")) for g in group]
-    match += [F.col("c") == F.col("tc"), F.col(PART) == F.col("tpart")]
-    running = F.sum("n").over(Window.partitionBy(*group, "c", PART).orderBy("v"))
-    found = (
-        laid.join(targets, match)
-        .withColumn("upto", running)
-        .select(
-            *group, "c", "v",
-            F.explode(
-                F.filter("targets", lambda r: (r["rank"] <= F.col("upto")) & (r["rank"] > F.col("upto") - F.col("n")))
-            ).alias("t"),
-        )
-    )
-    ends = found.groupBy(*group, "c", F.col("t.q").alias("q")).agg(
+            found = _by_range(job, *narrowed[:2])
+    ends = found.groupBy(*job.group, F.col("t.c").alias("c"), F.col("t.q").alias("q")).agg(
         F.max(F.when(~F.col("t.high"), F.col("v"))).alias("low"),
         F.max(F.when(F.col("t.high"), F.col("v"))).alias("high"),
         F.max("t.weight").alias("weight"),
@@ -128,6 +242,27 @@ def _distributed(df: DataFrame, columns: list[str], probs: dict[str, float], key
     ]
     if not keys:
         return ends.agg(*wide)
-    result = ends.groupBy(*group).agg(*wide)
+    result = ends.groupBy(*job.group).agg(*wide)
     groups = df.select(*keys).distinct()
-    return groups.join(result, [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, group)], "left").drop(*group)
+    match = [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, job.group)]
+    return groups.join(result, match, "left").drop(*job.group)
+
+
+def aggregate_with_quantiles(
+    df: DataFrame,
+    aggregates: list[Column],
+    columns: list[str],
+    probs: dict[str, float],
+    keys: list[str],
+    discrete: bool = False,
+    group_bound: int = QUANTILE_BOUND,
+) -> DataFrame:
+    """Ordinary aggregates and exact quantiles per group, joined by the keys, which must not be NULL."""
+    exact = quantiles(df, columns, probs, keys, discrete, group_bound)
+    if keys and not aggregates:
+        return exact
+    base = df.groupBy(*keys).agg(*aggregates)
+    if keys:
+        return base.join(exact, keys)
+    # two one-row results
+    return base.withColumn("__all", F.lit(1)).join(exact.withColumn("__all", F.lit(1)), "__all").drop("__all")

@@ -76,17 +76,34 @@ def text_feeds(t: Tables) -> dict[str, DataFrame]:
     return feeds
 
 
-_conformed: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
+
+
+def _once(t: Tables, label: str, write) -> str:
+    """Folder that ``write`` filled, once per session and input."""
+    key = (t.spark.sparkContext.applicationId, t.folder, label)
+    if key not in _written:
+        path = t.scratch(label)
+        write(path)
+        _written[key] = path
+    return _written[key]
+
+
+def landed_feeds(t: Tables) -> dict[str, DataFrame]:
+    """The feeds as they arrive: one folder of headered CSV files each, every column read as text."""
+
+    def write(path: str) -> None:
+        for name, feed in text_feeds(t).items():
+            write_csv(feed, f"{path}/{name}")
+
+    landing = _once(t, "trip-feeds", write)
+    return {name: read_csv_text(t.spark, f"{landing}/{name}/*.csv") for name in job.FEED_NAMES}
 
 
 def conformed(t: Tables) -> DataFrame:
     """The conformed table: parsed and written once per session, read by every report."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _conformed:
-        path = t.scratch("trips")
-        job.conform_feeds(text_feeds(t)).write.parquet(path)
-        _conformed[key] = path
-    return t.spark.read.parquet(_conformed[key])
+    path = _once(t, "trips", lambda out: job.conform_feeds(landed_feeds(t)).write.parquet(out))
+    return t.spark.read.parquet(path)
 
 
 def analysed(t: Tables) -> DataFrame:
@@ -99,7 +116,7 @@ def analysed(t: Tables) -> DataFrame:
     "CAST(l_suppkey AS VARCHAR) AS dropoff_location_id FROM lineitem WHERE l_returnflag = 'N'",
 )
 def _(t):
-    return rename_by_map(text_feeds(t)["fhv"], job.FEED_NAMES["fhv"]).select(
+    return rename_by_map(landed_feeds(t)["fhv"], job.FEED_NAMES["fhv"]).select(
         "vendor_id", "pickup_location_id", "dropoff_location_id"
     )
 
@@ -111,7 +128,7 @@ def _(t):
 )
 def _(t):
     return add_missing_columns(
-        text_feeds(t)["fhv"].select("dispatching_base_num"),
+        landed_feeds(t)["fhv"].select("dispatching_base_num"),
         {"dispatching_base_num": "string", "fare_amount": "double", "passenger_count": "int"},
     )
 
@@ -127,7 +144,7 @@ def _(t):
     CAST(NULL AS VARCHAR) AS sr_flag, taxi_type, year, month FROM trips""",
 )
 def _(t):
-    rows = job.conform_feeds(text_feeds(t)).select(*job.TARGET)
+    rows = job.conform_feeds(landed_feeds(t)).select(*job.TARGET)
     times = {c: F.col(c).cast("timestamp_ntz") for c in ("pickup_datetime", "dropoff_datetime")}
     return rounded(rows.withColumns(times), 4, "tip_amount", "total_amount")
 
@@ -181,13 +198,7 @@ def feed_totals(trips: DataFrame) -> DataFrame:
 
 @query("conform_feeds", TRIPS_SQL + FEED_TOTALS_SQL)
 def _(t):
-    """Through CSV files: one folder per feed, every column read as text."""
-    landing = t.scratch("trip-feeds")
-    read = {}
-    for name, feed in text_feeds(t).items():
-        write_csv(feed, f"{landing}/{name}")
-        read[name] = read_csv_text(t.spark, f"{landing}/{name}/*.csv")
-    return feed_totals(job.conform_feeds(read))
+    return feed_totals(job.conform_feeds(landed_feeds(t)))
 
 
 @query("union_by_name", TRIPS_SQL + "SELECT taxi_type, vendor_id, month, fare_amount FROM trips")
@@ -314,7 +325,7 @@ def _(t):
 )
 def _(t):
     """The workload end to end, with its writes; two of its reports as one result."""
-    reports = job.run_trip_job(text_feeds(t), t.scratch("trip-job"), YEARS)
+    reports = job.run_trip_job(landed_feeds(t), t.scratch("trip-job"), YEARS)
     by_year = reports["by_year"].select(
         F.lit("by_year").alias("report"), F.col("year").cast("string").alias("label"), F.col("n_trips").alias("n")
     )
