@@ -27,6 +27,13 @@ def test_join_on_names_keeps_both_keys(left, right, rows):
     ]
 
 
+@pytest.mark.parametrize("how, n", [("left", 4), ("right", 5), ("full", 6)])
+def test_join_on_names_outer(left, right, how, n):
+    r = right.select(F.col("name").alias("second"), F.col("age").alias("second_age"))
+    joined = joins.join_on_names(left, r, "name", "second", how)
+    assert joined.columns == ["label", "name", "age", "second", "second_age"] and joined.count() == n
+
+
 @pytest.mark.parametrize("validate, fails", [("1:1", True), ("1:m", True), ("m:1", True), ("m:m", False), ("many_to_many", False)])
 def test_validated(left, right, validate, fails):
     if fails:

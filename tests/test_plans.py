@@ -48,5 +48,13 @@ def test_no_query_multiplies_tables(spark, plan_of):
 
 
 def test_not_in_can_shuffle(spark, plan_of):
-    plan = plan_of(contract.queries()["filter_not_in_subquery"](spark, FOLDER))
-    assert "isNullAwareAntiJoin=true" not in plan and "LeftAnti" not in plan or "BroadcastNestedLoop" not in plan
+    """Spark's own null-aware anti join always broadcasts the list; an ordinary join does not have to."""
+    from tidewater.operators.joins import not_in
+
+    left, listed = spark.range(100), spark.range(50).withColumnRenamed("id", "o")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(not_in(left, listed, "id", "o"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan

@@ -130,8 +130,15 @@ def join_suffixed(left: DataFrame, right: DataFrame, on: list[str], how: str = "
 
 
 def join_on_names(left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "inner") -> DataFrame:
-    """Join on keys of different names; both key columns stay."""
-    return left.join(right, left[left_on] == right[right_on], how)
+    """Join on keys of different names; both key columns stay.
+
+    An inner join is left to AQE, which splits a skewed key of either side; it cannot do so for the side an
+    outer join must keep whole.
+    """
+    if how == "inner":
+        return left.join(right, left[left_on] == right[right_on])
+    keyed = left.withColumn("__key", F.col(left_on)), right.withColumn("__key", F.col(right_on))
+    return skew_join(*keyed, ["__key"], how).drop("__key")
 
 
 def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
