@@ -103,7 +103,7 @@ def landed_feeds(t: Tables) -> dict[str, DataFrame]:
 def conformed(t: Tables) -> DataFrame:
     """The conformed table: parsed and written once per session, read by every report."""
     path = _once(t, "trips", lambda out: job.conform_feeds(landed_feeds(t)).write.parquet(out))
-    return t.spark.read.parquet(path)
+    return t.spark.read.schema(", ".join(f"{c} {kind}" for c, kind in job.TARGET.items())).parquet(path)
 
 
 def analysed(t: Tables) -> DataFrame:
