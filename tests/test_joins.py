@@ -80,6 +80,16 @@ def test_semi_anti(spark, hot_rows, rows):
     assert rows(joins.anti(df, other, "k", "o", hot_rows), "v") == [("s",), ("t",)]
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_lookup_join_equals_plain_join(spark, how, rows):
+    keys = [1] * 20 + [2] * 30 + [3] * 2 + [None] * 15 + [9]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int").repartition(3)
+    lookup = spark.createDataFrame([(1, "a"), (3, "c"), (4, "d"), (None, "n")], "id int, v string")
+    expected = rows(df.join(lookup, F.col("k") == F.col("id"), how).drop("id"))
+    assert rows(joins.lookup_join(df, lookup, "k", "id", how, hot_rows=10)) == expected
+    assert rows(joins.lookup_join(df, lookup, "k", "id", how)) == expected
+
+
 def test_not_in(spark, rows):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     known = spark.createDataFrame([(1,)], "o int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +38,6 @@ def skew_join(
     right: DataFrame,
     on: list[str],
     how: str = "inner",
-    right_unique: bool = False,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -46,11 +47,10 @@ def skew_join(
     number, and (key, number) becomes the join key. A hot key exists on its own side, so a repeated row of
     the other side has a partner under some number; its copies without one are by-products and removed.
     NULL keys match nothing and are spread by the same numbers. Without hot keys this is the plain join.
-    ``right_unique`` says that the right side has one row per key and needs no search.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"unsupported join type {how}")
-    hot_right, null_right = ([], False) if right_unique else hot_keys(right, on, hot_rows)
+    hot_right, null_right = hot_keys(right, on, hot_rows)
     hot_left, null_left = hot_keys(left, on, hot_rows)
     if not (hot_right or hot_left or null_right or null_left):
         return left.join(right, on, how)
@@ -66,15 +66,16 @@ def skew_join(
     every = F.sequence(F.lit(0), F.lit(salts - 1))
 
     def salted(df: DataFrame, side: str) -> DataFrame:
-        here, other = ("left", "right") if side == "left" else ("right", "left")
-        spread = (
-            F.when((F.col("__hot") == here) | has_null, F.array(number))
-            .when(F.col("__hot") == other, every)
-            .otherwise(F.array(F.lit(0)))
-        )
+        other = "right" if side == "left" else "left"
+        own = F.when((F.col("__hot") == side) | has_null, number).otherwise(F.lit(0))
+        if any(s[-1] == other for s in sides):
+            repeated = F.when(F.col("__hot") == other, every).otherwise(F.array(own))
+            salt = F.explode(repeated)
+        else:
+            salt = own
         return (
             df.join(hot, on, "left")
-            .withColumn("__salt", F.explode(spread))
+            .withColumn("__salt", salt)
             .withColumnRenamed("__hot", f"__hot_{side}")
             .withColumn(f"__in_{side}", F.lit(True))
         )
@@ -88,28 +89,46 @@ def skew_join(
     )
 
 
-def _unique_keys(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.select(F.col(key).alias(name)).filter(F.col(name).isNotNull()).distinct()
-
-
 def lookup_join(
     df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, how: str = "left", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Join with a table that has one row per key, keeping ``df``'s key and the lookup's other columns."""
-    return skew_join(df, lookup.withColumnRenamed(lookup_key, key), [key], how, right_unique=True, hot_rows=hot_rows)
+    """Join (left, inner, left_semi, left_anti) with a table that has one row per key; ``df``'s key is kept.
+
+    Rows of hot keys are not shuffled: the lookup's rows for those few keys are sent to them. Nor are rows
+    without a key. All other rows take the ordinary join.
+    """
+    right = lookup.withColumnRenamed(lookup_key, "__key")
+    same = F.col(key) == F.col("__key")
+
+    def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
+        return rows.join(side, same, how).drop("__key")
+
+    hot, null_hot = hot_keys(df, [key], hot_rows)
+    if not hot and not null_hot:
+        return joined(df, right)
+    hot_table = df.sparkSession.createDataFrame(hot, T.StructType([T.StructField("__hot", df.schema[key].dataType)]))
+    is_hot = F.broadcast(hot_table)
+    cold = df.filter(F.col(key).isNotNull()).join(is_hot, F.col(key) == F.col("__hot"), "left_anti")
+    # one lookup row per hot key at most
+    few = F.broadcast(right.join(is_hot, F.col("__key") == F.col("__hot"), "left_semi"))
+    parts = [joined(cold, right), joined(df.join(is_hot, F.col(key) == F.col("__hot"), "left_semi"), few)]
+    if how in ("left", "left_anti"):
+        parts.append(df.filter(F.col(key).isNull()))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _unique_keys(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key).filter(F.col(key).isNotNull()).distinct()
 
 
 def semi(df: DataFrame, other: DataFrame, df_key: str, other_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows with a match. The other side is reduced to its distinct keys before it is shuffled to the join."""
-    keys = _unique_keys(other, other_key, df_key)
-    return skew_join(df, keys, [df_key], "inner", right_unique=True, hot_rows=hot_rows).select(*df.columns)
+    """Rows with a match. The other side is reduced to its distinct keys before the join."""
+    return lookup_join(df, _unique_keys(other, other_key), df_key, other_key, "left_semi", hot_rows)
 
 
 def anti(df: DataFrame, other: DataFrame, df_key: str, other_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows without a match; NULL keys count as unmatched."""
-    keys = _unique_keys(other, other_key, df_key).withColumn("__found", F.lit(True))
-    joined = skew_join(df, keys, [df_key], "left", right_unique=True, hot_rows=hot_rows)
-    return joined.filter(F.col("__found").isNull()).select(*df.columns)
+    return lookup_join(df, _unique_keys(other, other_key), df_key, other_key, "left_anti", hot_rows)
 
 
 def suffix_clashes(
