@@ -38,7 +38,7 @@ def test_positions_use_no_global_window_over_rows(spark, plan_of, name):
     physical = plan_of(contract.queries()[name](spark, FOLDER)).split("== Physical Plan ==")[1]
     for line in physical.splitlines():
         if "Window [" in line:
-            assert "size" in line or "__carry" in line or "last" in line or "__has" in line
+            assert "size" in line or "__carry" in line or "__has" in line
 
 
 def test_no_query_multiplies_tables(spark, plan_of):

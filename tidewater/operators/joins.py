@@ -204,12 +204,12 @@ def cartesian(left: DataFrame, right: DataFrame) -> DataFrame:
 def not_in(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
     """SQL's NOT IN: nothing qualifies once ``other`` holds a NULL key, a NULL key never qualifies.
 
-    Spark's own null-aware anti join must broadcast the whole list. Here the NULL test and the emptiness
-    test are two scalars, and the rest is an ordinary anti join that can shuffle.
+    Spark's own null-aware anti join must broadcast the whole list. Here one aggregate answers whether the list
+    is empty or holds a NULL, and the rest is an ordinary anti join that can shuffle.
     """
-    listed = other.agg(
-        F.count("*").alias("n"), F.count_if(F.col(other_key).isNull()).alias("nulls")
-    )
-    kept = anti(df, other, df_key, other_key)
-    nulls, size = listed.select("nulls").scalar(), listed.select("n").scalar()
-    return kept.filter((nulls == 0) & (F.col(df_key).isNotNull() | (size == 0)))
+    listed = other.agg(F.count("*").alias("n"), F.count_if(F.col(other_key).isNull()).alias("nulls")).first()
+    if listed["n"] == 0:
+        return df
+    if listed["nulls"] > 0:
+        return df.filter(F.lit(False))
+    return anti(df.filter(F.col(df_key).isNotNull()), other, df_key, other_key)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tidewater.session import materialise
 
-PART, ROW, TIE = "__part", "__row", "__tie"
+PART, ROW, TIE, LAST = "__part", "__row", "__tie", "__last"
 
 # A group up to this many rows may be handled by one task; larger ones take the distributed way.
 GROUP_BOUND = 5_000_000
@@ -142,16 +142,23 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
 
 
 def _forward_fill_batches(keys: list[str], columns: list[str]):
-    """Fills NULLs from the row above inside one sorted partition, carrying one row from batch to batch."""
+    """Fills NULLs from the row above inside one sorted partition and marks the partition's last row.
+
+    The last row of a batch waits for the next batch, where it is the row above.
+    """
+
+    def emit(table: pa.Table, is_last: bool) -> Iterator[pa.RecordBatch]:
+        marked = table.append_column(LAST, pa.array(np.full(table.num_rows, is_last)))
+        yield from marked.combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: pa.Table | None = None
+        waiting: pa.Table | None = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             table = pa.Table.from_batches([batch])
-            if carried is not None:
-                table = pa.concat_tables([carried, table])
+            if waiting is not None:
+                table = pa.concat_tables([waiting, table])
             table = table.combine_chunks()
             index = np.arange(table.num_rows)
             changed = np.zeros(table.num_rows, dtype=bool)
@@ -165,26 +172,27 @@ def _forward_fill_batches(keys: list[str], columns: list[str]):
                 source = np.maximum.accumulate(np.where(valid, index, -1))
                 taken = table[name].take(pa.array(source, mask=source < group_start))
                 table = table.set_column(table.schema.get_field_index(name), table.schema.field(name), taken)
-            out = table if carried is None else table.slice(1)
-            carried = table.slice(table.num_rows - 1)
-            yield from out.combine_chunks().to_batches()
+            yield from emit(table.slice(0, table.num_rows - 1), False)
+            waiting = table.slice(table.num_rows - 1)
+        if waiting is not None:
+            yield from emit(waiting, True)
 
     return run
 
 
 def _fill(df: DataFrame, order_by: list[str], columns: list[str], keys: list[str], backward: bool) -> DataFrame:
-    laid = _laid_out(df, [*keys, *order_by], descending=backward)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in laid.schema.fields])
+    laid = _laid_out(df, [*keys, *order_by], descending=backward).drop(ROW)
+    fields = [T.StructField(f.name, f.dataType, True) for f in laid.schema.fields]
+    schema = T.StructType([*fields, T.StructField(LAST, T.BooleanType())])
     filled = materialise(laid.mapInArrow(_forward_fill_batches(keys, columns), schema), "fill")
 
-    # One row per partition: its last key and the values that reach its end.
-    ends = filled.groupBy(PART).agg(F.max_by(F.struct(*keys, *columns), ROW).alias("last"))
-    last_key = [F.col("last")[k] for k in keys]
-    so_far = Window.partitionBy(*last_key).orderBy(PART).rowsBetween(Window.unboundedPreceding, 0)
+    # One row per range partition: its last key and the values that reach its end.
+    ends = filled.filter(LAST)
+    so_far = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, 0)
     reach = ends.select(
         PART,
-        *[F.col("last")[k].alias(f"__key_{k}") for k in keys],
-        *[F.last(F.col("last")[c], ignorenulls=True).over(so_far).alias(f"__carry_{c}") for c in columns],
+        *[F.col(k).alias(f"__key_{k}") for k in keys],
+        *[F.last(c, ignorenulls=True).over(so_far).alias(f"__carry_{c}") for c in columns],
     )
     previous = Window.orderBy(PART)
     carry = reach.select(
