@@ -66,6 +66,8 @@ def events_for_ids(ids: DataFrame, id_col: str, seed: int, end_epoch: int) -> Da
     event_type = event_type.otherwise(EVENT_SHARES[-1][0])
     span = EVENT_DAYS * 86_400
     seconds = F.lit(end_epoch - span) + F.floor(uniform(digest, 4) * (span + 1))
+    # without a zone: the text does not depend on the session's
+    moment = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=seconds)
     return (
         ids.select(row_digest(F.col(id_col), seed).alias(_DIGEST))
         .withColumn("event_type", event_type)
@@ -87,7 +89,7 @@ def events_for_ids(ids: DataFrame, id_col: str, seed: int, end_epoch: int) -> Da
             .otherwise(0.0)
             .alias("price"),
             _pick(CURRENCIES, uniform(digest, 3)).alias("currency"),
-            F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("ts"),
+            F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("ts"),
             _pick(SOURCES, uniform(digest, 5)).alias("source"),
         )
     )
