@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import rules, token_counts, token_files
+from tidewater.llm import jaccard, rules, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -48,3 +48,8 @@ def op10(t: Tables) -> DataFrame:
 
     docs = t.documents.select("doc_id", "text").withColumn("sections", token_counts.line_sections())
     return token_counts.token_counts(docs, "sections", _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op5_ngram_jaccard_join")
+def op5(t: Tables) -> DataFrame:
+    return jaccard.jaccard_components(t.documents).select("doc_id", "n_shingles", "component_id")
