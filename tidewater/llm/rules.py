@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.texts import SLICE_BYTES, filled, rows_of, slices, text_bytes, words_of
+from tidewater.session import materialise
 
 #: Character classes by byte; bytes inside a UTF-8 sequence belong to no class (index 8), its first byte to "other".
 CLASSES = ("lower", "upper", "digit", "space", "stop", "punctuation", "symbol", "other")
@@ -83,7 +84,7 @@ def _duplicate_lines(text: bytes) -> int:
 def _reference_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of each slice by language: texts, shares of classes, words."""
     for batch in batches:
-        for part in slices(batch, "text", 4 * SLICE_BYTES):
+        for part in slices(batch, "text", 2 * SLICE_BYTES):
             texts = filled(part.column("text"))
             coded = pc.fill_null(part.column("lang"), "").dictionary_encode()
             lang, langs = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
@@ -109,7 +110,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
     shares of words and of rows each add up to one. A NULL language is the language "".
     """
     raw = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    stats = raw.mapInArrow(_reference_rows, _STATS).groupBy("lang", "kind", "item").agg(F.sum("amount").alias("amount"))
+    stats = materialise(raw.mapInArrow(_reference_rows, _STATS).groupBy("lang", "kind", "item").agg(F.sum("amount").alias("amount")), "references")
     sums = stats.groupBy("lang").agg(
         F.sum(F.when(F.col("kind") == "texts", F.col("amount"))).alias("texts"), F.sum(F.when(F.col("kind") == "words", F.col("amount"))).alias("words")
     )

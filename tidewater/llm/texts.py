@@ -24,9 +24,13 @@ class Words(NamedTuple):
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``limit`` bytes of text each; a longer text is a run of its own."""
+    """Runs of rows with about ``limit`` bytes of text each; a longer text is a run of its own.
+
+    Arrow's spare memory goes back to the system with each batch, as a worker shares its machine with the JVM.
+    """
     if batch.num_rows == 0:
         return
+    pa.default_memory_pool().release_unused()
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     start, held = 0, 0
     for i, n in enumerate(size):
