@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import jaccard, rules, token_counts, token_files
+from tidewater.llm import decontaminate, jaccard, rules, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -53,3 +53,8 @@ def op10(t: Tables) -> DataFrame:
 @query("op5_ngram_jaccard_join")
 def op5(t: Tables) -> DataFrame:
     return jaccard.jaccard_components(t.documents).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op9_benchmark_decontamination")
+def op9(t: Tables) -> DataFrame:
+    return decontaminate.benchmark_matches(t.documents, t.benchmark)
