@@ -194,8 +194,10 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
     )
     pairs = [same]
     for step in (1, 2):
-        up = F.when(F.col(f"above{step}").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col(f"above{step}") - 1), lambda q, s=step: key(band, tile, band + s, q, F.lit(0))))
-        down = F.when(F.col(f"below{step}").isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), F.col(f"below{step}") - 1), lambda q, s=step: key(band - s, q, band, tile, F.lit(1))))
+        up, down = F.col(f"above{step}"), F.col(f"below{step}")
+        # the lambdas are called at once; a second parameter would be taken for the index
+        up = F.when(up.isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), up - 1), lambda q: key(band, tile, band + step, q, F.lit(0))))  # noqa: B023
+        down = F.when(down.isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), down - 1), lambda q: key(band - step, q, band, tile, F.lit(1))))  # noqa: B023
         pairs += [F.coalesce(up, F.array()), F.coalesce(down, F.array())]
     laid = members.select("cluster", "a", "b", F.concat(*pairs).alias("pairs")).join(wide, ["a", "b"])
     return laid.withColumn("at", F.explode("pairs")).select("cluster", F.col("at.pair").alias("pair"), F.col("at.side").alias("side"), "a", "b", "grams")

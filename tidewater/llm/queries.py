@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard, rules, token_counts, token_files
+from tidewater.llm import decontaminate, jaccard, pii, rules, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -58,3 +59,10 @@ def op5(t: Tables) -> DataFrame:
 @query("op9_benchmark_decontamination")
 def op9(t: Tables) -> DataFrame:
     return decontaminate.benchmark_matches(t.documents, t.benchmark)
+
+
+@query("op6_pii")
+def op6(t: Tables) -> DataFrame:
+    found = pii.find_personal_data(t.documents.select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]  # noqa: B023  called at once
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.concat("base", "terms")).alias("spans"))
