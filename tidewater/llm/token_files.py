@@ -43,6 +43,27 @@ def id_type(path: str, end_id: int) -> str:
     return "<u2" if max(tokenizer_at(path).get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
 
 
+#: Words kept encoded per worker process, in each of two generations; only the time depends on it.
+KEPT_WORDS = 300_000
+_WORD_IDS: dict[str, tuple[dict, dict]] = {}
+
+
+def _word_ids(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words one after the other, and the number of each; words met lately are not encoded again."""
+    new, old = _WORD_IDS.get(path, ({}, {}))
+    unknown = [w for w in words if w not in new and w not in old]
+    fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(unknown, tokenizer_at(path).encode_batch_fast(unknown, add_special_tokens=False))}
+    got = []
+    for w in words:
+        ids = new.get(w)
+        if ids is None:
+            ids = new[w] = old[w] if w in old else fresh[w]
+        got.append(ids)
+    _WORD_IDS[path] = ({}, new) if len(new) > KEPT_WORDS else (new, old)
+    size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+    return np.frombuffer(b"".join(got), "<u4").astype(np.int64), size
+
+
 def encode_texts(texts: pa.Array, path: str, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and the number of each.
 
@@ -55,10 +76,7 @@ def encode_texts(texts: pa.Array, path: str, by_word: bool) -> tuple[np.ndarray,
         lengths = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter((i for ids in got for i in ids), np.int64, int(lengths.sum())), lengths
     found = words_of(texts, lower=True)
-    vocabulary = found.vocabulary.to_pylist()
-    got = [e.ids for e in tokenizer.encode_batch_fast(vocabulary, add_special_tokens=False)]
-    size = np.fromiter(map(len, got), np.int64, len(got))
-    flat = np.fromiter((i for ids in got for i in ids), np.int64, int(size.sum()))
+    flat, size = _word_ids(path, found.vocabulary.to_pylist())
     starts = np.cumsum(size) - size
     ids = flat[ragged(starts[found.codes], size[found.codes])] if len(found.codes) else flat[:0]
     before = np.concatenate(([0], np.cumsum(size[found.codes])))
