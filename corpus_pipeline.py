@@ -3,18 +3,50 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import rules
+from tidewater.llm import decontaminate, jaccard, pieces, pii, rules
 from tidewater.session import materialise
 from tidewater.tables import Tables
 
+#: Near copies: word n-grams and the least Jaccard similarity in percent.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that fail the quality rules go."""
     return rules.keep_good(docs)
 
 
-STAGES = [("quality", quality)]
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of exact and near copies stays."""
+    return jaccard.one_of_each(docs, NEAR_WORDS, NEAR_PERCENT)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark passage go."""
+    return decontaminate.without_benchmark(docs, Tables(spark, sf_dir).benchmark)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; personal data in its text is replaced."""
+    return pii.sanitised(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays, with its pieces in ``ids``."""
+    import public_tokenizers
+
+    return pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model")).withColumn("n_pieces", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_copies", near_copies),
+    ("benchmark_decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("sentencepiece", tokens),
+]
 
 #: The stages use measures that SQL cannot express; tests compare with a brute-force version.
 ORACLE_SQL = None

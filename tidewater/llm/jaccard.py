@@ -1,8 +1,8 @@
 """Documents whose sets of word n-grams have a Jaccard similarity of at least a threshold, and their components.
 
 1. Every text becomes a set of hashed n-grams. Equal sets are one set from here on, whatever the number of copies.
-2. Tiles are found by size bands. Two sets that link differ in at most H elements, with H fixed by their band; hashing
-   the elements into more than H parts leaves at least one part equal in both. Sets that share a part of a band are
+2. Ties are found by size class. Two sets that link differ in at most H elements, with H fixed by their class; hashing
+   the elements into more than H parts leaves at least one part equal in both. Sets that share a part of a class are
    tied, through the least set with that part, so a part of m sets gives m - 1 ties.
 3. Tied sets form clusters, cut into tiles of bounded size by size band. Pairs of tiles whose bands can link are compared:
    hashed bitmaps first (bits that differ bound the elements that differ from below, hence the overlap from above), then
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
@@ -30,8 +30,6 @@ from tidewater.session import materialise
 TILE = 256
 #: 64-bit words of a bitmap.
 BITMAP_WORDS = 16
-#: Parts beyond the differences allowed, so that empty parts need not count as equal.
-SPARE = 1
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,34 +77,38 @@ def set_ids(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return a.view(np.int64), b.view(np.int64)
 
 
-def size_bands(percent: int, largest: int) -> np.ndarray:
-    """First sizes of the bands: a set links only with sets of its own band and the two beside it."""
+def size_classes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of the smaller set's size: first sizes, parts, and how many parts are spare.
+
+    Sets of which the smaller has at most ``a`` elements link only if they differ in at most H of them, so of H + 1 + spare
+    parts at least 1 + spare are equal. Spare parts are as many as may well be empty in a set of the class.
+    """
     firsts = [1]
     while firsts[-1] <= largest:
-        firsts.append(100 * firsts[-1] // percent + 1)
-    return np.array(firsts, np.int64)
-
-
-def _differences(firsts: np.ndarray, percent: int, band: np.ndarray) -> np.ndarray:
-    """The most elements in which two linked sets differ, the smaller of them in ``band``."""
-    a = firsts[band + 1] - 1
-    b = 100 * a // percent
-    return (100 - percent) * (a + b) // (100 + percent)
+        firsts.append(max(firsts[-1] + 1, firsts[-1] * 3 // 2))
+    firsts.append(firsts[-1] * 2)
+    first = np.array(firsts, np.int64)
+    a = first[1:] - 1
+    differ = (100 - percent) * (a + 100 * a // percent) // (100 + percent)
+    spare = 1 + np.ceil(3 * (differ + 2) * np.exp(-first[:-1] / (differ + 2.0))).astype(np.int64)
+    return first, np.where(differ > 0, differ + 1 + spare, 0), spare  # without a difference only equal sets link
 
 
 def part_signatures(values: np.ndarray, bounds: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of all parts of each set, for the levels of its own band and the one below; and the set of each."""
+    """Signatures of all parts of each set, and the set of each: for the class of its size, and for the class below if it can
+    be the larger partner there."""
     size = np.diff(bounds)
-    firsts = size_bands(percent, int(size.max(initial=1)) + 1)
-    firsts = np.append(firsts, 100 * firsts[-1] // percent + 1)
-    band = np.searchsorted(firsts, size, "right") - 1
+    first, all_parts, all_spare = size_classes(percent, int(size.max(initial=1)) + 1)
+    own = np.searchsorted(first, size, "right") - 1
     row = rows_of(bounds)
     scrambled = mixed(values ^ np.uint64(0x2545F4914F6CDD1D))
     out, owners = [], []
-    for level in (band, band - 1):
-        use = (size > 0) & (level >= 0)
-        differ = np.where(use, _differences(firsts, percent, np.maximum(level, 0)), 0)
-        parts = np.where(use & (differ > 0), differ + 1 + SPARE, 0)  # without a difference only equal sets link
+    for below in (False, True):
+        level = np.maximum(own - below, 0)
+        use = size > 0
+        if below:
+            use &= (own > 0) & (size <= 100 * (first[own] - 1) // percent)
+        parts = np.where(use, all_parts[level], 0)
         base = np.cumsum(parts) - parts
         total = int(parts.sum())
         if not total:
@@ -120,7 +122,7 @@ def part_signatures(values: np.ndarray, bounds: np.ndarray, percent: int) -> tup
         sig = mixed(sums + mixed((level[owner].astype(np.uint64) << np.uint64(32)) + place) + held.astype(np.uint64))
         # equal empty parts say nothing: left out, unless more are empty than there are spare ones
         empty = held == 0
-        many = np.bincount(owner, weights=empty, minlength=len(size)) > SPARE
+        many = np.bincount(owner, weights=empty, minlength=len(size)) > all_spare[level]
         keep = ~empty | many[owner]
         out.append(sig[keep])
         owners.append(owner[keep])
@@ -255,24 +257,24 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
             for part in slices(batch, "text"):
                 values, bounds = shingle_sets(filled(part.column("text")), n)
                 a, b = set_ids(values, bounds)
-                sizes = np.diff(bounds)
+                yield pa.record_batch([part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(bounds)), pa.array(a), pa.array(b)], names=["doc_id", "text_hash", "n", "a", "b"])
+
+    def signatures(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                values, bounds = shingle_sets(filled(part.column("text")), n)
+                a, sizes = set_ids(values, bounds)[0], np.diff(bounds)
                 first = np.unique(a, return_index=True)[1]
                 first = first[sizes[first] > 0]
-                # signatures of each distinct set of the slice, beside its first document
                 some = values[ragged(bounds[first], sizes[first])]
                 sig, owner = part_signatures(some, np.concatenate(([0], np.cumsum(sizes[first]))), percent)
-                per = np.bincount(owner, minlength=len(first))
-                held = np.zeros(len(sizes), np.int64)
-                held[first] = per
-                sig = sig[np.argsort(first[owner], kind="stable")]
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(held))).astype(np.int32)), pa.array(sig))
-                yield pa.record_batch([part.column("doc_id"), part.column("text_hash"), pa.array(sizes), pa.array(a), pa.array(b), lists], names=["doc_id", "text_hash", "n", "a", "b", "sigs"])
-
-    made = materialise(texts.mapInArrow(sets, f"doc_id {kind}, text_hash long, n long, a long, b long, sigs array<long>"), "jaccard-sets")
-    table = made.select("doc_id", "text_hash", "n", "a", "b")
-    sigs = made.select(F.explode("sigs").alias("sig"), "a")
-    shared = sigs.groupBy("sig").agg(F.min("a").alias("least"), F.max("a").alias("most")).where("least <> most").select("sig", "least")
-    ties = sigs.join(shared, "sig").where("a <> least").select(F.col("a").alias("u"), F.col("least").alias("v")).distinct()
+                yield pa.record_batch([pa.array(sig), pa.array(a[first][owner])], names=["sig", "a"])
+
+    table = materialise(texts.mapInArrow(sets, f"doc_id {kind}, text_hash long, n long, a long, b long"), "jaccard-sets")
+    # each part is tied to the least set that has it
+    sigs = texts.select("text").mapInArrow(signatures, "sig long, a long")
+    least = F.min("a").over(Window.partitionBy("sig")).alias("v")
+    ties = sigs.select(F.col("a").alias("u"), least).where("u <> v").distinct()
     clusters = materialise(components(ties).select(F.col("node").alias("a"), F.col("root").alias("cluster")), "jaccard-clusters")
 
     chosen = table.join(clusters, "a").groupBy("a", "b", "cluster").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))

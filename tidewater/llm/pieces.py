@@ -29,7 +29,7 @@ from tidewater.session import materialise
 
 CHUNK = 4096
 #: Longer documents are cut into chunks.
-GIANT = 32_768
+GIANT = 65_536
 #: Weight units per unit of logarithm: sums stay exact in 32-bit floats too, which the tests compare with.
 SCALE = 64
 BLANK = "▁"
@@ -125,7 +125,6 @@ def vocabulary_at(path: str) -> Vocabulary:
             break
     if len(rest):
         raise ValueError("the vocabulary is too large for its table")
-    raw = [bytes([int(p[3:5], 16)]) if i in set(byte_ids.tolist()) else (p.replace(BLANK, " ").encode() if usable[i] else b"") for i, p in enumerate(pieces)] if False else []
     is_byte = np.zeros(len(pieces), bool)
     is_byte[byte_ids] = True
     raw = [bytes([int(p[3:5], 16)]) if is_byte[i] else p.replace(BLANK, " ").encode() if usable[i] else b"" for i, p in enumerate(pieces)]
@@ -197,7 +196,7 @@ def solve_units(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray
     bucket = np.ceil(np.log2(np.maximum(size, 8))).astype(int)
     for b in np.unique(bucket[size > 0]):
         members = np.flatnonzero((bucket == b) & (size > 0))
-        for part in np.array_split(members, max(1, int(size[members].sum() >> 20))):
+        for part in np.array_split(members, max(1, int(size[members].sum() >> 18))):
             part = part[np.argsort(-size[part], kind="stable")]
             n, most = size[part], int(size[part].max())
             at = ragged(first[part], n)
@@ -275,50 +274,77 @@ def decode_texts(v: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> list[str
     return [t[1:] if t.startswith(" ") else t for t in texts]
 
 
-def chunk_matrices(v: Vocabulary, texts: list[str], own: np.ndarray) -> np.ndarray:
-    """Max-plus transfer matrix of each chunk: [characters taken at the start, characters taken beyond the end]."""
-    return np.stack([_run(v, t, int(n), None)[0] for t, n in zip(texts, own)]) if len(texts) else np.zeros((0, v.longest, v.longest), np.int64)
-
+def _run(v: Vocabulary, texts: list[str], own: np.ndarray, entry: np.ndarray | None):
+    """Dynamic programs over chunks, side by side: ``own[c]`` characters, then those a last piece may take.
 
-def _run(v: Vocabulary, text: str, own: int, entry: np.ndarray | None):
-    """Dynamic program over a chunk of ``own`` characters followed by those a last piece may take.
-
-    Without ``entry``: for every start state apart, its matrix. With the best sums by start state: the sums by end state,
-    the back pointers and the arcs, all equal to those of one program over the whole document.
+    Without ``entry``: for every start state apart, so the chunk's matrix. With the best sums by start state (one row per
+    chunk): the sums by end state, the back pointers and the arcs, all equal to those of one program over the whole document.
     """
-    s = v.longest
-    points = _points(text)
-    n = min(len(points), own + s - 1)
-    arcs = _arcs(v, points[:n], n - np.arange(n))
-    weights = _weights(v, arcs)
-    weights[own:] = _NONE  # a piece that begins beyond the end belongs to the next chunk
-    start = np.where(np.eye(s, dtype=bool), 0, _NONE).astype(np.int64) if entry is None else entry.reshape(1, s)
-    rows = len(start)
-    best = np.full((own + 2 * s, rows), _NONE, np.int64)  # s cells in front of the chunk
-    back = np.zeros(own + s, np.int8)
-    # weights by end: cell [j, L - 1] is the piece of length L that ends before j
-    ends = np.full((own + s, s), _NONE, np.int64)
-    for length in range(1, s + 1):
-        m = min(n, own + s - length)
-        if m > 0:
-            ends[length : length + m, length - 1] = weights[:m, length - 1][: len(ends) - length]
-    for j in range(own + s):
-        value = best[j : j + s][::-1] + ends[j][:, None]  # lengths 1 .. s
-        if j < s:
-            initial = start[:, j]
-        else:
-            initial = None
+    s, k, most = v.longest, len(texts), int(own.max())
+    # by end: cell [j, c, L - 1] is the piece of length L that ends before position j of chunk c
+    ends = np.full((most + s, k, s), _NONE, np.int64)
+    all_arcs = []
+    for c, text in enumerate(texts):
+        points = _points(text)
+        n = min(len(points), int(own[c]) + s - 1)
+        arcs = _arcs(v, points[:n], n - np.arange(n))
+        weights = _weights(v, arcs)
+        weights[own[c] :] = _NONE  # a piece that begins beyond the end belongs to the next chunk
+        for length in range(1, s + 1):
+            ends[length : length + n, c, length - 1] = weights[: most + s - length, length - 1]
+        all_arcs.append(arcs)
+    start = np.where(np.eye(s, dtype=bool), 0, _NONE)[None].repeat(k, 0) if entry is None else entry.reshape(k, 1, s)
+    best = np.full((most + 2 * s, k, start.shape[1]), _NONE, np.int64)  # s cells in front of the chunk
+    back = np.zeros((most + s, k), np.int8)
+    for j in range(most + s):
+        value = best[j : j + s] + ends[j].T[::-1, :, None]  # lengths s .. 1
         top = value.max(axis=0)
         if entry is not None:
-            back[j] = s - int(np.argmax(value[::-1, 0]))
-        if initial is not None:
+            back[j] = s - value[:, :, 0].argmax(axis=0)
+        if j < s:
             # a path that comes in over the boundary has the longer last piece
-            if entry is not None and initial[0] > _NONE // 2 and initial[0] >= top[0]:
-                back[j] = 0
-            top = np.maximum(top, initial)
+            if entry is not None:
+                over = (start[:, 0, j] > _NONE // 2) & (start[:, 0, j] >= top[:, 0])
+                back[j, over] = 0
+            top = np.maximum(top, start[:, :, j])
         best[j + s] = np.maximum(top, _NONE)
-    end = best[own + s : own + 2 * s].T
-    return np.where(end > _NONE // 2, end, _NONE), back, arcs
+    end = np.stack([best[own[c] + s : own[c] + 2 * s, c].T for c in range(k)])
+    return np.where(end > _NONE // 2, end, _NONE), back, all_arcs
+
+
+def chunk_matrices(v: Vocabulary, texts: list[str], own: np.ndarray) -> np.ndarray:
+    """Max-plus transfer matrix of each chunk: [characters taken at the start, characters taken beyond the end]."""
+    return _run(v, texts, own, None)[0]
+
+
+def start_states(v: Vocabulary, texts: list[str], own: np.ndarray, entry: np.ndarray) -> list[list[int]]:
+    """For each chunk and number of characters taken beyond its end, those taken at its start on the best path (-1: none)."""
+    end, back, _ = _run(v, texts, own, entry)
+    out = []
+    for c in range(len(texts)):
+        came = []
+        for t in range(v.longest):
+            j = int(own[c]) + t
+            while end[c, 0, t] > _NONE // 2 and back[j, c] > 0:
+                j -= int(back[j, c])
+            came.append(j if end[c, 0, t] > _NONE // 2 else -1)
+        out.append(came)
+    return out
+
+
+def trace(v: Vocabulary, texts: list[str], own: np.ndarray, entry: np.ndarray, state: np.ndarray) -> list[np.ndarray]:
+    """For each chunk the ids of the pieces that begin in it, on the best path that takes ``state`` characters beyond its end."""
+    _, back, arcs = _run(v, texts, own, entry)
+    out = []
+    for c, text in enumerate(texts):
+        j, at, lengths = int(own[c] + state[c]), [], []
+        while back[j, c] > 0:
+            lengths.append(int(back[j, c]))
+            j -= lengths[-1]
+            at.append(j)
+        at, lengths = np.array(at[::-1], np.int64), np.array(lengths[::-1], np.int64)
+        out.append(_expand(v, arcs[c][at, lengths - 1], _points(text)[at])[0] if len(at) else np.zeros(0, np.int32))
+    return out
 
 
 def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -343,38 +369,15 @@ def scan(matrices: np.ndarray) -> np.ndarray:
     return out
 
 
-def trace(v: Vocabulary, text: str, own: int, entry: np.ndarray, state: int | None):
-    """With ``state``: ids of the pieces that begin in the chunk, on the best path that takes ``state`` characters beyond its
-    end. Without: for each such number, the characters taken at the start (-1: no path)."""
-    end, back, arcs = _run(v, text, own, entry)
+def _few(batches, n: int = 64):
+    """Rows of chunks, as many as are solved side by side."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, n):
+            yield batch.slice(at, n)
 
-    def path(t):
-        j, starts = own + t, []
-        while back[j] > 0:
-            j -= int(back[j])
-            starts.append((j, int(back[j + int(back[j])]) if False else 0))
-        return j, starts
 
-    if state is None:
-        out = []
-        for t in range(v.longest):
-            j = own + t
-            if end[0, t] <= _NONE // 2:
-                out.append(-1)
-                continue
-            while back[j] > 0:
-                j -= int(back[j])
-            out.append(j)
-        return out
-    j, at, lengths = own + state, [], []
-    while back[j] > 0:
-        lengths.append(int(back[j]))
-        j -= lengths[-1]
-        at.append(j)
-    at, lengths = np.array(at[::-1], np.int64), np.array(lengths[::-1], np.int64)
-    if not len(at):
-        return np.zeros(0, np.int32)
-    return _expand(v, arcs[at, lengths - 1], _points(text)[at])[0]
+def _entry(rows: pa.RecordBatch) -> np.ndarray:
+    return np.stack([np.frombuffer(e, np.int64) for e in rows.column("entry").to_pylist()])
 
 
 def _giant_ids(giants: DataFrame, path: str) -> DataFrame:
@@ -393,9 +396,9 @@ def _giant_ids(giants: DataFrame, path: str) -> DataFrame:
 
     def matrices(batches):
         v = vocabulary_at(path)
-        for batch in batches:
-            got = chunk_matrices(v, batch.column("piece").to_pylist(), batch.column("own").to_numpy())
-            yield pa.record_batch([batch.column("key"), batch.column("chunk"), pa.array([m.tobytes() for m in got], pa.binary())], names=["key", "chunk", "matrix"])
+        for rows in _few(batches):
+            got = chunk_matrices(v, rows.column("piece").to_pylist(), rows.column("own").to_numpy())
+            yield pa.record_batch([rows.column("key"), rows.column("chunk"), pa.array([m.tobytes() for m in got], pa.binary())], names=["key", "chunk", "matrix"])
 
     def entries(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("chunk")
@@ -411,10 +414,9 @@ def _giant_ids(giants: DataFrame, path: str) -> DataFrame:
 
     def maps(batches):
         v = vocabulary_at(path)
-        for batch in batches:
-            rows = zip(batch.column("piece").to_pylist(), batch.column("own").to_pylist(), batch.column("entry").to_pylist())
-            got = [trace(v, p, n, np.frombuffer(e, np.int64), None) for p, n, e in rows]
-            yield pa.record_batch([batch.column("key"), batch.column("chunk"), pa.array(got, pa.list_(pa.int32()))], names=["key", "chunk", "came_from"])
+        for rows in _few(batches):
+            got = start_states(v, rows.column("piece").to_pylist(), rows.column("own").to_numpy(), _entry(rows))
+            yield pa.record_batch([rows.column("key"), rows.column("chunk"), pa.array(got, pa.list_(pa.int32()))], names=["key", "chunk", "came_from"])
 
     def states(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("chunk", "descending")])
@@ -428,10 +430,9 @@ def _giant_ids(giants: DataFrame, path: str) -> DataFrame:
 
     def pieces(batches):
         v = vocabulary_at(path)
-        for batch in batches:
-            rows = zip(batch.column("piece").to_pylist(), batch.column("own").to_pylist(), batch.column("entry").to_pylist(), batch.column("state").to_pylist())
-            got = [trace(v, p, n, np.frombuffer(e, np.int64), t) for p, n, e, t in rows]
-            yield pa.record_batch([batch.column("key"), batch.column("chunk"), pa.array(got, pa.list_(pa.int32()))], names=["key", "chunk", "ids"])
+        for rows in _few(batches):
+            got = trace(v, rows.column("piece").to_pylist(), rows.column("own").to_numpy(), _entry(rows), rows.column("state").to_numpy())
+            yield pa.record_batch([rows.column("key"), rows.column("chunk"), pa.array(got, pa.list_(pa.int32()))], names=["key", "chunk", "ids"])
 
     traced = entered.join(ends, ["key", "chunk"]).mapInArrow(pieces, "key string, chunk long, ids array<int>")
     whole = traced.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))

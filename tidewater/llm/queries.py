@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard, pii, rules, token_counts, token_files
+from tidewater.llm import decontaminate, jaccard, pieces, pii, rules, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -66,3 +66,12 @@ def op6(t: Tables) -> DataFrame:
     found = pii.find_personal_data(t.documents.select("doc_id", "text"))
     counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]  # noqa: B023  called at once
     return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.concat("base", "terms")).alias("spans"))
+
+
+@query("op8_sentencepiece")
+def op8(t: Tables) -> DataFrame:
+    model = _tokenizer("piece_bpe_32k.model")
+    coded = pieces.decode(pieces.encode(t.documents.select("doc_id", "text"), model), model)
+    # the format writes a blank as "▁", so that character itself comes back as a blank
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.BLANK, " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), same.alias("round_trip"))
