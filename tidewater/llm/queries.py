@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard, pieces, pii, rules, token_counts, token_files
+from tidewater.llm import decontaminate, jaccard, licences, pieces, pii, rules, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -75,3 +75,8 @@ def op8(t: Tables) -> DataFrame:
     # the format writes a blank as "▁", so that character itself comes back as a blank
     same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), pieces.BLANK, " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), same.alias("round_trip"))
+
+
+@query("op3_license_scan", licences.oracle())
+def op3(t: Tables) -> DataFrame:
+    return licences.licence_matches(t.documents)
