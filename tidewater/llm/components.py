@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.session import materialise
+from tidewater.llm.scratch import materialise
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:

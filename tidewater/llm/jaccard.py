@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
 from tidewater.llm.texts import filled, mixed, ragged, rows_of, slices, word_hashes, words_of
-from tidewater.session import materialise
+from tidewater.llm.scratch import materialise
 
 #: Sets in a tile; a task holds two tiles.
 TILE = 256

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.texts import filled, ragged, slices
-from tidewater.session import materialise
+from tidewater.llm.scratch import materialise
 
 CHUNK = 4096
 #: Longer documents are cut into chunks.

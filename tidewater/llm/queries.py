@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard, licences, pieces, pii, rules, token_counts, token_files
+from tidewater.llm import decontaminate, jaccard, licences, lm, pieces, pii, rules, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -80,3 +80,9 @@ def op8(t: Tables) -> DataFrame:
 @query("op3_license_scan", licences.oracle())
 def op3(t: Tables) -> DataFrame:
     return licences.licence_matches(t.documents)
+
+
+@query("op1_lm_scoring")
+def op1(t: Tables) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lm.lm_scores(t.documents, held_out)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.texts import SLICE_BYTES, filled, rows_of, slices, text_bytes, words_of
-from tidewater.session import materialise
+from tidewater.llm.scratch import materialise
 
 #: Character classes by byte; bytes inside a UTF-8 sequence belong to no class (index 8), its first byte to "other".
 CLASSES = ("lower", "upper", "digit", "space", "stop", "punctuation", "symbol", "other")
