@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard, licences, lm, pieces, pii, rules, token_counts, token_files
+from tidewater.llm import decontaminate, jaccard, licences, lm, pieces, pii, rules, suffixes, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -86,3 +86,8 @@ def op3(t: Tables) -> DataFrame:
 def op1(t: Tables) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return lm.lm_scores(t.documents, held_out)
+
+
+@query("op7_suffix_dedup")
+def op7(t: Tables) -> DataFrame:
+    return suffixes.without_repeats(t.documents).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
