@@ -188,3 +188,24 @@ def test_normalise(spark, rows):
     assert rows(fact.join(dim, "cls"), *wide.columns) == rows(wide)
     with pytest.raises(ValueError):
         quality.normalise_split(wide.withColumn("capacity", F.col("cid")), ["cls"], ["capacity"])
+
+
+def test_salts_do_not_depend_on_the_order_of_arrival(spark, plan_of):
+    """A task that runs again may see its rows in another order; each must go where it went before."""
+    left = spark.range(2000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "k long, w string")
+    got = []
+    for shuffled in (left, left.repartition(3, "v"), left.orderBy(F.desc("v"))):
+        joined = joins.skew_join(shuffled, right, ["k"], "left", hot_rows=100, salts=4)
+        assert "monotonically_increasing_id" not in plan_of(joined)
+        got.append(sorted((r.k, r.v, r.w) for r in joined.collect() if r.w))
+    assert got[0] == got[1] == got[2] and len(got[0]) == 1334
+
+
+def test_positions_number_a_written_table(spark, plan_of):
+    from tidewater.operators import ordering
+
+    shuffled = spark.range(100).repartition(3, "id")
+    physical = plan_of(ordering.sort_rows(shuffled, (F.col("id") % 5).asc())).split("== Physical Plan ==")[1]
+    below = physical[physical.index("monotonically_increasing_id") :]
+    assert "FileScan parquet" in below and "hashpartitioning(id" not in below

@@ -71,3 +71,19 @@ def test_elementwise(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0])], "id long, a array<double>")
     out = matrix.combine_elements(matrix.map_elements(df, "a", {"sq": lambda v: v * v}), "a", "sq", lambda x, y: x + y, "s").first()
     assert (out.sq, out.s) == ([1.0, 4.0], [2.0, 6.0])
+
+
+@pytest.mark.parametrize("cells", [0, 10**9])
+def test_product_rows_do_not_depend_on_the_block(coords, cells):
+    sparse = np.array([[1, 0, 0], [0, 0, 2], [0, 3, 0]])
+    results = []
+    for block in (1, 7, 256):
+        df = matrix.matmul(coords(sparse).where("v <> 0"), coords(sparse).where("v <> 0"), block=block, broadcast_cells=cells)
+        results.append(sorted(tuple(r) for r in df.collect()))
+    assert results[0] == results[1] == results[2] == [(0, 0, 1.0), (1, 1, 6.0), (2, 2, 6.0)]
+
+
+def test_missing_vector_entry_is_an_error(spark, coords):
+    vector = spark.createDataFrame([(0, 1.0)], "i long, v double")
+    with pytest.raises(Exception, match="no entry"):
+        matrix.add_column_vector(coords(SMALL), vector).collect()

@@ -50,10 +50,14 @@ def test_csv_null_markers(spark, tmp_path, rows):
 
 
 def test_landing_tags_and_skips(spark, tmp_path, rows):
-    for name in ("YELLOW_2019.csv", "green.csv", "x_for_hire_vehicle.csv", "fhv2.csv", "bus.csv"):
-        (tmp_path / name).write_text("a\n1\n")
-    df = files.read_landing_tagged(spark, str(tmp_path))
-    assert rows(df.groupBy("source_tag").count()) == [("fhv", 2), ("green", 1), ("yellow", 1)]
+    folder = tmp_path / "with blank green"  # the folder's name sets no tag
+    folder.mkdir()
+    headers = {"YELLOW_2019.csv": "VendorID,PULocationID", "green.csv": "PULocationID,VendorID", "x_for_hire_vehicle.csv": "base", "fhv2.csv": "base", "bus.csv": "a"}
+    for name, header in headers.items():
+        (folder / name).write_text(header + "\n" + ",".join(c[:2] for c in header.split(",")) + "\n")
+    feeds = files.read_landing_tagged(spark, str(folder))
+    assert {tag: df.count() for tag, df in feeds.items()} == {"fhv": 2, "green": 1, "yellow": 1}
+    assert rows(feeds["yellow"]) == [("Ve", "PU", "yellow")] and rows(feeds["green"]) == [("PU", "Ve", "green")]
 
 
 def test_partitioned_sink_prunes(spark, tmp_path, plan_of):

@@ -287,6 +287,41 @@ def test_parse_timestamp(spark, text, expected):
 # ---- user functions ----
 
 
+def test_separators_are_literal_and_no_piece_is_lost(spark, rows):
+    df = spark.createDataFrame([(1, "ab|cd"), (2, "a|b|c|d|e"), (3, None), (4, "")], "k int, t string")
+    assert rows(apply.word_rows(df.where("k = 1"), "k", "t", "|")) == [(1, "ab"), (1, "cd")]
+    wide = apply.split_expand(df, "t", "|", "p")
+    assert wide.columns == ["k", "t", "p0", "p1", "p2", "p3", "p4"]
+    assert rows(wide.where("k = 2"), "p0", "p4") == [("a", "e")] and rows(wide.where("k = 3"), "p0") == [(None,)]
+
+
+def test_patterns_in_the_given_order(spark):
+    df = spark.createDataFrame([("03/04/2024", "20240304")], "a string, b string")
+    both = df.select(fn.parse_timestamp_multi(F.col("a"), ("MM/dd/yyyy", "d/M/yyyy")), fn.parse_timestamp_multi(F.col("b"), ("yyyyMMdd",)))
+    assert [str(v) for v in both.first()] == ["2024-03-04 00:00:00"] * 2
+
+
+def test_whole_numbers_with_a_point(spark):
+    df = spark.createDataFrame([("1.0",), ("2",), ("2.5",), ("x",), ("99999999999",), (None,)], "t string")
+    assert [r[0] for r in df.select(fn.parse_integer(F.col("t"))).collect()] == [1, 2, None, None, None, None]
+
+
+def test_pivot_takes_values_from_the_data(spark, rows):
+    df = spark.createDataFrame([("p", "new status", 1.0), ("p", "F", 2.0)], "k string, s string, v double")
+    assert reshape.pivot(df, ["k"], "s", "v", "sum").columns == ["k", "F", "new status"]
+    spark.conf.set("spark.sql.pivotMaxValues", 1)
+    try:
+        with pytest.raises(ValueError):
+            reshape.pivot(df, ["k"], "s", "v", "sum")
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_separator_with_a_quote(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (1, "b")], "k int, s string")
+    assert rows(aggregates.string_agg_ordered(df, ["k"], "s", "s", sep="'\\")) == [(1, "a'\\b")]
+
+
 def test_row_and_group_functions(spark, rows):
     df = spark.createDataFrame([("s", 2.0), ("v", 3.0), ("o", 4.0), (None, 5.0)], "g string, v double")
     assert rows(apply.row_apply(df, lambda p: p.v + 1, "w", "double"), "w") == [(3.0,), (4.0,), (5.0,), (6.0,)]

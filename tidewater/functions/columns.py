@@ -13,18 +13,16 @@ KM_PER_MILE = 1.60934
 
 
 def parse_timestamp_multi(text: Column, patterns: tuple[str, ...] = TIMESTAMP_PATTERNS) -> Column:
-    """The time in any of the patterns, else NULL.
+    """The time by the first of the patterns that reads the text, in the given order; else NULL.
 
-    A failed parse is slow, so a pattern is tried only on text that holds its date separator, and a short
-    pattern comes before the padded one, whose texts it reads to the same time.
+    A failed parse is slow, so a pattern with a date separator is tried only on text that holds it.
     """
-    def separator(pattern: str) -> str:
-        return next(ch for ch in pattern if not ch.isalpha())
+    def tried(pattern: str) -> Column:
+        separator = next((ch for ch in pattern if not ch.isalpha()), None)
+        parsed = F.try_to_timestamp(text, F.lit(pattern))
+        return parsed if separator is None else F.when(F.contains(text, F.lit(separator)), parsed)
 
-    tried = sorted(patterns, key=len)
-    return F.coalesce(
-        *[F.when(F.contains(text, F.lit(separator(p))), F.try_to_timestamp(text, F.lit(p))) for p in tried]
-    )
+    return F.coalesce(*[tried(p) for p in patterns])
 
 
 def parse_number_grouped(text: Column) -> Column:
@@ -32,6 +30,12 @@ def parse_number_grouped(text: Column) -> Column:
     return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
 
 
+def parse_integer(text: Column) -> Column:
+    """``2`` and ``2.0`` to 2; text that is no whole number in range becomes NULL."""
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int")))
+
+
 def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
@@ -65,9 +69,17 @@ def composite_code(name: Column, year: Column, prefix: str = "ID-") -> Column:
     return F.concat(F.lit(prefix), F.replace(F.upper(name), F.lit(" "), F.lit("_")), F.lit("-"), year.cast("string"))
 
 
+def split_literal(text: Column, sep: str, limit: int = -1) -> Column:
+    """Pieces between literal separators."""
+    return F.split(text, "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E", limit)
+
+
 def split_columns(text: Column, sep: str, width: int, names: list[str], limit: int = -1) -> list[Column]:
-    """Words as ``width`` columns, short rows padded with NULL; ``limit`` bounds the pieces as in ``split``."""
-    pieces = F.split(text, sep, limit)
+    """Pieces as ``width`` columns, short rows padded with NULL; ``limit`` bounds the pieces as in ``split``.
+
+    ``sep`` is literal text. Pieces beyond ``width`` have no column: give a ``limit``, or let ``split_expand`` find the width.
+    """
+    pieces = split_literal(text, sep, limit)
     return [F.get(pieces, F.lit(i)).alias(names[i]) for i in range(width)]
 
 

@@ -28,19 +28,23 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 def string_agg_ordered(
     df: DataFrame, keys: list[str], column: str, order_by: str, sep: str = ", ", name: str = "joined",
-    max_chars: int = 10_000_000,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Ordered concatenation per group.
 
-    A group becomes one string in one row, so its length is checked first; a group beyond ``max_chars``
-    is an error and never cut.
+    A group becomes one string in one row by definition. With ``max_chars`` the lengths are checked first, and a
+    longer group is an error; nothing is cut.
     """
-    longest = (
-        df.groupBy(*keys).agg(F.sum(F.length(column) + len(sep)).alias("chars")).agg(F.max("chars")).first()[0] or 0
-    )
-    if longest > max_chars:
-        raise GroupTooLargeError(f"a group would need {longest} characters, {max_chars} are allowed")
-    joined = F.expr(f"listagg(`{column}`, '{sep}') WITHIN GROUP (ORDER BY `{order_by}`)")
+    if max_chars is not None:
+        sizes = df.groupBy(*keys).agg(F.sum(F.length(column) + len(sep)).alias("chars"))
+        if (longest := sizes.agg(F.max("chars")).first()[0] or 0) > max_chars:
+            raise GroupTooLargeError(f"a group would need {longest} characters, {max_chars} are allowed")
+
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
+    literal = "'" + sep.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    joined = F.expr(f"listagg({quoted(column)}, {literal}) WITHIN GROUP (ORDER BY {quoted(order_by)})")
     return df.groupBy(*keys).agg(joined.alias(name))
 
 

@@ -8,8 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.functions.columns import split_literal
 from tidewater.operators.aggregates import GroupTooLargeError
-from tidewater.operators.ordering import GROUP_BOUND, largest_group
+from tidewater.operators.ordering import largest_group
 
 
 def row_apply(df: DataFrame, function: Callable[[pd.DataFrame], pd.Series], name: str, type_name: str) -> DataFrame:
@@ -43,15 +44,30 @@ def group_apply_rowwise(df: DataFrame, key: str, functions: dict[object, Callabl
 
 def group_apply(
     df: DataFrame, keys: list[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
-    group_bound: int = GROUP_BOUND,
+    group_bound: int | None = None,
 ) -> DataFrame:
-    """A function that needs its whole group at once; groups beyond the bound are an error, never cut."""
-    size = largest_group(df, keys)
-    if size > group_bound:
+    """A function that needs its whole group at once: a group is one task by definition.
+
+    With ``group_bound`` the groups are counted first, and a larger one is an error; nothing is cut.
+    """
+    if group_bound is not None and (size := largest_group(df, keys)) > group_bound:
         raise GroupTooLargeError(f"the largest group has {size} rows, {group_bound} are allowed")
     return df.groupBy(*keys).applyInPandas(function, schema)
 
 
 def word_rows(df: DataFrame, key: str, text: str, sep: str = " ") -> DataFrame:
-    """Words to rows, key kept."""
-    return df.select(key, F.explode(F.split(text, sep)).alias("word"))
+    """Words to rows, key kept; ``sep`` is literal text."""
+    return df.select(key, F.explode(split_literal(F.col(text), sep)).alias("word"))
+
+
+def split_expand(df: DataFrame, text: str, sep: str, prefix: str) -> DataFrame:
+    """The pieces of ``text`` as columns ``prefix0``, ``prefix1``, ...: as many as the longest row has, so none is lost.
+
+    One aggregate finds the width. It is a schema, so more columns than ``spark.sql.pivotMaxValues`` are an error.
+    """
+    pieces = split_literal(F.col(text), sep)
+    width = df.agg(F.max(F.size(pieces))).first()[0] or 0
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    if width > most:
+        raise ValueError(f"{text} has up to {width} pieces, too many to become columns ({most})")
+    return df.select("*", *[F.get(pieces, F.lit(i)).alias(f"{prefix}{i}") for i in range(width)])

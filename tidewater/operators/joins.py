@@ -47,6 +47,7 @@ def skew_join(
     number, and (key, number) becomes the join key. A hot key exists on its own side, so a repeated row of
     the other side has a partner under some number; its copies without one are by-products and removed.
     NULL keys match nothing and are spread by the same numbers. Without hot keys this is the plain join.
+    The number is a hash of the row's columns, so rows that are equal in all of them stay in one task.
     """
     if how not in ("inner", "left", "right", "full"):
         raise ValueError(f"unsupported join type {how}")
@@ -62,11 +63,12 @@ def skew_join(
     has_null = F.lit(False)
     for key in on:
         has_null = has_null | F.col(key).isNull()
-    number = (F.monotonically_increasing_id() % salts).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
 
     def salted(df: DataFrame, side: str) -> DataFrame:
         other = "right" if side == "left" else "left"
+        # from the row's content: a task that runs again sends each row where it went before
+        number = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]), F.lit(salts)).cast("int")
         own = F.when((F.col("__hot") == side) | has_null, number).otherwise(F.lit(0))
         if any(s[-1] == other for s in sides):
             repeated = F.when(F.col("__hot") == other, every).otherwise(F.array(own))

@@ -138,28 +138,33 @@ def _multiply(block: int):
             for r in pdf.itertuples(index=False):
                 rows, columns = used(r.a_p)[0], used(r.b_p)[1]
                 product = (dense(r.a_p, r.a_v) @ dense(r.b_p, r.b_v))[np.ix_(rows, columns)]
-                yield pd.DataFrame(
-                    {
-                        "i": np.repeat(rows + r.bi * block, len(columns)),
-                        "j": np.tile(columns + r.bj * block, len(rows)),
-                        "v": product.ravel(),
-                    }
-                )
+                # only cells with a term: the rows do not depend on the block size
+                terms = (dense(r.a_p, np.ones(len(r.a_p))) @ dense(r.b_p, np.ones(len(r.b_p))))[np.ix_(rows, columns)] > 0
+                i, j = np.nonzero(terms)
+                yield pd.DataFrame({"i": rows[i] + r.bi * block, "j": columns[j] + r.bj * block, "v": product[i, j]})
 
     return run
 
 
 def matmul(
-    a: DataFrame, b: DataFrame, block: int = BLOCK, broadcast_cells: int = BROADCAST_CELLS, check: bool = True
+    a: DataFrame,
+    b: DataFrame,
+    block: int = BLOCK,
+    broadcast_cells: int = BROADCAST_CELLS,
+    check: bool = True,
+    shapes: tuple[tuple[int, int], tuple[int, int]] | None = None,
 ) -> DataFrame:
     """A (n x k) times B (k x m), both as coordinate rows with one row per cell; the inner sizes must agree.
 
+    Sizes come from the largest stored index unless ``shapes`` gives them, as for matrices with empty last rows or
+    columns. The result has a row for each cell with at least one product term, whatever the block size.
+
     A right operand of bounded, counted size goes to every executor, so A is not shuffled by the inner
     index at all. Otherwise each block is sent to the output blocks it takes part in and the pairs meet
     by (output row block, output column block, inner block), which spreads them evenly even when the inner
     dimension is short.
     """
-    (n, inner_a), (inner_b, m) = shape(a), shape(b)
+    (n, inner_a), (inner_b, m) = shapes or (shape(a), shape(b))
     if check and inner_a != inner_b:
         raise ValueError(f"inner sizes differ: {n}x{inner_a} and {inner_b}x{m}")
     left, right = _blocks(a, "bi", "bk", "a", block), _blocks(b, "bk", "bj", "b", block)
@@ -175,9 +180,11 @@ def matmul(
 
 
 def add_column_vector(coords: DataFrame, vector: DataFrame) -> DataFrame:
-    """Adds ``vector`` (i, v) to each column of the matrix."""
-    other = vector.select("i", F.col("v").alias("__add"))
-    return coords.join(other, "i").select("i", "j", (F.col("v") + F.col("__add")).alias("v"))
+    """Adds ``vector`` (i, v) to each column of the matrix; a matrix row without an entry is an error."""
+    other = vector.select("i", F.col("v").alias("__add"), F.lit(True).alias("__there"))
+    joined = coords.join(other, "i", "left")
+    missing = F.assert_true(F.col("__there").isNotNull(), F.concat(F.lit("the vector has no entry "), F.col("i").cast("string")))
+    return joined.select("i", "j", F.when(missing.isNull(), F.col("v") + F.col("__add")).alias("v"))
 
 
 def stack_horizontal(left: DataFrame, right: DataFrame, left_columns: int) -> DataFrame:

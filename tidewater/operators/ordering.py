@@ -7,6 +7,7 @@ small row per partition, so nothing global runs in one task over the data itself
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,16 @@ def _sort_column(name: str, descending: bool) -> Column:
     return F.col(name).desc_nulls_last() if descending else F.col(name).asc_nulls_first()
 
 
+def scan_ordered(df: DataFrame) -> DataFrame:
+    """``df`` with rows in an order that a repeated task sees again, so that its rows can be numbered by position.
+
+    Below a shuffle the order is that of arriving blocks and may change; such a plan is written first and numbered as
+    it is read. A plan of scans and projections is left as it is.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return materialise(df, "ordered") if re.search("Exchange|InMemory|ExistingRDD", plan) else df
+
+
 def _laid_out(df: DataFrame, order_by: list[str], descending: bool = False) -> DataFrame:
     """``df`` range-partitioned and sorted, with partition and row numbers; not yet materialised.
 
@@ -44,7 +55,7 @@ def _laid_out(df: DataFrame, order_by: list[str], descending: bool = False) -> D
     keys = [_sort_column(c, descending) for c in [*order_by, TIE]]
     number = F.monotonically_increasing_id()
     return (
-        df.withColumn(TIE, F.monotonically_increasing_id())
+        scan_ordered(df).withColumn(TIE, F.monotonically_increasing_id())
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
         .select(
@@ -62,7 +73,7 @@ def range_layout(df: DataFrame, order_by: list[str], descending: bool = False) -
 
 def sort_rows(df: DataFrame, *keys: Column) -> DataFrame:
     """Stable global sort. The scan position as last key lets rows with equal keys fall into several tasks."""
-    return df.withColumn(TIE, F.monotonically_increasing_id()).orderBy(*keys, TIE).drop(TIE)
+    return scan_ordered(df).withColumn(TIE, F.monotonically_increasing_id()).orderBy(*keys, TIE).drop(TIE)
 
 
 def with_positions(

@@ -27,6 +27,13 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
+def cast_with_rejects(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(rows with the columns cast, values that do not fit as NULL; per column how many were present but did not fit)."""
+    cast = df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    lost = [F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()).alias(c) for c, kind in types.items()]
+    return cast, df.agg(*lost).unpivot([], list(types), "column_name", "n_rejected")
+
+
 def apply_per_column(df: DataFrame, functions: dict[str, object]) -> DataFrame:
     """A different expression for each named column; a function may be a Column -> Column callable."""
     replaced: list[Column] = []

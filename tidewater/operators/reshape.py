@@ -10,15 +10,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FUNCTIONS = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "mean": F.avg}
-MAX_PIVOT_COLUMNS = 10_000
 
 
 def pivot_values(df: DataFrame, column: str) -> list:
-    """Distinct non-NULL values of the future columns, sorted; too many for a schema is an error."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()
-    if len(rows) > MAX_PIVOT_COLUMNS:
-        raise ValueError(f"{column} has more than {MAX_PIVOT_COLUMNS} values, too many to become columns")
-    return sorted(r[0] for r in rows)
+    """Distinct non-NULL values of the future columns, sorted. They become a schema, so more of them than the session's
+    ``spark.sql.pivotMaxValues`` are an error; they are counted before they are fetched."""
+    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    if (n := values.count()) > most:
+        raise ValueError(f"{column} has {n} values, too many to become columns ({most})")
+    return sorted(r[0] for r in values.collect())
 
 
 def pivot(df: DataFrame, index: list[str], columns: str, values: str, function: str, names: list | None = None) -> DataFrame:

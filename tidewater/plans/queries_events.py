@@ -89,15 +89,23 @@ def _(t):
 
 @query("stream_revenue", revenue_sql("currency", "'purchase'"))
 def _(t):
+    """Four files, one to a micro-batch: the sums of a key meet over several batches."""
     landing = t.scratch("event-stream-in")
-    event_lines(t).write.text(landing)
-    return rounded(stream_revenue(t.spark, landing, t.scratch("event-stream-out"), "currency", "purchase"), 2)
+    event_lines(t).repartition(4).write.text(landing)
+    return rounded(stream_revenue(t.spark, landing, t.scratch("event-stream-out"), "currency", "purchase", max_files=1), 2)
 
 
-@query("stream_batch_counts", "SELECT count(*) AS total_count FROM events WHERE event_type = 'purchase'")
+@query(
+    "stream_batch_counts",
+    "SELECT CAST(event_id % 4 AS BIGINT) AS file, count(*) AS n_events FROM events WHERE event_type = 'purchase' GROUP BY 1",
+)
 def _(t):
-    landing = t.scratch("event-batches-in")
-    event_lines(t).write.text(landing)
-    files = t.spark.sparkContext.defaultParallelism
-    counts = stream_batch_counts(t.spark, landing, t.scratch("event-batches-out"), "purchase", max_files=files)
-    return counts.agg(F.sum("n_events").alias("total_count"))
+    """Four files cut by the event's number, one to a batch: a batch's count names its file."""
+    landing, out = t.scratch("event-batches-in"), t.scratch("event-batches-out")
+    lines = event_lines(t)
+    for k in range(4):
+        # each file arrives after the last was taken, so the batch number is the file's
+        part = lines.where(F.get_json_object("value", "$.event_id").cast("long") % 4 == k)
+        part.coalesce(1).write.mode("append").text(landing)
+        counts = stream_batch_counts(t.spark, landing, out, "purchase", max_files=1)
+    return counts.select(F.col("batch_id").cast("long").alias("file"), "n_events")

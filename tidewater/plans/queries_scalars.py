@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewater.functions import columns as fn
-from tidewater.operators.apply import group_apply_rowwise, row_apply, word_rows
+from tidewater.operators.apply import group_apply, group_apply_rowwise, row_apply, split_expand, word_rows
 from tidewater.plans.registry import query, rounded
 
 
@@ -137,11 +138,16 @@ def _(t):
 
 @query(
     "split_expand",
-    """SELECT p_partkey, split_part(p_name, ' ', 1) AS w0, nullif(split_part(p_name, ' ', 2), '') AS w1,
-    nullif(split_part(p_name, ' ', 3), '') AS w2 FROM part""",
+    """SELECT p_partkey, codes, p_brand AS w0, CASE WHEN p_size % 4 >= 1 THEN p_type END AS w1,
+    CASE WHEN p_size % 4 >= 2 THEN CAST(p_size AS VARCHAR) END AS w2, CASE WHEN p_size % 4 = 3 THEN 'x' END AS w3
+    FROM (SELECT *, concat_ws('|', p_brand, CASE WHEN p_size % 4 >= 1 THEN p_type END, CASE WHEN p_size % 4 >= 2 THEN CAST(p_size AS VARCHAR) END,
+      CASE WHEN p_size % 4 = 3 THEN 'x' END) AS codes FROM part)""",
 )
 def _(t):
-    return t.part.select("p_partkey", *fn.split_columns(F.col("p_name"), " ", 3, ["w0", "w1", "w2"]))
+    """One to four pieces a row; the widest row decides."""
+    n = F.col("p_size") % 4
+    codes = F.concat_ws("|", "p_brand", F.when(n >= 1, F.col("p_type")), F.when(n >= 2, F.col("p_size").cast("string")), F.when(n == 3, "x"))
+    return split_expand(t.part.select("p_partkey", codes.alias("codes")), "codes", "|", "w")
 
 
 @query(
@@ -176,3 +182,17 @@ def _(t):
         "p_type",
         {"ECONOMY": lambda g: g.assign(amount=g.amount**2), "SMALL": lambda g: g.assign(amount=g.amount**3)},
     )
+
+
+@query(
+    "udf_whole_group",
+    "SELECT p_partkey, p_type, round(p_retailprice - avg(p_retailprice) OVER (PARTITION BY p_type), 4) AS above_mean FROM part",
+)
+def _(t):
+    """A function that needs all rows of its group: the distance to the group's mean."""
+
+    def centre(group: pd.DataFrame) -> pd.DataFrame:
+        return group.assign(above_mean=group.p_retailprice - group.p_retailprice.mean())[["p_partkey", "p_type", "above_mean"]]
+
+    rows = t.part.select("p_partkey", "p_type", "p_retailprice")
+    return rounded(group_apply(rows, ["p_type"], centre, "p_partkey long, p_type string, above_mean double"), 4)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,7 +61,7 @@ def _(t):
 )
 def _(t):
     landing = t.scratch("lineitem-csv")
-    files.write_csv(t.lineitem, landing)
+    files.write_csv(t.lineitem.repartition(4, "l_orderkey"), landing)
     rows = files.read_csv_text(t.spark, f"{landing}/*.csv")
     return rows.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n_rows"),
@@ -95,17 +98,40 @@ def _(t):
 
 @query(
     "tag_source_by_file_name",
-    """SELECT CASE l_returnflag WHEN 'A' THEN 'yellow' WHEN 'R' THEN 'green' ELSE 'fhv' END AS source_tag,
-    count(*) AS n_rows FROM lineitem WHERE l_linenumber <> 7 GROUP BY 1""",
+    """SELECT CASE l_returnflag WHEN 'A' THEN 'yellow' WHEN 'R' THEN 'green' ELSE 'fhv' END AS source_tag, count(*) AS n_rows,
+    CAST(sum(l_partkey) AS BIGINT) AS pickup_sum, CAST(sum(l_suppkey) AS BIGINT) AS vendor_sum FROM lineitem WHERE l_linenumber <> 7 GROUP BY 1""",
 )
 def _(t):
+    """Three feeds with different headers, and a file of none of them, in one folder."""
     landing = t.scratch("mixed-landing")
-    names = {"A": "Yellow_tripdata.csv", "R": "2024_green.csv", "N": "For_Hire_Vehicle.csv"}
-    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag")
-    for flag, name in names.items():
-        files.write_csv(rows.filter((F.col("l_returnflag") == flag) & (F.col("l_linenumber") != 7)), f"{landing}/{name}")
-    files.write_csv(rows.filter("l_linenumber = 7"), f"{landing}/bus.csv")
-    return files.read_landing_tagged(t.spark, landing).groupBy("source_tag").agg(F.count("*").alias("n_rows"))
+    pickup, vendor = F.col("l_partkey"), F.col("l_suppkey")
+    headers = {
+        "A": ("Yellow_tripdata.csv", [vendor.alias("VendorID"), pickup.alias("PULocationID")]),
+        "R": ("2024_green.csv", [pickup.alias("PULocationID"), vendor.alias("VendorID")]),
+        "N": ("For_Hire_Vehicle.csv", [pickup.alias("PUlocationID"), F.lit("x").alias("SR_Flag"), vendor.alias("dispatching_base_num")]),
+    }
+    for flag, (name, columns) in headers.items():
+        rows = t.lineitem.filter((F.col("l_returnflag") == flag) & (F.col("l_linenumber") != 7)).select(*columns)
+        rows.write.option("header", True).csv(f"{landing}/parts/{flag}")
+        _rename_parts(t.spark, f"{landing}/parts/{flag}", f"{landing}/{name}")
+    files.write_csv(t.lineitem.filter("l_linenumber = 7").select("l_orderkey"), f"{landing}/other")
+    totals = []
+    for feed in files.read_landing_tagged(t.spark, landing).values():
+        names = {c.lower(): c for c in feed.columns}
+        base = F.col(names.get("vendorid") or names["dispatching_base_num"]).cast("long")
+        totals.append(feed.select("source_tag", F.col(names["pulocationid"]).cast("long").alias("p"), base.alias("v")))
+    both = reduce(DataFrame.unionByName, totals).groupBy("source_tag")
+    return both.agg(F.count("*").alias("n_rows"), F.sum("p").alias("pickup_sum"), F.sum("v").alias("vendor_sum"))
+
+
+def _rename_parts(spark, folder: str, name: str) -> None:
+    """Moves the part files of ``folder`` beside it under ``name`` with a number: files as they arrive in a landing folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(str(s.getPath()) for s in fs.listStatus(path) if s.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        stem, _, ending = name.rpartition(".")
+        fs.rename(spark._jvm.org.apache.hadoop.fs.Path(part), spark._jvm.org.apache.hadoop.fs.Path(f"{stem}_{i}.{ending}"))
 
 
 @query("sink_csv_header", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.columns import parse_number_grouped, parse_timestamp_multi
-from tidewater.operators.project import add_missing_columns, rename_by_map
+from tidewater.operators.project import add_missing_columns, cast_with_rejects, rename_by_map
 from tidewater.plans import trips as job
 from tidewater.plans.registry import query, rounded
 from tidewater.sources.files import read_csv_text, write_csv, write_parquet
@@ -38,8 +40,9 @@ analysed AS (SELECT * FROM clean WHERE year IN (1996, 1997, 1998))
 """
 
 
-def text_feeds(t: Tables) -> dict[str, DataFrame]:
-    """Three feeds of text columns under their own names; the date format changes from row to row."""
+def text_feeds(t: Tables, spoilt: dict | None = None) -> dict[str, DataFrame]:
+    """Three feeds of text columns under their own names; the date format changes from row to row. ``spoilt`` has texts that
+    take the place of a column's where they are not NULL."""
     n = F.col("l_linenumber")
     drop = F.col("l_shipdate") + F.make_dt_interval(hours=F.when(n == 7, F.lit(-1)).otherwise(n))
 
@@ -70,18 +73,21 @@ def text_feeds(t: Tables) -> dict[str, DataFrame]:
     for feed, flag in FEED_FLAG.items():
         own = {new: old for old, new in job.FEED_NAMES[feed].items()}
         columns = shared if feed == "fhv" else {**shared, "rate_code_id": n, **fares}
+        columns = {name: F.coalesce((spoilt or {}).get(name, F.lit(None)), c.cast("string")) for name, c in columns.items()}
         feeds[feed] = t.lineitem.filter(F.col("l_returnflag") == flag).select(
             *[c.cast("string").alias(own.get(name, name)) for name, c in columns.items()]
         )
     return feeds
 
 
-_written: dict[tuple[str, str, str], str] = {}
+_written: dict[tuple, str] = {}
 
 
 def _once(t: Tables, label: str, write) -> str:
-    """Folder that ``write`` filled, once per session and input."""
-    key = (t.spark.sparkContext.applicationId, t.folder, label)
+    """Folder that ``write`` filled, once per session and state of the input's files."""
+    files = t.lineitem.select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").distinct()
+    state = tuple(sorted((r[0], str(r[1]), r[2]) for r in files.collect()))
+    key = (t.spark.sparkContext.applicationId, state, label)
     if key not in _written:
         path = t.scratch(label)
         write(path)
@@ -110,27 +116,62 @@ def analysed(t: Tables) -> DataFrame:
     return job.in_years(job.split_valid_invalid(conformed(t))[0], YEARS)
 
 
+def each_feed(t: Tables, f) -> DataFrame:
+    """``f(feed, name)`` of the three feeds, one after the other."""
+    return reduce(DataFrame.unionByName, [f(feed, name).withColumn("feed", F.lit(name)) for name, feed in landed_feeds(t).items()])
+
+
 @query(
     "rename_by_map",
     "SELECT CAST(l_suppkey AS VARCHAR) AS vendor_id, CAST(l_partkey AS VARCHAR) AS pickup_location_id, "
-    "CAST(l_suppkey AS VARCHAR) AS dropoff_location_id FROM lineitem WHERE l_returnflag = 'N'",
+    "CAST(l_suppkey AS VARCHAR) AS dropoff_location_id, "
+    "CASE l_returnflag WHEN 'A' THEN 'yellow' WHEN 'R' THEN 'green' ELSE 'fhv' END AS feed FROM lineitem",
 )
 def _(t):
-    return rename_by_map(landed_feeds(t)["fhv"], job.FEED_NAMES["fhv"]).select(
-        "vendor_id", "pickup_location_id", "dropoff_location_id"
-    )
+    names = ("vendor_id", "pickup_location_id", "dropoff_location_id")
+    return each_feed(t, lambda feed, name: rename_by_map(feed, job.FEED_NAMES[name]).select(*names))
 
 
 @query(
     "add_missing_columns",
-    "SELECT CAST(l_suppkey AS VARCHAR) AS dispatching_base_num, CAST(NULL AS DOUBLE) AS fare_amount, "
-    "CAST(NULL AS INTEGER) AS passenger_count FROM lineitem WHERE l_returnflag = 'N'",
+    """SELECT CASE WHEN l_returnflag = 'N' THEN CAST(l_suppkey AS VARCHAR) END AS dispatching_base_num,
+    CASE WHEN l_returnflag <> 'N' THEN CAST(l_suppkey AS VARCHAR) END AS VendorID,
+    CASE WHEN l_returnflag <> 'N' THEN CAST(l_linenumber AS VARCHAR) END AS passenger_count, CAST(NULL AS DOUBLE) AS surcharge,
+    CASE l_returnflag WHEN 'A' THEN 'yellow' WHEN 'R' THEN 'green' ELSE 'fhv' END AS feed FROM lineitem""",
 )
 def _(t):
-    return add_missing_columns(
-        landed_feeds(t)["fhv"].select("dispatching_base_num"),
-        {"dispatching_base_num": "string", "fare_amount": "double", "passenger_count": "int"},
-    )
+    wanted = {"dispatching_base_num": "string", "VendorID": "string", "passenger_count": "string", "surcharge": "double"}
+    return each_feed(t, lambda feed, _: add_missing_columns(feed.select(*[c for c in feed.columns if c in wanted]), wanted).select(*wanted))
+
+
+@query(
+    "parse_rejects",
+    """WITH bad AS (SELECT CASE l_returnflag WHEN 'A' THEN 'yellow' WHEN 'R' THEN 'green' ELSE 'fhv' END AS taxi_type, l_linenumber AS n FROM lineitem)
+    SELECT taxi_type, column_name, CAST(sum(CASE WHEN column_name = 'pickup_datetime' AND n = 5 THEN 1
+      WHEN column_name = 'passenger_count' AND n = 6 THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected
+    FROM bad, (SELECT unnest(['pickup_datetime', 'dropoff_datetime', 'passenger_count', 'payment_type', 'trip_distance', 'fare_amount',
+      'tip_amount', 'total_amount']) AS column_name) WHERE taxi_type <> 'fhv' OR column_name IN ('pickup_datetime', 'dropoff_datetime')
+    GROUP BY 1, 2""",
+)
+def _(t):
+    """Texts that do not parse, per feed and column; ``6.5`` passengers are no whole number, ``2.0`` would be."""
+    n = F.col("l_linenumber")
+    passengers = F.when(n == 6, "6.5").otherwise(F.concat(n.cast("string"), F.lit(".0")))
+    feeds = text_feeds(t, {"pickup_datetime": F.when(n == 5, "no date"), "passenger_count": passengers})
+    reports = [job.parse_rejects(feed, name).select(F.lit(name).alias("taxi_type"), "*") for name, feed in feeds.items()]
+    return reduce(DataFrame.unionByName, reports)
+
+
+@query(
+    "cast_with_rejects",
+    """SELECT count(*) AS n_rows, CAST(sum(CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected,
+    CAST(sum(CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END) AS BIGINT) AS key_sum FROM orders""",
+)
+def _(t):
+    text = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("#"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_custkey").cast("string"))
+    rows, rejects = cast_with_rejects(t.orders.select(text.alias("custkey")), {"custkey": "bigint"})
+    sums = rows.agg(F.count("*").alias("n_rows"), F.sum("custkey").alias("key_sum"))
+    return sums.crossJoin(F.broadcast(rejects.select("n_rejected"))).select("n_rows", "n_rejected", "key_sum")
 
 
 @query(
@@ -307,27 +348,59 @@ def _(t):
 @query(
     "sink_parquet_partitioned",
     TRIPS_SQL
-    + """SELECT month, count(*) AS n_trips, round(sum(fare_amount), 2) AS fares FROM clean
-    WHERE year = 1996 AND taxi_type = 'yellow' GROUP BY month""",
+    + """SELECT year, taxi_type, month, count(*) AS n_trips, round(sum(fare_amount), 2) AS fares FROM clean
+    GROUP BY year, taxi_type, month""",
 )
 def _(t):
     out = t.scratch("trips-partitioned")
     write_parquet(job.split_valid_invalid(conformed(t))[0], out, ("year", "taxi_type"))
-    part = t.spark.read.parquet(out).filter((F.col("year") == 1996) & (F.col("taxi_type") == "yellow"))
-    return part.groupBy("month").agg(F.count("*").alias("n_trips"), F.round(F.sum("fare_amount"), 2).alias("fares"))
-
-
-@query(
-    "trip_job_reports",
-    TRIPS_SQL
-    + """SELECT 'by_year' AS report, CAST(year AS VARCHAR) AS label, count(*) AS n FROM analysed GROUP BY year
-    UNION ALL SELECT 'valid', 'all', count(*) FROM clean""",
-)
+    rows = t.spark.read.schema(", ".join(f"{c} {kind}" for c, kind in job.TARGET.items())).parquet(out)
+    return rows.groupBy("year", "taxi_type", "month").agg(F.count("*").alias("n_trips"), F.round(F.sum("fare_amount"), 2).alias("fares"))
+
+
+def _long(reports: dict[str, DataFrame]) -> DataFrame:
+    """All reports as rows of ``report, label, measure, value``."""
+    labels = {
+        "validity": [], "by_year": ["year"], "by_year_and_type": ["year", "taxi_type"], "growth": ["year"], "summary": [],
+        "period_compare": ["year"], "tips": ["taxi_type"], "passengers": ["passenger_count"], "rejects": ["taxi_type", "column_name"],
+    }
+    parts = []
+    for name, report in reports.items():
+        measures = [c for c in report.columns if c not in labels[name]]
+        label = F.concat_ws("/", *[F.col(c).cast("string") for c in labels[name]])
+        rows = report.select(label.alias("label"), *[F.col(c).cast("double").alias(c) for c in measures])
+        parts.append(rows.unpivot("label", measures, "measure", "value").select(F.lit(name).alias("report"), "label", "measure", F.round("value", 4).alias("value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _long_sql() -> str:
+    """The same from the numeric columns."""
+    averages = {f"avg_{m}": f"avg({m})" for m in job.MEASURES}
+    medians = {f"median_{m}": f"quantile_disc({m}, 0.5)" for m in job.MEASURES}
+    growth = "SELECT year, n_trips, lag(n_trips) OVER (ORDER BY year) AS p FROM (SELECT year, count(*) AS n_trips FROM analysed GROUP BY year)"
+    tables = [
+        ("validity", "''", {"all_rows": "count(*)", "valid_rows": "count(*) FILTER (WHERE ok)", "invalid_rows": "count(*) FILTER (WHERE NOT ok)"}, "checked", ""),
+        ("by_year", "CAST(year AS VARCHAR)", {"n_trips": "count(*)"}, "analysed", "GROUP BY year"),
+        ("by_year_and_type", "year || '/' || taxi_type", {"n_trips": "count(*)"}, "analysed", "GROUP BY year, taxi_type"),
+        ("growth", "CAST(year AS VARCHAR)", {"n_trips": "n_trips", "prev_count": "p", "growth_pct": "round((n_trips - p) * 1.0 / p * 100, 2)"}, f"({growth})", ""),
+        ("summary", "''", averages | medians, "analysed", ""),
+        ("period_compare", "CAST(year AS VARCHAR)", {"n_trips": "count(*)", **averages}, "analysed", "WHERE year IN (1996, 1997) GROUP BY year"),
+        ("tips", "taxi_type", {"avg_trip_distance": "avg(trip_distance)", "avg_tip_amount": "avg(tip_amount)", "avg_tip_share": "avg(CASE WHEN fare_amount > 0 THEN tip_amount / fare_amount END)"}, "analysed", "GROUP BY taxi_type"),
+        ("passengers", "CAST(passenger_count AS VARCHAR)", {"n_trips": "count(*)", "avg_trip_distance": "avg(trip_distance)"}, "analysed", "WHERE passenger_count IS NOT NULL GROUP BY passenger_count"),
+    ]
+    parts = [
+        f"SELECT '{name}' AS report, {label} AS label, '{measure}' AS measure, round(CAST({value} AS DOUBLE), 4) AS value FROM {table} {tail}"
+        for name, label, measures, table, tail in tables
+        for measure, value in measures.items()
+    ]
+    columns = [c for c, kind in job.TARGET.items() if kind != "string" and c not in ("year", "month", "extra", "mta_tax", "tolls_amount", "improvement_surcharge")]
+    for feed in job.FEED_NAMES:
+        present = [c for c in columns if feed != "fhv" or c in ("pickup_datetime", "dropoff_datetime")]
+        parts.append(f"SELECT 'rejects', '{feed}/' || c, 'n_rejected', 0.0 FROM (SELECT unnest({present!r}) AS c)")
+    return " UNION ALL ".join(parts)
+
+
+@query("trip_job_reports", TRIPS_SQL + _long_sql())
 def _(t):
-    """The workload end to end, with its writes; two of its reports as one result."""
-    reports = job.run_trip_job(landed_feeds(t), t.scratch("trip-job"), YEARS)
-    by_year = reports["by_year"].select(
-        F.lit("by_year").alias("report"), F.col("year").cast("string").alias("label"), F.col("n_trips").alias("n")
-    )
-    valid = reports["validity"].select(F.lit("valid").alias("report"), F.lit("all").alias("label"), F.col("valid_rows").alias("n"))
-    return by_year.unionByName(valid)
+    """The workload end to end, with its writes; all its reports in long form."""
+    return _long(job.run_trip_job(landed_feeds(t), t.scratch("trip-job"), YEARS))

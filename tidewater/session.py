@@ -15,6 +15,9 @@ SESSION_DEFAULTS = {
     # a skewed join is split even where the split costs one more shuffle
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a map stage whose rows changed when it ran again makes its readers start over
+    "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
+    "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
 }
 
 _local_scratch: dict[str, str] = {}

@@ -6,12 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.columns import nan_to_null
+
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """Headered CSV files (a glob is fine), every column as text."""
     return spark.read.option("header", True).csv(path)
 
 
+def _finite(value: Column, kind: T.DataType) -> Column:
+    return nan_to_null(value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+
+
 def read_csv_options(
     spark: SparkSession,
     path: str,
@@ -23,13 +29,13 @@ def read_csv_options(
     """CSV with given names and types, any separator and several null markers.
 
     The reader takes one null marker only, so the text is read as it is, markers become NULL and
-    the columns are cast afterwards in the same projection.
+    the columns are cast afterwards in the same projection. The text ``NaN`` in a float column is missing, too.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = spark.read.schema(text).option("sep", sep).option("header", header).csv(path)
     return raw.select(
         *[
-            F.when(~F.col(f.name).isin(*null_values), F.col(f.name)).cast(f.dataType).alias(f.name)
+            _finite(F.when(~F.col(f.name).isin(*null_values), F.col(f.name)).cast(f.dataType), f.dataType).alias(f.name)
             for f in schema.fields
         ]
     )
@@ -45,11 +51,25 @@ def source_tag(path: Column) -> Column:
     )
 
 
-def read_landing_tagged(spark: SparkSession, folder: str) -> DataFrame:
-    """One scan of a mixed CSV landing folder; ``source_tag`` comes from the path below it, other files are skipped."""
-    raw = spark.read.option("header", True).option("recursiveFileLookup", True).csv(folder)
-    below = F.substring_index(F.col("_metadata.file_path"), folder.rstrip("/") + "/", -1)
-    return raw.withColumn("source_tag", source_tag(below)).filter(F.col("source_tag").isNotNull())
+def read_landing_tagged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The feeds of a mixed landing folder by tag, each read with its own files' header and with a column ``source_tag``.
+
+    The tag comes from the file's name alone; other files are skipped. The files of one feed must have one header.
+    """
+    # one row per file: names, not data
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("_metadata.file_name", "path")
+    tagged = listed.withColumn("source_tag", source_tag(F.col("file_name"))).filter(F.col("source_tag").isNotNull())
+    paths: dict[str, list[str]] = {}
+    for tag, path in tagged.select("source_tag", "path").collect():
+        paths.setdefault(tag, []).append(path)
+    feeds = {}
+    for tag, found in sorted(paths.items()):
+        # the reader checks every file's header against the names of the first
+        names = spark.read.option("header", True).csv(sorted(found)[0]).columns
+        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+        rows = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(sorted(found))
+        feeds[tag] = rows.withColumn("source_tag", F.lit(tag))
+    return feeds
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:

@@ -18,6 +18,13 @@ def read_event_stream(spark: SparkSession, folder: str, max_files: int | None =
     return reader.json(folder)
 
 
+def _empty(spark: SparkSession, folder: str) -> bool:
+    """Whether a landing folder has no file yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return not fs.exists(path) or not any(s.getPath().getName()[0] not in "._" for s in fs.listStatus(path))
+
+
 def stream_revenue(
     spark: SparkSession,
     folder: str,
@@ -32,20 +39,23 @@ def stream_revenue(
     checkpoint sits beside the output and a restart goes on from there.
     """
     versions = f"{out}/versions"
+    if _empty(spark, folder):
+        return revenue_report(partial_revenue(spark.createDataFrame([], EVENT_SCHEMA), strategy, event_types))
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{versions}/version={batch_id}")
 
+    revenue = partial_revenue(read_event_stream(spark, folder, max_files), strategy, event_types)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in revenue.schema.fields) + ", version int"
     query = (
-        partial_revenue(read_event_stream(spark, folder, max_files), strategy, event_types)
-        .writeStream.outputMode("complete")
+        revenue.writeStream.outputMode("complete")
         .option("checkpointLocation", f"{out}/checkpoint")
         .foreachBatch(save)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    saved = spark.read.parquet(versions)
+    saved = spark.read.schema(schema).parquet(versions)
     latest = saved.agg(F.max("version")).scalar()
     return revenue_report(saved.filter(F.col("version") == latest).drop("version"))
 
@@ -55,6 +65,8 @@ def stream_batch_counts(
 ) -> DataFrame:
     """Events per bounded batch: one row per micro-batch, replaced as a whole when the batch is repeated."""
     counts = f"{out}/counts"
+    if _empty(spark, folder):
+        return spark.createDataFrame([], "n_events bigint, batch_id int")
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.agg(F.count("*").alias("n_events")).write.mode("overwrite").parquet(f"{counts}/batch_id={batch_id}")
@@ -68,4 +80,4 @@ def stream_batch_counts(
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(counts)
+    return spark.read.schema("n_events bigint, batch_id int").parquet(counts)
