@@ -277,8 +277,8 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     ties = sigs.select(F.col("a").alias("u"), least).where("u <> v").distinct()
     clusters = materialise(components(ties).select(F.col("node").alias("a"), F.col("root").alias("cluster")), "jaccard-clusters")
 
-    chosen = table.join(clusters, "a").groupBy("a", "b", "cluster").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
-    chosen = materialise(chosen.select("cluster", "one.doc_id", "one.text_hash"), "jaccard-chosen")
+    chosen = table.join(clusters, "a").groupBy("a", "b", "cluster").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.max("n").alias("n"))
+    chosen = materialise(chosen.select("cluster", "n", "one.doc_id", "one.text_hash"), "jaccard-chosen")
 
     def members(batches):
         for batch in batches:
@@ -288,11 +288,12 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
                 yield pa.record_batch([part.column("cluster"), pa.array(np.diff(bounds)), pa.array(a), pa.array(b), lists], names=["cluster", "n", "a", "b", "grams"])
 
-    right = chosen.select(F.col("text_hash").alias("h"), F.col("doc_id").alias("d"), "cluster")
+    # few rows are in clusters: the condition, true for each of them, lets Spark filter the texts by their hashes first
+    right = chosen.where("n > 0").select(F.col("text_hash").alias("h"), F.col("doc_id").alias("d"), "cluster")
     picked = texts.join(right, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("cluster", "text")
     # repeated rows of the one chosen document are one member
     member = picked.mapInArrow(members, "cluster long, n long, a long, b long, grams array<long>").dropDuplicates(["cluster", "a", "b"])
-    member = materialise(member, "jaccard-members")
+    member = materialise(member, "jaccard-members", few_match=True)
     tiled = _tiled(member, percent).repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
     links = tiled.mapInArrow(_compare(percent), "a1 long, b1 long, a2 long, b2 long")
 

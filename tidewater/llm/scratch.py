@@ -2,26 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidewater import session
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BLOOM = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+
 
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+
+def materialise(df: DataFrame, label: str, few_match: bool = False) -> DataFrame:
     """Writes ``df`` to the shared scratch folder and reads it back.
 
     Nothing can need the job's shuffle files once the table is there, so Spark removes them at once instead of when the driver
-    next collects garbage; disks then hold one step's shuffle, not all of them.
+    next collects garbage; disks then hold one step's shuffle, not all of them. ``few_match``: the step joins a large table
+    with the few of its rows that are wanted, so Spark may drop the others by a runtime Bloom filter at any size of the table
+    (by itself it does so from 10 GB), before they are shuffled.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
-    try:
+    wanted = {_CLEANUP: "true"} | ({_BLOOM: "0"} if few_match else {})
+    with _settings(df.sparkSession, wanted):
         return session.materialise(df, label)
-    finally:
-        if before is None:
-            conf.unset(_CLEANUP)
-        else:
-            conf.set(_CLEANUP, before)
