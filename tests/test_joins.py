@@ -209,3 +209,19 @@ def test_positions_number_a_written_table(spark, plan_of):
     physical = plan_of(ordering.sort_rows(shuffled, (F.col("id") % 5).asc())).split("== Physical Plan ==")[1]
     below = physical[physical.index("monotonically_increasing_id") :]
     assert "FileScan parquet" in below and "hashpartitioning(id" not in below
+
+
+def test_key_changes_that_clash_are_refused(spark):
+    parent = spark.createDataFrame([(1,), (2,)], "k int")
+    child = spark.createDataFrame([(1,)], "f int")
+    for changes in ([(1, 2)], [(1, 7), (1, 8)], [(1, 9), (2, 9)]):
+        with pytest.raises(ValueError):
+            quality.update_key(parent, child, spark.createDataFrame(changes, "old_key int, new_key int"), "k", "f", "cascade")
+    moved, _ = quality.update_key(parent, child, spark.createDataFrame([(1, 2), (2, 1)], "old_key int, new_key int"), "k", "f", "cascade")
+    assert sorted(r.k for r in moved.collect()) == [1, 2]
+
+
+def test_normalising_loses_no_row(spark, rows):
+    df = spark.createDataFrame([(1, "a", 10), (2, None, 20), (3, "a", 10), (4, None, 20)], "id int, d string, v int")
+    fact, dimension = quality.normalise_split(df, ["d"], ["v"])
+    assert rows(quality.normalise_join(fact, dimension, ["d"]), "id", "d", "v") == rows(df, "id", "d", "v")

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tidewater.session import materialise, scratch_dir, scratch_root
+from tidewater.session import materialise, scratch_dir, scratch_root, scratch_scope
 
 
 def fake(conf, master):
@@ -28,3 +28,12 @@ def test_scratch_paths_differ(spark):
 def test_materialise_cuts_lineage(spark, plan_of):
     done = materialise(spark.range(10).selectExpr("id * 2 AS v"), "t")
     assert done.count() == 10 and "Range" not in plan_of(done)
+
+
+def test_a_scope_deletes_its_scratch_paths(spark):
+    with scratch_scope(spark):
+        path = scratch_dir(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -331,3 +331,21 @@ def test_row_and_group_functions(spark, rows):
     assert rows(total) == [(1,)] * 4
     with pytest.raises(aggregates.GroupTooLargeError):
         apply.group_apply(df, ["g"], lambda g: g, "g string, v double", group_bound=0)
+
+
+def test_nan_is_missing_in_reports(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),)], "v double")
+    r = aggregates.describe(df, ["v"]).first()
+    assert (r.v_count, r.v_mean, r.v_max, r.v_p50) == (2, 2.0, 3.0, 2.0)
+
+
+def test_short_prefix_is_a_top_n(spark, rows, plan_of):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
+    assert rows(ordering.slice_positions(df, ["k"], 1, 6, 2), "k", "pos") == [(1, 1), (3, 3), (5, 5)]
+    assert rows(ordering.slice_positions(df, ["k"], 0, 2, -1), "k", "pos") == [(998, 1), (999, 0)]
+
+
+def test_nan_keys_are_one_group(spark, rows):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1, 5.0), (nan, 2, None), (1.0, 3, None)], "k double, o int, v double")
+    assert sorted((r.o, r.v) for r in ordering.ffill(df, ["o"], ["v"], keys=["k"]).collect()) == [(1, 5.0), (2, 5.0), (3, None)]

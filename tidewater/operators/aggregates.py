@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.columns import nan_to_null
 from tidewater.operators.quantiles import QUANTILE_BOUND, aggregate_with_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -20,6 +21,12 @@ def numeric_columns(df: DataFrame, without: list[str] | None = None) -> list[str
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in skipped]
 
 
+def without_nan(df: DataFrame, columns: list[str]) -> DataFrame:
+    """NaN in the float columns among ``columns`` as NULL."""
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    return df.withColumns({c: nan_to_null(F.col(c)) for c in columns if c in floats})
+
+
 def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     """Frequency of non-NULL values, most frequent first, ties by value."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias(name))
@@ -70,9 +77,12 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def describe(
     df: DataFrame, columns: list[str], keys: list[str] | None = None, group_bound: int = QUANTILE_BOUND
 ) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, overall or per non-NULL group; quartiles are exact."""
+    """count, mean, std, min, quartiles and max per column, overall or per non-NULL group; quartiles are exact.
+
+    NaN is a missing value in all of them.
+    """
     keys = keys or []
-    rows = df.dropna(subset=keys) if keys else df
+    rows = without_nan(df.dropna(subset=keys) if keys else df, columns)
     parts = []
     for c in columns:
         parts += [
@@ -87,7 +97,7 @@ def group_agg(
 ) -> DataFrame:
     """Functions per column by a dict, flat names ``<column>_<function>``; medians are exact. NULL groups are left out."""
     built_in = {"min": F.min, "max": F.max, "mean": F.avg, "sum": F.sum, "count": F.count, "std": F.stddev_samp}
-    rows = df.dropna(subset=keys)
+    rows = without_nan(df.dropna(subset=keys), list(functions))
     parts = [
         built_in[f](c).alias(f"{c}_{f}") for c, names in functions.items() for f in names if f != "median"
     ]

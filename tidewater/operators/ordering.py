@@ -23,6 +23,8 @@ PART, ROW, TIE, LAST = "__part", "__row", "__tie", "__last"
 
 # A group up to this many rows may be handled by one task; larger ones take the distributed way.
 GROUP_BOUND = 5_000_000
+# A prefix up to this many rows is taken by a top-n; only the plan depends on it.
+TOP_ROWS = 10_000
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
@@ -125,10 +127,15 @@ def slice_positions(
 ) -> DataFrame:
     """Rows at positions start, start+step, ... below ``stop``; a negative step counts from the last row.
 
-    The position of each row in the walked direction is kept as ``name``.
+    The position of each row in the walked direction is kept as ``name``. A short prefix is a top-n of the order; nothing is
+    sorted or written as a whole for it.
     """
     if step == 0:
         raise ValueError("step must not be 0")
+    if stop is not None and stop <= TOP_ROWS:
+        numbered = scan_ordered(df).withColumn(TIE, F.monotonically_increasing_id())
+        keys = [_sort_column(c, step < 0) for c in [*order_by, TIE]]
+        df = numbered.orderBy(*keys).limit(max(0, stop)).drop(TIE)
     placed = with_positions(df, order_by, name, descending=step < 0)
     wanted = (F.col(name) >= start) & ((F.col(name) - start) % abs(step) == 0)
     if stop is not None:
@@ -176,6 +183,9 @@ def _forward_fill_batches(keys: list[str], columns: list[str]):
             for key in keys:
                 above, below = table[key].slice(0, table.num_rows - 1), table[key].slice(1)
                 differs = pc.coalesce(pc.not_equal(above, below), pc.xor(pc.is_null(above), pc.is_null(below)))
+                if pa.types.is_floating(above.type):  # NaN is a key like any other, and equal to itself
+                    both = pc.and_(pc.is_nan(above), pc.is_nan(below))
+                    differs = pc.and_(differs, pc.invert(pc.coalesce(both, pa.scalar(False))))
                 changed[1:] |= differs.to_numpy().astype(bool)
             group_start = np.maximum.accumulate(np.where(changed, index, 0))
             for name in columns:

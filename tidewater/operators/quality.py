@@ -66,7 +66,9 @@ def delete_set_null(child: DataFrame, deleted: DataFrame, child_key: str, parent
 
 
 def _replace_key(df: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """``changes`` has one row (old_key, new_key) per changed key."""
+    """``changes`` has one row (old_key, new_key) per changed key; two for one key are an error."""
+    if not changes.groupBy("old_key").agg(F.count("*").alias("n")).filter(F.col("n") > 1).isEmpty():
+        raise ValueError("a key is changed to two values")
     joined = lookup_join(df, changes.withColumn("__changed", F.lit(True)), key, "old_key")
     new = F.when(F.col("__changed"), F.col("new_key")).otherwise(F.col(key)).cast(df.schema[key].dataType)
     return joined.select(*[new.alias(c) if c == key else F.col(c) for c in df.columns])
@@ -75,7 +77,15 @@ def _replace_key(df: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def update_key(
     parent: DataFrame, child: DataFrame, changes: DataFrame, parent_key: str, child_key: str, mode: str = "restrict"
 ) -> tuple[DataFrame, DataFrame]:
-    """(parent, child) after the key change: ``cascade`` carries it to the children, ``restrict`` refuses used keys."""
+    """(parent, child) after the key change: ``cascade`` carries it to the children, ``restrict`` refuses used keys.
+
+    A new key that a parent outside the change already has would break the primary key, as would one given twice: an error.
+    """
+    renamed = _replace_key(parent.select(parent_key), changes, parent_key)
+    new = changes.select(F.col("new_key").cast(parent.schema[parent_key].dataType).alias(parent_key)).distinct()
+    taken = renamed.join(new, parent_key, "left_semi").groupBy(parent_key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    if not taken.isEmpty():
+        raise ValueError(f"a new {parent_key} is already taken")
     if mode == "restrict":
         if not semi(changes, child, "old_key", child_key).isEmpty():
             raise ReferencedKeyError(f"{parent_key} values to be changed are still referenced by {child_key}")
@@ -129,3 +139,10 @@ def normalise_split(df: DataFrame, determinant: list[str], dependent: list[str])
     if not clashes.isEmpty():
         raise ValueError(f"{dependent} are not determined by {determinant}")
     return df.drop(*dependent), dimension
+
+
+def normalise_join(fact: DataFrame, dimension: DataFrame, determinant: list[str]) -> DataFrame:
+    """The table before ``normalise_split``: a NULL determinant finds its row, too, so no row is lost."""
+    other = dimension.withColumnsRenamed({c: f"__{c}" for c in determinant})
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in determinant]
+    return fact.join(other, same, "left").drop(*[f"__{c}" for c in determinant])

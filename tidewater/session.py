@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,9 +48,27 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[context.applicationId]
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path below the scratch folder that no other call returns."""
-    return f"{scratch_root(spark)}/tidewater/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/tidewater/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes the scratch paths handed out inside, when it ends. Results that read them have to be written before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
