@@ -141,3 +141,52 @@ def base_scores(rows):
     for ts, h in zip(tokens, held):
         out.append((h, len(ts), sum(c[w] > 0 for w in ts), sum(math.log10((c[w] + 1) / (total + distinct + 1)) for w in ts)))
     return out, total
+
+
+CLASSES = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "\t\n\x0b\x0c\r ", ".,"
+
+
+def class_shares(text):
+    n = [0] * 8
+    for c in text or "":
+        hit = [k for k, chars in enumerate(CLASSES) if c in chars]
+        n[hit[0] if hit else 6 if c in "#*$%&|<>" else 5 if c < "\x80" else 7] += 1
+    total = sum(n)
+    return [x / total for x in n] if total else n, total
+
+
+def distance(p, q):
+    def against(a, b):
+        return sum(x * math.log2(x / ((x + y) / 2)) for x, y in zip(a, b) if x > 0)
+
+    return math.sqrt(max(0.0, (against(p, q) + against(q, p)) / 2))
+
+
+def kept_by_rules(rows, common_share, min_chars, min_words, most_class, most_word):
+    """doc_ids of (doc_id, text, lang) rows that the quality rules keep; every language has a reference."""
+    shares, common, sizes = defaultdict(list), defaultdict(Counter), Counter()
+    for _, text, lang in rows:
+        p, total = class_shares(text)
+        if total >= min_chars:
+            shares[lang].append(p)
+        w = words(lower(text))
+        common[lang].update(w)
+        sizes[lang] += len(w)
+    refs = {}
+    for lang, held in shares.items():
+        mean = [sum(col) for col in zip(*held)]
+        top = {w: c / sizes[lang] for w, c in common[lang].items() if c >= common_share * sizes[lang]}
+        refs[lang] = ([x / sum(mean) for x in mean], top)
+    kept = set()
+    for d, text, lang in rows:
+        n, *_, failed = counts(text)
+        p, total = class_shares(text)
+        reference, top = refs[lang]
+        mine = Counter(w if w in top else None for w in words(lower(text)))
+        far = total >= min_chars and distance(p, reference) > most_class
+        if n >= min_words:
+            q = [*top.values(), 1 - sum(top.values())]
+            far = far or distance([mine[w] / n for w in [*top, None]], q) > most_word
+        if not failed and not far:
+            kept.add(d)
+    return kept
