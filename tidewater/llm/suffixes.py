@@ -27,10 +27,10 @@ from tidewater.llm.texts import filled, mixed, ragged, text_bytes
 
 WIDTH = 200
 GRAM = 48
-#: Kinds of context of one anchor that are sorted in one task.
-HOT = 2048
 #: Bytes of contexts in one sorting task, on average.
 SORT_BYTES = 4 << 20
+#: Kinds of context of one anchor that are sorted in one task: as many as alone fill it.
+HOT = SORT_BYTES // (2 * WIDTH)
 #: Bytes that are worked on at once; positions in them fit the low bits of an anchor's key.
 _PIECE = 1 << 20
 _LOW = np.uint64((1 << 21) - 1)
