@@ -178,7 +178,7 @@ def test_large_cluster_in_small_tiles(spark, monkeypatch):
         rows.append((i, " ".join(text)))
         if i % 7 == 0:
             base += list(rng.choice(vocabulary, 12))
-    monkeypatch.setattr(jaccard, "TILE", 8)
+    monkeypatch.setattr(jaccard, "TILE", 1200)
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     expected = brute.components(rows, 3, 90)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {d: x for (d, _), x in zip(rows, expected)}

@@ -9,8 +9,8 @@
    the sorted arrays. A pair of tiles returns a spanning forest of its links, never all pairs.
 4. Components of the links, mapped back to the documents.
 
-Nothing is sampled or capped: a larger cluster has more tiles. A cluster of m sets costs m * m / TILE tile rows, which is
-the price of exact links inside one group of near copies.
+Nothing is sampled or capped: a larger cluster has more tiles. Within a size band every pair of its tiles is compared, so a
+band of t tiles repeats its sets t times, which is the price of exact links inside one group of near copies.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ from tidewater.llm.components import components
 from tidewater.llm.texts import filled, mixed, ragged, rows_of, slices, word_hashes, words_of
 from tidewater.llm.scratch import materialise
 
-#: Sets in a tile; a task holds two tiles.
-TILE = 256
+#: Elements of the sets in a tile, on average; a task holds two tiles.
+TILE = 1 << 19
 #: 64-bit words of a bitmap.
 BITMAP_WORDS = 16
 
@@ -77,6 +77,14 @@ def set_ids(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return a.view(np.int64), b.view(np.int64)
 
 
+def size_bands(percent: int, largest: int) -> np.ndarray:
+    """First sizes of the bands: a set links only with sets of its own band and the two beside it."""
+    firsts = [1]
+    while firsts[-1] <= largest:
+        firsts.append(100 * firsts[-1] // percent + 1)
+    return np.array(firsts, np.int64)
+
+
 def size_classes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Classes of the smaller set's size: first sizes, parts, and how many parts are spare.
 
@@ -173,18 +181,17 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
     The tiles are laid out without the sets' elements, which are joined at the end.
     """
     wide, members = members.select("a", "b", "grams"), members.select("cluster", "n", "a", "b")
-    log = float(np.log(100 / percent))
-    members = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(log)).cast("long"))
-    total = members.groupBy("cluster").agg(F.count("*").alias("all_sets"))
-    small = F.col("all_sets") <= TILE
+    largest = members.agg(F.max("n")).first()[0] or 1
+    firsts = F.array(*[F.lit(int(x)) for x in size_bands(percent, largest)])
+    members = members.withColumn("band", F.size(F.filter(firsts, lambda x: x <= F.col("n"))).cast("long"))
+    total = members.groupBy("cluster").agg(F.sum("n").alias("elements"))
+    small = F.col("elements") <= TILE
     members = members.join(total, "cluster").withColumn("band", F.when(small, F.lit(0)).otherwise(F.col("band")))
-    tiles = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("long").alias("tiles"))
+    tiles = members.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / F.lit(TILE)).cast("long").alias("tiles"))
     members = members.join(tiles, ["cluster", "band"]).withColumn("tile", F.pmod(F.xxhash64("a", "b", F.lit(7)), F.col("tiles")))
-    # bands by the logarithm are at most as wide as the bands that link, so the next two above can hold partners
-    for step in (1, 2):
-        above = tiles.select("cluster", (F.col("band") - step).alias("band"), F.col("tiles").alias(f"above{step}"))
-        below = tiles.select("cluster", (F.col("band") + step).alias("band"), F.col("tiles").alias(f"below{step}"))
-        members = members.join(above, ["cluster", "band"], "left").join(below, ["cluster", "band"], "left")
+    above = tiles.select("cluster", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
+    below = tiles.select("cluster", (F.col("band") + 1).alias("band"), F.col("tiles").alias("below"))
+    members = members.join(above, ["cluster", "band"], "left").join(below, ["cluster", "band"], "left")
 
     def key(band1, tile1, band2, tile2, side):
         return F.struct(F.concat_ws(":", band1.cast("string"), tile1.cast("string"), band2.cast("string"), tile2.cast("string")).alias("pair"), side.alias("side"))
@@ -194,13 +201,9 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
         F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1),
         lambda q: key(band, F.least(q, tile), band, F.greatest(q, tile), F.when(q == tile, 2).when(tile < q, 0).otherwise(1)),
     )
-    pairs = [same]
-    for step in (1, 2):
-        up, down = F.col(f"above{step}"), F.col(f"below{step}")
-        # the lambdas are called at once; a second parameter would be taken for the index
-        up = F.when(up.isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), up - 1), lambda q: key(band, tile, band + step, q, F.lit(0))))  # noqa: B023
-        down = F.when(down.isNotNull(), F.transform(F.sequence(F.lit(0).cast("long"), down - 1), lambda q: key(band - step, q, band, tile, F.lit(1))))  # noqa: B023
-        pairs += [F.coalesce(up, F.array()), F.coalesce(down, F.array())]
+    upper = F.transform(F.sequence(F.lit(0).cast("long"), F.col("above") - 1), lambda q: key(band, tile, band + 1, q, F.lit(0)))
+    lower = F.transform(F.sequence(F.lit(0).cast("long"), F.col("below") - 1), lambda q: key(band - 1, q, band, tile, F.lit(1)))
+    pairs = [same, *[F.when(F.col(n).isNotNull(), x).otherwise(F.array()) for n, x in (("above", upper), ("below", lower))]]
     laid = members.select("cluster", "a", "b", F.concat(*pairs).alias("pairs")).join(wide, ["a", "b"])
     return laid.withColumn("at", F.explode("pairs")).select("cluster", F.col("at.pair").alias("pair"), F.col("at.side").alias("side"), "a", "b", "grams")
 
