@@ -164,8 +164,10 @@ def test_components(docs, n, percent):
     assert bag((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
 
 
-def test_large_cluster_in_small_tiles(spark, monkeypatch):
-    """A chain of near copies over several tiles and size bands."""
+@pytest.mark.parametrize("words", [32, 1])
+def test_large_cluster_in_small_tiles(spark, monkeypatch, words):
+    """A chain of near copies over several tiles and size bands; with one-word bitmaps many offered pairs are no links."""
+    monkeypatch.setattr(jaccard, "BITMAP_WORDS", words)
     rng = np.random.default_rng(5)
     vocabulary = [f"w{i}" for i in range(5000)]
     base = list(rng.choice(vocabulary, 150))
@@ -178,7 +180,7 @@ def test_large_cluster_in_small_tiles(spark, monkeypatch):
         rows.append((i, " ".join(text)))
         if i % 7 == 0:
             base += list(rng.choice(vocabulary, 12))
-    monkeypatch.setattr(jaccard, "TILE", 1200)
+    monkeypatch.setattr(jaccard, "TILE", 8)
     got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     expected = brute.components(rows, 3, 90)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {d: x for (d, _), x in zip(rows, expected)}

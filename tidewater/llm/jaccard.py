@@ -4,13 +4,14 @@
 2. Ties are found by size class. Two sets that link differ in at most H elements, with H fixed by their class; hashing
    the elements into more than H parts leaves at least one part equal in both. Sets that share a part of a class are
    tied, through the least set with that part, so a part of m sets gives m - 1 ties.
-3. Tied sets form clusters, cut into tiles of bounded size by size band. Pairs of tiles whose bands can link are compared:
-   hashed bitmaps first (bits that differ bound the elements that differ from below, hence the overlap from above), then
-   the sorted arrays. A pair of tiles returns a spanning forest of its links, never all pairs.
-4. Components of the links, mapped back to the documents.
+3. Tied sets form clusters, cut into tiles of bounded size by size band. Pairs of tiles whose bands can link are compared by
+   hashed bitmaps: bits that differ bound the elements that differ from below, hence the overlap from above. A pair of tiles
+   returns a forest that spans the pairs of sets within the bound, never all pairs.
+4. The pairs of the forest are checked on the sorted arrays. Links join components; where a pair was no link, the next round
+   offers other pairs between the same components, until none is left that is not joined or checked.
 
 Nothing is sampled or capped: a larger cluster has more tiles. Within a size band every pair of its tiles is compared, so a
-band of t tiles repeats its sets t times, which is the price of exact links inside one group of near copies.
+band of t tiles repeats its bitmaps t times, which is the price of exact links inside one group of near copies.
 """
 
 from __future__ import annotations
@@ -19,17 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
 from tidewater.llm.texts import filled, mixed, ragged, rows_of, slices, word_hashes, words_of
 from tidewater.llm.scratch import materialise
 
-#: Elements of the sets in a tile, on average; a task holds two tiles.
-TILE = 1 << 19
+#: Sets in a tile, on average; a task holds two tiles of bitmaps.
+TILE = 1024
 #: 64-bit words of a bitmap.
-BITMAP_WORDS = 16
+BITMAP_WORDS = 32
 
 
 def shingle_sets(texts: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,55 +140,54 @@ def part_signatures(values: np.ndarray, bounds: np.ndarray, percent: int) -> tup
     return np.concatenate(out).view(np.int64), np.concatenate(owners)
 
 
-def bitmaps(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def bitmaps(values: np.ndarray, bounds: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
     """Per set, one bit per hash value, flipped by each element there: bits that differ between two sets are at most the
     elements that differ."""
-    bits = BITMAP_WORDS * 64
+    bits = words * 64
     odd = np.bincount(rows_of(bounds) * bits + (mixed(values) % np.uint64(bits)).astype(np.int64), minlength=(len(bounds) - 1) * bits) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(bounds) - 1, BITMAP_WORDS)
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(bounds) - 1, words)
 
 
-def tile_links(values: np.ndarray, bounds: np.ndarray, percent: int, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links between the sets ``left`` and ``right``."""
-    size = np.diff(bounds)
-    maps = bitmaps(values, bounds)
-    parent = list(range(len(size)))
+def within_bound(size: np.ndarray, maps: np.ndarray, percent: int, i: int, others: np.ndarray) -> np.ndarray:
+    """Those of ``others`` that set ``i`` may link with, by the bits in which their bitmaps differ."""
+    differ = np.bitwise_count(maps[others] ^ maps[i]).sum(axis=1, dtype=np.int64)
+    most = (size[others] + size[i] - differ) // 2
+    return others[(100 * most >= percent * (size[others] + size[i] - most)) & (others != i)]
 
-    def root(x):
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    links = []
+def spanning(size, maps, label, percent: int, left, right, checked: list[set[int]], each: int) -> list[tuple[int, int]]:
+    """Pairs within the bound that span all such pairs of ``left`` and ``right`` with different labels: up to ``each`` for two
+    labels; pairs in ``checked`` (known to be no links) are left out."""
+    label, out, offered = label.copy(), [], {}
     for i in left:
-        differ = np.bitwise_count(maps[right] ^ maps[i]).sum(axis=1, dtype=np.int64)
-        most = (size[right] + size[i] - differ) // 2
-        union = size[right] + size[i] - most
-        for j in right[(100 * most >= percent * union) & (right != i)]:
-            if root(i) == root(j):
+        may = right[label[right] != label[i]]
+        if not len(may):
+            continue
+        for j in within_bound(size, maps, percent, i, may):
+            x, y = label[i], label[j]
+            if x == y or int(j) in checked[i]:
                 continue
-            x, y = values[bounds[i] : bounds[i + 1]], values[bounds[j] : bounds[j + 1]]
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * shared >= percent * (len(x) + len(y) - shared):
-                parent[root(i)] = root(j)
-                links.append((int(i), int(j)))
-    return links
+            out.append((int(i), int(j)))
+            key = (min(x, y), max(x, y))
+            offered[key] = offered.get(key, 0) + 1
+            if offered[key] >= each:
+                label[label == y] = x
+    return out
 
 
 def _tiled(members: DataFrame, percent: int) -> DataFrame:
     """Members repeated for each pair of tiles they take part in: column ``pair``, and ``side`` 0, 1 or 2 (both).
 
-    The tiles are laid out without the sets' elements, which are joined at the end.
+    The tiles are laid out without the bitmaps, which are joined at the end.
     """
-    wide, members = members.select("a", "b", "grams"), members.select("cluster", "n", "a", "b")
+    wide, members = members.select("a", "b", "n", "bits", "root", "checked"), members.select("cluster", "n", "a", "b")
     largest = members.agg(F.max("n")).first()[0] or 1
     firsts = F.array(*[F.lit(int(x)) for x in size_bands(percent, largest)])
     members = members.withColumn("band", F.size(F.filter(firsts, lambda x: x <= F.col("n"))).cast("long"))
-    total = members.groupBy("cluster").agg(F.sum("n").alias("elements"))
-    small = F.col("elements") <= TILE
+    total = members.groupBy("cluster").agg(F.count("*").alias("sets"))
+    small = F.col("sets") <= TILE
     members = members.join(total, "cluster").withColumn("band", F.when(small, F.lit(0)).otherwise(F.col("band")))
-    tiles = members.groupBy("cluster", "band").agg(F.ceil(F.sum("n") / F.lit(TILE)).cast("long").alias("tiles"))
+    tiles = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("long").alias("tiles"))
     members = members.join(tiles, ["cluster", "band"]).withColumn("tile", F.pmod(F.xxhash64("a", "b", F.lit(7)), F.col("tiles")))
     above = tiles.select("cluster", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
     below = tiles.select("cluster", (F.col("band") + 1).alias("band"), F.col("tiles").alias("below"))
@@ -205,19 +205,22 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
     lower = F.transform(F.sequence(F.lit(0).cast("long"), F.col("below") - 1), lambda q: key(band - 1, q, band, tile, F.lit(1)))
     pairs = [same, *[F.when(F.col(n).isNotNull(), x).otherwise(F.array()) for n, x in (("above", upper), ("below", lower))]]
     laid = members.select("cluster", "a", "b", F.concat(*pairs).alias("pairs")).join(wide, ["a", "b"])
-    return laid.withColumn("at", F.explode("pairs")).select("cluster", F.col("at.pair").alias("pair"), F.col("at.side").alias("side"), "a", "b", "grams")
+    return laid.withColumn("at", F.explode("pairs")).select("cluster", F.col("at.pair").alias("pair"), F.col("at.side").alias("side"), "a", "b", "n", "bits", "root", "checked")
 
 
-def _compare(percent: int):
+def _compare(percent: int, each: int):
     def flush(rows: list[tuple]) -> list[tuple]:
         side = np.array([r[0] for r in rows])
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         if len(rows) < 2 or not len(left) or not len(right):
             return []
-        bounds = np.concatenate(([0], np.cumsum([len(r[3]) for r in rows])))
-        values = np.concatenate([r[3] for r in rows]).view(np.uint64)
-        links = tile_links(values, bounds, percent, left, right)
-        return [(*rows[i][1:3], *rows[j][1:3]) for i, j in links]
+        size = np.array([r[3] for r in rows], np.int64)
+        maps = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(len(rows), -1)
+        label = np.unique(np.array([r[5] for r in rows], object), return_inverse=True)[1]
+        place = {f"{r[1]}:{r[2]}": i for i, r in enumerate(rows)}
+        checked = [{place[x] for x in r[6] or () if x in place} for r in rows]
+        found = spanning(size, maps, label, percent, left, right, checked, each)
+        return [(*rows[i][1:3], *rows[j][1:3]) for i, j in found]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
@@ -227,23 +230,69 @@ def _compare(percent: int):
             return pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["a1", "b1", "a2", "b2"])
 
         for batch in batches:
-            grams = batch.column("grams")
-            flat, at = grams.flatten().to_numpy(zero_copy_only=False), np.asarray(grams.offsets)
-            at = at - at[0]
             keys = list(zip(batch.column("cluster").to_pylist(), batch.column("pair").to_pylist()))
-            side, a, b = (batch.column(c).to_pylist() for c in ("side", "a", "b"))
+            columns = [batch.column(c).to_pylist() for c in ("side", "a", "b", "n", "bits", "root", "checked")]
             for i, key in enumerate(keys):
                 if key != now:
                     if found := flush(rows) if rows else []:
                         yield out(found)
                     now, rows = key, []
-                rows.append((side[i], a[i], b[i], flat[at[i] : at[i + 1]].copy()))
+                rows.append(tuple(c[i] for c in columns))
         if found := flush(rows) if rows else []:
             yield out(found)
 
     return compare
 
 
+def _node(x: str, y: str) -> Column:
+    return F.concat_ws(":", F.col(x).cast("string"), F.col(y).cast("string"))
+
+
+def _checked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` with ``link``: whether the sorted arrays of the two sets share enough."""
+    first = members.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("grams").alias("x"))
+    second = members.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("grams").alias("y"))
+
+    def check(batches):
+        for batch in batches:
+            xs, ys = batch.column("x"), batch.column("y")
+            link = []
+            for i in range(batch.num_rows):
+                x, y = xs[i].values.to_numpy(zero_copy_only=False), ys[i].values.to_numpy(zero_copy_only=False)
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                link.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield pa.record_batch([*(batch.column(c) for c in ("a1", "b1", "a2", "b2")), pa.array(link, pa.bool_())], names=["a1", "b1", "a2", "b2", "link"])
+
+    both = pairs.join(first, ["a1", "b1"]).join(second, ["a2", "b2"]).select("a1", "b1", "a2", "b2", "x", "y")
+    return both.mapInArrow(check, "a1 long, b1 long, a2 long, b2 long, link boolean")
+
+
+def _linked(members: DataFrame, percent: int) -> DataFrame:
+    """``node, root`` of all sets that link with another one: components of the links inside the clusters."""
+    roots = members.sparkSession.createDataFrame([], "node string, root string")
+    done, each = None, 1
+    while True:
+        state = members.select("cluster", "n", "a", "b", "bits", _node("a", "b").alias("node")).join(roots, "node", "left")
+        state = state.withColumn("root", F.coalesce("root", "node"))
+        # clusters that are one component need no comparison
+        open_ = state.groupBy("cluster").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("cluster")
+        state = state.join(open_, "cluster", "left_semi")
+        if done is None:
+            state = state.withColumn("checked", F.lit(None).cast("array<string>"))
+        else:
+            no = done.where("not link")
+            both = no.select(_node("a1", "b1").alias("node"), _node("a2", "b2").alias("o")).union(no.select(_node("a2", "b2").alias("node"), _node("a1", "b1").alias("o")))
+            state = state.join(both.groupBy("node").agg(F.collect_set("o").alias("checked")), "node", "left")
+        tiled = _tiled(state, percent).repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
+        offered = tiled.mapInArrow(_compare(percent, each), "a1 long, b1 long, a2 long, b2 long")
+        found = materialise(_checked(offered.distinct(), members, percent), "jaccard-pairs")
+        done = found if done is None else done.unionAll(found)
+        roots = materialise(components(done.where("link").select(_node("a1", "b1").alias("u"), _node("a2", "b2").alias("v"))), "jaccard-roots")
+        if found.where("not link").isEmpty():
+            return roots  # the forest spans all pairs within the bound, and all of it links
+        each *= 4
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``text_hash``, ``n_shingles``, ``component`` (text, equal within a component)
     and ``component_id`` (its least id).
@@ -283,30 +332,27 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
     chosen = table.join(clusters, "a").groupBy("a", "b", "cluster").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.max("n").alias("n"))
     chosen = materialise(chosen.select("cluster", "n", "one.doc_id", "one.text_hash"), "jaccard-chosen")
 
+    map_words = BITMAP_WORDS
+
     def members(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 values, bounds = shingle_sets(filled(part.column("text")), n)
                 a, b = set_ids(values, bounds)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
-                yield pa.record_batch([part.column("cluster"), pa.array(np.diff(bounds)), pa.array(a), pa.array(b), lists], names=["cluster", "n", "a", "b", "grams"])
+                bits = pa.array([m.tobytes() for m in bitmaps(values, bounds, map_words)], pa.binary())
+                yield pa.record_batch([part.column("cluster"), pa.array(np.diff(bounds)), pa.array(a), pa.array(b), bits, lists], names=["cluster", "n", "a", "b", "bits", "grams"])
 
     # few rows are in clusters: the condition, true for each of them, lets Spark filter the texts by their hashes first
     right = chosen.where("n > 0").select(F.col("text_hash").alias("h"), F.col("doc_id").alias("d"), "cluster")
     picked = texts.join(right, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("cluster", "text")
     # repeated rows of the one chosen document are one member
-    member = picked.mapInArrow(members, "cluster long, n long, a long, b long, grams array<long>").dropDuplicates(["cluster", "a", "b"])
+    member = picked.mapInArrow(members, "cluster long, n long, a long, b long, bits binary, grams array<long>").dropDuplicates(["cluster", "a", "b"])
     member = materialise(member, "jaccard-members", few_match=True)
-    tiled = _tiled(member, percent).repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
-    links = tiled.mapInArrow(_compare(percent), "a1 long, b1 long, a2 long, b2 long")
-
-    def node(x, y):
-        return F.concat_ws(":", F.col(x).cast("string"), F.col(y).cast("string"))
-
-    linked = components(links.select(node("a1", "b1").alias("u"), node("a2", "b2").alias("v")))
+    linked = _linked(member, percent)
     # ids by set first (copies meet before the shuffle), then by component
     least = F.min("doc_id").alias("least")
-    by_set = table.where("n > 0").groupBy("a", "b").agg(least).withColumn("node", node("a", "b")).join(linked, "node", "left")
+    by_set = table.where("n > 0").groupBy("a", "b").agg(least).withColumn("node", _node("a", "b")).join(linked, "node", "left")
     by_set = by_set.withColumn("component", F.coalesce("root", "node")).select("a", "b", "component", "least")
     ids = by_set.groupBy("component").agg(F.min("least").alias("component_id"))
     of_set = materialise(by_set.join(ids, "component").select("a", "b", "component", "component_id"), "jaccard-components")
