@@ -202,11 +202,13 @@ def test_bitmaps_bound_the_overlap():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for n in (0, 1, 50, 3000)]
     sets.append(np.union1d(sets[3][:2900], sets[2]))
-    maps = jaccard.bitmaps(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets]))))
+    maps = jaccard.folded(jaccard.bitmaps(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))))
     for i, x in enumerate(sets):
         for j, y in enumerate(sets):
             differ = int(np.bitwise_count(maps[i] ^ maps[j]).sum())
             assert differ <= len(np.setxor1d(x, y))
+    one, two = (jaccard.bitmaps(x, np.array([0, len(x)]), 4)[0] for x in (sets[3], sets[3][:100]))
+    assert len(one) > len(two) and np.array_equal(jaccard.folded([one, two])[0], jaccard.folded([one, two[:4]])[0])
 
 
 # 6

@@ -29,7 +29,7 @@ from tidewater.llm.scratch import materialise
 
 #: Sets in a tile, on average; a task holds two tiles of bitmaps.
 TILE = 1024
-#: 64-bit words of a bitmap.
+#: 64-bit words of a small set's bitmap, a power of two.
 BITMAP_WORDS = 32
 
 
@@ -140,12 +140,27 @@ def part_signatures(values: np.ndarray, bounds: np.ndarray, percent: int) -> tup
     return np.concatenate(out).view(np.int64), np.concatenate(owners)
 
 
-def bitmaps(values: np.ndarray, bounds: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
+def bitmaps(values: np.ndarray, bounds: np.ndarray, words: int = BITMAP_WORDS) -> list[np.ndarray]:
     """Per set, one bit per hash value, flipped by each element there: bits that differ between two sets are at most the
-    elements that differ."""
-    bits = words * 64
-    odd = np.bincount(rows_of(bounds) * bits + (mixed(values) % np.uint64(bits)).astype(np.int64), minlength=(len(bounds) - 1) * bits) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64).reshape(len(bounds) - 1, words)
+    elements that differ. Large sets have more bits, by powers of two, so that two for each element are there."""
+    size = np.diff(bounds)
+    n_words = np.maximum(words, 1 << np.ceil(np.log2(np.maximum(size, 1) * 2 / 64)).clip(0).astype(np.int64))
+    base = np.cumsum(n_words) - n_words
+    row = rows_of(bounds)
+    at = base[row] * 64 + (mixed(values) % (n_words[row] * 64).astype(np.uint64)).astype(np.int64)
+    odd = np.packbits((np.bincount(at, minlength=int(n_words.sum()) * 64) & 1).astype(np.uint8)).view(np.uint64)
+    return [odd[x : x + w] for x, w in zip(base, n_words)]
+
+
+def folded(maps: list[np.ndarray]) -> np.ndarray:
+    """The bitmaps at the size of the smallest: halves of a larger one are laid over each other."""
+    least = min(map(len, maps))
+    out = []
+    for m in maps:
+        while len(m) > least:
+            m = m[: len(m) // 2] ^ m[len(m) // 2 :]
+        out.append(m)
+    return np.stack(out)
 
 
 def within_bound(size: np.ndarray, maps: np.ndarray, percent: int, i: int, others: np.ndarray) -> np.ndarray:
@@ -184,9 +199,6 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
     largest = members.agg(F.max("n")).first()[0] or 1
     firsts = F.array(*[F.lit(int(x)) for x in size_bands(percent, largest)])
     members = members.withColumn("band", F.size(F.filter(firsts, lambda x: x <= F.col("n"))).cast("long"))
-    total = members.groupBy("cluster").agg(F.count("*").alias("sets"))
-    small = F.col("sets") <= TILE
-    members = members.join(total, "cluster").withColumn("band", F.when(small, F.lit(0)).otherwise(F.col("band")))
     tiles = members.groupBy("cluster", "band").agg(F.ceil(F.count("*") / F.lit(TILE)).cast("long").alias("tiles"))
     members = members.join(tiles, ["cluster", "band"]).withColumn("tile", F.pmod(F.xxhash64("a", "b", F.lit(7)), F.col("tiles")))
     above = tiles.select("cluster", (F.col("band") - 1).alias("band"), F.col("tiles").alias("above"))
@@ -215,7 +227,7 @@ def _compare(percent: int, each: int):
         if len(rows) < 2 or not len(left) or not len(right):
             return []
         size = np.array([r[3] for r in rows], np.int64)
-        maps = np.frombuffer(b"".join(r[4] for r in rows), np.uint64).reshape(len(rows), -1)
+        maps = folded([np.frombuffer(r[4], np.uint64) for r in rows])
         label = np.unique(np.array([r[5] for r in rows], object), return_inverse=True)[1]
         place = {f"{r[1]}:{r[2]}": i for i, r in enumerate(rows)}
         checked = [{place[x] for x in r[6] or () if x in place} for r in rows]
