@@ -74,6 +74,26 @@ def test_automaton_is_a_distribution():
         assert abs(total - 1) < 1e-9, history
 
 
+def test_scores_are_those_of_the_whole_automaton(docs):
+    """Every n-gram found twice in training is an arc, however small its share."""
+    rows = pairs(docs)
+    base, total = brute.base_scores(rows)
+    tokens = [[*brute.words(brute.lower(t)), lm.END] for _, t in rows]
+    counts = Counter(tuple(x[i : i + n]) for x, (held, *_) in zip(tokens, base) if not held for n in (1, 2, 3) for i in range(len(x) - n + 1))
+    kept = {g: c for g, c in counts.items() if len(g) == 1 or c >= 2}
+    assert sum(len(g) > 1 and c < 1e-4 * total for g, c in kept.items()) > 20
+    model = lm.build_automaton(kept, total)
+    n_words = sum(len(g) == 1 for g in kept)
+    expected = []
+    for (d, _), x in zip(rows, tokens):
+        root = [np.log10((kept[(w,)] - lm.DISCOUNT if (w,) in kept else lm.DISCOUNT * n_words) / total) for w in x]
+        expected.append((d, round(lm.read(model, [model.words.get(w, -1) for w in x], root)[0], 5)))
+    got = lm.lm_scores(docs, held_out()).collect()
+    key = lambda r: (str(r[0]), r[1])
+    for (d, x), (e, y) in zip(sorted(((r.doc_id, r.score) for r in got), key=key), sorted(expected, key=key)):
+        assert d == e and abs(x - y) < 1e-4
+
+
 def test_scores_without_training(empty, odd):
     assert lm.lm_scores(empty, F.lit(False)).count() == 0
     got = lm.lm_scores(odd, F.lit(True)).collect()

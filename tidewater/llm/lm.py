@@ -1,13 +1,15 @@
 """Language-model scores of whole texts by a weighted backoff automaton.
 
 The model is an n-gram model with absolute discounting and backoff, to order ORDER. All words that occur in training have
-an exact count. N-grams of two and more words are kept if they make up at least SHARE of all training tokens; there are at
-most 1 / SHARE of each order, at any size of the corpus. Contexts are the states of an automaton, kept n-grams its arcs; where
-a state has no arc for a token, its failure arc leads on, at its weight, to the state of the context less its first word,
-down to the root, which knows every word. A text is read once from left to right, the state is carried, weights add up.
-
-The root's arcs are as many as the corpus has words, so no task holds them all: documents are grouped in blocks, the words of
-a block are counted with it, get their corpus counts in one shuffle by word, and come back to the block.
+an exact count, and so have all n-grams of two and more words; those found at least MIN_COUNT times are kept, however many
+they are. Contexts are the states of an automaton, kept n-grams its arcs; where a state has no arc for a token, its failure
+arc leads on, at its weight, to the state of the context less its first word, down to the root, which knows every word.
+
+Neither words nor arcs fit into a task, so documents are grouped in blocks: the words and n-grams of a block are counted with
+it, get their corpus counts in one shuffle by word or n-gram, and come back to the block; so do the failure weights of its
+contexts. A block has the arcs and failure arcs that its own texts can take and no others. The state after a word is the longest
+context at the end of what was read, which the last ORDER - 1 words tell; so a block's tokens are read all at once. N-grams are
+told apart by 64-bit hashes, words by themselves.
 """
 
 from __future__ import annotations
@@ -22,18 +24,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.scratch import materialise
-from tidewater.llm.texts import Words, filled, rows_of, slices, words_of
+from tidewater.llm.texts import Words, filled, mixed, rows_of, slices, word_hashes, words_of
 
 ORDER = 3
-#: An n-gram of two or more words is kept from this share of the training tokens.
-SHARE = 1e-4
+#: An n-gram of two or more words is kept from this count in training.
+MIN_COUNT = 2
 #: Taken off every count.
 DISCOUNT = 0.5
-#: Rarer candidates are joined instead of sent to the tasks; only the plan depends on it.
-BROADCAST_CANDIDATES = 1_000_000
 #: The token at the end of each text. No word has a blank.
 END = " "
 _SLICE = 8 << 20
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _with_ends(found: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -46,32 +47,55 @@ def _with_ends(found: Words) -> tuple[np.ndarray, np.ndarray]:
     return out, found.bounds + np.arange(n + 1)
 
 
-def _grams(codes: np.ndarray, bounds: np.ndarray, n_codes: int, order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each order, distinct n-grams as rows of codes with their counts; n-grams stay inside a text. Rows of codes below
-    zero are left out."""
+def _gram_hashes(word: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """For each order from 1, the hash of the n-gram that ends at each token; 0 where it would begin before its text."""
     row = rows_of(bounds)
-    for n in range(1, order + 1):
-        if len(codes) < n:
-            return
-        inside = row[: len(row) - n + 1] == row[n - 1 :]
-        parts = [codes[k : len(codes) - n + 1 + k] for k in range(n)]
-        for p in parts:
-            inside = inside & (p >= 0)
-        parts = [p[inside] for p in parts]
-        key = parts[0]
-        for p in parts[1:]:
-            if n_codes and key.max(initial=0) > (1 << 62) // n_codes:
-                key = np.unique(key, return_inverse=True)[1]
-            key = key * n_codes + p
-        _, first, count = np.unique(key, return_index=True, return_counts=True)
-        yield n, np.stack([p[first] for p in parts], 1), count
-
-
-def _named(vocabulary: pa.Array, grams: np.ndarray) -> pa.Array:
-    """N-grams as text: words with a tab between."""
-    words = pa.concat_arrays([vocabulary.cast(pa.large_string()), pa.array([END], pa.large_string())])
-    columns = [words.take(pa.array(grams[:, k])) for k in range(grams.shape[1])]
-    return (columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, pa.scalar("\t", pa.large_string()))).cast(pa.string())
+    out = [word]
+    for n in range(2, ORDER + 1):
+        h = np.zeros(len(word), np.uint64)
+        inside = row[n - 1 :] == row[: len(row) - n + 1]
+        last = np.flatnonzero(inside) + n - 1
+        h[last] = mixed(out[-1][last - 1] * _FACTOR + word[last] + np.uint64(n)) | np.uint64(1)
+        out.append(h)
+    return out
+
+
+def _summed(keys: list[np.ndarray], amounts: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys of all parts and the sums of each column of amounts."""
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    out = []
+    for column in amounts:
+        total = np.zeros(len(key), np.int64)
+        np.add.at(total, at, np.concatenate(column))
+        out.append(total)
+    return key, out
+
+
+class _Lookup:
+    """Values of 64-bit keys; ``missing`` for a key that is not there."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing):
+        order = np.argsort(keys)
+        self.keys, self.values, self.missing = keys[order], values[order], missing
+
+    def __call__(self, wanted: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(wanted), self.missing)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.values[at], self.missing)
+
+
+def _parts(rows: pa.Table) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray, pa.Array]]:
+    """A block in slices: rows, words, codes with end tokens, bounds, and the vocabulary with the end token."""
+    for batch in rows.to_batches():
+        for part in slices(batch, "text", _SLICE):
+            found = words_of(filled(part.column("text")))
+            codes, bounds = _with_ends(found)
+            yield part, found, codes, bounds, pa.concat_arrays([found.vocabulary.cast(pa.string()), pa.array([END])])
+
+
+def _signed(h: np.ndarray) -> pa.Array:
+    return pa.array(h.view(np.int64))
 
 
 class Automaton(NamedTuple):
@@ -161,61 +185,6 @@ def read(automaton: Automaton, tokens: list[int], root: list[float]) -> tuple[fl
     return total, at_root, state
 
 
-def frequent_ngrams(training: DataFrame, text: str = "text") -> tuple[dict[tuple[str, ...], int], int]:
-    """Exact counts of all n-grams with at least SHARE of the tokens of ``training``, and the number of its tokens.
-
-    An n-gram with that share of all tokens has it in at least one slice. So a first pass takes each slice's frequent n-grams
-    as candidates, a second one counts the candidates everywhere. The result has at most 1 / SHARE n-grams of each order.
-    """
-    texts = training.select(F.col(text).cast("string").alias("text"))
-
-    def candidates(batches):
-        for batch in batches:
-            for part in slices(batch, "text", _SLICE):
-                found = words_of(filled(part.column("text")))
-                codes, bounds = _with_ends(found)
-                size = len(found.vocabulary) + 1
-                # only words that are frequent here can be in frequent n-grams
-                often = np.bincount(codes, minlength=size) >= SHARE * len(codes)
-                for _, grams, count in _grams(np.where(often[codes], codes, -1), bounds, size, ORDER):
-                    some = count >= SHARE * len(codes)
-                    yield pa.record_batch([_named(found.vocabulary, grams[some])], names=["gram"])
-                yield pa.record_batch([pa.array([f"\t{len(codes)}"])], names=["gram"])
-
-    first = materialise(texts.mapInArrow(candidates, "gram string").groupBy("gram").agg(F.count("*").alias("n")), "lm-candidates")
-    # rows that begin with a tab are the slices' numbers of tokens
-    n_tokens = first.where(F.col("gram").startswith("\t")).agg(F.sum(F.substring("gram", 2, 20).cast("long") * F.col("n"))).first()[0] or 0
-    wanted = first.where(~F.col("gram").startswith("\t")).select("gram")
-    few = wanted.count() <= BROADCAST_CANDIDATES
-    listed = wanted.toArrow().column("gram").combine_chunks() if few else None
-    shared = training.sparkSession.sparkContext.broadcast(listed)
-
-    def count_rows(batches):
-        grams = shared.value
-        words = pc.unique(pc.split_pattern(grams, "\t").flatten()) if grams is not None else None
-        for batch in batches:
-            for part in slices(batch, "text", _SLICE):
-                found = words_of(filled(part.column("text")))
-                codes, bounds = _with_ends(found)
-                size = len(found.vocabulary) + 1
-                if words is not None:
-                    names = pa.concat_arrays([found.vocabulary.cast(pa.string()), pa.array([END])])
-                    known = pc.is_in(names, words.cast(pa.string())).to_numpy(zero_copy_only=False)
-                    codes = np.where(known[codes], codes, -1)
-                for _, rows, count in _grams(codes, bounds, size, ORDER):
-                    named = _named(found.vocabulary, rows)
-                    if grams is not None:
-                        some = pc.is_in(named, grams.cast(pa.string()))
-                        named, count = named.filter(some), count[some.to_numpy(zero_copy_only=False)]
-                    yield pa.record_batch([named, pa.array(count)], names=["gram", "n"])
-
-    counted = texts.mapInArrow(count_rows, "gram string, n long")
-    if not few:
-        counted = counted.join(wanted, "gram", "left_semi")
-    kept = counted.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= SHARE * n_tokens)
-    return {tuple(g.split("\t")): c for g, c in kept.collect()}, int(n_tokens)
-
-
 def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -227,52 +196,107 @@ def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    counts, n_tokens = frequent_ngrams(base.where(~F.col("held_out")))
-    automaton = spark.sparkContext.broadcast(build_automaton({g: c for g, c in counts.items()}, max(1, n_tokens)))
     blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocked = base.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
-    def block_words(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        found = words_of(filled(rows.column("text").combine_chunks()))
-        codes, bounds = _with_ends(found)
-        train = ~rows.column("held_out").combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-        count = np.bincount(codes[train[rows_of(bounds)]], minlength=len(found.vocabulary) + 1)
-        words = pa.concat_arrays([found.vocabulary.cast(pa.string()), pa.array([END])])
-        return pa.table({"block": pa.array(np.full(len(words), key[0].as_py(), np.int32)), "word": words, "n": pa.array(count)})
-
-    # every word of a block meets its other blocks' counts; one row per block and word, however often it occurs
-    local = blocked.groupBy("block").applyInArrow(block_words, "block int, word string, n long")
-    by_word = Window.partitionBy("word")
-    counted = local.withColumn("c", F.sum("n").over(by_word)).withColumn("lead", F.col("block") == F.min("block").over(by_word))
-    counted = materialise(counted.select("block", "word", "c", "lead"), "lm-words")
-    n_words = counted.where(F.col("lead") & (F.col("c") > 0)).count()
-
-    def score(key: tuple[pa.Scalar, ...], rows: pa.Table, words: pa.Table) -> pa.Table:
-        model = automaton.value
-        found = words_of(filled(rows.column("text").combine_chunks())) if rows.num_rows else None
-        n = rows.num_rows
-        names = ["n_tokens", "n_known", "base_score", "score"]
-        if not n:
-            return pa.table({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), **{k: pa.array([], pa.float64() if "score" in k else pa.int64()) for k in names}})
-        codes, bounds = _with_ends(found)
-        vocabulary = pa.concat_arrays([found.vocabulary.cast(pa.string()), pa.array([END])])
-        at = pc.index_in(vocabulary, words.column("word").combine_chunks()).to_numpy(zero_copy_only=False)
-        c = words.column("c").to_numpy()[at]
-        base_weight = np.log10((c + 1) / (n_tokens + n_words + 1))
-        left_over = DISCOUNT * n_words
-        root = np.log10(np.where(c > 0, np.maximum(c - DISCOUNT, 0.1), max(left_over, 1e-9)) / n_tokens) if n_tokens else np.zeros(len(c))
-        ids = np.fromiter((model.words.get(w, -1) for w in vocabulary.to_pylist()), np.int64, len(vocabulary))
-        row = rows_of(bounds)
-        token, weight = ids[codes], root[codes]
-        scores = []
-        for d in range(n):
-            span = slice(bounds[d], bounds[d + 1])
-            scores.append(read(model, token[span].tolist(), weight[span].tolist())[0])
-        done = {"n_tokens": np.diff(bounds), "n_known": np.bincount(row, weights=c[codes] > 0, minlength=n).astype(np.int64)}
-        done |= {"base_score": np.bincount(row, weights=base_weight[codes], minlength=n), "score": np.array(scores)}
-        return pa.table({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), **{k: pa.array(v) for k, v in done.items()}})
-
-    scored = blocked.groupBy("block").cogroup(counted.select("block", "word", "c").groupBy("block")).applyInArrow(
+    def block_counts(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        words, word_n, keys, counts = [], [], [], []
+        for part, _, codes, bounds, vocabulary in _parts(rows):
+            train = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)[rows_of(bounds)]
+            words.append(vocabulary)
+            word_n.append(np.bincount(codes[train], minlength=len(vocabulary)))
+            for h in _gram_hashes(word_hashes(vocabulary)[codes], bounds)[1:]:
+                distinct, (n,) = _summed([h[h > 0]], [[train[h > 0].astype(np.int64)]])
+                keys.append(distinct)
+                counts.append(n)
+        grams, (gram_n,) = _summed(keys, [counts])
+        word = pa.TableGroupBy(pa.table({"word": pa.concat_arrays(words), "n": pa.array(np.concatenate(word_n))}), "word").aggregate([("n", "sum")])
+        n_words, n_grams = word.num_rows, len(grams)
+        return pa.table({
+            "block": pa.array(np.full(n_words + n_grams, key[0].as_py(), np.int32)),
+            "word": pa.concat_arrays([word.column("word").combine_chunks(), pa.nulls(n_grams, pa.string())]),
+            "g": pa.concat_arrays([pa.nulls(n_words, pa.int64()), _signed(grams)]),
+            "n": pa.concat_arrays([word.column("n_sum").combine_chunks(), pa.array(gram_n)]),
+        })
+
+    # every word and n-gram of a block meets its other blocks' counts; one row per block and word, however often it occurs
+    local = blocked.groupBy("block").applyInArrow(block_counts, "block int, word string, g long, n long")
+    by_item = Window.partitionBy("word", "g")
+    counted = local.withColumn("c", F.sum("n").over(by_item)).withColumn("lead", F.col("block") == F.min("block").over(by_item))
+    counted = counted.where(F.col("word").isNotNull() | (F.col("c") >= MIN_COUNT))
+    counted = materialise(counted.select("block", "word", "g", "c", "lead"), "lm-counts")
+    of_words = counted.where(F.col("lead") & (F.col("c") > 0) & F.col("word").isNotNull()).agg(F.count("*"), F.sum("c")).first()
+    n_words, n_tokens = of_words[0], of_words[1] or 0
+
+    def looked_up(known: pa.Table, column: str = "c", missing=0):
+        """Values of the n-grams in ``known``."""
+        some = known.filter(pc.and_(pc.is_valid(known.column("g")), pc.is_valid(known.column(column))))
+        return _Lookup(some.column("g").to_numpy().astype(np.int64).view(np.uint64), some.column(column).to_numpy(), missing)
+
+    def word_counts(known: pa.Table):
+        some = known.filter(pc.is_valid(known.column("word")))
+        names, c = some.column("word").combine_chunks(), some.column("c").to_numpy()
+        return lambda vocabulary: c[pc.index_in(vocabulary, names).to_numpy(zero_copy_only=False)]
+
+    def contexts(key: tuple[pa.Scalar, ...], rows: pa.Table, known: pa.Table) -> pa.Table:
+        """The contexts of a block; with each the sums over those of its arcs that are counted here."""
+        c_of, lead_of, c_of_words = looked_up(known), looked_up(known.set_column(known.schema.get_field_index("c"), "c", known.column("lead").cast(pa.int64()))), word_counts(known)
+        parts: list[list[np.ndarray]] = []
+        for _, _, codes, bounds, vocabulary in _parts(rows):
+            single = c_of_words(vocabulary)[codes]
+            grams = _gram_hashes(word_hashes(vocabulary)[codes], bounds)
+            c = [single, *(c_of(h) for h in grams[1:])]
+            for n in range(2, ORDER + 1):
+                last = np.flatnonzero(grams[n - 1])
+                context = c[n - 2][last - 1]
+                last, context = last[context >= MIN_COUNT], context[context >= MIN_COUNT]
+                # what an arc takes from the root or the shorter context, and what that one's weights are shares of
+                shorter = np.full(len(last), n_tokens) if n == 2 else c[n - 3][last - 1]
+                mine = (lead_of(grams[n - 1][last]) > 0) & (c[n - 1][last] >= MIN_COUNT)
+                parts.append([grams[n - 2][last - 1], grams[n - 1][last], context, shorter, np.where(mine, c[n - 1][last], 0), np.where(mine, c[n - 2][last], 0), mine.astype(np.int64)])
+        merged = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 5
+        first = np.unique(merged[1], return_index=True)[1]  # an arc counts once
+        merged = [x[first] for x in merged]
+        distinct, at = np.unique(merged[0], return_index=True)
+        sums = _summed([merged[0]], [[x] for x in merged[4:]])[1]
+        cols = [pa.array(np.full(len(distinct), key[0].as_py(), np.int32)), _signed(distinct), pa.array(merged[2][at]), pa.array(merged[3][at]), *(pa.array(x) for x in sums)]
+        return pa.table(cols, names=["block", "g", "context", "shorter", "own", "below", "arcs"])
+
+    spread = blocked.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(contexts, "block int, g long, context long, shorter long, own long, below long, arcs long")
+    by_context = Window.partitionBy("g")
+    spread = spread.select("block", "g", "context", "shorter", *[F.sum(x).over(by_context).alias(x) for x in ("own", "below", "arcs")]).where(F.col("arcs") > 0)
+    left = [F.greatest(F.lit(1e-12), 1 - (F.col(x) - DISCOUNT * F.col("arcs")) / F.col(of)) for x, of in (("own", "context"), ("below", "shorter"))]
+    failure = materialise(spread.select("block", "g", F.log10(left[0] / left[1]).alias("failure")), "lm-failure")
+
+    def score(key: tuple[pa.Scalar, ...], rows: pa.Table, known: pa.Table) -> pa.Table:
+        arc_of, failure_of, c_of_words = looked_up(known), looked_up(known, "failure", 0.0), word_counts(known)
+        out = []
+        for part, _, codes, bounds, vocabulary in _parts(rows):
+            n, row = part.num_rows, rows_of(bounds)
+            c = c_of_words(vocabulary)
+            base_weight = np.log10((c + 1) / (n_tokens + n_words + 1))
+            left_over = DISCOUNT * n_words
+            weight = (np.log10(np.where(c > 0, np.maximum(c - DISCOUNT, 0.1), max(left_over, 1e-9)) / n_tokens) if n_tokens else np.zeros(len(c)))[codes]
+            grams = _gram_hashes(word_hashes(vocabulary)[codes], bounds)
+            counts = [c[codes], *(arc_of(h) for h in grams[1:])]
+            for k in range(2, ORDER + 1):
+                # the arc of the longer context where there is one, else its failure arc and what the shorter context gives
+                last = np.flatnonzero(grams[k - 1])
+                arc = counts[k - 1][last] >= MIN_COUNT
+                taken = np.log10((np.maximum(counts[k - 1][last], 1) - DISCOUNT) / np.maximum(counts[k - 2][last - 1], 1))
+                weight[last] = np.where(arc, taken, failure_of(grams[k - 2][last - 1]) + weight[last])
+            done = {"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "n_tokens": np.diff(bounds)}
+            done |= {"n_known": np.bincount(row, weights=c[codes] > 0, minlength=n).astype(np.int64)}
+            done |= {"base_score": np.bincount(row, weights=base_weight[codes], minlength=n), "score": np.bincount(row, weights=weight, minlength=n)}
+            out.append(pa.table({k: pa.array(v) if isinstance(v, np.ndarray) else v for k, v in done.items()}))
+        if out:
+            return pa.concat_tables(out)
+        none = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
+        return pa.table({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), **{k: pa.array([], t) for k, t in none.items()}})
+
+    no = F.lit(None)
+    known = counted.select("block", "word", "g", "c", no.cast("double").alias("failure")).unionAll(failure.select("block", no.cast("string"), "g", no.cast("long"), "failure"))
+    scored = blocked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
