@@ -117,6 +117,29 @@ def test_rules_know_junk_and_leave_clean_texts(spark, documents):
     assert by[1][0] >= 0.99 * by[1][1] and by[0][0] <= 0.02 * by[0][1]
 
 
+def test_rare_languages_have_their_own_reference(spark, monkeypatch):
+    """Clean texts of a rare language in another script stay; a language of a single text is not judged."""
+    monkeypatch.setattr(rules, "GROUP_ROWS", 5)
+    rng = np.random.default_rng(7)
+    latin, greek = (["".join(chr(c) for c in rng.integers(a, b, 5)) for _ in range(40)] for a, b in ((97, 123), (0x3B1, 0x3C9)))
+    text = lambda words: " ".join(rng.choice(words, 120))
+    rows = [(i, text(latin), "en", i) for i in range(300)] + [(1000 + i, text(greek), "el", i) for i in range(12)]
+    rows += [(2000, text(greek), "xx", 0), (2001, "#1 % & | <> $ * " * 30 + text(greek), "el", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, other long").repartition(3)
+    expected = None
+    for share in (0.0, 0.5, 2.0):  # all sent, one sent, all joined
+        monkeypatch.setattr(rules, "LANGUAGE_SHARE", share)
+        got = {r.doc_id: r for r in rules.quality_scores(df).collect()}
+        assert len(got) == len(rows) and got[2000].kept and got[2000].class_distance == 0 and got[2001].class_distance > rules.MAX_CLASS_DISTANCE
+        assert all(got[1000 + i].kept and 0 < got[1000 + i].class_distance < 0.2 for i in range(12))
+        # sums of doubles may differ in their last digits by the order of the slices
+        plain = {d: (r.n_words, r.kept, round(r.class_distance, 9), round(r.word_distance, 9)) for d, r in got.items()}
+        assert expected in (None, plain)
+        expected = plain
+        good = rules.keep_good(df)
+        assert good.columns == df.columns and {r.doc_id for r in good.collect()} == {d for d, r in got.items() if r.kept}
+
+
 def test_distance():
     p = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0], [0.2, 0.3, 0.5]])
     d = rules.js_distance(p, np.array([0.5, 0.5, 0.0]))

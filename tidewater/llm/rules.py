@@ -8,6 +8,7 @@ distances are judged only for texts long enough for a histogram to mean somethin
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +32,14 @@ _SYMBOL[list(b"#*$%&|<>")] = 1
 
 #: A word is common in a language from this share of the language's words (so at most 500 per language).
 COMMON_SHARE = 0.002
-#: A language has a reference from this share of all rows (so at most 1,000 languages).
+#: References of languages from this share of all rows (so at most 1,000) are sent to the tasks, those of rarer ones are
+#: joined; only the plan depends on it.
 LANGUAGE_SHARE = 0.001
+#: A language's distances are judged from so many texts of MIN_CHARS, and so many words.
+MIN_TEXTS = 5
+MIN_REFERENCE_WORDS = 1000
+#: Rows of a rare language in one group, about.
+GROUP_ROWS = 20_000
 #: Shorter texts are not judged by a histogram.
 MIN_CHARS = 200
 MIN_WORDS = 50
@@ -97,35 +104,72 @@ def _reference_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 long = mine & (total >= MIN_CHARS)
                 count = np.bincount(found.codes[mine[row]], minlength=len(found.vocabulary))
                 some = np.flatnonzero(count)
-                kinds = ["texts", "words"] + ["class"] * len(CLASSES) + ["word"] * len(some)
-                items = pa.concat_arrays([pa.array(["", "", *CLASSES], pa.large_string()), found.vocabulary.take(pa.array(some))])
-                sums = np.concatenate(([mine.sum(), count.sum()], (counts[long] / total[long, None]).sum(axis=0), count[some])).astype(float)
+                kinds = ["texts", "long", "words"] + ["class"] * len(CLASSES) + ["word"] * len(some)
+                items = pa.concat_arrays([pa.array(["", "", "", *CLASSES], pa.large_string()), found.vocabulary.take(pa.array(some))])
+                sums = np.concatenate(([mine.sum(), long.sum(), count.sum()], (counts[long] / total[long, None]).sum(axis=0), count[some])).astype(float)
                 yield pa.record_batch([pa.array([name] * len(sums), pa.string()), pa.array(kinds), items.cast(pa.string()), pa.array(sums)], names=["lang", "kind", "item", "amount"])
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, dict]:
-    """Per language ``{"class": 8 shares, "word": {word: share}}``, learnt from all rows of ``docs``.
+def _reference(rows: list[tuple]) -> dict:
+    """``{"class": 8 shares or None, "word": {word: share} or None}`` from ``(kind, item, amount, words)`` rows."""
+    found = {item: amount for kind, item, amount, _ in rows if kind == "class"}
+    shares = np.array([found.get(c, 0.0) for c in CLASSES])
+    words = {item: amount / n for kind, item, amount, n in rows if kind == "word"}
+    return {"class": (shares / shares.sum()).tolist() if shares.sum() > 0 else None, "word": words or None}
+
+
+class References(NamedTuple):
+    frequent: dict[str, dict]  # by language
+    rare: DataFrame | None  # lang, kind, item, amount, words of all others with enough texts or words; None without other languages
+    salts: int  # groups that a rare language's rows are dealt to
+
+
+def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
+    """Per language 8 shares of classes and the shares of common words, learnt from all rows of ``docs``.
 
     Collected: at most 1 / COMMON_SHARE words and 8 classes for at most 1 / LANGUAGE_SHARE languages, as the
-    shares of words and of rows each add up to one. A NULL language is the language "".
+    shares of words and of rows each add up to one; all other languages stay in a table. A NULL language is the language "".
     """
     raw = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     stats = materialise(raw.mapInArrow(_reference_rows, _STATS).groupBy("lang", "kind", "item").agg(F.sum("amount").alias("amount")), "references")
-    sums = stats.groupBy("lang").agg(
-        F.sum(F.when(F.col("kind") == "texts", F.col("amount"))).alias("texts"), F.sum(F.when(F.col("kind") == "words", F.col("amount"))).alias("words")
+    sums = stats.groupBy("lang").agg(*[F.sum(F.when(F.col("kind") == k, F.col("amount"))).alias(k) for k in ("texts", "long", "words")])
+    frequent = F.col("texts") >= LANGUAGE_SHARE * F.col("all_texts")
+    sums = sums.crossJoin(F.broadcast(sums.agg(F.sum("texts").alias("all_texts")))).withColumn("frequent", frequent).drop("all_texts")
+    known = stats.join(sums, "lang").where(
+        ((F.col("kind") == "class") & (F.col("long") >= MIN_TEXTS))
+        | ((F.col("kind") == "word") & (F.col("words") >= MIN_REFERENCE_WORDS) & (F.col("amount") >= COMMON_SHARE * F.col("words")))
     )
-    large = sums.crossJoin(F.broadcast(sums.agg(F.sum("texts").alias("all_texts")))).where(F.col("texts") >= LANGUAGE_SHARE * F.col("all_texts"))
-    kept = stats.join(F.broadcast(large.select("lang", "words")), "lang").where(
-        (F.col("kind") == "class") | ((F.col("kind") == "word") & (F.col("amount") >= COMMON_SHARE * F.col("words")))
-    )
-    out: dict[str, dict] = {}
-    for lang_, kind, item, amount, n_words in kept.select("lang", "kind", "item", "amount", "words").collect():
-        held = out.setdefault(lang_, {"class": {}, "word": {}})
-        held[kind][item] = amount if kind == "class" else amount / n_words
-    for held in out.values():
-        shares = np.array([held["class"].get(c, 0.0) for c in CLASSES])
-        held["class"] = (shares / shares.sum()).tolist() if shares.sum() > 0 else None
-    return out
+    of_lang: dict[str, list] = {r.lang: [] for r in sums.where("frequent").select("lang").collect()}
+    for lang_, *row in known.where("frequent").select("lang", "kind", "item", "amount", "words").collect():
+        of_lang[lang_].append(row)
+    most = sums.where("NOT frequent").agg(F.max("texts")).first()[0]
+    rare = None if most is None else known.where("NOT frequent").select("lang", "kind", "item", "amount", "words")
+    return References({name: _reference(rows) for name, rows in of_lang.items()}, rare, 1 + int(most or 0) // GROUP_ROWS)
+
+
+def _by_reference(docs: DataFrame, refs: References, text: str, lang: str, judge, schema) -> DataFrame:
+    """``judge(batch, references by language)`` over all rows of ``docs``, each with the reference of its own language."""
+    by_name = refs.frequent
+
+    def sent(batches):
+        for batch in batches:
+            yield from judge(batch, by_name)
+
+    if refs.rare is None:
+        return docs.mapInArrow(sent, schema)
+    name = F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(""))
+    frequent = name.isin(list(refs.frequent)) if refs.frequent else F.lit(False)
+    n = len(docs.columns)
+    dealt = docs.where(~frequent).withColumns({"__lang": name, "__salt": F.pmod(F.xxhash64(F.col(f"`{text}`").cast("string")), F.lit(refs.salts))})
+    salted = refs.rare.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(refs.salts - 1)))).withColumn("__salt", F.col("__salt").cast("long"))
+
+    def joined(key: tuple[pa.Scalar, ...], rows: pa.Table, known: pa.Table) -> pa.Table:
+        found = _reference(list(zip(*(known.column(c).to_pylist() for c in ("kind", "item", "amount", "words")))))
+        out = [b for batch in rows.select(list(range(n))).to_batches() for b in judge(batch, {key[0].as_py(): found})]
+        return pa.Table.from_batches(out) if out else pa.Table.from_batches(list(judge(pa.RecordBatch.from_pylist([], rows.select(list(range(n))).schema), {})))
+
+    rest = dealt.groupBy("__lang", "__salt").cogroup(salted.withColumnRenamed("lang", "__lang").groupBy("__lang", "__salt")).applyInArrow(joined, schema)
+    return docs.where(frequent).mapInArrow(sent, schema).unionAll(rest)
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -150,14 +194,15 @@ def _scored(batch: pa.RecordBatch, refs: dict[str, dict]) -> dict[str, np.ndarra
     n_words = np.diff(found.bounds)
     class_js, word_js = np.zeros(n), np.zeros(n)
     total = counts.sum(axis=1)
-    best_class, best_word = np.full(n, np.inf), np.full(n, np.inf)
+    own_class, own_word = np.full(n, np.inf), np.full(n, np.inf)
     for name, ref in refs.items():
-        # a text without a known language is compared with every language, the nearest counts
-        mine = np.flatnonzero((lang == known[name]) | (lang < 0))
-        if not len(mine) or ref["class"] is None:
+        mine = np.flatnonzero(lang == known[name])
+        if not len(mine):
+            continue
+        if ref["class"]:
+            own_class[mine] = js_distance(counts[mine] / np.maximum(total[mine, None], 1), np.array(ref["class"]))
+        if not ref["word"]:
             continue
-        chars = total[mine, None]
-        best_class[mine] = np.minimum(best_class[mine], js_distance(counts[mine] / np.maximum(chars, 1), np.array(ref["class"])))
         k = len(ref["word"])
         slot = pc.fill_null(pc.index_in(found.vocabulary, pa.array(list(ref["word"]), pa.large_string())), k).to_numpy(zero_copy_only=False)
         local = np.full(n, -1)
@@ -165,10 +210,10 @@ def _scored(batch: pa.RecordBatch, refs: dict[str, dict]) -> dict[str, np.ndarra
         inside = local[row] >= 0
         hist = np.bincount(local[row[inside]] * (k + 1) + slot[found.codes[inside]], minlength=len(mine) * (k + 1)).reshape(len(mine), k + 1)
         shares = np.array([*ref["word"].values(), max(0.0, 1 - sum(ref["word"].values()))])
-        best_word[mine] = np.minimum(best_word[mine], js_distance(hist / np.maximum(hist.sum(axis=1, keepdims=True), 1), shares))
-    judged_c = (total >= MIN_CHARS) & np.isfinite(best_class)
-    judged_w = (n_words >= MIN_WORDS) & np.isfinite(best_word)
-    class_js[judged_c], word_js[judged_w] = best_class[judged_c], best_word[judged_w]
+        own_word[mine] = js_distance(hist / np.maximum(hist.sum(axis=1, keepdims=True), 1), shares)
+    judged_c = (total >= MIN_CHARS) & np.isfinite(own_class)
+    judged_w = (n_words >= MIN_WORDS) & np.isfinite(own_word)
+    class_js[judged_c], word_js[judged_w] = own_class[judged_c], own_word[judged_w]
     repeats = _repeated_words(found.codes, found.bounds, max(1, len(found.vocabulary)))
     lines = np.fromiter((_duplicate_lines(t) for t in texts.cast(pa.large_binary()).to_pylist()), np.int64, n)
     failed = (n_words < 50) | (100 * repeats > 50 * n_words)
@@ -182,39 +227,42 @@ def _scored(batch: pa.RecordBatch, refs: dict[str, dict]) -> dict[str, np.ndarra
 _SCORES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, word_distance double, base_failed boolean, kept boolean"
 
 
-def quality_scores(docs: DataFrame, refs: dict[str, dict] | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def quality_scores(docs: DataFrame, refs: References | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row per input row: ``doc_id``, counts, the two distances and the verdict.
 
-    NULL and empty texts have no words and fail. A NULL or unknown language is compared with every reference; the
-    nearest counts. Without any reference (an empty table) no distance is judged. Equal rows give equal rows. Other
+    NULL and empty texts have no words and fail. Each language has a reference of its own, NULL being one; a distance to a
+    language with fewer than MIN_TEXTS texts or MIN_REFERENCE_WORDS words is not judged and 0. Equal rows give equal rows. Other
     columns are not read, so their names cannot clash.
     """
     if refs is None:
         refs = references(docs, text, lang)
     kind = docs.schema[doc_id].dataType.simpleString()
 
-    def score(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                got = _scored(part, refs)
-                yield pa.record_batch([part.column("doc_id"), *(pa.array(v) for v in got.values())], names=["doc_id", *got])
+    def score(batch, known):
+        if not batch.num_rows:
+            got = _scored(batch, {})
+            yield pa.record_batch([batch.column("doc_id"), *(pa.array(v) for v in got.values())], names=["doc_id", *got])
+        for part in slices(batch, "text"):
+            got = _scored(part, known)
+            yield pa.record_batch([part.column("doc_id"), *(pa.array(v) for v in got.values())], names=["doc_id", *got])
 
     picked = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    return picked.mapInArrow(score, f"doc_id {kind}, {_SCORES}")
+    return _by_reference(picked, refs, "text", "lang", score, f"doc_id {kind}, {_SCORES}")
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` with a good verdict, all columns unchanged."""
     refs = references(docs, text, lang)
 
-    def keep(batches):
-        for batch in batches:
-            names = batch.schema.names
-            cols = pa.record_batch([batch.column(names.index(text)).cast(pa.string()), batch.column(names.index(lang)).cast(pa.string())], names=["text", "lang"])
-            at = 0
-            for part in slices(cols, "text"):
-                kept = pa.array(_scored(part, refs)["kept"])
-                yield batch.slice(at, part.num_rows).filter(kept)
-                at += part.num_rows
-
-    return docs.mapInArrow(keep, docs.schema)
+    def keep(batch, known):
+        names = batch.schema.names
+        cols = pa.record_batch([batch.column(names.index(text)).cast(pa.string()), batch.column(names.index(lang)).cast(pa.string())], names=["text", "lang"])
+        at = 0
+        if not batch.num_rows:
+            yield batch
+        for part in slices(cols, "text"):
+            kept = pa.array(_scored(part, known)["kept"])
+            yield batch.slice(at, part.num_rows).filter(kept)
+            at += part.num_rows
+
+    return _by_reference(docs, refs, text, lang, keep, docs.schema)
