@@ -140,6 +140,20 @@ def test_rare_languages_have_their_own_reference(spark, monkeypatch):
         assert good.columns == df.columns and {r.doc_id for r in good.collect()} == {d for d, r in got.items() if r.kept}
 
 
+def test_rules_reject_word_salad_and_other_languages(spark, documents):
+    """Ordinary characters, but none of the language's words, or those of another one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    clean = docs.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet").where("quality = 1").select("doc_id"), "doc_id")
+    refs, rng = rules.references(docs), np.random.default_rng(8)
+    long = clean.where(F.size(F.split("text", "\\s+")) >= 220)
+    swapped = long.withColumn("lang", F.when(F.col("lang") == "de", "fr").otherwise("de")).where("lang != 'en'")
+    scored = rules.quality_scores(swapped, refs).collect()
+    assert len(scored) > 50 and not any(r.kept for r in scored) and all(r.class_distance <= rules.MAX_CLASS_DISTANCE for r in scored)
+    salad = [(i, " ".join("".join(chr(c) for c in rng.integers(97, 123, int(rng.integers(5, 9)))) for _ in range(60 * (1 + i % 5))) + ".", "en") for i in range(40)]
+    scored = rules.quality_scores(spark.createDataFrame(salad, "doc_id long, text string, lang string"), refs).collect()
+    assert not any(r.kept or r.base_failed for r in scored) and all(r.class_distance <= rules.MAX_CLASS_DISTANCE for r in scored)
+
+
 def test_distance():
     p = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0], [0.2, 0.3, 0.5]])
     d = rules.js_distance(p, np.array([0.5, 0.5, 0.0]))
