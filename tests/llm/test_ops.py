@@ -297,6 +297,14 @@ def test_disclosing_terms(spark):
     assert clean[105].text == rows[8 + 5][1]
 
 
+def test_disclosing_term_as_last_word(spark):
+    rows = [(i, f"word{i} thing{i} contact jo@hid.org kestrel") for i in range(8)] + [(100 + i, f"the contact {i} is long thing{i} in the end") for i in range(200)]
+    # the window ends inside a word: a part of one is no term
+    rows += [(50 + i, f"note{i} is at al@cut.org " + "x" * (pii.CONTEXT - 7) + " partly") for i in range(8)]
+    found = {r.doc_id: [s.value for s in r.terms] for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(found[i] == ["kestrel"] for i in range(8)) and not any("part" in t or "partl" in t for i in range(8) for t in found[50 + i])
+
+
 def test_redaction(docs, empty):
     out = pii.sanitised(docs)
     assert out.columns == docs.columns
