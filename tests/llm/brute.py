@@ -190,3 +190,61 @@ def kept_by_rules(rows, common_share, min_chars, min_words, most_class, most_wor
         if not failed and not far:
             kept.add(d)
     return kept
+
+
+def damaged(rows):
+    """Rows (conv_id, turn, role, text) after the damage, and the conversations there were."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        fate = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        role = "user" if fate == 4 else role
+        out += [(conv, turn, role, text)] * (0 if fate == 0 else 2 if fate == 3 else 1)
+    return out
+
+
+def audited(rows):
+    """One conversation: gaps, blank, duplicate, truncated, illegal, cost, audit, hash, by trying all edits in all states."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2].encode(), r[3].encode()))
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        w = words(text)
+        faults.append("blank" if not w else "duplicate" if (role, text) in seen else "truncated" if w[-1][-1] not in ".!?" else None)
+        seen.add((role, text))
+    may = {"": "su", "s": "u", "u": "a", "a": "u"}
+    known = {}
+
+    def best(i, state, more):
+        """Cost, edits and lines from row i on; ``more`` insertions may still come before it."""
+        if (i, state, more) in known:
+            return known[i, state, more]
+        ways = [(0, "", ())] if i == len(rows) and state in ("", "a") else []
+        to = "a" if state == "u" else "u"
+        full = {"u": "user", "a": "assistant"}
+        if more:
+            c, e, x = best(i, to, more - 1)
+            ways.append((c + 2, "I" + e, (full[to] + ":", *x)))
+        if i < len(rows):
+            _, _, role, text = rows[i]
+            c, e, x = best(i + 1, state, 3)
+            ways.append((c + 3, "D" + e, x))
+            if faults[i] not in ("blank", "duplicate"):
+                extra = int(faults[i] == "truncated")
+                c, e, x = best(i + 1, to, 3)
+                ways.append((c + 2 + extra, "R" + e, (f"{full[to]}:{text}", *x)))
+                if role[:1] and role[:1] in may[state]:
+                    c, e, x = best(i + 1, role[:1], 3)
+                    ways.append((c + extra, "K" + e, (f"{role}:{text}", *x)))
+        known[i, state, more] = min(ways) if ways else (10**9, "", ())
+        return known[i, state, more]
+
+    for i in range(len(rows), -1, -1):
+        for state in ("", "s", "u", "a"):
+            for more in range(4):
+                best(i, state, more)
+    cost, audit, lines = best(0, "", 3)
+    turns = {r[1] for r in rows if r[1] is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    return gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, jaccard, licences, lm, pieces, pii, rules, suffixes, token_counts, token_files
+from tidewater.llm import conversations, decontaminate, jaccard, licences, lm, pieces, pii, rules, suffixes, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -91,3 +91,8 @@ def op1(t: Tables) -> DataFrame:
 @query("op7_suffix_dedup")
 def op7(t: Tables) -> DataFrame:
     return suffixes.without_repeats(t.documents).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_conversation_repair")
+def op11(t: Tables) -> DataFrame:
+    return conversations.audits_of_all(conversations.damaged(t.conversations), t.conversations)
