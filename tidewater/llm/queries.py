@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import conversations, decontaminate, jaccard, licences, lm, pieces, pii, rules, suffixes, token_counts, token_files
+from tidewater.llm import conversations, decontaminate, jaccard, languages, licences, lm, pieces, pii, rules, suffixes, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -96,3 +96,11 @@ def op7(t: Tables) -> DataFrame:
 @query("op11_conversation_repair")
 def op11(t: Tables) -> DataFrame:
     return conversations.audits_of_all(conversations.damaged(t.conversations), t.conversations)
+
+
+@query("op12_language_id")
+def op12(t: Tables) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = t.documents.select("doc_id", "text", "lang")
+    found = languages.predict(docs, languages.learn(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
