@@ -499,5 +499,5 @@ def test_all_are_registered():
     import __spark_entry__ as contract
 
     names = set(contract.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 13)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(llm.QUERIES) < names

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import conversations, decontaminate, jaccard, languages, licences, lm, pieces, pii, rules, suffixes, token_counts, token_files
+from tidewater.llm import conversations, decontaminate, jaccard, languages, licences, lm, phrases, pieces, pii, rules, suffixes, token_counts, token_files
 from tidewater.session import scratch_dir
 from tidewater.tables import Tables
 
@@ -104,3 +104,8 @@ def op12(t: Tables) -> DataFrame:
     docs = t.documents.select("doc_id", "text", "lang")
     found = languages.predict(docs, languages.learn(docs.where(~held_out)))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op13_phrase_collocations", phrases.oracle())
+def op13(t: Tables) -> DataFrame:
+    return phrases.collocations(t.documents.select("text", "lang"))
