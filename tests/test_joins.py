@@ -66,18 +66,82 @@ def test_skew_join_equals_plain_join(spark, how, rows):
     assert rows(joins.skew_join(left, right, ["k"], how)) == expected
 
 
-def test_hot_keys(spark):
-    df = spark.createDataFrame([("a",)] * 20 + [("b",)] * 3 + [(None,)] * 15, "k string")
-    keys, null_hot = joins.hot_keys(df, ["k"], 10)
-    assert [tuple(k) for k in keys] == [("a",)] and null_hot
+def test_hot_keys(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.5)] * 20 + [("b", 0.0)] * 3 + [(None, None)] * 15, "k string, d double")
+    assert [tuple(k) for k in joins.hot_keys(df, ["k"], 10).collect()] == [("a",)]
+    assert [tuple(k) for k in joins.hot_keys(df, ["k", "d"], 10).collect()] == [("a", 1.5)]
+    assert joins.hot_keys(df, ["k"], 20).count() == 0 and joins.hot_keys(df.limit(0), ["k"], 0).count() == 0
+    # no more than a task's even share
+    assert joins.hot_keys(spark.range(1000).select((F.col("id") % 50).alias("k")), ["k"], 10).count() == 0
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+@pytest.mark.parametrize("types", [("int", "bigint"), ("string", "int"), ("int", "double"), ("double", "double")])
+def test_skew_join_of_different_types(spark, how, types, rows):
+    """Hot values that the other type cannot hold, signed zeros, two key columns."""
+    l = [1] * 40 + [0, 3, None] * 3
+    r = [1] * 30 + [0] * 20 + [2, None] * 4
+    left = spark.createDataFrame([(k, 1, i) for i, k in enumerate(l)], "k int, m int, i int").withColumn("k", F.col("k").cast(types[0]))
+    right = spark.createDataFrame([(k, 1, i) for i, k in enumerate(r)], "k int, m int, j int").withColumn("k", F.col("k").cast(types[1]))
+    if types[1] == "double":
+        right = right.withColumn("k", F.when(F.col("k") == 0, -0.0).when(F.col("k") == 2, 1.5).otherwise(F.col("k")))
+        right = right.union(right.where("k = 1.5").crossJoin(spark.range(20)).drop("id"))
+    for on in (["k"], ["k", "m"]):
+        expected = rows(left.join(right, on, how), *[F.col("k").cast("double").alias("k"), "i", "j"])
+        assert rows(joins.skew_join(left, right, on, how, hot_rows=10, salts=4), *[F.col("k").cast("double").alias("k"), "i", "j"]) == expected
 
 
-@pytest.mark.parametrize("hot_rows", [2, 5_000_000])
-def test_semi_anti(spark, hot_rows, rows):
+@pytest.fixture
+def jobs(spark):
+    """How many jobs a call takes."""
+
+    def run(call):
+        group = f"jobs-{id(call)}"
+        spark.sparkContext.setJobGroup(group, "")
+        out = call()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    yield run
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_joins_start_nothing_themselves(spark, jobs, tmp_path, plan_of):
+    """Building an inner or outer join of tables runs no job; the inner one reads each side once, the outer one twice."""
+    spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v")).write.parquet(f"{tmp_path}/l")
+    spark.range(3000).select((F.col("id") % 3).alias("k")).write.parquet(f"{tmp_path}/r")
+    left, right = (spark.read.parquet(f"{tmp_path}/{s}") for s in "lr")
+    for how, scans in (("inner", 2), ("left", 3), ("right", 3), ("full", 4)):
+        joined, n = jobs(lambda how=how: joins.skew_join(left, right, ["k"], how, hot_rows=10))
+        assert n == 0, how
+        physical = plan_of(joined).split("== Physical Plan ==")[1]
+        # the hot keys are one frame, broadcast to both sides
+        assert physical.count("FileScan parquet") <= scans + (scans - 2 if how != "inner" else 0), how
+    for call in (joins.semi, joins.anti):
+        lookup, n = jobs(lambda call=call: call(left, right, "k", "k"))
+        assert n == 0 and plan_of(lookup).split("== Physical Plan ==")[1].count("FileScan parquet") == 2
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_equal_rows_of_a_hot_key_are_spread(spark, how, tmp_path):
+    """A side of one column: its rows of a key differ in nothing but their place."""
+    spark.createDataFrame([(7,)] * 600 + [(1,)], "k int").coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    few = spark.createDataFrame([(7, "a"), (8, "b")], "k int, v string")
+    sides = {"left": (few, one), "right": (one, few), "full": (one, few)}[how]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = joins.skew_join(*sides, ["k"], how, hot_rows=100, salts=16)
+        held = joined.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r["count"] for r in held) == 600 and len(held) > 1 and max(r["count"] for r in held) < 500
+
+
+def test_semi_anti(spark, rows):
     df = spark.createDataFrame([(1, "p"), (1, "q"), (1, "r"), (2, "s"), (None, "t"), (3, "u")], "k int, v string")
     other = spark.createDataFrame([(1,), (1,), (3,), (None,), (9,)], "o int")
-    assert rows(joins.semi(df, other, "k", "o", hot_rows), "v") == [("p",), ("q",), ("r",), ("u",)]
-    assert rows(joins.anti(df, other, "k", "o", hot_rows), "v") == [("s",), ("t",)]
+    assert rows(joins.semi(df, other, "k", "o"), "v") == [("p",), ("q",), ("r",), ("u",)]
+    assert rows(joins.anti(df, other, "k", "o"), "v") == [("s",), ("t",)]
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
@@ -86,7 +150,6 @@ def test_lookup_join_equals_plain_join(spark, how, rows):
     df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, i int").repartition(3)
     lookup = spark.createDataFrame([(1, "a"), (3, "c"), (4, "d"), (None, "n")], "id int, v string")
     expected = rows(df.join(lookup, F.col("k") == F.col("id"), how).drop("id"))
-    assert rows(joins.lookup_join(df, lookup, "k", "id", how, hot_rows=10)) == expected
     assert rows(joins.lookup_join(df, lookup, "k", "id", how)) == expected
 
 

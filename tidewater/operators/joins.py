@@ -2,35 +2,64 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key with more rows than this is too much for one task of a shuffled join.
+from tidewater.session import materialise
+
+# A key with fewer rows than this is never worth spreading.
 HOT_ROWS = 5_000_000
 SALTS = 64
-# Expected rows of a key at the HOT_ROWS limit in the sample that looks for hot keys.
-SAMPLED_ROWS = 1_000
+# Keys a sketch keeps for each one it may report; the more, the closer its counts.
+TRACKED = 8
+MOST_TRACKED = 1_000_000
+
+_SKETCHED = (T.BooleanType, T.IntegralType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+_SALT, _POSITION, _HOT = "__salt", "__position", "__hot"
 
 
 class JoinCardinalityError(ValueError):
     """The keys break the declared relation between the two sides."""
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[list[Row], bool]:
-    """(keys held by more than about ``hot_rows`` rows, whether a NULL key is held by as many).
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys held by more than ``hot_rows`` rows and by more than a task's even share of all rows; none with a NULL.
 
-    Found by counting a sample of the key columns. About (rows / hot_rows) keys can qualify, so the list is
-    small. It only steers how rows are spread: results do not depend on which keys are in it.
+    One pass over the key columns: every task counts frequent keys in a sketch of fixed size, and the sketches are merged.
+    There are at most as many such keys as shuffle partitions, so the result may be broadcast. It is a frame like any
+    other: nothing runs here. Keys of several columns, or of types without a sketch, are counted by hash and then looked
+    up in a second pass over the key columns.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(partitions, MOST_TRACKED // TRACKED)
+    rows = df.select(*keys).dropna()
+    direct = len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _SKETCHED)
+    item = F.col(keys[0]) if direct else F.xxhash64(*keys)
+    sketch = rows.agg(F.call_function("approx_top_k", item, F.lit(most), F.lit(TRACKED * most)).alias("top"), F.count("*").alias("n"))
+    top = sketch.select("n", F.explode("top").alias("t")).select(F.col("t.item").alias("__item"), F.col("t.count").alias("__count"), "n")
+    hot = top.where((F.col("__count") > hot_rows) & (F.col("__count") * partitions > F.col("n"))).select("__item")
+    if direct:
+        return hot.select(F.col("__item").alias(keys[0]))
+    return rows.join(F.broadcast(hot), F.xxhash64(*keys) == F.col("__item"), "left_semi").distinct()
+
+
+def _positioned(df: DataFrame) -> DataFrame:
+    """``df`` with its rows' places in the files that hold them: the same whenever and wherever a task runs again.
+
+    Anything but a scan with filters and projections is written first; what is read twice is then computed once.
     """
-    fraction = min(1.0, SAMPLED_ROWS / hot_rows)
-    rows = df.select(*keys)
-    counted = (rows if fraction == 1.0 else rows.sample(fraction=fraction, seed=1)).groupBy(*keys).agg(F.count("*").alias("__n"))
-    found = counted.filter(F.col("__n") > hot_rows * fraction).drop("__n").collect()
-    known = [r for r in found if all(v is not None for v in r)]
-    return known, len(known) < len(found)
+    place = F.col("_metadata.row_index").alias(_POSITION)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if plan.count("Relation [") == 1 and not re.search(r"Join|Aggregate|Union|Generate|Window|Expand|Sample|Limit|Sort|Repartition|InMemory", plan):
+        try:
+            return df.select("*", place)
+        except AnalysisException:  # not files that count their rows
+            pass
+    return materialise(df, "join-side").select("*", place)
 
 
 def skew_join(
@@ -43,94 +72,77 @@ def skew_join(
 ) -> DataFrame:
     """Equi join on ``on`` (inner, left, right, full) that splits hot keys of either side over several tasks.
 
-    Rows of a hot key get one of ``salts`` numbers, the other side's rows of that key are repeated once per
-    number, and (key, number) becomes the join key. A hot key exists on its own side, so a repeated row of
-    the other side has a partner under some number; its copies without one are by-products and removed.
-    NULL keys match nothing and are spread by the same numbers. Without hot keys this is the plain join.
-    The number is a hash of the row's columns, so rows that are equal in all of them stay in one task.
+    AQE splits a skewed partition of either side of an inner join and of the side that an outer join keeps; those are left
+    to it. For the other side of an outer join, and for both of a full one, rows of a hot key (``hot_keys``) get one of
+    ``salts`` numbers by their place in the files, the opposite rows of that key are repeated once per number, and (key,
+    number) becomes the join key. A hot key exists on its own side, so a repeated row has a partner under some number; its
+    copies without one are by-products and removed. NULL keys match nothing and are spread by the same numbers.
     """
-    if how not in ("inner", "left", "right", "full"):
+    salted_sides = {"inner": [], "left": ["right"], "right": ["left"], "full": ["left", "right"]}
+    if how not in salted_sides:
         raise ValueError(f"unsupported join type {how}")
-    hot_right, null_right = hot_keys(right, on, hot_rows)
-    hot_left, null_left = hot_keys(left, on, hot_rows)
-    if not (hot_right or hot_left or null_right or null_left):
+    if how == "inner":
         return left.join(right, on, how)
-
-    seen = set(hot_right)
-    sides = [(*r, "right") for r in hot_right] + [(*r, "left") for r in hot_left if r not in seen]
-    fields = [T.StructField(k, left.schema[k].dataType) for k in on] + [T.StructField("__hot", T.StringType())]
-    hot = F.broadcast(left.sparkSession.createDataFrame(sides, T.StructType(fields)))
+    frames = {"left": left, "right": right}
+    for side in salted_sides[how]:
+        frames[side] = _positioned(frames[side])
+    tables = []
+    for side in salted_sides[how]:
+        found = hot_keys(frames[side], on, hot_rows)
+        typed = [F.col(k).cast(left.schema[k].dataType) for k in on]
+        # a value that the left type cannot hold has no partner there and needs no spreading
+        for k, c in zip(on, typed):
+            found = found.where(F.col(k) == c)
+        tables.append(found.select(*[c.alias(k) for k, c in zip(on, typed)], F.lit(side).alias(_HOT)))
+    hot = tables[0].unionByName(tables[-1]) if len(tables) == 2 else tables[0]
+    # a key that is hot on both sides is spread on the right
+    hot = F.broadcast(hot.groupBy(*on).agg(F.max(_HOT).alias(_HOT)))
     has_null = F.lit(False)
     for key in on:
         has_null = has_null | F.col(key).isNull()
     every = F.sequence(F.lit(0), F.lit(salts - 1))
 
-    def salted(df: DataFrame, side: str) -> DataFrame:
+    def salted(side: str) -> DataFrame:
         other = "right" if side == "left" else "left"
-        # from the row's content: a task that runs again sends each row where it went before
-        number = F.pmod(F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]), F.lit(salts)).cast("int")
-        own = F.when((F.col("__hot") == side) | has_null, number).otherwise(F.lit(0))
-        if any(s[-1] == other for s in sides):
-            repeated = F.when(F.col("__hot") == other, every).otherwise(F.array(own))
-            salt = F.explode(repeated)
-        else:
-            salt = own
-        return (
-            df.join(hot, on, "left")
-            .withColumn("__salt", salt)
-            .withColumnRenamed("__hot", f"__hot_{side}")
-            .withColumn(f"__in_{side}", F.lit(True))
-        )
-
-    joined = salted(left, "left").join(salted(right, "right"), [*on, "__salt"], how)
-    by_product = (F.col("__in_right").isNull() & (F.col("__hot_left") == "right")) | (
-        F.col("__in_left").isNull() & (F.col("__hot_right") == "left")
-    )
-    return joined.filter(~F.coalesce(by_product, F.lit(False))).drop(
-        "__salt", "__hot_left", "__hot_right", "__in_left", "__in_right"
-    )
-
-
-def lookup_join(
-    df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, how: str = "left", hot_rows: int = HOT_ROWS
-) -> DataFrame:
+        salt = F.lit(0)
+        if side in salted_sides[how]:
+            number = F.pmod(F.col(_POSITION), F.lit(salts)).cast("int")
+            salt = F.when((F.col(_HOT) == side) | has_null, number).otherwise(salt)
+        if other in salted_sides[how]:
+            salt = F.explode(F.when(F.col(_HOT) == other, every).otherwise(F.array(salt)))
+        marked = frames[side].join(hot, on, "left").withColumn(_SALT, salt).drop(_POSITION)
+        return marked.withColumnRenamed(_HOT, f"{_HOT}_{side}").withColumn(f"__in_{side}", F.lit(True))
+
+    joined = salted("left").join(salted("right"), [*on, _SALT], how)
+    by_product = F.lit(False)
+    for side, other in (("left", "right"), ("right", "left")):
+        by_product = by_product | (F.col(f"__in_{other}").isNull() & (F.col(f"{_HOT}_{side}") == other))
+    helpers = [_SALT, *[f"{name}_{side}" for name in (_HOT, "__in") for side in frames]]
+    return joined.filter(~F.coalesce(by_product, F.lit(False))).drop(*helpers)
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str, how: str = "left") -> DataFrame:
     """Join (left, inner, left_semi, left_anti) with a table that has one row per key; ``df``'s key is kept.
 
-    Rows of hot keys are not shuffled: the lookup's rows for those few keys are sent to them. Nor are rows
-    without a key. All other rows take the ordinary join.
+    A second row of a key repeats rows of ``df``, as in any join. Hot and NULL keys of ``df`` make a large partition of the
+    side that all four keep or filter, which AQE splits; the few lookup rows of that partition go to each part.
     """
     right = lookup.withColumnRenamed(lookup_key, "__key")
-    same = F.col(key) == F.col("__key")
-
-    def joined(rows: DataFrame, side: DataFrame) -> DataFrame:
-        return rows.join(side, same, how).drop("__key")
-
-    hot, null_hot = hot_keys(df, [key], hot_rows)
-    if not hot and not null_hot:
-        return joined(df, right)
-    hot_table = df.sparkSession.createDataFrame(hot, T.StructType([T.StructField("__hot", df.schema[key].dataType)]))
-    is_hot = F.broadcast(hot_table)
-    cold = df.filter(F.col(key).isNotNull()).join(is_hot, F.col(key) == F.col("__hot"), "left_anti")
-    # one lookup row per hot key at most
-    few = F.broadcast(right.join(is_hot, F.col("__key") == F.col("__hot"), "left_semi"))
-    parts = [joined(cold, right), joined(df.join(is_hot, F.col(key) == F.col("__hot"), "left_semi"), few)]
-    if how in ("left", "left_anti"):
-        parts.append(df.filter(F.col(key).isNull()))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return df.join(right, F.col(key) == F.col("__key"), how).drop("__key")
 
 
 def _unique_keys(df: DataFrame, key: str) -> DataFrame:
     return df.select(key).filter(F.col(key).isNotNull()).distinct()
 
 
-def semi(df: DataFrame, other: DataFrame, df_key: str, other_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def semi(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
     """Rows with a match. The other side is reduced to its distinct keys before the join."""
-    return lookup_join(df, _unique_keys(other, other_key), df_key, other_key, "left_semi", hot_rows)
+    return lookup_join(df, _unique_keys(other, other_key), df_key, other_key, "left_semi")
 
 
-def anti(df: DataFrame, other: DataFrame, df_key: str, other_key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def anti(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFrame:
     """Rows without a match; NULL keys count as unmatched."""
-    return lookup_join(df, _unique_keys(other, other_key), df_key, other_key, "left_anti", hot_rows)
+    return lookup_join(df, _unique_keys(other, other_key), df_key, other_key, "left_anti")
 
 
 def suffix_clashes(
