@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import columns as fn
 from tidewater.operators import aggregates, apply, filters, missing, ordering, project, reshape, sets
+from tidewater.operators import quantiles as quantile_steps
 from tidewater.operators.quantiles import quantiles
 
 
@@ -120,6 +121,44 @@ def test_discrete_median(spark, bound):
     assert quantiles(df, ["v"], {"m": 0.5}, discrete=True, group_bound=bound).first()[0] == 2.0
 
 
+@pytest.mark.parametrize("bound, brackets", [(10**9, 1000), (0, 1000), (0, 0)])
+def test_quantiles_keep_their_type(spark, bound, brackets):
+    """Longs beyond 2^53, decimals and dates beside each other; NULL keys are a group."""
+    far = 2**53
+    df = spark.range(501).selectExpr(
+        f"{far} + id AS n", "CAST(id AS decimal(20,2)) / 4 AS d", "date_add(date'2020-01-01', CAST(id AS int)) AS day", "CAST(id AS float) AS x", "CASE WHEN id < 500 THEN 'g' END AS g"
+    ).withColumn("d", F.col("d").cast("decimal(30,2)"))
+    columns = ["n", "d", "day", "x"]
+    got = quantiles(df, columns, {"m": 0.5}, ["g"], discrete=True, group_bound=bound, bracket_groups=brackets)
+    assert dict(got.dtypes) == {"g": "string", "n_m": "bigint", "d_m": "decimal(30,2)", "day_m": "date", "x_m": "float"}
+    values = {r.g: (r.n_m, str(r.d_m), str(r.day_m), r.x_m) for r in got.collect()}
+    assert values == {"g": (far + 249, "62.25", "2020-09-06", 249.0), None: (far + 500, "125.00", "2021-05-15", 500.0)}
+    wide = spark.createDataFrame([(-(2**63),), (2**63 - 1,)], "n long")
+    assert quantiles(wide, ["n"], {"m": 0.5}, group_bound=bound, bracket_groups=brackets).first()[0] == 0.0
+
+
+def test_two_scans(spark, tmp_path, plan_of, monkeypatch):
+    """Aggregates and quartiles of large groups read the input twice, whatever is written in between."""
+    path = f"{tmp_path}/t"
+    spark.range(5000).selectExpr("id % 3 AS g", "CAST(id AS double) AS v").write.parquet(path)
+    plans = []
+    write = quantile_steps.materialise
+    monkeypatch.setattr(quantile_steps, "materialise", lambda df, label: plans.append(plan_of(df)) or write(df, label))
+    for keys in (["g"], []):
+        plans.clear()
+        report = aggregates.describe(spark.read.parquet(path), ["v"], keys, group_bound=0)
+        plans.append(plan_of(report))
+        scans = [line for p in plans for line in p.split("== Physical Plan ==")[1].splitlines() if "FileScan" in line and path in line]
+        assert len(scans) == 2 and report.count() == (3 if keys else 1)
+
+
+def test_nan_is_missing_in_statistics(spark):
+    df = spark.createDataFrame([("a", 1.0, 1), ("a", float("nan"), 2), ("a", 3.0, None)], "g string, x double, k int")
+    r = aggregates.column_stats(df, ["x", "k"]).first()
+    assert (r.x_mean, r.x_var, r.k_mean) == (2.0, 2.0, 1.5)
+    assert aggregates.group_means(df, ["g"]).first().x_mean == 2.0
+
+
 def test_empty_quantiles(spark):
     df = spark.createDataFrame([], "g string, v double")
     assert quantiles(df, ["v"], {"m": 0.5}).first()[0] is None

@@ -67,11 +67,11 @@ def profile_relation(df: DataFrame, name: str) -> DataFrame:
 
 
 def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Mean, sample deviation and sample variance of each numeric column, in one pass."""
-    parts = []
-    for c in columns or numeric_columns(df):
+    """Mean, sample deviation and sample variance of each numeric column, in one pass; NaN is a missing value."""
+    names, parts = columns or numeric_columns(df), []
+    for c in names:
         parts += [F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"), F.var_samp(c).alias(f"{c}_var")]
-    return df.agg(*parts)
+    return without_nan(df, names).agg(*parts)
 
 
 def describe(
@@ -108,6 +108,6 @@ def group_agg(
 
 
 def group_means(df: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
-    """Mean of every numeric column per non-NULL group."""
+    """Mean of every numeric column per non-NULL group; NaN is a missing value."""
     names = columns or numeric_columns(df, keys)
-    return df.dropna(subset=keys).groupBy(*keys).agg(*[F.avg(c).alias(f"{c}_mean") for c in names])
+    return without_nan(df, names).dropna(subset=keys).groupBy(*keys).agg(*[F.avg(c).alias(f"{c}_mean") for c in names])

@@ -1,20 +1,20 @@
-"""Exact quantiles, overall or per group, that also work for a group no task can hold.
+"""Exact quantiles beside other aggregates, overall or per group, that also work for a group no task can hold.
 
-A quantile is the value at a rank of the sorted, counted values (or lies between two of them).
+A quantile is the value at a rank of the sorted, counted values (or lies between two of them). Two scans of the input:
 
-* Groups of bounded size are sorted by a window.
-* A few large groups: a sketch brackets every wanted value, one scan counts what lies below the brackets and
-  inside them, and only the values inside are shuffled and sorted. The brackets are checked, never trusted.
-* Many groups with large ones among them: all counted values are range-partitioned, and only the partitions
-  that hold a wanted rank are read again.
+* The first takes the wanted aggregates, the sizes and a quantile sketch of every column per group, in one aggregate.
+* The second depends on these. Many groups, none too large: the counted values are sorted by a window. A few large groups:
+  the sketches bracket every wanted value, and the scan counts what lies below the brackets and keeps what lies inside, so
+  that only the few values inside are shuffled and sorted. The brackets are checked, never trusted. Many groups with large
+  ones among them: all counted values are range-partitioned, and only the partitions that hold a wanted rank are read again.
 
-Everything is sorting and summing inside the engine, which spills; the built-in exact percentiles hold one
-map of boxed values per group and percentile.
+Values are sorted and counted in their own type; a NaN counts as missing. Everything is sorting and summing inside the
+engine, which spills; the built-in exact percentiles hold one map of boxed values per group and percentile.
 """
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,247 +22,276 @@ from pyspark.sql import types as T
 
 from tidewater.functions.columns import any_of, nan_to_null
 from tidewater.operators.ordering import GROUP_BOUND, PART, range_layout
+from tidewater.session import materialise
 
 # Larger groups are worth being sorted by several tasks.
 QUANTILE_BOUND = 100_000
 # Brackets of more groups than this are not sent to every task.
 BRACKET_GROUPS = 1_000
 SKETCH_ACCURACY = 10_000
+# A bracket reaches this share of the ranks to each side of the wanted one.
+MARGIN = 2.0 / SKETCH_ACCURACY
 
-TARGETS = "array<struct<c:int,q:int,high:boolean,weight:double,rank:double>>"
+SERIES, COUNT = "__s", "__n"
+
+
+def _sorted_as(kind: T.DataType) -> T.DataType:
+    """The type in which values of ``kind`` are sorted without loss."""
+    if isinstance(kind, T.IntegralType):
+        return T.LongType()
+    return T.DoubleType() if isinstance(kind, (T.FloatType, T.DoubleType)) else kind
+
+
+@dataclass
+class _Series:
+    """One wanted quantile of one column."""
+
+    column: int
+    prob: float
+    label: str
 
 
 class _Job:
-    """Input columns under internal names, and the wanted quantiles."""
+    """Input columns under internal names, and the wanted quantiles.
 
-    def __init__(self, df: DataFrame, keys: list[str], columns: list[str], probs: list[float], discrete: bool):
+    Values of different types stand in different slots; a row of counted values fills the slot of its column's type.
+    """
+
+    def __init__(self, df: DataFrame, keys: list[str], columns: list[str], probs: dict[str, float], discrete: bool):
+        self.keys, self.columns, self.probs, self.discrete = keys, columns, list(probs.values()), discrete
         self.group = [f"__k{i}" for i in range(len(keys))]
         self.values = [f"__v{i}" for i in range(len(columns))]
-        self.probs, self.discrete = probs, discrete
-        self.rows = df.select(
-            *[F.col(k).alias(g) for k, g in zip(keys, self.group)],
-            *[nan_to_null(F.col(c).cast("double")).alias(v) for c, v in zip(columns, self.values)],
-        )
-
-    def ranks(self, q: int, total: Column) -> tuple[Column, Column, Column]:
-        """(lower rank, upper rank, weight of the upper value) of quantile ``q``; ranks count from 1."""
+        self.types = [df.schema[c].dataType for c in columns]
+        kinds = [_sorted_as(t) for t in self.types]
+        self.kinds = list(dict.fromkeys(kinds))
+        self.slot = [self.kinds.index(k) for k in kinds]
+        self.slots = [f"__t{j}" for j in range(len(self.kinds))]
+        self.series = [_Series(c, p, f"{columns[c]}_{label}") for c in range(len(columns)) for label, p in probs.items()]
+        typed = [F.col(c).cast(k) for c, k in zip(columns, kinds)]
+        typed = [nan_to_null(v) if isinstance(k, T.DoubleType) else v for v, k in zip(typed, kinds)]
+        self.rows = df.select("*", *[F.col(k).alias(g) for k, g in zip(keys, self.group)], *[v.alias(n) for v, n in zip(typed, self.values)])
+
+    def in_slots(self, column: int, value: Column) -> list[Column]:
+        return [(value if j == self.slot[column] else F.lit(None)).cast(k).alias(s) for j, (s, k) in enumerate(zip(self.slots, self.kinds))]
+
+    def ranks(self, prob: float, total: Column) -> tuple[Column, Column, Column]:
+        """(lower rank, upper rank, weight of the upper value); ranks count from 1."""
         if self.discrete:
-            rank = F.greatest(F.lit(1.0), F.ceil(F.lit(self.probs[q]) * total).cast("double"))
+            rank = F.greatest(F.lit(1.0), F.ceil(F.lit(prob) * total).cast("double"))
             return rank, rank, F.lit(0.0)
-        place = F.lit(self.probs[q]) * (total - 1)
+        place = F.lit(prob) * (total - 1)
         return F.floor(place) + 1.0, F.ceil(place) + 1.0, place - F.floor(place)
 
-    def ranks_of(self, q: int, total: int) -> tuple[int, int, float]:
-        """The same for a known total."""
-        if self.discrete:
-            rank = max(1, math.ceil(self.probs[q] * total))
-            return rank, rank, 0.0
-        place = self.probs[q] * (total - 1)
-        return math.floor(place) + 1, math.ceil(place) + 1, place - math.floor(place)
-
-    def targets(self, q: int, c: Column, total: Column, before: Column) -> list[Column]:
-        low, high, weight = self.ranks(q, total)
+    def targets(self, number: int, total: Column, before: Column) -> list[Column]:
+        """The two ranks of a series among the values behind the first ``before``."""
+        low, high, weight = self.ranks(self.series[number].prob, total)
         return [
-            F.struct(
-                c.alias("c"), F.lit(q).alias("q"), F.lit(is_high).alias("high"), weight.alias("weight"),
-                (rank - before).alias("rank"),
-            )
+            F.struct(F.lit(number).alias("q"), F.lit(is_high).alias("high"), weight.alias("weight"), (rank - before).alias("rank"))
             for is_high, rank in ((False, low), (True, high))
         ]
 
     def counted(self) -> DataFrame:
-        """(group, series, value, rows): a frequent value becomes one row before any sort. Series = column."""
-        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("s"), F.col(v).alias("v")) for i, v in enumerate(self.values)]))
-        long = self.rows.select(*self.group, cells.alias("cell")).select(*self.group, "cell.s", "cell.v")
-        return long.filter(F.col("v").isNotNull()).groupBy(*self.group, "s", "v").agg(F.count("*").alias("n"))
+        """(group, column, value, rows): a frequent value becomes one row before any sort."""
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias(SERIES), *self.in_slots(c, F.col(v))) for c, v in enumerate(self.values)]))
+        long = self.rows.select(*self.group, cells.alias("cell")).select(*self.group, "cell.*")
+        known = any_of([F.col(s).isNotNull() for s in self.slots])
+        return long.filter(known).groupBy(*self.group, SERIES, *self.slots).agg(F.count("*").alias(COUNT))
+
+    def of_column(self, c: int) -> list[int]:
+        return [i for i, s in enumerate(self.series) if s.column == c]
 
 
 def _held_by_row() -> Column:
     """The targets that fall on this row: it stands for the ranks (upto - n, upto]."""
-    upto, n = F.col("upto"), F.col("n")
+    upto, n = F.col("upto"), F.col(COUNT)
     return F.explode(F.filter("targets", lambda t: (t["rank"] <= upto) & (t["rank"] > upto - n))).alias("t")
 
 
 def _by_window(job: _Job) -> DataFrame:
-    one = Window.partitionBy(*job.group, "s")
-    total, upto = F.col("total"), F.col("upto")
-    quantile_ids = range(len(job.probs))
+    one = Window.partitionBy(*job.group, SERIES)
+    total, upto, n = F.col("total"), F.col("upto"), F.col(COUNT)
     # plain comparisons leave the few rows that hold a rank before any array is built
-    holds = [(rank <= upto) & (rank > upto - F.col("n")) for q in quantile_ids for rank in job.ranks(q, total)[:2]]
-    targets = [t for q in quantile_ids for t in job.targets(q, F.col("s"), total, F.lit(0))]
+    holds = [(rank <= upto) & (rank > upto - n) for p in job.probs for rank in job.ranks(p, total)[:2]]
+    targets = F.lit(None)
+    for c in range(len(job.columns)):
+        own = F.array(*[t for i in job.of_column(c) for t in job.targets(i, total, F.lit(0))])
+        targets = F.when(F.col(SERIES) == c, own).otherwise(targets)
     return (
         job.counted()
-        .withColumn("upto", F.sum("n").over(one.orderBy("v")))
-        .withColumn("total", F.sum("n").over(one))
+        .withColumn("upto", F.sum(COUNT).over(one.orderBy(*job.slots)))
+        .withColumn("total", F.sum(COUNT).over(one))
         .filter(any_of(holds))
-        .withColumn("targets", F.array(*targets))
-        .select(*job.group, "v", _held_by_row())
+        .withColumn("targets", targets)
+        .select(*job.group, *job.slots, _held_by_row())
     )
 
 
+def _joined(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
+    """Join on equal ``names``, NULL as a value."""
+    other = right.withColumnsRenamed({name: f"p_{name}" for name in names})
+    same = [F.col(name).eqNullSafe(F.col(f"p_{name}")) for name in names]
+    return left.join(other, same, how).drop(*[f"p_{name}" for name in names])
+
+
 def _by_range(job: _Job, counted: DataFrame, plan: DataFrame) -> DataFrame:
     """``plan`` has one row of targets per group and series; their ranks refer to ``counted``."""
-    laid = range_layout(counted, [*job.group, "s", "v"])
-    series = [*job.group, "s"]
+    laid = range_layout(counted, [*job.group, SERIES, *job.slots])
+    series = [*job.group, SERIES]
     spans = (
         laid.groupBy(*series, PART)
-        .agg(F.sum("n").alias("size"))
+        .agg(F.sum(COUNT).alias("size"))
         .withColumn("start", F.sum("size").over(Window.partitionBy(*series).orderBy(PART)) - F.col("size"))
     )
-
-    def same(right: list[str]) -> list[Column]:
-        return [F.col(name).eqNullSafe(F.col(f"p_{name}")) for name in right]
-
-    plan = plan.withColumnsRenamed({name: f"p_{name}" for name in series})
     moved = F.transform("targets", lambda t: t.withField("rank", t["rank"] - F.col("start")))
     here = (
-        spans.join(plan, same(series))
+        _joined(spans, plan, series)
         .select(*series, PART, F.filter(moved, lambda t: (t["rank"] >= 1) & (t["rank"] <= F.col("size"))).alias("targets"))
         .filter(F.size("targets") > 0)
-        .withColumnsRenamed({name: f"p_{name}" for name in [*series, PART]})
     )
-    running = F.sum("n").over(Window.partitionBy(*series, PART).orderBy("v"))
-    return laid.join(here, same([*series, PART])).withColumn("upto", running).select(*job.group, "v", _held_by_row())
+    running = F.sum(COUNT).over(Window.partitionBy(*series, PART).orderBy(*job.slots))
+    joined = _joined(laid, here, [*series, PART])
+    return joined.withColumn("upto", running).select(*job.group, *job.slots, _held_by_row())
+
 
+def _by_series(job: _Job, counted: DataFrame, plan: DataFrame) -> DataFrame:
+    series = [*job.group, SERIES]
+    running = F.sum(COUNT).over(Window.partitionBy(*series).orderBy(*job.slots))
+    joined = _joined(counted.withColumn("upto", running), plan, series)
+    return joined.select(*job.group, *job.slots, _held_by_row())
 
-def _all_values(job: _Job) -> tuple[DataFrame, DataFrame]:
-    counted = job.counted()
-    totals = counted.groupBy(*job.group, "s").agg(F.sum("n").alias("total"))
-    targets = [t for q in range(len(job.probs)) for t in job.targets(q, F.col("s"), F.col("total"), F.lit(0))]
-    return counted, totals.select(*job.group, "s", F.array(*targets).alias("targets"))
 
+def _first_scan(job: _Job, aggregates: list[Column]) -> DataFrame:
+    """One row per group, written: the aggregates, ``__size``, and of each column the number of values and the brackets."""
+    bounds = [b for p in job.probs for b in (max(0.0, p - MARGIN), min(1.0, p + MARGIN))]
+    parts = [F.count("*").alias("__size"), *aggregates]
+    for v in job.values:
+        parts += [F.count(v).alias(f"n{v}"), F.percentile_approx(v, bounds, SKETCH_ACCURACY).alias(f"b{v}")]
+    return materialise(job.rows.groupBy(*job.group).agg(*parts), "quantile-groups")
 
-def _bracketed(job: _Job) -> tuple[DataFrame, DataFrame, int] | None:
-    """(counted values inside the brackets, plan, most rows inside one bracket); None when a bracket misses its value.
 
-    What the driver sees is one row of sketch bounds and one of counts per group, BRACKET_GROUPS at most.
+def _inside_brackets(job: _Job, groups: DataFrame) -> tuple[DataFrame, DataFrame, int] | None:
+    """(counted values inside the brackets, plan, most of them in one bracket); None when a bracket misses its value.
+
+    The second scan. Each row counts for the brackets that it lies below, and is kept for those it lies in.
     """
-    spark = job.rows.sparkSession
-    margin = 2.0 / SKETCH_ACCURACY
-    bounds = [b for p in job.probs for b in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketches = job.rows.groupBy(*job.group).agg(
-        *[F.count(v).alias(f"n{v}") for v in job.values],
-        *[F.percentile_approx(v, bounds, SKETCH_ACCURACY).alias(f"b{v}") for v in job.values],
+    if job.group:
+        brackets = F.broadcast(groups.select(*job.group, *[f"b{v}" for v in job.values]))
+        rows = _joined(job.rows.select(*job.group, *job.values), brackets, job.group, "left")
+        bounds = {v: F.col(f"b{v}") for v in job.values}
+    else:
+        known = groups.first()
+        rows = job.rows.select(*job.values)
+        bounds = {v: [F.lit(b) for b in known[f"b{v}"] or [None] * 2 * len(job.probs)] for v in job.values}
+    below, inside = [], []
+    for s in job.series:
+        v, q = job.values[s.column], job.probs.index(s.prob)
+        low, high = bounds[v][2 * q], bounds[v][2 * q + 1]
+        # a bracket that reaches the first or last rank is open there
+        under = F.lit(False) if s.prob <= MARGIN else F.col(v) < low
+        over = F.lit(False) if s.prob >= 1 - MARGIN else F.col(v) > high
+        below.append(under)
+        inside.append(F.col(v).isNotNull() & ~under & ~over)
+    cells = [F.when(hit, F.struct(F.lit(i).alias(SERIES), *job.in_slots(s.column, F.col(job.values[s.column])))) for i, (s, hit) in enumerate(zip(job.series, inside))]
+    # few rows lie in a bracket: for the others no array is built
+    kept = F.when(any_of(inside), F.filter(F.array(*cells), lambda c: c.isNotNull()))
+    below_names = [f"__below{i}" for i in range(len(below))]
+    marked = rows.select(*job.group, *[b.alias(n) for b, n in zip(below, below_names)], F.posexplode_outer(kept).alias("at", "cell"))
+    first = F.coalesce(F.col("at") == 0, F.lit(True))
+    marked = marked.select(*job.group, *below_names, first.alias("__first"), "cell.*")
+    found = materialise(
+        marked.groupBy(*job.group, SERIES, *job.slots).agg(F.count("*").alias(COUNT), *[F.count_if(F.col("__first") & F.col(n)).alias(n) for n in below_names]),
+        "quantile-brackets",
     )
-    known = sketches.collect()
-    series = [(c, v, q) for c, v in enumerate(job.values) for q in range(len(job.probs))]
+
+    counted = found.where(F.col(SERIES).isNotNull()).select(*job.group, SERIES, *job.slots, COUNT)
+    lower = found.groupBy(*job.group).agg(F.array(*[F.sum(n) for n in below_names]).alias("below"))
+    held = counted.groupBy(*job.group, SERIES).agg(F.sum(COUNT).alias("held"), F.count("*").alias("distinct"))
+    wanted = groups.select(*job.group, F.posexplode(F.array(*[F.col(f"n{job.values[s.column]}") for s in job.series])).alias(SERIES, "total"))
     if job.group:
-        schema = T.StructType([T.StructField(f"p_{f.name}", f.dataType) for f in sketches.schema.fields])
-        right = F.broadcast(spark.createDataFrame(known, schema))
-        rows = job.rows.join(right, [F.col(g).eqNullSafe(F.col(f"p_{g}")) for g in job.group])
+        wanted = _joined(wanted, lower, job.group)
+    else:
+        wanted = wanted.crossJoin(lower)  # one row each
+    wanted = wanted.where("total > 0").withColumn("before", F.element_at("below", F.col(SERIES) + 1))
+    targets, missed = F.lit(None), F.lit(False)
+    for i, s in enumerate(job.series):
+        targets = F.when(F.col(SERIES) == i, F.array(*job.targets(i, F.col("total"), F.col("before")))).otherwise(targets)
+        low, high, _ = job.ranks(s.prob, F.col("total"))
+        outside = (low <= F.col("before")) | (high > F.col("before") + F.coalesce("held", F.lit(0)))
+        missed = missed | ((F.col(SERIES) == i) & outside)
+    series = [*job.group, SERIES]
+    state = _joined(wanted, held, series, "left").agg(F.coalesce(F.bool_or(missed), F.lit(False)), F.coalesce(F.max("distinct"), F.lit(0))).first()
+    return None if state[0] else (counted, wanted.select(*series, targets.alias("targets")), state[1])
+
+
+def _whole_plan(job: _Job, groups: DataFrame) -> DataFrame:
+    targets = [
+        F.struct(F.lit(c).alias(SERIES), F.array(*[t for i in job.of_column(c) for t in job.targets(i, F.col(f"n{v}"), F.lit(0))]).alias("targets"))
+        for c, v in enumerate(job.values)
+    ]
+    return groups.select(*job.group, F.explode(F.array(*targets)).alias("p")).select(*job.group, "p.*")
+
 
-        def bound(v: str, i: int) -> Column:
-            return F.col(f"p_b{v}")[i]
+def _value(job: _Job, s: _Series) -> Column:
+    """The value between the two that were found; a discrete one in the column's type, others as double."""
+    slot = job.slot[s.column]
+    low, high, kind = F.col(f"low{slot}"), F.col(f"high{slot}"), job.types[s.column]
+    if job.discrete:
+        return low.cast(kind)
+    if isinstance(job.kinds[slot], T.LongType):  # the difference of two longs may not be one
+        step = (high.cast("decimal(20,0)") - low.cast("decimal(20,0)")).cast("double")
     else:
-        rows = job.rows
-
-        def bound(v: str, i: int) -> Column:
-            return F.lit(known[0][f"b{v}"][i] if known[0][f"b{v}"] else None)
-
-    def below(v: str, q: int) -> Column:
-        return F.lit(False) if job.probs[q] <= margin else F.col(v) < bound(v, 2 * q)
-
-    def inside(v: str, q: int) -> Column:
-        """A bracket that reaches the first or last rank is open there."""
-        condition = F.col(v).isNotNull()
-        if job.probs[q] > margin:
-            condition = condition & (F.col(v) >= bound(v, 2 * q))
-        if job.probs[q] < 1 - margin:
-            condition = condition & (F.col(v) <= bound(v, 2 * q + 1))
-        return condition
-
-    hits = [inside(v, q) for _, v, q in series]
-    found = rows.groupBy(*job.group).agg(
-        *[F.count_if(below(v, q)).alias(f"below{i}") for i, (_, v, q) in enumerate(series)],
-        *[F.count_if(hit).alias(f"inside{i}") for i, hit in enumerate(hits)],
-    )
-    totals = {tuple(r[g] for g in job.group): r for r in known}
-    plan, most = [], 0
-    for r in found.collect():
-        group = tuple(r[g] for g in job.group)
-        for i, (c, v, q) in enumerate(series):
-            total, before, held = totals[group][f"n{v}"], r[f"below{i}"], r[f"inside{i}"]
-            if total == 0:
-                continue
-            low, high, weight = job.ranks_of(q, total)
-            if low <= before or high > before + held:
-                return None
-            wanted = [(c, q, False, weight, float(low - before)), (c, q, True, weight, float(high - before))]
-            plan.append((*group, i, wanted))
-            most = max(most, held)
-    fields = ", ".join([*[f"{f.name} {f.dataType.simpleString()}" for f in sketches.schema.fields[: len(job.group)]], f"s int, targets {TARGETS}"])
-    # plain comparisons first: few rows lie in a bracket
-    cells = [F.struct(F.lit(i).alias("s"), hit.alias("hit"), F.col(v).alias("v")) for (i, (_, v, _)), hit in zip(enumerate(series), hits)]
-    kept = rows.filter(any_of(hits)).select(*job.group, F.explode(F.filter(F.array(*cells), lambda h: h["hit"])).alias("h"))
-    counted = kept.groupBy(*job.group, F.col("h.s").alias("s"), F.col("h.v").alias("v")).agg(F.count("*").alias("n"))
-    return counted, spark.createDataFrame(plan, fields), most
-
-
-def _by_planned_window(job: _Job, counted: DataFrame, plan: DataFrame) -> DataFrame:
-    series = [*job.group, "s"]
-    mine = F.broadcast(plan.withColumnsRenamed({name: f"p_{name}" for name in series}))
-    running = F.sum("n").over(Window.partitionBy(*series).orderBy("v"))
-    joined = counted.withColumn("upto", running).join(mine, [F.col(n).eqNullSafe(F.col(f"p_{n}")) for n in series])
-    return joined.select(*job.group, "v", _held_by_row())
+        step = (high - low).cast("double")
+    return low.cast("double") + step * F.col("weight")
 
 
-def quantiles(
+def aggregate_with_quantiles(
     df: DataFrame,
+    aggregates: list[Column],
     columns: list[str],
     probs: dict[str, float],
-    keys: list[str] | None = None,
+    keys: list[str],
     discrete: bool = False,
     group_bound: int = QUANTILE_BOUND,
     bracket_groups: int = BRACKET_GROUPS,
 ) -> DataFrame:
-    """Columns ``<column>_<label>`` per group; interpolated as a median is, or ``discrete`` (an existing value)."""
-    keys = keys or []
-    job = _Job(df, keys, columns, list(probs.values()), discrete)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.count("*").alias("groups")).first()
+    """Ordinary aggregates and exact quantiles per group in two scans; columns ``<column>_<label>`` for the quantiles.
+
+    Interpolated as a median is (a double), or ``discrete`` (an existing value, in the column's type). A NULL key is a group.
+    """
+    job = _Job(df, keys, columns, probs, discrete)
+    groups = _first_scan(job, aggregates)
+    sizes = groups.agg(F.max("__size").alias("largest"), F.count("*").alias("groups")).first()
     if (sizes["largest"] or 0) <= group_bound:
         found = _by_window(job)
     else:
-        narrowed = _bracketed(job) if sizes["groups"] <= bracket_groups else None
+        narrowed = _inside_brackets(job, groups) if sizes["groups"] <= bracket_groups else None
         if narrowed is None:
-            found = _by_range(job, *_all_values(job))
+            found = _by_range(job, job.counted(), _whole_plan(job, groups))
         elif narrowed[2] <= GROUP_BOUND:
-            found = _by_planned_window(job, *narrowed[:2])
+            found = _by_series(job, *narrowed[:2])
         else:
             found = _by_range(job, *narrowed[:2])
-    ends = found.groupBy(*job.group, F.col("t.c").alias("c"), F.col("t.q").alias("q")).agg(
-        F.max(F.when(~F.col("t.high"), F.col("v"))).alias("low"),
-        F.max(F.when(F.col("t.high"), F.col("v"))).alias("high"),
-        F.max("t.weight").alias("weight"),
-    )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")
-    wide = [
-        F.max(F.when((F.col("c") == ci) & (F.col("q") == qi), value)).alias(f"{c}_{label}")
-        for ci, c in enumerate(columns)
-        for qi, label in enumerate(probs)
-    ]
+    ends = [F.max(F.when(F.col("t.high") == is_high, F.col(s))).alias(f"{name}{j}") for j, s in enumerate(job.slots) for name, is_high in (("low", False), ("high", True))]
+    one = found.groupBy(*job.group, F.col("t.q").alias("q")).agg(*ends, F.max("t.weight").alias("weight"))
+    wide = [F.max(F.when(F.col("q") == i, _value(job, s))).alias(s.label) for i, s in enumerate(job.series)]
+    labels = [s.label for s in job.series]
+    own = groups.drop("__size", *[f"{p}{v}" for v in job.values for p in "nb"])
     if not keys:
-        return ends.agg(*wide)
-    result = ends.groupBy(*job.group).agg(*wide)
-    groups = df.select(*keys).distinct()
-    match = [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, job.group)]
-    return groups.join(result, match, "left").drop(*job.group)
+        # two one-row results
+        return own.crossJoin(one.agg(*wide))
+    joined = _joined(own, one.groupBy(*job.group).agg(*wide), job.group, "left")
+    others = [c for c in own.columns if c not in job.group]
+    return joined.select(*[F.col(g).alias(k) for g, k in zip(job.group, keys)], *others, *labels)
 
 
-def aggregate_with_quantiles(
+def quantiles(
     df: DataFrame,
-    aggregates: list[Column],
     columns: list[str],
     probs: dict[str, float],
-    keys: list[str],
+    keys: list[str] | None = None,
     discrete: bool = False,
     group_bound: int = QUANTILE_BOUND,
+    bracket_groups: int = BRACKET_GROUPS,
 ) -> DataFrame:
-    """Ordinary aggregates and exact quantiles per group, joined by the keys, which must not be NULL."""
-    exact = quantiles(df, columns, probs, keys, discrete, group_bound)
-    if keys and not aggregates:
-        return exact
-    base = df.groupBy(*keys).agg(*aggregates)
-    if keys:
-        return base.join(exact, keys)
-    # two one-row results
-    return base.withColumn("__all", F.lit(1)).join(exact.withColumn("__all", F.lit(1)), "__all").drop("__all")
+    """Columns ``<column>_<label>`` per group; interpolated as a median is, or ``discrete`` (an existing value)."""
+    return aggregate_with_quantiles(df, [], columns, probs, keys or [], discrete, group_bound, bracket_groups)
