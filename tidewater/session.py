@@ -51,10 +51,10 @@ def scratch_root(spark: SparkSession) -> str:
 _scopes: list[list[str]] = []
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A path below the scratch folder that no other call returns."""
+def scratch_dir(spark: SparkSession, label: str, scoped: bool = True) -> str:
+    """A path below the scratch folder that no other call returns; unless ``scoped``, no ``scratch_scope`` deletes it."""
     path = f"{scratch_root(spark)}/tidewater/{label}-{uuid.uuid4().hex}"
-    if _scopes:
+    if _scopes and scoped:
         _scopes[-1].append(path)
     return path
 
