@@ -18,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.scratch import materialise
+from tidewater.llm.scratch import materialise, released
 from tidewater.llm.texts import filled, mixed, slices, text_bytes, word_hashes
 
 #: Least number of occurrences of a phrase, its greatest number of words, and the report's length per language.
 THRESHOLD, LONGEST, TOP = 100, 5, 2000
 #: Occurrences that one range of keys gets on average, which bounds what a task holds, and words of a block.
-RANGE_MASS, BLOCK_WORDS = 1 << 23, 1 << 19
+RANGE_MASS, BLOCK_WORDS = 1 << 22, 1 << 19
 NO_LANGUAGE = "und"
 
 #: What ends a piece (. , ; : ! ? and line ends) and what ends a word.
@@ -102,22 +102,33 @@ class _Block:
             yield n, place, keys
 
 
+def _range_of(keys: np.ndarray, n_ranges: int) -> np.ndarray:
+    return (keys >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)
+
+
+def _bounds(sorted_parts: np.ndarray) -> np.ndarray:
+    """Where runs of equal parts begin, and the end."""
+    changes = np.flatnonzero(sorted_parts[1:] != sorted_parts[:-1]) + 1
+    return np.concatenate(([0], changes, [len(sorted_parts)]) if len(sorted_parts) else ([0],)).astype(np.int32)
+
+
+def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The runs' values as one binary each."""
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds * values.itemsize), pa.py_buffer(values)])
+
+
 def _shares(block: int, keys: list[np.ndarray], n_ranges: int) -> pa.Table:
     """Distinct keys with counts, cut into ``n_ranges`` equal ranges of all keys."""
     distinct, counts = np.unique(np.concatenate(keys), return_counts=True)
-    part = (distinct >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)
-    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
-    bounds = np.concatenate((first, [len(part)])).astype(np.int32)
-
-    def cut(values: np.ndarray) -> pa.Array:
-        return pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds * values.itemsize), pa.py_buffer(values)])
-
+    part = _range_of(distinct, n_ranges)
+    bounds = _bounds(part)
+    first = bounds[:-1]
     return pa.table({
         "part": pa.array(part[first].astype(np.int64)),
         "block": pa.array(np.full(len(first), block, np.int64)),
-        "keys": cut(distinct),
-        "counts": cut(counts.astype(np.uint32)),
-        "mass": pa.array(np.add.reduceat(counts, first) if len(first) else first),
+        "keys": _cut(distinct, bounds),
+        "counts": _cut(counts.astype(np.uint32), bounds),
+        "mass": pa.array(np.add.reduceat(counts, first) if len(first) else first.astype(np.int64)),
     })
 
 
@@ -203,13 +214,14 @@ def _sent_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _kept_keys(shares: DataFrame, threshold: int, label: str) -> DataFrame:
     """``block, keys``: the keys of each block's shares that may occur ``threshold`` times in all blocks together."""
-    shares = materialise(shares, f"{label}-shares")
-    mass = shares.groupBy("part").agg(F.sum("mass").alias("mass")).agg(F.max("mass")).first()[0] or 0
-    by_range = shares.select("part", "keys", "counts").repartition("part").sortWithinPartitions("part")
-    left = materialise(by_range.mapInArrow(_summarised(mass // threshold + 1, threshold), "part long, keys binary"), f"{label}-left")
-    both = left.select("part", F.lit(None).cast("long").alias("block"), "keys").union(shares.select("part", "block", "keys"))
-    back = both.repartition("part").sortWithinPartitions("part", F.col("block").asc_nulls_first())
-    return materialise(back.mapInArrow(_sent_back, "block long, keys binary"), f"{label}-kept")
+    with released(shares.sparkSession):  # the shares are the largest tables here
+        shares = materialise(shares, f"{label}-shares")
+        mass = shares.groupBy("part").agg(F.sum("mass").alias("mass")).agg(F.max("mass")).first()[0] or 0
+        by_range = shares.select("part", "keys", "counts").repartition("part").sortWithinPartitions("part")
+        left = materialise(by_range.mapInArrow(_summarised(mass // threshold + 1, threshold), "part long, keys binary"), f"{label}-left")
+        both = left.select("part", F.lit(None).cast("long").alias("block"), "keys").union(shares.select("part", "block", "keys"))
+        back = both.repartition("part").sortWithinPartitions("part", F.col("block").asc_nulls_first())
+        return materialise(back.mapInArrow(_sent_back, "block long, keys binary"), f"{label}-kept", outlives=True)
 
 
 def _keys_of(kept: pa.Table) -> np.ndarray:
@@ -255,29 +267,45 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
                 wanted.append(keys[whole])
         return _shares(row.column("block")[0].as_py(), wanted, n_ranges)
 
-    def exact(row: pa.Table, kept: pa.Table) -> pa.Table:
-        out = {"lang": [], "words": [], "phrase": [], "a": []}
+    def held(row: pa.Table, kept: pa.Table) -> pa.Table:
+        """The kept n-grams of a block as text, one row per range of keys: lines in ``phrases``, their counts beside."""
+        lines, parts, counts = [], [], []
         if row.num_rows:
             block, known = _Block(row), _keys_of(kept)
             for n, place, keys in block.grams(longest):
                 there = _among(keys, known)
-                _, first, counts = np.unique(keys[there], return_index=True, return_counts=True)
+                distinct, first, each = np.unique(keys[there], return_index=True, return_counts=True)
                 at = place[there][first]
-                parts = [block.words.take(pa.array(block.codes[at + k])) for k in range(n)]
-                out["phrase"].append(pc.binary_join_element_wise(*parts, " ") if n > 1 else parts[0])
-                out["a"].append(counts)
-                out["words"].append(np.full(len(at), n, np.int32))
-            n_rows = sum(map(len, out["a"]))
-            return pa.table({"lang": pa.array([block.lang] * n_rows, pa.string()), "words": pa.array(np.concatenate(out["words"])),
-                             "phrase": pa.chunked_array(out["phrase"], pa.string()), "a": pa.array(np.concatenate(out["a"]))})
-        return pa.table({"lang": pa.array([], pa.string()), "words": pa.array([], pa.int32()), "phrase": pa.array([], pa.string()), "a": pa.array([], pa.int64())})
+                words = [block.words.take(pa.array(block.codes[at + k])) for k in range(n)]
+                lines.append(pc.binary_join_element_wise(*words, " ") if n > 1 else words[0])
+                parts.append(_range_of(distinct, n_ranges))
+                counts.append(each)
+        part = np.concatenate([np.zeros(0, np.uint64), *parts])
+        order = np.argsort(part, kind="stable")
+        bounds = _bounds(part[order])
+        text = pa.concat_arrays([pa.array([], pa.string()), *lines]).take(pa.array(order))
+        total = np.concatenate([np.zeros(0, np.int64), *counts])[order].astype(np.uint32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), text), "\n")
+        return pa.table({"part": pa.array(part[order][bounds[:-1]].astype(np.int64)), "lang": pa.array([block.lang] * len(joined) if len(joined) else [], pa.string()),
+                         "phrases": joined, "counts": _cut(total, bounds)})
+
+    def counted(rows: pa.Table) -> pa.Table:
+        """The sums of one range of keys, by language and text."""
+        lists = pc.split_pattern(rows.column("phrases"), "\n").combine_chunks()
+        each = pc.list_value_length(lists)
+        langs = pa.array(np.repeat(np.arange(rows.num_rows), each.to_numpy(zero_copy_only=False)))
+        flat = pa.table({"lang": rows.column("lang").take(langs), "phrase": lists.flatten(), "a": np.concatenate(list(_column(rows, "counts", np.uint32))).astype(np.int64)})
+        sums = flat.group_by(["lang", "phrase"]).aggregate([("a", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("a_sum"), threshold))
+        words = pc.add(pc.count_substring(sums.column("phrase"), " "), 1)
+        return pa.table({"lang": sums.column("lang"), "words": words.cast(pa.int32()), "phrase": sums.column("phrase"), "a": sums.column("a_sum")})
 
     by_block = blocks.groupBy("block")
     kept = _kept_keys(by_block.applyInArrow(short, _SHARE), threshold, "short")
     if longest > 2:
         kept = kept.union(_kept_keys(by_block.cogroup(kept.groupBy("block")).applyInArrow(long, _SHARE), threshold, "long"))
-    counted = by_block.cogroup(kept.groupBy("block")).applyInArrow(exact, "lang string, words int, phrase string, a long")
-    frequent = counted.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).where(F.col("a") >= threshold)
+    texts_held = by_block.cogroup(kept.groupBy("block")).applyInArrow(held, "part long, lang string, phrases string, counts binary")
+    frequent = texts_held.groupBy("part").applyInArrow(counted, "lang string, words int, phrase string, a long")
     return materialise(frequent, "phrases"), sizes
 
 

@@ -28,14 +28,25 @@ def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(k, v)
 
 
-def materialise(df: DataFrame, label: str, few_match: bool = False) -> DataFrame:
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end, but for those that ``materialise`` is told to keep."""
+    with session.scratch_scope(spark):
+        yield
+
+
+def materialise(df: DataFrame, label: str, few_match: bool = False, outlives: bool = False) -> DataFrame:
     """Writes ``df`` to the shared scratch folder and reads it back.
 
     Nothing can need the job's shuffle files once the table is there, so Spark removes them at once instead of when the driver
     next collects garbage; disks then hold one step's shuffle, not all of them. ``few_match``: the step joins a large table
     with the few of its rows that are wanted, so Spark may drop the others by a runtime Bloom filter at any size of the table
-    (by itself it does so from 10 GB), before they are shuffled.
+    (by itself it does so from 10 GB), before they are shuffled. ``outlives``: the table is not deleted at the end of ``released``.
     """
     wanted = {_CLEANUP: "true"} | ({_BLOOM: "0"} if few_match else {})
     with _settings(df.sparkSession, wanted):
-        return session.materialise(df, label)
+        if not outlives:
+            return session.materialise(df, label)
+        path = session.scratch_dir(df.sparkSession, label, scoped=False)
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
