@@ -60,6 +60,47 @@ def test_landing_tags_and_skips(spark, tmp_path, rows):
     assert rows(feeds["yellow"]) == [("Ve", "PU", "yellow")] and rows(feeds["green"]) == [("PU", "Ve", "green")]
 
 
+def test_files_of_different_headers(spark, tmp_path, rows):
+    """Columns in another order, missing, new, in another case, quoted; an empty file; a name with a blank and a per cent sign."""
+    contents = {
+        "a.csv": "x,y\n1,2\n", "b.csv": "y,x\n20,10\n", "c.csv": '"X","z, z"\n100,q\n', "d 1%20.csv": "\ufeffx,y\n3,4\n5,6\n", "e.csv": "", "f.csv": "y\n",
+    }
+    for name, text in contents.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    df = files.read_csv_text(spark, f"{tmp_path}/*.csv")
+    assert df.columns == ["x", "y", "z, z"]
+    assert rows(df) == [("1", "2", None), ("10", "20", None), ("100", None, "q"), ("3", "4", None), ("5", "6", None)]
+    headers = files.csv_headers(spark, f"{tmp_path}/*.csv")
+    assert [len(v) for v in headers.values()] == [2, 1, 1, 1]
+
+
+def test_headers_are_read_without_the_files(spark, tmp_path):
+    """One task per file, each of which stops after its first line: a broken text further down is not met."""
+    for k in range(5):
+        (tmp_path / f"{k}.csv").write_text(f"a,b{k % 2}\n" + "1,2\n" * 200_000)
+    group = "headers"
+    spark.sparkContext.setJobGroup(group, "")
+    headers = files.csv_headers(spark, str(tmp_path))
+    tracker = spark.sparkContext.statusTracker()
+    tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setJobGroup("", "")
+    assert tasks == [5] and {h: len(p) for h, p in headers.items()} == {("a", "b0"): 3, ("a", "b1"): 2}
+
+
+def test_feeds_with_changing_headers(spark, tmp_path, rows):
+    (tmp_path / "yellow_1.csv").write_text("VendorID,PULocationID\n1,7\n")
+    (tmp_path / "yellow_2.csv").write_text("PULocationID,tip,vendorid\n8,0.5,2\n")
+    feed = files.read_landing_tagged(spark, str(tmp_path))["yellow"]
+    assert feed.columns == ["VendorID", "PULocationID", "tip", "source_tag"]
+    assert rows(feed) == [("1", "7", None, "yellow"), ("2", "8", "0.5", "yellow")]
+
+
+def test_repeated_and_missing_names(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("x,,X,y\n1,2,3,4\n")
+    df = files.read_csv_text(spark, str(tmp_path / "a.csv"))
+    assert df.columns == spark.read.option("header", True).csv(str(tmp_path / "a.csv")).columns and rows(df) == [("1", "2", "3", "4")]
+
+
 def test_partitioned_sink_prunes(spark, tmp_path, plan_of):
     df = spark.range(100).select(F.col("id"), (F.col("id") % 2 + 2017).cast("int").alias("year"), F.lit("fhv").alias("taxi_type"))
     files.write_parquet(df, str(tmp_path / "out"), ("year", "taxi_type"))

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,9 +15,55 @@ from pyspark.sql import types as T
 from tidewater.functions.columns import nan_to_null
 
 
+def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return
+
+
+def csv_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``paths`` by their header, in order of path; empty files have none.
+
+    One task per file, which stops reading after the first line. The driver sees one line per file.
+    """
+    reader = spark.newSession()
+    # a file is one split, and no task has a second one
+    whole = str(1 << 40)
+    for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        reader.conf.set(setting, whole)
+    reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = reader.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    found: dict[tuple[str, ...], list[str]] = {}
+    for path, line in sorted(tuple(r) for r in lines.mapInArrow(_first_line, "path string, value string").collect()):
+        names = next(csv.reader([line.removeprefix("\ufeff")]), [])
+        found.setdefault(tuple(names), []).append(unquote(path))
+    return found
+
+
+def _column_names(header: tuple[str, ...]) -> list[str]:
+    """Names as Spark's reader gives them: a missing one by its place, a repeated one with its place behind it."""
+    lower = [n.lower() for n in header]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(header)]
+
+
+def _read_by_headers(spark: SparkSession, headers: dict[tuple[str, ...], list[str]]) -> DataFrame:
+    """Files of one header are one scan; scans are put together by name, and a name that a file lacks is NULL there."""
+    scans = []
+    for header, paths in headers.items():
+        text = T.StructType([T.StructField(c, T.StringType()) for c in _column_names(header)])
+        scans.append(spark.read.schema(text).option("header", True).csv(paths))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """Headered CSV files (a glob is fine), every column as text."""
-    return spark.read.option("header", True).csv(path)
+    """Headered CSV files (a glob is fine), every column as text.
+
+    Each file is read by its own header, so columns may stand in another order, be missing or be new in some of them; a name
+    that differs in case only is the same column. Columns come in the order in which the files, by path, bring them up.
+    """
+    headers = csv_headers(spark, path)
+    return _read_by_headers(spark, headers) if headers else spark.read.option("header", True).csv(path)
 
 
 def _finite(value: Column, kind: T.DataType) -> Column:
@@ -52,9 +104,9 @@ def source_tag(path: Column) -> Column:
 
 
 def read_landing_tagged(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The feeds of a mixed landing folder by tag, each read with its own files' header and with a column ``source_tag``.
+    """The feeds of a mixed landing folder by tag, each file read by its own header, with a column ``source_tag``.
 
-    The tag comes from the file's name alone; other files are skipped. The files of one feed must have one header.
+    The tag comes from the file's name alone; other files are skipped.
     """
     # one row per file: names, not data
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("_metadata.file_name", "path")
@@ -64,11 +116,8 @@ def read_landing_tagged(spark: SparkSession, folder: str) -> dict[str, DataFrame
         paths.setdefault(tag, []).append(path)
     feeds = {}
     for tag, found in sorted(paths.items()):
-        # the reader checks every file's header against the names of the first
-        names = spark.read.option("header", True).csv(sorted(found)[0]).columns
-        text = T.StructType([T.StructField(c, T.StringType()) for c in names])
-        rows = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(sorted(found))
-        feeds[tag] = rows.withColumn("source_tag", F.lit(tag))
+        if headers := csv_headers(spark, found):
+            feeds[tag] = _read_by_headers(spark, headers).withColumn("source_tag", F.lit(tag))
     return feeds
 
 
