@@ -18,13 +18,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.scratch import materialise, released
+from tidewater.llm import scratch
 from tidewater.llm.texts import filled, mixed, slices, text_bytes, word_hashes
 
 #: Least number of occurrences of a phrase, its greatest number of words, and the report's length per language.
 THRESHOLD, LONGEST, TOP = 100, 5, 2000
 #: Occurrences that one range of keys gets on average, which bounds what a task holds, and words of a block.
 RANGE_MASS, BLOCK_WORDS = 1 << 22, 1 << 19
+#: Bytes of text that become blocks at once, and bytes that go to a Python worker at once: rows are packed, some of them large.
+SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
 NO_LANGUAGE = "und"
 
 #: What ends a piece (. , ; : ! ? and line ends) and what ends a word.
@@ -32,6 +34,10 @@ _ENDS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _SHARE = "part long, block long, keys binary, counts binary, mass long"
 
 
+def materialise(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
+    return scratch.materialise(df, label, outlives=outlives, batch_bytes=BATCH_BYTES)
+
+
 def coded_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The distinct words, with A-Z lower-cased, and the words of all texts as numbers of these; -1 stands between pieces."""
     raw, bounds = text_bytes(pc.ascii_lower(filled(texts)))
@@ -54,7 +60,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of one language with ``block, lang, words, codes, n``; a block ends between pieces."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE_BYTES):
             languages = part.column("lang").dictionary_encode()
             for k, lang in enumerate(languages.dictionary.to_pylist()):
                 words, codes = coded_words(part.column("text").filter(pc.equal(languages.indices, k)))
@@ -80,6 +86,7 @@ class _Block:
     """The n-grams of one block: keys and places by number of words."""
 
     def __init__(self, row: pa.Table) -> None:
+        pa.default_memory_pool().release_unused()
         self.lang = row.column("lang")[0].as_py()
         self.words = row.column("words").combine_chunks().flatten()
         self.codes = np.frombuffer(row.column("codes")[0].as_buffer(), np.int32)
@@ -214,7 +221,7 @@ def _sent_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _kept_keys(shares: DataFrame, threshold: int, label: str) -> DataFrame:
     """``block, keys``: the keys of each block's shares that may occur ``threshold`` times in all blocks together."""
-    with released(shares.sparkSession):  # the shares are the largest tables here
+    with scratch.released(shares.sparkSession):  # the shares are the largest tables here
         shares = materialise(shares, f"{label}-shares")
         mass = shares.groupBy("part").agg(F.sum("mass").alias("mass")).agg(F.max("mass")).first()[0] or 0
         by_range = shares.select("part", "keys", "counts").repartition("part").sortWithinPartitions("part")

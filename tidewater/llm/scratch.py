@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewater import session
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _BLOOM = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
 
 
@@ -35,15 +36,16 @@ def released(spark: SparkSession) -> Iterator[None]:
         yield
 
 
-def materialise(df: DataFrame, label: str, few_match: bool = False, outlives: bool = False) -> DataFrame:
+def materialise(df: DataFrame, label: str, few_match: bool = False, outlives: bool = False, batch_bytes: int | None = None) -> DataFrame:
     """Writes ``df`` to the shared scratch folder and reads it back.
 
     Nothing can need the job's shuffle files once the table is there, so Spark removes them at once instead of when the driver
     next collects garbage; disks then hold one step's shuffle, not all of them. ``few_match``: the step joins a large table
     with the few of its rows that are wanted, so Spark may drop the others by a runtime Bloom filter at any size of the table
     (by itself it does so from 10 GB), before they are shuffled. ``outlives``: the table is not deleted at the end of ``released``.
+    ``batch_bytes``: the most that goes to a Python worker at once; Spark's own limit suits rows of a few bytes, not packed ones.
     """
-    wanted = {_CLEANUP: "true"} | ({_BLOOM: "0"} if few_match else {})
+    wanted = {_CLEANUP: "true"} | ({_BLOOM: "0"} if few_match else {}) | ({_BATCH: str(batch_bytes)} if batch_bytes else {})
     with _settings(df.sparkSession, wanted):
         if not outlives:
             return session.materialise(df, label)
