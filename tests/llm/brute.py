@@ -51,7 +51,7 @@ def components(rows, n, percent):
 def counts(text):
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
     t = text or ""
-    w = words(lower(t))
+    w = words(t)
     lines = [x for x in t.split("\n") if words(x)]
     seen = Counter(zip(w, w[1:], w[2:]))
     covered = {i + k for i, g in enumerate(zip(w, w[1:], w[2:])) if seen[g] > 1 for k in range(3)}

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch
-from tidewater.llm.texts import filled, mixed, slices, text_bytes, word_hashes
+from tidewater.llm.texts import filled, give_back, mixed, slices, text_bytes, word_hashes
 
 #: Least number of occurrences of a phrase, its greatest number of words, and the report's length per language.
 THRESHOLD, LONGEST, TOP = 100, 5, 2000
@@ -86,7 +86,7 @@ class _Block:
     """The n-grams of one block: keys and places by number of words."""
 
     def __init__(self, row: pa.Table) -> None:
-        pa.default_memory_pool().release_unused()
+        give_back()
         self.lang = row.column("lang")[0].as_py()
         self.words = row.column("words").combine_chunks().flatten()
         self.codes = np.frombuffer(row.column("codes")[0].as_buffer(), np.int32)

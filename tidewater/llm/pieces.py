@@ -196,7 +196,7 @@ def solve_units(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray
     bucket = np.ceil(np.log2(np.maximum(size, 8))).astype(int)
     for b in np.unique(bucket[size > 0]):
         members = np.flatnonzero((bucket == b) & (size > 0))
-        for part in np.array_split(members, max(1, int(size[members].sum() >> 18))):
+        for part in np.array_split(members, max(1, int(size[members].sum() >> 17))):
             part = part[np.argsort(-size[part], kind="stable")]
             n, most = size[part], int(size[part].max())
             at = ragged(first[part], n)
@@ -455,7 +455,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
         for batch in batches:
             texts = pa.record_batch([batch.column(kept.index(text)).cast(pa.string())], names=["text"])
             at = 0
-            for part in slices(texts, "text", 2 << 20):
+            for part in slices(texts, "text", 1 << 20):
                 flat, bounds = encode_small(v, filled(part.column("text")))
                 rows = batch.slice(at, part.num_rows)
                 at += part.num_rows

@@ -197,7 +197,8 @@ def _scored(batch: pa.RecordBatch, refs: dict[str, dict]) -> dict[str, np.ndarra
     known = {name: k for k, name in enumerate(refs)}
     lang = np.fromiter((known.get(x or "", -1) for x in batch.column("lang").to_pylist()), np.int64, n)
     counts, symbols = _class_counts(texts)
-    found = words_of(texts)
+    found = words_of(texts, lower=False)
+    lowered = pc.ascii_lower(found.vocabulary)
     row = rows_of(found.bounds)
     n_words = np.diff(found.bounds)
     class_js, word_js = np.zeros(n), np.zeros(n)
@@ -213,7 +214,7 @@ def _scored(batch: pa.RecordBatch, refs: dict[str, dict]) -> dict[str, np.ndarra
         if not ref["word"]:
             continue
         k = len(ref["word"])
-        slot = pc.fill_null(pc.index_in(found.vocabulary, pa.array(list(ref["word"]), pa.large_string())), k).to_numpy(zero_copy_only=False)
+        slot = pc.fill_null(pc.index_in(lowered, pa.array(list(ref["word"]), pa.large_string())), k).to_numpy(zero_copy_only=False)
         local = np.full(n, -1)
         local[mine] = np.arange(len(mine))
         inside = local[row] >= 0

@@ -5,6 +5,7 @@ Words are runs of characters other than the six ASCII white-space characters; NU
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -13,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+#: glibc's ``malloc_trim``, where the C library has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 class Words(NamedTuple):
@@ -23,22 +26,30 @@ class Words(NamedTuple):
     vocabulary: pa.Array
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``limit`` bytes of text each; a longer text is a run of its own.
+def give_back() -> None:
+    """Free memory of this worker goes back to the system, as the worker shares its machine with the JVM and lives on.
 
-    Arrow's spare memory goes back to the system with each batch, as a worker shares its machine with the JVM.
+    Arrow and the C library keep freed memory for the next step, which may be another operator's.
     """
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``limit`` bytes of text each; a longer text is a run of its own. Memory is given back between."""
     if batch.num_rows == 0:
         return
-    pa.default_memory_pool().release_unused()
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     start, held = 0, 0
     for i, n in enumerate(size):
         if i > start and held + n > limit:
             yield batch.slice(start, i - start)
+            give_back()
             start, held = i, 0
         held += n
     yield batch.slice(start)
+    give_back()
 
 
 def filled(column: pa.Array) -> pa.Array:
