@@ -1,12 +1,14 @@
 import datetime
+import re
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import columns as fn
-from tidewater.operators import aggregates, apply, filters, missing, ordering, project, reshape, sets
+from tidewater.operators import aggregates, apply, filters, joins, missing, ordering, project, reshape, sets
 from tidewater.operators import quantiles as quantile_steps
 from tidewater.operators.quantiles import quantiles
 
@@ -22,9 +24,38 @@ def test_positions(spark, partitions):
 
 def test_positions_with_one_value_only(spark):
     df = spark.range(0, 500, 1, 5).select(F.lit(1).alias("k"))
-    placed = ordering.with_positions(df, ["k"], start=1, keep_part=True)
+    placed = ordering.with_positions(df, ["k"], start=1)
     assert sorted(r.pos for r in placed.collect()) == list(range(1, 501))
-    assert placed.select(ordering.PART).distinct().count() > 1  # copies are spread over tasks
+    # copies are spread over tasks
+    assert ordering.bucketed(df, ["k"]).groupBy(ordering.BUCKET).count().agg(F.max("count")).first()[0] < 250
+
+
+def test_positions_write_no_copy(spark, tmp_path, monkeypatch):
+    """Nothing as wide or as long as the table is written for an order, unique or not; positions do not depend on passes."""
+    path = f"{tmp_path}/t"
+    spark.range(0, 4000, 1, 6).selectExpr("(id * 7919) % 4000 AS k", "id % 3 AS dup", "repeat('x', 200) AS wide").write.parquet(path)
+    df = spark.read.parquet(path)
+    written = []
+    write = ordering.materialise
+    monkeypatch.setattr(ordering, "materialise", lambda df, label: written.append((label, df.count(), df.columns)) or write(df, label))
+    for order in (["k"], ["dup"]):
+        placed = ordering.with_positions(df, order).select("pos", *order).orderBy("pos").collect()
+        assert [r.pos for r in placed] == list(range(4000)) and [r[1] for r in placed] == sorted(r[1] for r in placed)
+    ordering.ffill(df, ["k"], ["wide"]).count()
+    assert written == []
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_positions_by_several_columns(spark, descending):
+    """NULLs, NaN, text and signs as keys; against one global window."""
+    draw = np.random.default_rng(8)
+    values = [None, float("nan"), -0.0, 1.5, -3.0]
+    data = [(values[draw.integers(5)], [None, "b", "a", "é"][draw.integers(4)], int(i)) for i in draw.permutation(600)]
+    df = spark.createDataFrame(data, "x double, s string, i int").repartition(5)
+    asc = lambda c: F.desc_nulls_last(c) if descending else F.asc_nulls_first(c)
+    expected = df.withColumn("p", F.row_number().over(Window.orderBy(asc("x"), asc("s"), asc("i"))) - 1).select("i", "p").collect()
+    got = ordering.with_positions(df, ["x", "s", "i"], descending=descending).select("i", "pos").collect()
+    assert {(r.i, r.p) for r in expected} == {(r.i, r.pos) for r in got}
 
 
 def test_reset_index(spark, rows):
@@ -91,6 +122,25 @@ def test_dense_rank(spark, bound, rows):
     ]
 
 
+def test_dense_rank_routes_by_size(spark, plan_of):
+    """One large group and many small ones: the first by buckets, the others by a window, in one plan."""
+    data = [("large", i % 700) for i in range(3000)] + [(f"g{i % 200}", i % 5) for i in range(1000)] + [(None, 1), (None, None)]
+    df = spark.createDataFrame(data, "g string, v int").repartition(4)
+    ranked = ordering.dense_rank_in_group(df, ["g"], "v", group_bound=1000)
+    by_window = F.when(F.col("v").isNotNull(), F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").asc_nulls_last())))
+    assert sorted(map(str, ranked.collect())) == sorted(map(str, df.withColumn("rank", by_window).collect()))
+    large = joins.hot_hashes(df, ["g"], 1000)
+    assert [r[0] for r in large.collect()] == [df.select(F.xxhash64(F.lit("large"))).first()[0]]
+    physical = plan_of(ranked).split("== Physical Plan ==")[1]
+    assert "dense_rank(" in physical and "row_number()" in physical and physical.count("approx_top_k") > 0
+
+
+def test_fills_stay_in_the_engine(spark, plan_of):
+    df = spark.range(100).selectExpr("id", "CASE WHEN id % 7 = 0 THEN id END AS v")
+    for fill in (ordering.ffill, ordering.bfill):
+        assert not re.search("Python|Arrow|Pandas", plan_of(fill(df, ["id"], ["v"])))
+
+
 # ---- statistics ----
 
 

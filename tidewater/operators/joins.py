@@ -26,6 +26,20 @@ class JoinCardinalityError(ValueError):
     """The keys break the declared relation between the two sides."""
 
 
+def _hot_items(rows: DataFrame, item: Column, hot_rows: int) -> DataFrame:
+    """The values of ``item`` in more than ``hot_rows`` rows and more than an even share of them, as ``__item``."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(partitions, MOST_TRACKED // TRACKED)
+    sketch = rows.agg(F.call_function("approx_top_k", item, F.lit(most), F.lit(TRACKED * most)).alias("top"), F.count("*").alias("n"))
+    top = sketch.select("n", F.explode("top").alias("t")).select(F.col("t.item").alias("__item"), F.col("t.count").alias("__count"), "n")
+    return top.where((F.col("__count") > hot_rows) & (F.col("__count") * partitions > F.col("n"))).select("__item")
+
+
+def hot_hashes(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``xxhash64`` of the keys that ``hot_keys`` is about, as ``__item``; NULL is a value like any other."""
+    return _hot_items(df.select(*keys), F.xxhash64(*keys), hot_rows)
+
+
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """The keys held by more than ``hot_rows`` rows and by more than a task's even share of all rows; none with a NULL.
 
@@ -34,17 +48,10 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFr
     other: nothing runs here. Keys of several columns, or of types without a sketch, are counted by hash and then looked
     up in a second pass over the key columns.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = min(partitions, MOST_TRACKED // TRACKED)
     rows = df.select(*keys).dropna()
-    direct = len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _SKETCHED)
-    item = F.col(keys[0]) if direct else F.xxhash64(*keys)
-    sketch = rows.agg(F.call_function("approx_top_k", item, F.lit(most), F.lit(TRACKED * most)).alias("top"), F.count("*").alias("n"))
-    top = sketch.select("n", F.explode("top").alias("t")).select(F.col("t.item").alias("__item"), F.col("t.count").alias("__count"), "n")
-    hot = top.where((F.col("__count") > hot_rows) & (F.col("__count") * partitions > F.col("n"))).select("__item")
-    if direct:
-        return hot.select(F.col("__item").alias(keys[0]))
-    return rows.join(F.broadcast(hot), F.xxhash64(*keys) == F.col("__item"), "left_semi").distinct()
+    if len(keys) == 1 and isinstance(df.schema[keys[0]].dataType, _SKETCHED):
+        return _hot_items(rows, F.col(keys[0]), hot_rows).select(F.col("__item").alias(keys[0]))
+    return rows.join(F.broadcast(hot_hashes(rows, keys, hot_rows)), F.xxhash64(*keys) == F.col("__item"), "left_semi").distinct()
 
 
 def _positioned(df: DataFrame) -> DataFrame:

@@ -1,25 +1,25 @@
 """Row positions, slices, fills and ranks over data that no single task can hold.
 
-The common step is ``range_layout``: the rows are range-partitioned and sorted by the wanted order and
-written once with (partition, row in partition). What later passes need from other partitions is one
-small row per partition, so nothing global runs in one task over the data itself.
+The common step is ``bucketed``: splitters are taken from a sample of the order columns once and fixed, and a binary search
+gives each row its bucket, in whichever pass it is read. What a bucket needs from the others is one small row per bucket,
+found in a pass over the order columns, so nothing global runs in one task over the data itself and no copy of the rows is
+written. Where a result is read several times in order, ``range_layout`` writes it once, partitioned and sorted.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tidewater.operators.joins import hot_hashes
 from tidewater.session import materialise
 
-PART, ROW, TIE, LAST = "__part", "__row", "__tie", "__last"
+PART, ROW, TIE, BUCKET = "__part", "__row", "__tie", "__bucket"
+# Buckets per shuffle partition, so that a partition gets several and their sizes even out; sampled rows per bucket.
+BUCKETS_PER_PARTITION = 2
+SAMPLED_PER_BUCKET = 32
 
 # A group up to this many rows may be handled by one task; larger ones take the distributed way.
 GROUP_BOUND = 5_000_000
@@ -44,7 +44,7 @@ def scan_ordered(df: DataFrame) -> DataFrame:
     it is read. A plan of scans and projections is left as it is.
     """
     plan = df._jdf.queryExecution().executedPlan().toString()
-    return materialise(df, "ordered") if re.search("Exchange|InMemory|ExistingRDD", plan) else df
+    return materialise(df, "ordered") if re.search("Exchange|InMemoryTableScan|ExistingRDD", plan) else df
 
 
 def _laid_out(df: DataFrame, order_by: list[str], descending: bool = False) -> DataFrame:
@@ -78,30 +78,58 @@ def sort_rows(df: DataFrame, *keys: Column) -> DataFrame:
     return scan_ordered(df).withColumn(TIE, F.monotonically_increasing_id()).orderBy(*keys, TIE).drop(TIE)
 
 
+def bucketed(df: DataFrame, order_by: list[str]) -> DataFrame:
+    """``df`` with its scan position and the number of the bucket that it falls into in ascending order, NULLs first.
+
+    The scan position is the last sort key: it keeps the order stable, and it lets rows that are equal in every ``order_by``
+    column fall into several buckets, so a value shared by a third of the rows does not make one huge task. The splitters are
+    literals, a few for each shuffle partition, so that every pass over the frame sees the same buckets.
+    """
+    placed = scan_ordered(df).withColumn(TIE, F.monotonically_increasing_id())
+    key = F.struct(*order_by, TIE)
+    n = BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sample = placed.select(key.alias("k")).orderBy(F.xxhash64(f"k.{TIE}"), f"k.{TIE}").limit(n * SAMPLED_PER_BUCKET)
+    sampled = sample.agg(F.array_sort(F.collect_list("k")).alias("k"))
+    step = F.greatest(F.lit(1), F.floor(F.size("k") / n))
+    fixed = sampled.select(F.filter("k", lambda _, i: (i > 0) & (i % step == 0)).alias("k")).first()["k"]
+    kinds = [f.dataType for f in placed.select(*order_by, TIE).schema.fields]
+    splitters = [F.struct(*[F.lit(v).cast(kind).alias(c) for v, kind, c in zip(row, kinds, [*order_by, TIE])]) for row in fixed]
+    if not splitters:
+        return placed.withColumn(BUCKET, F.lit(0))
+    bounds = F.array(*splitters)
+    # halvings for all splitters
+    steps = F.array(*[F.lit(1 << k) for k in range(len(splitters).bit_length() - 1, -1, -1)])
+
+    def halved(low: Column, half: Column) -> Column:
+        """``low`` splitters are known not to lie above the row; are ``half`` more?"""
+        return F.when(F.get(bounds, low + half - 1) <= key, low + half).otherwise(low)
+
+    return placed.withColumn(BUCKET, F.aggregate(steps, F.lit(0), halved))
+
+
+def _offsets(buckets: DataFrame, count: Column, descending: bool = False) -> DataFrame:
+    """``__bucket, offset``: what ``count`` gives for all buckets before each; at most one row per bucket."""
+    before = Window.orderBy(F.desc(BUCKET) if descending else F.asc(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = buckets.groupBy(BUCKET).agg(count.alias("size"))
+    return sizes.select(BUCKET, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+
+
 def with_positions(
     df: DataFrame,
     order_by: list[str],
     name: str = "pos",
     start: int = 0,
     descending: bool = False,
-    keep_part: bool = False,
 ) -> DataFrame:
-    """Adds consecutive numbers from ``start`` in the given order; ``keep_part`` also keeps the range partition.
+    """Adds consecutive numbers from ``start`` in the given order.
 
-    Two passes: sizes per range partition (one row each, hence broadcast), then offset + row number.
+    Sizes per bucket (one row each, hence broadcast) from the order columns, then offset + row number in the bucket.
     """
-    laid = range_layout(df, order_by, descending)
-    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        laid.groupBy(PART)
-        .agg(F.count("*").alias("size"))
-        .select(PART, F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    )
-    return laid.join(F.broadcast(offsets), PART).select(
-        *df.columns,
-        (F.col("offset") + F.col(ROW) + F.lit(start)).cast("long").alias(name),
-        *([PART] if keep_part else []),
-    )
+    rows = bucketed(df, order_by)
+    in_bucket = Window.partitionBy(BUCKET).orderBy(*[_sort_column(c, descending) for c in [*order_by, TIE]])
+    offsets = F.broadcast(_offsets(rows.select(BUCKET), F.count("*"), descending))
+    numbered = rows.withColumn(ROW, F.row_number().over(in_bucket)).join(offsets, BUCKET)
+    return numbered.select(*df.columns, (F.col("offset") + F.col(ROW) + F.lit(start - 1)).cast("long").alias(name))
 
 
 def concat_reset_index(frames: list[DataFrame], order_by: list[str], name: str = "index") -> DataFrame:
@@ -159,77 +187,28 @@ def sample_fraction(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 
 
-def _forward_fill_batches(keys: list[str], columns: list[str]):
-    """Fills NULLs from the row above inside one sorted partition and marks the partition's last row.
-
-    The last row of a batch waits for the next batch, where it is the row above.
-    """
-
-    def emit(table: pa.Table, is_last: bool) -> Iterator[pa.RecordBatch]:
-        marked = table.append_column(LAST, pa.array(np.full(table.num_rows, is_last)))
-        yield from marked.combine_chunks().to_batches()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: pa.Table | None = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            table = pa.Table.from_batches([batch])
-            if waiting is not None:
-                table = pa.concat_tables([waiting, table])
-            table = table.combine_chunks()
-            index = np.arange(table.num_rows)
-            changed = np.zeros(table.num_rows, dtype=bool)
-            for key in keys:
-                above, below = table[key].slice(0, table.num_rows - 1), table[key].slice(1)
-                differs = pc.coalesce(pc.not_equal(above, below), pc.xor(pc.is_null(above), pc.is_null(below)))
-                if pa.types.is_floating(above.type):  # NaN is a key like any other, and equal to itself
-                    both = pc.and_(pc.is_nan(above), pc.is_nan(below))
-                    differs = pc.and_(differs, pc.invert(pc.coalesce(both, pa.scalar(False))))
-                changed[1:] |= differs.to_numpy().astype(bool)
-            group_start = np.maximum.accumulate(np.where(changed, index, 0))
-            for name in columns:
-                valid = pc.is_valid(table[name]).to_numpy().astype(bool)
-                source = np.maximum.accumulate(np.where(valid, index, -1))
-                taken = table[name].take(pa.array(source, mask=source < group_start))
-                table = table.set_column(table.schema.get_field_index(name), table.schema.field(name), taken)
-            yield from emit(table.slice(0, table.num_rows - 1), False)
-            waiting = table.slice(table.num_rows - 1)
-        if waiting is not None:
-            yield from emit(waiting, True)
-
-    return run
-
-
 def _fill(df: DataFrame, order_by: list[str], columns: list[str], keys: list[str], backward: bool) -> DataFrame:
-    laid = _laid_out(df, [*keys, *order_by], descending=backward).drop(ROW)
-    fields = [T.StructField(f.name, f.dataType, True) for f in laid.schema.fields]
-    schema = T.StructType([*fields, T.StructField(LAST, T.BooleanType())])
-    filled = materialise(laid.mapInArrow(_forward_fill_batches(keys, columns), schema), "fill")
-
-    # One row per range partition: its last key and the values that reach its end.
-    ends = filled.filter(LAST)
-    so_far = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, 0)
-    reach = ends.select(
-        PART,
-        *[F.col(k).alias(f"__key_{k}") for k in keys],
-        *[F.last(c, ignorenulls=True).over(so_far).alias(f"__carry_{c}") for c in columns],
-    )
-    previous = Window.orderBy(PART)
-    carry = reach.select(
-        PART,
-        F.lag(F.lit(True)).over(previous).alias("__has"),
-        *[F.lag(c).over(previous).alias(c) for c in reach.columns if c != PART],
-    )
-    same_key = F.col("__has")
-    for k in keys:
-        same_key = same_key & F.col(k).eqNullSafe(F.col(f"__key_{k}"))
-    return filled.join(F.broadcast(carry), PART).select(
-        *[
-            F.coalesce(F.col(c), F.when(same_key, F.col(f"__carry_{c}"))).alias(c) if c in columns else F.col(c)
-            for c in df.columns
-        ]
+    """Within a bucket a window takes the value; what reaches a bucket from those before it is one row."""
+    rows = bucketed(df, [*keys, *order_by])
+    key = F.struct(*[F.col(k) for k in keys] or [F.lit(0).alias("all")])
+    place = F.struct(*order_by, TIE)
+    # the key at a bucket's end, and of each column the value nearest to that end with its key
+    farthest, nearest = (F.min, F.min_by) if backward else (F.max, F.max_by)
+    seen = [F.when(F.col(c).isNotNull(), F.struct(key, place)) for c in columns]
+    ends = rows.groupBy(BUCKET).agg(
+        farthest(key).alias("end"), *[nearest(F.struct(key.alias("key"), F.col(c).alias("value")), at).alias(f"last_{i}") for i, (c, at) in enumerate(zip(columns, seen))]
     )
+    in_order = F.desc(BUCKET) if backward else F.asc(BUCKET)
+    so_far = Window.partitionBy("end").orderBy(in_order).rowsBetween(Window.unboundedPreceding, 0)
+    of_end = [F.when(F.col(f"last_{i}.key").eqNullSafe(F.col("end")), F.col(f"last_{i}.value")) for i in range(len(columns))]
+    reach = ends.select(BUCKET, "end", *[F.last(v, ignorenulls=True).over(so_far).alias(f"reach_{i}") for i, v in enumerate(of_end)])
+    before = Window.orderBy(in_order)
+    carry = reach.select(BUCKET, *[F.lag(c).over(before).alias(f"__{c}") for c in reach.columns[1:]])
+    within = Window.partitionBy(BUCKET, *keys).orderBy(*[_sort_column(c, backward) for c in [*order_by, TIE]])
+    within = within.rowsBetween(Window.unboundedPreceding, 0)
+    carried = [F.when(key.eqNullSafe(F.col("__end")), F.col(f"__reach_{i}")) for i in range(len(columns))]
+    filled = {c: F.coalesce(F.col(c), F.last(c, ignorenulls=True).over(within), carried[i]) for i, c in enumerate(columns)}
+    return rows.join(F.broadcast(carry), BUCKET).select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
 
 def ffill(df: DataFrame, order_by: list[str], columns: list[str], keys: list[str] | None = None) -> DataFrame:
@@ -247,27 +226,26 @@ def dense_rank_in_group(
 ) -> DataFrame:
     """Dense rank of ``value`` per group: ties share a rank, no gaps, NULL values stay unranked.
 
-    Groups within the bound use the window function. Beyond it the distinct (group, value) pairs are
-    numbered by range partition, and a pair's rank is its distance from the group's first pair.
+    One plan with two branches. Groups beyond the bound that hold more than an even share of the rows (a sketch of the keys
+    finds them in one pass) have their distinct values numbered bucket by bucket, and a value's rank is its distance from the
+    group's first; a bucket is a part of a large group, so no task holds one. All other groups use the window function.
     """
-    if largest_group(df, keys) <= group_bound:
-        ranked = F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last()))
-        return df.withColumn(name, F.when(F.col(value).isNotNull(), ranked))
-    pairs = df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
-    placed = with_positions(pairs, [*keys, value], "__place", keep_part=True)
-    # where each group starts, known in every range partition that the group reaches: at most one row per
-    # group and partition, so a long group is looked up partition by partition
-    first = placed.groupBy(*keys, PART).agg(F.min("__place").alias("__first"))
-    first = first.withColumn("__first", F.min("__first").over(Window.partitionBy(*keys)))
-    p, f = placed.alias("p"), first.alias("f")
-    same = [F.col(f"p.{PART}") == F.col(f"f.{PART}")] + [F.col(f"p.{k}").eqNullSafe(F.col(f"f.{k}")) for k in keys]
-    ranks = p.join(f, same).select(
-        *[F.col(f"p.{k}").alias(f"__k_{k}") for k in keys],
-        F.col(f"p.{value}").alias("__value"),
-        (F.col("__place") - F.col("__first") + 1).cast("int").alias(name),
+    hashed = F.xxhash64(*keys)
+    large = F.broadcast(hot_hashes(df, keys, group_bound))
+    small_rows = df.join(large, hashed == F.col("__item"), "left_anti")
+    ranked = F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last()))
+    small = small_rows.withColumn(name, F.when(F.col(value).isNotNull(), ranked))
+
+    large_rows = df.join(large, hashed == F.col("__item"), "left_semi")
+    pairs = large_rows.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
+    placed = with_positions(pairs, [*keys, value], "__place")
+    # as many rows as there are large groups
+    first = placed.groupBy(*[F.col(k).alias(f"__f_{k}") for k in keys]).agg(F.min("__place").alias("__first"))
+    ranks = placed.join(F.broadcast(first), [F.col(k).eqNullSafe(F.col(f"__f_{k}")) for k in keys]).select(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col(value).alias("__value"), (F.col("__place") - F.col("__first") + 1).cast("int").alias(name)
     )
     match = [F.col(k).eqNullSafe(F.col(f"__k_{k}")) for k in keys] + [F.col(value) == F.col("__value")]
-    return df.join(ranks, match, "left").select(*df.columns, name)
+    return small.unionByName(large_rows.join(ranks, match, "left").select(*df.columns, name))
 
 
 def row_labels(df: DataFrame, order_by: list[str], name: str = "row_label", prefix: str = "row ") -> DataFrame:
