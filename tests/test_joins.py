@@ -288,3 +288,21 @@ def test_normalising_loses_no_row(spark, rows):
     df = spark.createDataFrame([(1, "a", 10), (2, None, 20), (3, "a", 10), (4, None, 20)], "id int, d string, v int")
     fact, dimension = quality.normalise_split(df, ["d"], ["v"])
     assert rows(quality.normalise_join(fact, dimension, ["d"]), "id", "d", "v") == rows(df, "id", "d", "v")
+
+
+def test_branches_come_from_one_join(spark, jobs, plan_of, tmp_path, rows):
+    """Both sides of a rule read what one join wrote, each its own folder; empty branches and empty tables stay typed."""
+    from tidewater.operators import filters
+
+    spark.range(100).select("id", F.when(F.col("id") % 10 != 0, F.col("id") % 7).alias("k")).write.parquet(f"{tmp_path}/t")
+    df, other = spark.read.parquet(f"{tmp_path}/t"), spark.createDataFrame([(1,), (1,), (3,), (None,)], "o long")
+    (used, free), _ = jobs(lambda: joins.semi_and_anti(df, other, "k", "o"))
+    assert rows(used, "id") == rows(joins.semi(df, other, "k", "o"), "id") and rows(free, "id") == rows(joins.anti(df, other, "k", "o"), "id")
+    for branch in (used, free):
+        physical = plan_of(branch).split("== Physical Plan ==")[1]
+        assert branch.columns == ["id", "k"] and "Join" not in physical and f"{tmp_path}/t" not in physical
+        assert "PartitionFilters: [" in physical and "tidewater_branch" in physical.split("PartitionFilters: [")[1].split("]")[0]
+    held, rest = filters.route(df, F.col("id") >= 0)
+    assert held.count() == 100 and rest.count() == 0 and rest.schema == df.schema
+    for part in filters.route(df.limit(0), F.col("k") > 0):
+        assert part.count() == 0 and part.columns == ["id", "k"]

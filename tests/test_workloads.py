@@ -112,6 +112,24 @@ def test_parse_rejects_are_counted(yellow):
     assert lost == {"pickup_datetime": 1, "dropoff_datetime": 0, "passenger_count": 1, "trip_distance": 1, "fare_amount": 0}
 
 
+def test_job_reads_each_feed_once(spark, yellow, tmp_path, plan_of, monkeypatch):
+    """The reject counts come from the conforming pass and equal those of a pass of their own."""
+    yellow.write.parquet(f"{tmp_path}/feed")
+    feed = spark.read.parquet(f"{tmp_path}/feed")
+    fhv = spark.createDataFrame([], "dispatching_base_num string, Pickup_DateTime string")
+    bare = spark.createDataFrame([("x",)], "VendorID string")
+    plans = []
+    write = trips.materialise
+    monkeypatch.setattr(trips, "materialise", lambda df, label: plans.append(plan_of(df)) or write(df, label))
+    reports = trips.run_trip_job({"yellow": feed, "fhv": fhv, "green": bare}, f"{tmp_path}/out")
+    got = sorted(map(tuple, reports["rejects"].collect()))
+    own = [(name, r.column_name, r.n_rejected) for name, df in (("yellow", feed), ("fhv", fhv)) for r in trips.parse_rejects(df, name).collect()]
+    assert got == sorted(own) and ("yellow", "fare_amount", 0) in got and ("fhv", "pickup_datetime", 0) in got
+    plans += [plan_of(r) for r in reports.values()]
+    scans = [line for p in plans for line in p.split("== Physical Plan ==")[1].splitlines() if "FileScan" in line and f"{tmp_path}/feed" in line]
+    assert len(scans) == 1
+
+
 def test_growth(spark, rows):
     df = spark.createDataFrame([(2017,)] * 4 + [(2018,)] * 5 + [(2019,)] * 3, "year int")
     assert rows(trips.yearly_growth(df)) == [(2017, 4, None, None), (2018, 5, 4, 25.0), (2019, 3, 5, -40.0)]

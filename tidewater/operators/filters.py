@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.session import scratch_dir
+
+_BRANCH = "tidewater_branch"
+
 
 def filter_types(df: DataFrame, column: str, wanted: str | list[str]) -> DataFrame:
     """Rows whose ``column`` is one of the wanted values; a single value is accepted as it is."""
@@ -22,6 +26,18 @@ def split_by(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(holds), df.filter(~holds)
 
 
+def route(df: DataFrame, condition: Column) -> tuple[DataFrame, DataFrame]:
+    """As ``split_by``, for rows that are costly to make: they are made once and written by branch, and each of the two results
+    reads its branch alone.
+
+    NULL counts as not held. Writing is one job, here and now; it follows the rows' own partitions, nothing is shuffled.
+    """
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, "route")
+    df.withColumn(_BRANCH, F.coalesce(condition, F.lit(False))).write.partitionBy(_BRANCH).parquet(path)
+    written = spark.read.schema(df.withColumn(_BRANCH, F.lit(True)).schema).parquet(path)
+    return written.filter(F.col(_BRANCH)).drop(_BRANCH), written.filter(~F.col(_BRANCH)).drop(_BRANCH)
+
+
 def lookup(df: DataFrame, **keys) -> DataFrame:
     """Rows at one (multi-level) label."""
     for name, value in keys.items():

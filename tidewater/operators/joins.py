@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.operators.filters import route
 from tidewater.session import materialise
 
 # A key with fewer rows than this is never worth spreading.
@@ -152,6 +153,13 @@ def anti(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> DataFr
     return lookup_join(df, _unique_keys(other, other_key), df_key, other_key, "left_anti")
 
 
+def semi_and_anti(df: DataFrame, other: DataFrame, df_key: str, other_key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with a match, rows without): one join, written by branch; NULL keys count as unmatched."""
+    known = _unique_keys(other, other_key).withColumn("__known", F.lit(True))
+    with_match, without = route(lookup_join(df, known, df_key, other_key), F.col("__known").isNotNull())
+    return with_match.drop("__known"), without.drop("__known")
+
+
 def suffix_clashes(
     left: DataFrame, right: DataFrame, on: list[str], suffixes: tuple[str, str] = ("_x", "_y")
 ) -> tuple[DataFrame, DataFrame]:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.filters import holds_or_unknown
-from tidewater.operators.joins import anti, lookup_join, semi
+from tidewater.operators.filters import holds_or_unknown, route
+from tidewater.operators.joins import anti, lookup_join, semi, semi_and_anti
 from tidewater.operators.ordering import with_positions
 
 
@@ -35,20 +35,19 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, child_key: str, paren
 def insert_with_fk_gate(
     batch: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 ) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows, rejected rows with ``reject_reason``)."""
+    """(accepted rows, rejected rows with ``reject_reason``), from one join that is written by branch."""
     keys = parent.select(parent_key).filter(F.col(parent_key).isNotNull()).distinct().withColumn("__known", F.lit(True))
     checked = lookup_join(batch, keys, child_key, parent_key)
-    passes = F.col("__known").isNotNull() | F.col(child_key).isNull()
-    accepted = checked.filter(passes).select(*batch.columns)
-    rejected = checked.filter(~passes).select(*batch.columns, F.lit(f"{child_key} has no parent").alias("reject_reason"))
-    return accepted, rejected
+    accepted, rejected = route(checked, F.col("__known").isNotNull() | F.col(child_key).isNull())
+    return accepted.select(*batch.columns), rejected.select(*batch.columns, F.lit(f"{child_key} has no parent").alias("reject_reason"))
 
 
 def delete_restrict(
     to_delete: DataFrame, child: DataFrame, parent_key: str, child_key: str
 ) -> tuple[DataFrame, DataFrame]:
-    """(parents that may go, parents still referenced)."""
-    return anti(to_delete, child, parent_key, child_key), semi(to_delete, child, parent_key, child_key)
+    """(parents that may go, parents still referenced), from one join that is written by branch."""
+    used, free = semi_and_anti(to_delete, child, parent_key, child_key)
+    return free, used
 
 
 def delete_cascade(child: DataFrame, deleted: DataFrame, child_key: str, parent_key: str) -> DataFrame:

@@ -356,9 +356,8 @@ def _(t):
 def _(t):
     urgent = t.orders.filter("o_orderpriority = '1-URGENT'")
     c = t.customer.select("c_custkey")
-    return sets.union_all_tagged(
-        {"with": joins.semi(c, urgent, "c_custkey", "o_custkey"), "without": joins.anti(c, urgent, "c_custkey", "o_custkey")}, "side"
-    )
+    with_orders, without = joins.semi_and_anti(c, urgent, "c_custkey", "o_custkey")
+    return sets.union_all_tagged({"with": with_orders, "without": without}, "side")
 
 
 # ---- set operations ----
