@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.plans import events, trips
 from tidewater.sources.jsonl import EVENT_SCHEMA
-from tidewater.streaming.revenue import stream_batch_counts, stream_revenue
+from tidewater.streaming.revenue import VERSION, VersionedTable, stream_batch_counts, stream_revenue
 
 EVENTS = [
     ("1", "purchase", 1, 10.0, None, "USD", "2024-01-31T23:59:59+00:00", "web"),
@@ -57,6 +57,37 @@ def test_stream_equals_batch_and_goes_on_after_restart(spark, event_df, event_fi
     assert rows(stream_revenue(spark, str(event_files), out)) == [("EUR", 2, 1.5, 5), ("USD", 2, 14.0, 5)]
 
 
+def test_stream_writes_changed_keys_only(spark, tmp_path, rows):
+    """Each batch writes as many rows as keys it changed; old versions go, and a repeated batch changes nothing."""
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    landing.mkdir()
+    currencies = [["USD", "EUR"], ["USD"], ["GBP"], ["USD", None], ["EUR"]]
+    expected = {}
+    for k, found in enumerate(currencies):
+        lines = [json.dumps({"event_type": "purchase", "price": k + 1.0, "currency": c}) for c in found]
+        (landing / f"{k}.jsonl").write_text("\n".join(lines) + "\n")
+        for c in found:
+            n, v = expected.get(c, (0, 0.0))
+            expected[c] = (n + 1, v + k + 1)
+        got = stream_revenue(spark, str(landing), out, compact_after=3)
+        total = sum(n for n, _ in expected.values())
+        assert rows(got) == sorted((c, n, v, total) for c, (n, v) in expected.items() if c)
+        table = VersionedTable(spark, f"{out}/revenue", "revenue_key string, n_events bigint, revenue double", "revenue_key")
+        changes, bases = table._versions("changes"), table._versions("base")
+        assert len(changes) < 3 and len(bases) <= 2
+        if k in changes:
+            assert spark.read.parquet(table._path("changes", k)).count() == len(found)
+    before = rows(table.read())
+    # batch 4 again, as after a crash between its write and its commit; then compaction cut short before its deletions
+    again = spark.read.parquet(table._path("changes", 4)).drop(VERSION)
+    table.write_changes(spark.createDataFrame(again.collect(), again.schema), 4, 99)
+    assert rows(table.read()) == before
+    table._newest().write.parquet(table._path("base", 4))
+    assert rows(table.read()) == before
+    table.compact()
+    assert rows(table.read()) == before and table._versions("changes") == [] and len(table._versions("base")) <= 2
+
+
 def test_stream_batches(spark, event_files, tmp_path):
     counts = stream_batch_counts(spark, str(event_files), str(tmp_path / "out"), "purchase", max_files=4)
     assert [counts.count(), counts.agg(F.sum("n_events")).first()[0]] == [2, 4]

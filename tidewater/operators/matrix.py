@@ -1,8 +1,8 @@
 """Matrices as rows: coordinate rows ``(i, j, v)``, or one array per row id.
 
-Element-wise work on array rows stays in one projection. The product works on square blocks: Spark
-places the block pairs, NumPy multiplies the two blocks of a pair, and the partial products are summed
-by a grouped aggregate.
+Element-wise work on array rows stays in one projection. The product of matrices with few cells is a join of the cells
+by the inner index. Otherwise it works on square blocks: Spark places the pairs of blocks that are there, NumPy multiplies
+the two blocks of a pair, by their cells or as dense arrays, and the partial products are summed by a grouped aggregate.
 """
 
 from __future__ import annotations
@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 BLOCK = 256
 # right operands up to this many cells are sent to every executor (16 bytes a cell: 64 MB)
 BROADCAST_CELLS = 4_000_000
+# Matrices of which less than this share is filled are multiplied cell by cell.
+FILLED_SHARE = 0.01
+# Two blocks of a pair are multiplied by their cells while these give fewer products than this share of the dense ones.
+SPARSE_SHARE = 0.02
 
 
 def to_coords(df: DataFrame, row_id: str, array: str) -> DataFrame:
@@ -73,9 +77,14 @@ def transpose(coords: DataFrame) -> DataFrame:
     return coords.select(F.col("j").alias("i"), F.col("i").alias("j"), "v")
 
 
+def _extent(coords: DataFrame) -> tuple[tuple[int, int], int]:
+    """(shape, cells) in one pass."""
+    rows, columns, cells = coords.agg(F.max("i"), F.max("j"), F.count("*")).first()
+    return ((0, 0) if rows is None else (rows + 1, columns + 1)), cells
+
+
 def shape(coords: DataFrame) -> tuple[int, int]:
-    top = coords.agg(F.max("i"), F.max("j")).first()
-    return (0, 0) if top[0] is None else (top[0] + 1, top[1] + 1)
+    return _extent(coords)[0]
 
 
 def reshape(coords: DataFrame, old: tuple[int, int], new: tuple[int, int]) -> DataFrame:
@@ -123,25 +132,52 @@ def _blocks(coords: DataFrame, row: str, column: str, cells: str, block: int) ->
     )
 
 
-def _multiply(block: int):
-    def dense(places, values) -> np.ndarray:
-        flat = np.zeros(block * block)
-        flat[np.asarray(places)] = values
-        return flat.reshape(block, block)
+def _by_cells(a: np.ndarray, a_v: np.ndarray, b: np.ndarray, b_v: np.ndarray, block: int, starts: np.ndarray, terms: np.ndarray):
+    """Places and sums of all products of a cell of A with a cell of B; ``b`` is sorted, thus by row."""
+    total = int(terms.sum())
+    own = np.repeat(np.arange(len(a)), terms)
+    other = np.repeat(starts - (np.cumsum(terms) - terms), terms) + np.arange(total)
+    places, which = np.unique((a[own] // block) * block + b[other] % block, return_inverse=True)
+    return places, np.bincount(which, weights=a_v[own] * b_v[other], minlength=len(places))
+
+
+def _dense(a: np.ndarray, a_v: np.ndarray, b: np.ndarray, b_v: np.ndarray, block: int):
+    """The same from the used rows, inner indices and columns as dense arrays."""
+    rows, a_row = np.unique(a // block, return_inverse=True)
+    columns, b_column = np.unique(b % block, return_inverse=True)
+    inner = np.unique(np.concatenate((a % block, b // block)))
+    a_at, b_at = (a_row, np.searchsorted(inner, a % block)), (np.searchsorted(inner, b // block), b_column)
 
-    def used(places) -> tuple[np.ndarray, np.ndarray]:
-        places = np.asarray(places)
-        return np.unique(places // block), np.unique(places % block)
+    def product(left: np.ndarray, right: np.ndarray, kind: type) -> np.ndarray:
+        x, y = np.zeros((len(rows), len(inner)), kind), np.zeros((len(inner), len(columns)), kind)
+        x[a_at], y[b_at] = left, right
+        return x @ y
 
+    values = product(a_v, b_v, np.float64)
+    if len(a) == len(rows) * len(inner) and len(b) == len(inner) * len(columns):
+        there = np.ones(values.shape, bool)
+    else:  # how many products a cell is the sum of; a sum of zero may have some
+        there = product(np.ones(len(a)), np.ones(len(b)), np.float32) > 0
+    i, j = np.nonzero(there)
+    return rows[i] * block + columns[j], values[i, j]
+
+
+def multiply_blocks(a: np.ndarray, a_v: np.ndarray, b: np.ndarray, b_v: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``i * block + j`` and values of the product of two blocks given by places; only cells with a product."""
+    order = np.argsort(b, kind="stable")
+    b, b_v = b[order], b_v[order]
+    starts, ends = np.searchsorted(b // block, a % block, "left"), np.searchsorted(b // block, a % block, "right")
+    if (ends - starts).sum() < SPARSE_SHARE * block**3:
+        return _by_cells(a, a_v, b, b_v, block, starts, ends - starts)
+    return _dense(a, a_v, b, b_v, block)
+
+
+def _multiply(block: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                rows, columns = used(r.a_p)[0], used(r.b_p)[1]
-                product = (dense(r.a_p, r.a_v) @ dense(r.b_p, r.b_v))[np.ix_(rows, columns)]
-                # only cells with a term: the rows do not depend on the block size
-                terms = (dense(r.a_p, np.ones(len(r.a_p))) @ dense(r.b_p, np.ones(len(r.b_p))))[np.ix_(rows, columns)] > 0
-                i, j = np.nonzero(terms)
-                yield pd.DataFrame({"i": rows[i] + r.bi * block, "j": columns[j] + r.bj * block, "v": product[i, j]})
+                places, values = multiply_blocks(*(np.asarray(x) for x in (r.a_p, r.a_v, r.b_p, r.b_v)), block)
+                yield pd.DataFrame({"i": places // block + r.bi * block, "j": places % block + r.bj * block, "v": values})
 
     return run
 
@@ -153,28 +189,35 @@ def matmul(
     broadcast_cells: int = BROADCAST_CELLS,
     check: bool = True,
     shapes: tuple[tuple[int, int], tuple[int, int]] | None = None,
+    filled_share: float = FILLED_SHARE,
 ) -> DataFrame:
     """A (n x k) times B (k x m), both as coordinate rows with one row per cell; the inner sizes must agree.
 
     Sizes come from the largest stored index unless ``shapes`` gives them, as for matrices with empty last rows or
-    columns. The result has a row for each cell with at least one product term, whatever the block size.
+    columns. The result has a row for each cell with at least one product term, whatever the way.
 
-    A right operand of bounded, counted size goes to every executor, so A is not shuffled by the inner
-    index at all. Otherwise each block is sent to the output blocks it takes part in and the pairs meet
-    by (output row block, output column block, inner block), which spreads them evenly even when the inner
-    dimension is short.
+    If neither matrix is filled to ``filled_share``, their cells meet by the inner index. Otherwise blocks do. A right operand
+    of bounded, counted size goes to every executor, so A is not shuffled by the inner index at all. Beyond that the pairs
+    of blocks that meet are found from the blocks' numbers alone, and the left and the right block of each are joined to it
+    one after the other, by two numbers each, which spreads them even when the inner dimension is short.
     """
-    (n, inner_a), (inner_b, m) = shapes or (shape(a), shape(b))
+    (shape_a, cells_a), (shape_b, cells_b) = _extent(a), _extent(b)
+    (n, inner_a), (inner_b, m) = shapes or (shape_a, shape_b)
     if check and inner_a != inner_b:
         raise ValueError(f"inner sizes differ: {n}x{inner_a} and {inner_b}x{m}")
+    if cells_a < filled_share * n * inner_a and cells_b < filled_share * inner_b * m:
+        cells = a.select("i", F.col("j").alias("k"), F.col("v").alias("a")).join(b.select(F.col("i").alias("k"), "j", F.col("v").alias("b")), "k")
+        return cells.groupBy("i", "j").agg(F.sum(F.col("a").cast("double") * F.col("b")).alias("v"))
     left, right = _blocks(a, "bi", "bk", "a", block), _blocks(b, "bk", "bj", "b", block)
-    if inner_b * m <= broadcast_cells:
+    if cells_b <= broadcast_cells:
         pairs = left.join(F.broadcast(right), "bk")
     else:
-        row_blocks, column_blocks = -(-n // block), -(-m // block)
-        left = left.withColumn("bj", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(column_blocks - 1).cast("long"))))
-        right = right.withColumn("bi", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
-        pairs = left.join(right, ["bi", "bj", "bk"])
+        size = F.lit(block).cast("long")
+        numbers = [
+            frame.select(F.call_function("div", F.col("i"), size).alias(row), F.call_function("div", F.col("j"), size).alias(column)).distinct()
+            for frame, row, column in ((a, "bi", "bk"), (b, "bk", "bj"))
+        ]
+        pairs = numbers[0].join(numbers[1], "bk").join(left, ["bi", "bk"]).join(right, ["bk", "bj"])
     partial = pairs.select("bi", "bj", "a_p", "a_v", "b_p", "b_v").mapInPandas(_multiply(block), "i long, j long, v double")
     return partial.groupBy("i", "j").agg(F.sum("v").alias("v"))
 

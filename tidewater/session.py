@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -41,7 +42,7 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):  # executors of a local-cluster have folders of their own
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _local_scratch:
         _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="tidewater-")

@@ -9,6 +9,10 @@ from tidewater.operators.filters import filter_types
 from tidewater.plans.events import partial_revenue, revenue_report
 from tidewater.sources.jsonl import EVENT_SCHEMA
 
+# Versions of changes that are put together into one table.
+COMPACT_AFTER = 16
+VERSION = "__version"
+
 
 def read_event_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """``max_files`` bounds a micro-batch; unparsable lines come without an event type and match no filter."""
@@ -25,6 +29,63 @@ def _empty(spark: SparkSession, folder: str) -> bool:
     return not fs.exists(path) or not any(s.getPath().getName()[0] not in "._" for s in fs.listStatus(path))
 
 
+class VersionedTable:
+    """A table of one row per key below ``folder``, kept up by batches that bring changed keys only.
+
+    ``changes/version=b`` holds the rows of batch b; a batch that is repeated replaces its folder. From time to time all that
+    is there becomes ``base/version=b``, a row for each key with the version it is from, and the changes that it holds go.
+    The base before stays until the next one is there, for those who still read it, so at most two bases exist.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schema: str, key: str):
+        self.spark, self.folder, self.schema, self.key = spark, folder, schema, key
+
+    def _versions(self, kind: str) -> list[int]:
+        """Versions that were written to their end, in order."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{kind}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return []
+        found = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("version=")]
+        done = [p for p in found if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        return sorted(int(p.getName().removeprefix("version=")) for p in done)
+
+    def _path(self, kind: str, version: int) -> str:
+        return f"{self.folder}/{kind}/version={version}"
+
+    def _drop(self, kind: str, version: int) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(kind, version))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def write_changes(self, rows: DataFrame, version: int, compact_after: int) -> None:
+        rows.withColumn(VERSION, F.lit(version).cast("long")).write.mode("overwrite").parquet(self._path("changes", version))
+        if len(self._versions("changes")) >= compact_after:
+            self.compact()
+
+    def _newest(self) -> DataFrame:
+        """One row per key: that of the greatest version."""
+        bases, changes = self._versions("base")[-1:], self._versions("changes")
+        paths = [self._path("base", v) for v in bases] + [self._path("changes", v) for v in changes]
+        whole = f"{self.schema}, {VERSION} bigint"
+        rows = self.spark.read.schema(whole).parquet(*paths) if paths else self.spark.createDataFrame([], whole)
+        last = F.max_by(F.struct(*rows.columns), VERSION).alias("row")
+        return rows.groupBy(F.col(self.key).alias("__key")).agg(last).select("row.*")
+
+    def compact(self) -> None:
+        changes = self._versions("changes")
+        if not changes:
+            return
+        bases = self._versions("base")
+        self._newest().write.mode("overwrite").parquet(self._path("base", changes[-1]))
+        for version in changes:
+            self._drop("changes", version)
+        for version in [b for b in bases if b != changes[-1]][:-1]:
+            self._drop("base", version)
+
+    def read(self) -> DataFrame:
+        return self._newest().drop(VERSION)
+
+
 def stream_revenue(
     spark: SparkSession,
     folder: str,
@@ -32,32 +93,27 @@ def stream_revenue(
     strategy: str = "currency",
     event_types: str | list[str] = "purchase",
     max_files: int | None = None,
+    compact_after: int = COMPACT_AFTER,
 ) -> DataFrame:
     """Revenue by key after all files present. State is one running sum per key.
 
-    Each micro-batch replaces its own version folder, so a repeated batch leaves the same table; the
-    checkpoint sits beside the output and a restart goes on from there.
+    Each micro-batch writes the keys that it changed (update mode) as a version of its own, so a repeated batch leaves the
+    same table; the checkpoint sits beside the output and a restart goes on from there.
     """
-    versions = f"{out}/versions"
     if _empty(spark, folder):
         return revenue_report(partial_revenue(spark.createDataFrame([], EVENT_SCHEMA), strategy, event_types))
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{versions}/version={batch_id}")
-
     revenue = partial_revenue(read_event_stream(spark, folder, max_files), strategy, event_types)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in revenue.schema.fields) + ", version int"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in revenue.schema.fields)
+    table = VersionedTable(spark, f"{out}/revenue", schema, "revenue_key")
     query = (
-        revenue.writeStream.outputMode("complete")
+        revenue.writeStream.outputMode("update")
         .option("checkpointLocation", f"{out}/checkpoint")
-        .foreachBatch(save)
+        .foreachBatch(lambda batch, batch_id: table.write_changes(batch, batch_id, compact_after))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    saved = spark.read.schema(schema).parquet(versions)
-    latest = saved.agg(F.max("version")).scalar()
-    return revenue_report(saved.filter(F.col("version") == latest).drop("version"))
+    return revenue_report(table.read())
 
 
 def stream_batch_counts(
