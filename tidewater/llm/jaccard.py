@@ -17,6 +17,7 @@ band of t tiles repeats its bitmaps t times, which is the price of exact links i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -220,6 +221,11 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
     return laid.withColumn("at", F.explode("pairs")).select("cluster", F.col("at.pair").alias("pair"), F.col("at.side").alias("side"), "a", "b", "n", "bits", "root", "checked")
 
 
+#: A pair of sets that may link, with their cluster and the roots of their components so far.
+_PAIR = ["cluster", "a1", "b1", "a2", "b2", "root1", "root2"]
+_PAIR_SCHEMA = "cluster long, a1 long, b1 long, a2 long, b2 long, root1 string, root2 string"
+
+
 def _compare(percent: int, each: int):
     def flush(rows: list[tuple]) -> list[tuple]:
         side = np.array([r[0] for r in rows])
@@ -232,14 +238,15 @@ def _compare(percent: int, each: int):
         place = {f"{r[1]}:{r[2]}": i for i, r in enumerate(rows)}
         checked = [{place[x] for x in r[6] or () if x in place} for r in rows]
         found = spanning(size, maps, label, percent, left, right, checked, each)
-        return [(*rows[i][1:3], *rows[j][1:3]) for i, j in found]
+        return [(*rows[i][1:3], *rows[j][1:3], rows[i][5], rows[j][5]) for i, j in found]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, []
 
-        def out(found):
-            cols = list(zip(*found))
-            return pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["a1", "b1", "a2", "b2"])
+        def out(cluster, found):
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2
+            cols = [pa.array([cluster] * len(found), pa.int64()), *(pa.array(c, kind) for c, kind in zip(zip(*found), kinds))]
+            return pa.record_batch(cols, names=_PAIR)
 
         for batch in batches:
             keys = list(zip(batch.column("cluster").to_pylist(), batch.column("pair").to_pylist()))
@@ -247,11 +254,11 @@ def _compare(percent: int, each: int):
             for i, key in enumerate(keys):
                 if key != now:
                     if found := flush(rows) if rows else []:
-                        yield out(found)
+                        yield out(now[0], found)
                     now, rows = key, []
                 rows.append(tuple(c[i] for c in columns))
         if found := flush(rows) if rows else []:
-            yield out(found)
+            yield out(now[0], found)
 
     return compare
 
@@ -273,35 +280,45 @@ def _checked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 x, y = xs[i].values.to_numpy(zero_copy_only=False), ys[i].values.to_numpy(zero_copy_only=False)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 link.append(100 * shared >= percent * (len(x) + len(y) - shared))
-            yield pa.record_batch([*(batch.column(c) for c in ("a1", "b1", "a2", "b2")), pa.array(link, pa.bool_())], names=["a1", "b1", "a2", "b2", "link"])
+            yield pa.record_batch([*(batch.column(c) for c in _PAIR), pa.array(link, pa.bool_())], names=[*_PAIR, "link"])
 
-    both = pairs.join(first, ["a1", "b1"]).join(second, ["a2", "b2"]).select("a1", "b1", "a2", "b2", "x", "y")
-    return both.mapInArrow(check, "a1 long, b1 long, a2 long, b2 long, link boolean")
+    both = pairs.join(first, ["a1", "b1"]).join(second, ["a2", "b2"]).select(*_PAIR, "x", "y")
+    return both.mapInArrow(check, f"{_PAIR_SCHEMA}, link boolean")
 
 
 def _linked(members: DataFrame, percent: int) -> DataFrame:
-    """``node, root`` of all sets that link with another one: components of the links inside the clusters."""
-    roots = members.sparkSession.createDataFrame([], "node string, root string")
-    done, each = None, 1
+    """``node, root`` of all sets: components of the links inside the clusters.
+
+    Each round takes the clusters that are still open, with the components found so far, and looks at pairs of different
+    components only; its links join components of the contracted graph, a node for each component. A cluster is done when
+    all pairs of a round link, as its forest spans all pairs within the bound, or when it is one component.
+    """
+    node = _node("a", "b")
+    state = members.select("cluster", "n", "a", "b", "bits", node.alias("node"), node.alias("root"), F.lit(None).cast("array<string>").alias("checked"))
+    done, each = [], 1
     while True:
-        state = members.select("cluster", "n", "a", "b", "bits", _node("a", "b").alias("node")).join(roots, "node", "left")
-        state = state.withColumn("root", F.coalesce("root", "node"))
-        # clusters that are one component need no comparison
-        open_ = state.groupBy("cluster").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("cluster")
-        state = state.join(open_, "cluster", "left_semi")
-        if done is None:
-            state = state.withColumn("checked", F.lit(None).cast("array<string>"))
-        else:
-            no = done.where("not link")
-            both = no.select(_node("a1", "b1").alias("node"), _node("a2", "b2").alias("o")).union(no.select(_node("a2", "b2").alias("node"), _node("a1", "b1").alias("o")))
-            state = state.join(both.groupBy("node").agg(F.collect_set("o").alias("checked")), "node", "left")
         tiled = _tiled(state, percent).repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
-        offered = tiled.mapInArrow(_compare(percent, each), "a1 long, b1 long, a2 long, b2 long")
+        offered = tiled.mapInArrow(_compare(percent, each), _PAIR_SCHEMA)
         found = materialise(_checked(offered.distinct(), members, percent), "jaccard-pairs")
-        done = found if done is None else done.unionAll(found)
-        roots = materialise(components(done.where("link").select(_node("a1", "b1").alias("u"), _node("a2", "b2").alias("v"))), "jaccard-roots")
-        if found.where("not link").isEmpty():
-            return roots  # the forest spans all pairs within the bound, and all of it links
+        failed = found.where("not link")
+        moved = materialise(components(found.where("link").select(F.col("root1").alias("u"), F.col("root2").alias("v"))), "jaccard-roots")
+        moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
+        labelled = state.join(moved, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
+        if failed.isEmpty():
+            done.append(labelled.select("node", "root"))
+            return materialise(reduce(DataFrame.unionAll, done), "jaccard-linked")
+        # a cluster with a failed pair is open while it has several components
+        several = labelled.join(failed.select("cluster").distinct(), "cluster", "left_semi").groupBy("cluster").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+        several = several.where("x <> y").select("cluster", F.lit(True).alias("open"))
+        one, two = _node("a1", "b1"), _node("a2", "b2")
+        no = failed.select(one.alias("node"), two.alias("o")).union(failed.select(two.alias("node"), one.alias("o"))).groupBy("node").agg(F.collect_set("o").alias("no"))
+        state = labelled.join(several, "cluster", "left").join(no, "node", "left")
+        state = state.withColumns({"checked": F.array_union(F.coalesce("checked", F.array().cast("array<string>")), F.coalesce("no", F.array().cast("array<string>"))), "open": F.coalesce("open", F.lit(False))})
+        # bitmaps and checked pairs of a cluster that is done are not written again
+        state = state.withColumns({"bits": F.when(F.col("open"), F.col("bits")), "checked": F.when(F.col("open"), F.col("checked"))}).drop("no")
+        state = materialise(state, "jaccard-state")
+        done.append(state.where("not open").select("node", "root"))
+        state = state.where("open").drop("open")
         each *= 4
 
 
