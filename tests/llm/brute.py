@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from typing import NamedTuple
 
 LICENCE_LINE = "Released under the MIT License."
 
@@ -248,3 +249,90 @@ def audited(rows):
     gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
     illegal = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
     return gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()
+
+
+class Automaton(NamedTuple):
+    words: dict[str, int]  # model words to ids from 0
+    arcs: dict[int, tuple[float, int]]  # state * len(words) + word: weight and next state
+    failure: list[tuple[float, int]]  # by state: weight and state; the root is 0
+    after: list[int]  # by word: the state after it at the root
+    to_root: list[float]  # by state: weights of all failure arcs to the root
+
+
+def build_automaton(counts, n_tokens, discount):
+    """States and arcs from the counts of n-grams (single words included for all words that are in longer ones)."""
+    words: dict[str, int] = {}
+    for g in counts:
+        for w in g:
+            words.setdefault(w, len(words))
+    by_context: dict[tuple, list[tuple]] = {}
+    for g in counts:
+        if len(g) > 1:
+            by_context.setdefault(g[:-1], []).append(g)
+    states = {(): 0}
+    for context in sorted(by_context, key=len):
+        for k in range(len(context), 0, -1):
+            states.setdefault(context[len(context) - k :], len(states))
+    single = {w: (counts[(w,)] - discount) / n_tokens for w in words}
+    mass: dict[tuple, float] = {}  # failure weight as a probability
+
+    def probability(context: tuple, w: str) -> float:
+        while context:
+            if context in by_context and (*context, w) in counts:
+                return (counts[(*context, w)] - discount) / counts[context]
+            scale = mass.get(context, 1.0)
+            return scale * probability(context[1:], w)
+        return single[w]
+
+    for context in sorted(by_context, key=len):
+        kept = by_context[context]
+        own = sum((counts[g] - discount) / counts[context] for g in kept)
+        below = sum(probability(context[1:], g[-1]) for g in kept)
+        mass[context] = max(1e-12, 1 - own) / max(1e-12, 1 - below)
+
+    def longest(history: tuple) -> int:
+        while history not in states:
+            history = history[1:]
+        return states[history]
+
+    arcs = {}
+    for context, kept in by_context.items():
+        for g in kept:
+            weight = (math.log10((counts[g] - discount) / counts[context]))
+            arcs[states[context] * len(words) + words[g[-1]]] = (weight, longest(g) if len(g) < 3 else longest(g[1:]))
+    failure = [(0.0, 0)] * len(states)
+    for context, s in states.items():
+        if context:
+            failure[s] = ((math.log10(mass.get(context, 1.0))), longest(context[1:]))
+    to_root = [0.0] * len(states)
+    for context, s in sorted(states.items(), key=lambda x: len(x[0])):
+        if context:
+            to_root[s] = failure[s][0] + to_root[failure[s][1]]
+    return Automaton(words, arcs, failure, [longest((w,)) for w in words], to_root)
+
+
+def read(automaton, tokens, root):
+    """One pass over the model words of a text (-1: not a model word) with the root weight of each token: the weight of the
+    path, how many tokens took a root arc, and the state at the end."""
+    arcs, failure, after, to_root, n = automaton.arcs, automaton.failure, automaton.after, automaton.to_root, len(automaton.words)
+    state, total, at_root = 0, 0.0, 0
+    for w, weight in zip(tokens, root):
+        if w < 0:
+            total += to_root[state] + weight
+            at_root += 1
+            state = 0
+            continue
+        while True:
+            arc = arcs.get(state * n + w)
+            if arc:
+                total += arc[0]
+                state = arc[1]
+                break
+            if not state:
+                total += weight
+                at_root += 1
+                state = after[w]
+                break
+            more, state = failure[state]
+            total += more
+    return total, at_root, state

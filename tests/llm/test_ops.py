@@ -60,16 +60,16 @@ def test_automaton_is_a_distribution():
     counts = {g: c for g, c in counts.items() if len(g) == 1 or c > 1}
     # a context counts where something follows it
     counts[("c",)] += 0
-    model = lm.build_automaton(counts, len(sentence))
+    model = brute.build_automaton(counts, len(sentence), lm.DISCOUNT)
     names = list(model.words)
     single = {w: (counts[(w,)] - lm.DISCOUNT) / len(sentence) for w in names}
     unknown = 1 - sum(single.values())
     for history in ([], ["a"], ["b"], ["a", "b"], ["b", "a"], ["a", "b", "c"]):
-        start = lm.read(model, [model.words[w] for w in history], [np.log10(single[w]) for w in history])[0]
+        start = brute.read(model, [model.words[w] for w in history], [np.log10(single[w]) for w in history])[0]
         total = 0.0
         for w, p in [*single.items(), (None, unknown)]:
             ids = [model.words[x] for x in history] + [-1 if w is None else model.words[w]]
-            whole = lm.read(model, ids, [np.log10(single[x]) for x in history] + [np.log10(p)])[0]
+            whole = brute.read(model, ids, [np.log10(single[x]) for x in history] + [np.log10(p)])[0]
             total += 10 ** (whole - start)
         assert abs(total - 1) < 1e-9, history
 
@@ -82,16 +82,18 @@ def test_scores_are_those_of_the_whole_automaton(docs):
     counts = Counter(tuple(x[i : i + n]) for x, (held, *_) in zip(tokens, base) if not held for n in (1, 2, 3) for i in range(len(x) - n + 1))
     kept = {g: c for g, c in counts.items() if len(g) == 1 or c >= 2}
     assert sum(len(g) > 1 and c < 1e-4 * total for g, c in kept.items()) > 20
-    model = lm.build_automaton(kept, total)
+    model = brute.build_automaton(kept, total, lm.DISCOUNT)
     n_words = sum(len(g) == 1 for g in kept)
     expected = []
     for (d, _), x in zip(rows, tokens):
         root = [np.log10((kept[(w,)] - lm.DISCOUNT if (w,) in kept else lm.DISCOUNT * n_words) / total) for w in x]
-        expected.append((d, round(lm.read(model, [model.words.get(w, -1) for w in x], root)[0], 5)))
+        weight, at_root, _ = brute.read(model, [model.words.get(w, -1) for w in x], root)
+        expected.append((d, round(weight, 5), at_root))
     got = lm.lm_scores(docs, held_out()).collect()
     key = lambda r: (str(r[0]), r[1])
-    for (d, x), (e, y) in zip(sorted(((r.doc_id, r.score) for r in got), key=key), sorted(expected, key=key)):
-        assert d == e and abs(x - y) < 1e-4
+    for (d, x, n), (e, y, m) in zip(sorted(((r.doc_id, r.score, r.n_at_root) for r in got), key=key), sorted(expected, key=key)):
+        assert d == e and abs(x - y) < 1e-4 and n == m
+    assert any(r.n_at_root < r.n_tokens for r in got)
 
 
 def test_scores_without_training(empty, odd):

@@ -1,30 +1,32 @@
 """Language-model scores of whole texts by a weighted backoff automaton.
 
-The model is an n-gram model with absolute discounting and backoff, to order ORDER. All words that occur in training have
-an exact count, and so have all n-grams of two and more words; those found at least MIN_COUNT times are kept, however many
-they are. Contexts are the states of an automaton, kept n-grams its arcs; where a state has no arc for a token, its failure
-arc leads on, at its weight, to the state of the context less its first word, down to the root, which knows every word.
-
-Neither words nor arcs fit into a task, so documents are grouped in blocks: the words and n-grams of a block are counted with
-it, get their corpus counts in one shuffle by word or n-gram, and come back to the block; so do the failure weights of its
-contexts. A block has the arcs and failure arcs that its own texts can take and no others. The state after a word is the longest
-context at the end of what was read, which the last ORDER - 1 words tell; so a block's tokens are read all at once. N-grams are
-told apart by 64-bit hashes, words by themselves.
+The model is a trigram model with absolute discounting and backoff. All words that occur in training have an exact count, and
+so have all n-grams of two and three words; those found at least MIN_COUNT times are kept, however many they are. Contexts are
+the states of an automaton, kept n-grams its arcs; where a state has no arc for a token, its failure arc leads on, at its
+weight, to the state of the context less its first word, down to the root, which knows every word. A text is read once from
+left to right: the state is carried from token to token, and the weights of the arcs taken add up to the score.
+
+Neither words nor arcs fit into a task, so texts are coded as blocks of a few MB, and a block gets the arcs and failure arcs
+that its own texts can take and no others. Words meet by name in one shuffle. N-grams travel as sorted 64-bit keys, a share for
+each range of keys; where shares of all blocks meet, counts are summed and go back to each block in the order of its share, so
+that keys are sent one way only. Pairs go first; a triple is counted only where both its pairs are kept, as others cannot be.
+The failure weights of contexts are found and sent back in the same way. Keys exist in shuffles only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.scratch import materialise
-from tidewater.llm.texts import Words, filled, mixed, rows_of, slices, word_hashes, words_of
+from tidewater.llm import scratch
+from tidewater.llm.shares import cut, n_ranges, packed, range_of, run_bounds
+from tidewater.llm.texts import filled, give_back, mixed, ragged, rows_of, slices, word_hashes, words_of
 
 ORDER = 3
 #: An n-gram of two or more words is kept from this count in training.
@@ -33,270 +35,368 @@ MIN_COUNT = 2
 DISCOUNT = 0.5
 #: The token at the end of each text. No word has a blank.
 END = " "
-_SLICE = 8 << 20
+#: Bytes of text in a block, bytes that go to a Python worker at once, tokens that are read one after the other.
+_SLICE, _BATCH, _SEGMENT = 4 << 20, 16 << 20, 256
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_LEAST = 1e-12
 
+_SHARE = "part long, block long, keys binary, counts binary"
+_TOTAL = "part long, block long, totals binary, width int, lead binary"
 
-def _with_ends(found: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Codes with the end token (one beyond the vocabulary) after each text, and their bounds."""
-    n = len(found.bounds) - 1
-    out = np.full(len(found.codes) + n, len(found.vocabulary), np.int64)
-    keep = np.ones(len(out), bool)
-    keep[found.bounds[1:] + np.arange(n)] = False
-    out[keep] = found.codes
-    return out, found.bounds + np.arange(n + 1)
-
-
-def _gram_hashes(word: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
-    """For each order from 1, the hash of the n-gram that ends at each token; 0 where it would begin before its text."""
-    row = rows_of(bounds)
-    out = [word]
-    for n in range(2, ORDER + 1):
-        h = np.zeros(len(word), np.uint64)
-        inside = row[n - 1 :] == row[: len(row) - n + 1]
-        last = np.flatnonzero(inside) + n - 1
-        h[last] = mixed(out[-1][last - 1] * _FACTOR + word[last] + np.uint64(n)) | np.uint64(1)
-        out.append(h)
-    return out
-
-
-def _summed(keys: list[np.ndarray], amounts: list[list[np.ndarray]]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Distinct keys of all parts and the sums of each column of amounts."""
-    key, at = np.unique(np.concatenate(keys), return_inverse=True)
-    out = []
-    for column in amounts:
-        total = np.zeros(len(key), np.int64)
-        np.add.at(total, at, np.concatenate(column))
-        out.append(total)
-    return key, out
-
-
-class _Lookup:
-    """Values of 64-bit keys; ``missing`` for a key that is not there."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, missing):
-        order = np.argsort(keys)
-        self.keys, self.values, self.missing = keys[order], values[order], missing
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    return scratch.materialise(df, label, batch_bytes=_BATCH)
 
-    def __call__(self, wanted: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.full(len(wanted), self.missing)
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.values[at], self.missing)
 
-
-def _parts(rows: pa.Table) -> Iterator[tuple[pa.RecordBatch, Words, np.ndarray, np.ndarray, pa.Array]]:
-    """A block in slices: rows, words, codes with end tokens, bounds, and the vocabulary with the end token."""
-    for batch in rows.to_batches():
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block: its documents' ids, whether they are held out, their bounds, and their tokens as codes: 0 is the end of
+    a text, code k the word k - 1 of ``words``."""
+    number = TaskContext.get().partitionId() << 32
+    for batch in batches:
         for part in slices(batch, "text", _SLICE):
             found = words_of(filled(part.column("text")))
-            codes, bounds = _with_ends(found)
-            yield part, found, codes, bounds, pa.concat_arrays([found.vocabulary.cast(pa.string()), pa.array([END])])
-
-
-def _signed(h: np.ndarray) -> pa.Array:
-    return pa.array(h.view(np.int64))
-
-
-class Automaton(NamedTuple):
-    words: dict[str, int]  # model words to ids from 0
-    arcs: dict[int, tuple[float, int]]  # state * len(words) + word: weight and next state
-    failure: list[tuple[float, int]]  # by state: weight and state; the root is 0
-    after: list[int]  # by word: the state after it at the root
-    to_root: list[float]  # by state: weights of all failure arcs to the root
-
-
-def build_automaton(counts: dict[tuple[str, ...], int], n_tokens: int) -> Automaton:
-    """States and arcs from the counts of n-grams (single words included for all words that are in longer ones)."""
-    words: dict[str, int] = {}
-    for g in counts:
-        for w in g:
-            words.setdefault(w, len(words))
-    by_context: dict[tuple, list[tuple]] = {}
-    for g in counts:
-        if len(g) > 1:
-            by_context.setdefault(g[:-1], []).append(g)
-    states = {(): 0}
-    for context in sorted(by_context, key=len):
-        for k in range(len(context), 0, -1):
-            states.setdefault(context[len(context) - k :], len(states))
-    single = {w: (counts[(w,)] - DISCOUNT) / n_tokens for w in words}
-    mass: dict[tuple, float] = {}  # failure weight as a probability
-
-    def probability(context: tuple, w: str) -> float:
-        while context:
-            if context in by_context and (*context, w) in counts:
-                return (counts[(*context, w)] - DISCOUNT) / counts[context]
-            scale = mass.get(context, 1.0)
-            return scale * probability(context[1:], w)
-        return single[w]
-
-    for context in sorted(by_context, key=len):
-        kept = by_context[context]
-        own = sum((counts[g] - DISCOUNT) / counts[context] for g in kept)
-        below = sum(probability(context[1:], g[-1]) for g in kept)
-        mass[context] = max(1e-12, 1 - own) / max(1e-12, 1 - below)
-
-    def longest(history: tuple) -> int:
-        while history not in states:
-            history = history[1:]
-        return states[history]
-
-    arcs = {}
-    for context, kept in by_context.items():
-        for g in kept:
-            weight = float(np.log10((counts[g] - DISCOUNT) / counts[context]))
-            arcs[states[context] * len(words) + words[g[-1]]] = (weight, longest(g) if len(g) < ORDER else longest(g[1:]))
-    failure = [(0.0, 0)] * len(states)
-    for context, s in states.items():
-        if context:
-            failure[s] = (float(np.log10(mass.get(context, 1.0))), longest(context[1:]))
-    to_root = [0.0] * len(states)
-    for context, s in sorted(states.items(), key=lambda x: len(x[0])):
-        if context:
-            to_root[s] = failure[s][0] + to_root[failure[s][1]]
-    return Automaton(words, arcs, failure, [longest((w,)) for w in words], to_root)
-
-
-def read(automaton: Automaton, tokens: list[int], root: list[float]) -> tuple[float, int, int]:
-    """One pass over the model words of a text (-1: not a model word) with the root weight of each token: the weight of the
-    path, how many tokens took a root arc, and the state at the end."""
-    arcs, failure, after, to_root, n = automaton.arcs, automaton.failure, automaton.after, automaton.to_root, len(automaton.words)
-    state, total, at_root = 0, 0.0, 0
-    for w, weight in zip(tokens, root):
-        if w < 0:
-            total += to_root[state] + weight
-            at_root += 1
-            state = 0
-            continue
-        while True:
-            arc = arcs.get(state * n + w)
-            if arc:
-                total += arc[0]
-                state = arc[1]
-                break
-            if not state:
-                total += weight
-                at_root += 1
-                state = after[w]
-                break
-            more, state = failure[state]
-            total += more
-    return total, at_root, state
+            n = part.num_rows
+            codes = np.zeros(len(found.codes) + n, np.int32)
+            word_at = np.ones(len(codes), bool)
+            word_at[found.bounds[1:] + np.arange(n)] = False
+            codes[word_at] = found.codes + 1
+            bounds = (found.bounds + np.arange(n + 1)).astype(np.int64)
+            held = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint8)
+            ids = part.column("doc_id")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids), pa.array([held.tobytes()], pa.binary()),
+                    pa.array([bounds.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(found.vocabulary)], pa.int32()), found.vocabulary.cast(pa.string())), pa.array([len(codes)], pa.int64()),
+                ],
+                ["block", "doc_id", "held", "bounds", "codes", "words", "n"],
+            )
+            number += 1
+
+
+class _Block:
+    """The tokens of a block, and the distinct pairs and triples in them in the order of their keys."""
+
+    def __init__(self, row: pa.Table | pa.RecordBatch) -> None:
+        give_back()
+        self.number = row.column("block")[0].as_py()
+        self.doc_ids = row.column("doc_id")[0].values
+        held, bounds, codes = (row.column(c)[0].as_buffer() for c in ("held", "bounds", "codes"))
+        self.held = np.frombuffer(held, np.uint8).astype(bool)
+        self.bounds, self.codes = np.frombuffer(bounds, np.int64), np.frombuffer(codes, np.int32)
+        self.words = pa.concat_arrays([pa.array([END]), row.column("words")[0].values])
+        self.row = rows_of(self.bounds)
+        self.trained = ~self.held[self.row]
+        self.word_keys = word_hashes(self.words)
+        same = self.row[1:] == self.row[:-1]
+        self.pair_ends = np.flatnonzero(same) + 1
+        key = np.zeros(len(self.codes), np.uint64)
+        key[self.pair_ends] = mixed(self.word_keys[self.codes[self.pair_ends - 1]] * _FACTOR + self.word_keys[self.codes[self.pair_ends]] + np.uint64(2))
+        self._pair_at = key
+        self.pair_keys, self.pair_first, self.pair_of = np.unique(key[self.pair_ends], return_index=True, return_inverse=True)
+
+    def pair_counts(self) -> np.ndarray:
+        return np.bincount(self.pair_of[self.trained[self.pair_ends]], minlength=len(self.pair_keys))
+
+    def with_pairs(self, totals: np.ndarray) -> None:
+        """``totals`` of the distinct pairs, 0 for those that are not kept; finds the triples that may be kept."""
+        self.pair_total = totals
+        at = np.full(len(self.codes), -1, np.int64)
+        at[self.pair_ends] = self.pair_of
+        self.pair_at = at
+        kept = np.zeros(len(self.codes), bool)
+        kept[self.pair_ends] = totals[self.pair_of] >= MIN_COUNT
+        self.triple_ends = np.flatnonzero(kept[1:] & kept[:-1]) + 1
+        ends = self.triple_ends
+        keys = mixed(self._pair_at[ends - 1] * _FACTOR + self.word_keys[self.codes[ends]] + np.uint64(3))
+        self.triple_keys, self.triple_first, self.triple_of = np.unique(keys, return_index=True, return_inverse=True)
+
+    def triple_counts(self) -> np.ndarray:
+        return np.bincount(self.triple_of[self.trained[self.triple_ends]], minlength=len(self.triple_keys))
+
+    def word_totals(self, known: pa.Table) -> np.ndarray:
+        """Training counts of the block's words, by code."""
+        at = pc.index_in(self.words, known.column("word").combine_chunks().cast(self.words.type))
+        counts = np.append(known.column("c").to_numpy(), 0)
+        return counts[pc.fill_null(at, known.num_rows).to_numpy(zero_copy_only=False)]
+
+    def contexts(self, word_totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of all contexts that can have arcs, in order; where the words' and the pairs' stand among them, -1: nowhere."""
+        words, pairs = np.flatnonzero(word_totals >= MIN_COUNT), np.flatnonzero(self.pair_total >= MIN_COUNT)
+        keys, at = np.unique(np.concatenate((self.word_keys[words], self.pair_keys[pairs])), return_inverse=True)
+        word_at, pair_at = np.full(len(self.words), -1), np.full(len(self.pair_keys), -1)
+        word_at[words], pair_at[pairs] = at[: len(words)], at[len(words) :]
+        return keys, word_at, pair_at
+
+
+def _share(block: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.Table:
+    part = range_of(keys, ranges)
+    bounds = run_bounds(part)
+    first = bounds[:-1]
+    return pa.table({
+        "part": pa.array(part[first].astype(np.int64)), "block": pa.array(np.full(len(first), block, np.int64)),
+        "keys": cut(keys, bounds), "counts": cut(counts.astype(np.uint32), bounds),
+    })
+
+
+def _totals(rows: pa.Table) -> pa.Table:
+    """For one range of keys, each share's sums over all blocks in the share's order, 0 below MIN_COUNT, and a bit for each key
+    whether the share is that of the first block with it."""
+    rows = rows.sort_by("block")
+    keys = list(packed(rows, "keys", np.uint64))
+    distinct, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate(list(packed(rows, "counts", np.uint32))), minlength=len(distinct)).astype(np.int64)
+    total[total < MIN_COUNT] = 0
+    lead = np.zeros(len(at), bool)
+    lead[first] = True
+    ends = np.cumsum([len(k) for k in keys])
+    totals, leads, widths = [], [], []
+    for end, own in zip(ends, keys):
+        mine = total[at[end - len(own) : end]]
+        width = next(w for w in (1, 2, 4, 8) if not len(mine) or mine.max() < 1 << 8 * w)
+        totals.append(mine.astype(f"u{width}").tobytes())
+        widths.append(width)
+        leads.append(np.packbits(lead[end - len(own) : end]).tobytes())
+    return pa.table({
+        "part": rows.column("part"), "block": rows.column("block"), "totals": pa.array(totals, pa.binary()),
+        "width": pa.array(widths, pa.int32()), "lead": pa.array(leads, pa.binary()),
+    })
+
+
+def _in_order(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The totals and first-block flags of a block's distinct keys, from its shares."""
+    known = known.sort_by("part")
+    totals, leads = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for t, width, lead in zip(known.column("totals"), known.column("width").to_pylist(), known.column("lead")):
+        totals.append(np.frombuffer(t.as_buffer(), f"u{width}").astype(np.int64))
+        leads.append(np.unpackbits(np.frombuffer(lead.as_buffer(), np.uint8), count=len(totals[-1])).astype(bool))
+    return np.concatenate(totals), np.concatenate(leads)
+
+
+def _rows(known: pa.Table, kind: str) -> pa.Table:
+    return known.filter(pc.equal(known.column("kind"), kind))
+
+
+def _grouped(keys: np.ndarray, columns: list[np.ndarray], same: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct keys, sums of ``columns`` and the (common) values of ``same``."""
+    distinct, first, at = np.unique(keys, return_index=True, return_inverse=True)
+    return distinct, [*(np.bincount(at, weights=c, minlength=len(distinct)).astype(np.int64) for c in columns), *(s[first] for s in same)]
+
+
+def _loaded(row: pa.Table, known: pa.Table) -> tuple[_Block, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The block with its pairs and triples: counts of words, first-block flags of pairs, counts and flags of triples."""
+    block = _Block(row)
+    totals, pair_lead = _in_order(_rows(known, "pair"))
+    block.with_pairs(totals)
+    return block, block.word_totals(_rows(known, "word")), pair_lead, *_in_order(_rows(known, "triple"))
+
+
+def _context_sums(block: _Block, words: np.ndarray, pair_lead: np.ndarray, triples: np.ndarray, triple_lead: np.ndarray, n_tokens: int):
+    """Context keys with sums over the arcs that are counted here: what they hold, what the shorter context gives the same
+    words, their number; the context's count, and what the shorter one's weights are shares of."""
+    codes, kept = block.codes, block.pair_total
+    mine = np.flatnonzero(pair_lead & (kept >= MIN_COUNT))
+    ends = block.pair_ends[block.pair_first[mine]]
+    context = codes[ends - 1]
+    pairs = block.word_keys[context], kept[mine], words[codes[ends]], words[context], np.full(len(mine), n_tokens)
+    mine = np.flatnonzero(triple_lead & (triples >= MIN_COUNT))
+    ends = block.triple_ends[block.triple_first[mine]]
+    before = block.pair_at[ends - 1]
+    three = block.pair_keys[before], triples[mine], kept[block.pair_at[ends]], kept[before], words[codes[ends - 1]]
+    key, own, below, count, shorter = (np.concatenate(x) for x in zip(pairs, three))
+    return _grouped(key, [own, below, np.ones(len(key))], [count, shorter])
+
+
+def _failures(rows: pa.Table) -> pa.Table:
+    """Failure weights (log10) of the contexts of one range; each block's request in its order, NaN for contexts without arcs."""
+    asks = pc.is_valid(rows.column("block"))
+    sums, requests = rows.filter(pc.invert(asks)), rows.filter(asks)
+    names = ("own", "below", "arcs", "context", "shorter")
+    key = np.concatenate([np.zeros(0, np.uint64), *packed(sums, "keys", np.uint64)])
+    columns = [np.concatenate([np.zeros(0, np.int64), *packed(sums, c, np.int64)]) for c in names]
+    distinct, (own, below, arcs, context, shorter) = _grouped(key, columns[:3], columns[3:])
+    left = [np.maximum(_LEAST, 1 - (x - DISCOUNT * arcs) / of) for x, of in ((own, context), (below, shorter))]
+    weight = np.append(np.log10(left[0] / left[1]), np.nan).astype(np.float32)
+    out = []
+    for asked in packed(requests, "keys", np.uint64):
+        at = np.minimum(np.searchsorted(distinct, asked), max(len(distinct) - 1, 0))
+        found = distinct[at] == asked if len(distinct) else np.zeros(len(asked), bool)
+        out.append(weight[np.where(found, at, len(distinct))].tobytes())
+    return pa.table({"part": requests.column("part"), "block": requests.column("block"), "weights": pa.array(out, pa.binary())})
+
+
+class Automaton:
+    """States 0 (root) to n - 1, sorted arcs ``state * n_words + word``, and a failure arc for each state but the root."""
+
+    def __init__(self, block: _Block, words: np.ndarray, triples: np.ndarray, weights: np.ndarray, root: np.ndarray):
+        _, word_at, pair_at = block.contexts(words)
+        weights = np.append(weights.astype(np.float64), np.nan)  # -1: no context
+        word_weight, pair_weight = weights[word_at], weights[pair_at]
+        self.n_words, self.root = len(words), root
+        is_word, is_pair = ~np.isnan(word_weight), ~np.isnan(pair_weight)
+        self.after = np.where(is_word, np.cumsum(is_word), 0)  # by word: the state after it at the root
+        pair_state = np.where(is_pair, is_word.sum() + np.cumsum(is_pair), 0)
+        pair_end = block.pair_ends[block.pair_first]
+        first, last = block.codes[pair_end - 1], block.codes[pair_end]
+        # the longest context at the end of a pair
+        behind = np.where(is_pair, pair_state, self.after[last]) if len(last) else pair_state
+        self.failure = np.concatenate(([0.0], word_weight[is_word], pair_weight[is_pair]))
+        self.shorter = np.concatenate((np.zeros(1 + is_word.sum(), np.int64), self.after[last[is_pair]]))
+        two = np.flatnonzero(block.pair_total >= MIN_COUNT)
+        three = np.flatnonzero(triples >= MIN_COUNT)
+        end = block.triple_ends[block.triple_first[three]]
+        before = block.pair_at[end - 1]
+        arcs = np.concatenate((self.after[first[two]] * self.n_words + last[two], pair_state[before] * self.n_words + block.codes[end]))
+        weight = np.concatenate((np.log10((block.pair_total[two] - DISCOUNT) / words[first[two]]), np.log10((triples[three] - DISCOUNT) / block.pair_total[before])))
+        to = np.concatenate((behind[two], behind[block.pair_at[end]]))
+        order = np.argsort(arcs)
+        self.arcs, self.weight, self.to = arcs[order], weight[order], to[order]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Next states, weights, and whether the root's arc was taken, of many readers at once."""
+        to, total, at_root = np.zeros(len(state), np.int64), np.zeros(len(state)), np.zeros(len(state), bool)
+        left = np.arange(len(state))
+        while len(left):
+            here, w = state[left], word[left]
+            arc = here * self.n_words + w
+            at = np.minimum(np.searchsorted(self.arcs, arc), max(len(self.arcs) - 1, 0))
+            found = self.arcs[at] == arc if len(self.arcs) else np.zeros(len(left), bool)
+            found &= here > 0
+            total[left[found]] += self.weight[at[found]]
+            to[left[found]] = self.to[at[found]]
+            rooted = here == 0
+            total[left[rooted]] += self.root[w[rooted]]
+            to[left[rooted]] = self.after[w[rooted]]
+            at_root[left[rooted]] = True
+            on = ~found & ~rooted
+            total[left[on]] += self.failure[here[on]]
+            state = state.copy()
+            state[left[on]] = self.shorter[here[on]]
+            left = left[on]
+        return to, total, at_root
+
+    def read(self, codes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Weight of each text and the number of its tokens that took the root's arc.
+
+        All texts are read side by side. A long one is read in segments: as the state is told by the last ORDER - 1 words, a
+        segment that begins with those before it, unweighted, is in the state in which the one before it ends.
+        """
+        size = np.diff(bounds)
+        parts = -(-size // _SEGMENT)
+        text = np.repeat(np.arange(len(size)), parts)
+        start = ragged(np.zeros(len(size), np.int64), parts) * _SEGMENT + bounds[text]
+        end = np.minimum(start + _SEGMENT, bounds[text + 1])
+        place = np.maximum(start - (ORDER - 1), bounds[text])
+        state, weights, at_root = np.zeros(len(text), np.int64), np.zeros(len(text)), np.zeros(len(text), np.int64)
+        live = np.flatnonzero(place < end)
+        while len(live):
+            to, weight, rooted = self.step(state[live], codes[place[live]])
+            state[live] = to
+            counted = place[live] >= start[live]
+            weights[live[counted]] += weight[counted]
+            at_root[live[counted]] += rooted[counted]
+            place[live] += 1
+            live = live[place[live] < end[live]]
+        return np.bincount(text, weights=weights, minlength=len(size)), np.bincount(text, weights=at_root, minlength=len(size)).astype(np.int64)
 
 
 def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
+    """One row per input row: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_at_root``.
 
     ``held_out`` is a boolean column expression; NULL counts as false. A token is a word (A-Z lower-cased) or the end of the
     text. ``base_score`` is the add-one unigram log10 probability with one class for all unknown words, ``score`` the
-    automaton's, in which unknown words share the mass taken off single words. NULL and empty texts are one end token. Equal
-    rows give equal rows; other columns are not read. Without any training text every token is unknown, at log10(1 / 1).
+    automaton's, in which unknown words share the mass taken off single words; ``n_at_root`` is the number of tokens that were
+    read without a context. NULL and empty texts are one end token. Equal rows give equal rows; other columns are not read.
+    Without any training text every token is unknown, at log10(1 / 1).
     """
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocked = base.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-
-    def block_counts(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        words, word_n, keys, counts = [], [], [], []
-        for part, _, codes, bounds, vocabulary in _parts(rows):
-            train = ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)[rows_of(bounds)]
-            words.append(vocabulary)
-            word_n.append(np.bincount(codes[train], minlength=len(vocabulary)))
-            for h in _gram_hashes(word_hashes(vocabulary)[codes], bounds)[1:]:
-                distinct, (n,) = _summed([h[h > 0]], [[train[h > 0].astype(np.int64)]])
-                keys.append(distinct)
-                counts.append(n)
-        grams, (gram_n,) = _summed(keys, [counts])
-        word = pa.TableGroupBy(pa.table({"word": pa.concat_arrays(words), "n": pa.array(np.concatenate(word_n))}), "word").aggregate([("n", "sum")])
-        n_words, n_grams = word.num_rows, len(grams)
+    blocks = materialise(base.mapInArrow(_coded, f"block long, doc_id array<{kind}>, held binary, bounds binary, codes binary, words array<string>, n long"), "lm-blocks")
+    ranges = n_ranges(spark, blocks.agg(F.sum("n")).first()[0] or 0)
+
+    def word_counts(row: pa.Table) -> pa.Table:
+        block = _Block(row)
+        n = np.bincount(block.codes[block.trained], minlength=len(block.words))
+        return pa.table({"block": pa.array(np.full(len(n), block.number)), "word": block.words, "n": pa.array(n)})
+
+    by_block = blocks.groupBy("block")
+    by_word = Window.partitionBy("word")
+    counted = by_block.applyInArrow(word_counts, "block long, word string, n long").withColumn("c", F.sum("n").over(by_word))
+    counted = counted.withColumn("lead", F.col("block") == F.min("block").over(by_word)).where("c > 0")
+    counted = materialise(counted.select("block", "word", "c", "lead"), "lm-words")
+    n_words, n_tokens = counted.where("lead").agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+
+    def pairs(row: pa.Table) -> pa.Table:
+        block = _Block(row)
+        return _share(block.number, block.pair_keys, block.pair_counts(), ranges)
+
+    def triples(row: pa.Table, known: pa.Table) -> pa.Table:
+        if not row.num_rows:
+            return _share(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), ranges)
+        block = _Block(row)
+        block.with_pairs(_in_order(known)[0])
+        return _share(block.number, block.triple_keys, block.triple_counts(), ranges)
+
+    kept_pairs = materialise(by_block.applyInArrow(pairs, _SHARE).groupBy("part").applyInArrow(_totals, _TOTAL), "lm-pairs")
+    shares = by_block.cogroup(kept_pairs.groupBy("block")).applyInArrow(triples, _SHARE)
+    kept_triples = materialise(shares.groupBy("part").applyInArrow(_totals, _TOTAL), "lm-triples")
+
+    none = {c: F.lit(None).cast(t) for c, t in (("word", "string"), ("c", "long"), ("part", "long"), ("totals", "binary"), ("width", "int"), ("lead", "binary"), ("weights", "binary"))}
+
+    def as_known(kind: str, frame: DataFrame, *columns: str) -> DataFrame:
+        return frame.select(F.lit(kind).alias("kind"), "block", *[F.col(c) if c in columns else none[c].alias(c) for c in none])
+
+    known = as_known("word", counted, "word", "c")
+    for label, frame in (("pair", kept_pairs), ("triple", kept_triples)):
+        known = known.unionAll(as_known(label, frame, "part", "totals", "width", "lead"))
+
+    def contexts(row: pa.Table, known: pa.Table) -> pa.Table:
+        """What the block adds to the sums of contexts, and (rows with a block) the contexts whose weights it asks for."""
+        names = ["own", "below", "arcs", "context", "shorter"]
+        if row.num_rows:
+            block, words, *rest = _loaded(row, known)
+            keys, columns = _context_sums(block, words, *rest, n_tokens)
+            asked, _, _ = block.contexts(words)
+        else:
+            keys = asked = np.zeros(0, np.uint64)
+            columns = [np.zeros(0, np.int64)] * 5
+        part, asked_part = range_of(keys, ranges), range_of(asked, ranges)
+        bounds, asked_bounds = run_bounds(part), run_bounds(asked_part)
+        n, m = len(bounds) - 1, len(asked_bounds) - 1
+        empty = pa.nulls(m, pa.binary())
         return pa.table({
-            "block": pa.array(np.full(n_words + n_grams, key[0].as_py(), np.int32)),
-            "word": pa.concat_arrays([word.column("word").combine_chunks(), pa.nulls(n_grams, pa.string())]),
-            "g": pa.concat_arrays([pa.nulls(n_words, pa.int64()), _signed(grams)]),
-            "n": pa.concat_arrays([word.column("n_sum").combine_chunks(), pa.array(gram_n)]),
+            "part": pa.array(np.concatenate((part[bounds[:-1]], asked_part[asked_bounds[:-1]])).astype(np.int64)),
+            "block": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array([block.number] * m if m else [], pa.int64())]),
+            "keys": pa.concat_arrays([cut(keys, bounds), cut(asked, asked_bounds)]),
+            **{name: pa.concat_arrays([cut(c.astype(np.int64), bounds), empty]) for name, c in zip(names, columns)},
         })
 
-    # every word and n-gram of a block meets its other blocks' counts; one row per block and word, however often it occurs
-    local = blocked.groupBy("block").applyInArrow(block_counts, "block int, word string, g long, n long")
-    by_item = Window.partitionBy("word", "g")
-    counted = local.withColumn("c", F.sum("n").over(by_item)).withColumn("lead", F.col("block") == F.min("block").over(by_item))
-    counted = counted.where(F.col("word").isNotNull() | (F.col("c") >= MIN_COUNT))
-    counted = materialise(counted.select("block", "word", "g", "c", "lead"), "lm-counts")
-    of_words = counted.where(F.col("lead") & (F.col("c") > 0) & F.col("word").isNotNull()).agg(F.count("*"), F.sum("c")).first()
-    n_words, n_tokens = of_words[0], of_words[1] or 0
-
-    def looked_up(known: pa.Table, column: str = "c", missing=0):
-        """Values of the n-grams in ``known``."""
-        some = known.filter(pc.and_(pc.is_valid(known.column("g")), pc.is_valid(known.column(column))))
-        return _Lookup(some.column("g").to_numpy().astype(np.int64).view(np.uint64), some.column(column).to_numpy(), missing)
-
-    def word_counts(known: pa.Table):
-        some = known.filter(pc.is_valid(known.column("word")))
-        names, c = some.column("word").combine_chunks(), some.column("c").to_numpy()
-        return lambda vocabulary: c[pc.index_in(vocabulary, names).to_numpy(zero_copy_only=False)]
-
-    def contexts(key: tuple[pa.Scalar, ...], rows: pa.Table, known: pa.Table) -> pa.Table:
-        """The contexts of a block; with each the sums over those of its arcs that are counted here."""
-        c_of, lead_of, c_of_words = looked_up(known), looked_up(known.set_column(known.schema.get_field_index("c"), "c", known.column("lead").cast(pa.int64()))), word_counts(known)
-        parts: list[list[np.ndarray]] = []
-        for _, _, codes, bounds, vocabulary in _parts(rows):
-            single = c_of_words(vocabulary)[codes]
-            grams = _gram_hashes(word_hashes(vocabulary)[codes], bounds)
-            c = [single, *(c_of(h) for h in grams[1:])]
-            for n in range(2, ORDER + 1):
-                last = np.flatnonzero(grams[n - 1])
-                context = c[n - 2][last - 1]
-                last, context = last[context >= MIN_COUNT], context[context >= MIN_COUNT]
-                # what an arc takes from the root or the shorter context, and what that one's weights are shares of
-                shorter = np.full(len(last), n_tokens) if n == 2 else c[n - 3][last - 1]
-                mine = (lead_of(grams[n - 1][last]) > 0) & (c[n - 1][last] >= MIN_COUNT)
-                parts.append([grams[n - 2][last - 1], grams[n - 1][last], context, shorter, np.where(mine, c[n - 1][last], 0), np.where(mine, c[n - 2][last], 0), mine.astype(np.int64)])
-        merged = [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 5
-        first = np.unique(merged[1], return_index=True)[1]  # an arc counts once
-        merged = [x[first] for x in merged]
-        distinct, at = np.unique(merged[0], return_index=True)
-        sums = _summed([merged[0]], [[x] for x in merged[4:]])[1]
-        cols = [pa.array(np.full(len(distinct), key[0].as_py(), np.int32)), _signed(distinct), pa.array(merged[2][at]), pa.array(merged[3][at]), *(pa.array(x) for x in sums)]
-        return pa.table(cols, names=["block", "g", "context", "shorter", "own", "below", "arcs"])
-
-    spread = blocked.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(contexts, "block int, g long, context long, shorter long, own long, below long, arcs long")
-    by_context = Window.partitionBy("g")
-    spread = spread.select("block", "g", "context", "shorter", *[F.sum(x).over(by_context).alias(x) for x in ("own", "below", "arcs")]).where(F.col("arcs") > 0)
-    left = [F.greatest(F.lit(1e-12), 1 - (F.col(x) - DISCOUNT * F.col("arcs")) / F.col(of)) for x, of in (("own", "context"), ("below", "shorter"))]
-    failure = materialise(spread.select("block", "g", F.log10(left[0] / left[1]).alias("failure")), "lm-failure")
-
-    def score(key: tuple[pa.Scalar, ...], rows: pa.Table, known: pa.Table) -> pa.Table:
-        arc_of, failure_of, c_of_words = looked_up(known), looked_up(known, "failure", 0.0), word_counts(known)
-        out = []
-        for part, _, codes, bounds, vocabulary in _parts(rows):
-            n, row = part.num_rows, rows_of(bounds)
-            c = c_of_words(vocabulary)
-            base_weight = np.log10((c + 1) / (n_tokens + n_words + 1))
-            left_over = DISCOUNT * n_words
-            weight = (np.log10(np.where(c > 0, np.maximum(c - DISCOUNT, 0.1), max(left_over, 1e-9)) / n_tokens) if n_tokens else np.zeros(len(c)))[codes]
-            grams = _gram_hashes(word_hashes(vocabulary)[codes], bounds)
-            counts = [c[codes], *(arc_of(h) for h in grams[1:])]
-            for k in range(2, ORDER + 1):
-                # the arc of the longer context where there is one, else its failure arc and what the shorter context gives
-                last = np.flatnonzero(grams[k - 1])
-                arc = counts[k - 1][last] >= MIN_COUNT
-                taken = np.log10((np.maximum(counts[k - 1][last], 1) - DISCOUNT) / np.maximum(counts[k - 2][last - 1], 1))
-                weight[last] = np.where(arc, taken, failure_of(grams[k - 2][last - 1]) + weight[last])
-            done = {"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "n_tokens": np.diff(bounds)}
-            done |= {"n_known": np.bincount(row, weights=c[codes] > 0, minlength=n).astype(np.int64)}
-            done |= {"base_score": np.bincount(row, weights=base_weight[codes], minlength=n), "score": np.bincount(row, weights=weight, minlength=n)}
-            out.append(pa.table({k: pa.array(v) if isinstance(v, np.ndarray) else v for k, v in done.items()}))
-        if out:
-            return pa.concat_tables(out)
-        none = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
-        return pa.table({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), **{k: pa.array([], t) for k, t in none.items()}})
-
-    no = F.lit(None)
-    known = counted.select("block", "word", "g", "c", no.cast("double").alias("failure")).unionAll(failure.select("block", no.cast("string"), "g", no.cast("long"), "failure"))
-    scored = blocked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    sums = by_block.cogroup(known.groupBy("block")).applyInArrow(
+        contexts, "part long, block long, keys binary, own binary, below binary, arcs binary, context binary, shorter binary"
+    )
+    failure = materialise(sums.groupBy("part").applyInArrow(_failures, "part long, block long, weights binary"), "lm-failure")
+
+    def score(row: pa.Table, known: pa.Table) -> pa.Table:
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "n_at_root"]
+        if not row.num_rows:
+            kinds = [row.schema.field("doc_id").type.value_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+            return pa.table([pa.array([], t) for t in kinds], names=names)
+        block, words, _, triples, _ = _loaded(row, known)
+        weights = [np.frombuffer(w.as_buffer(), np.float32) for w in _rows(known, "failure").sort_by("part").column("weights")]
+        left_over = DISCOUNT * n_words
+        root = np.log10(np.where(words > 0, np.maximum(words - DISCOUNT, 0.1), max(left_over, 1e-9)) / n_tokens) if n_tokens else np.zeros(len(words))
+        automaton = Automaton(block, words, triples, np.concatenate([np.zeros(0, np.float32), *weights]), root)
+        found, at_root = automaton.read(block.codes, block.bounds)
+        n, base_weight = len(block.held), np.log10((words + 1) / (n_tokens + n_words + 1))
+        known_word = np.bincount(block.row, weights=words[block.codes] > 0, minlength=n).astype(np.int64)
+        base = np.bincount(block.row, weights=base_weight[block.codes], minlength=n)
+        out = [block.doc_ids, pa.array(block.held), pa.array(np.diff(block.bounds)), pa.array(known_word), pa.array(base), pa.array(found), pa.array(at_root)]
+        return pa.table(out, names=names)
+
+    known = known.unionAll(as_known("failure", failure, "part", "weights"))
+    scored = by_block.cogroup(known.groupBy("block")).applyInArrow(
+        score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, n_at_root long"
     )
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    total = F.lit(n_tokens).cast("long").alias("train_tokens")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", total, "base_score", "score", "n_at_root")

@@ -19,12 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch
+from tidewater.llm.shares import cut, n_ranges, packed, range_of, run_bounds
 from tidewater.llm.texts import filled, give_back, mixed, slices, text_bytes, word_hashes
 
 #: Least number of occurrences of a phrase, its greatest number of words, and the report's length per language.
 THRESHOLD, LONGEST, TOP = 100, 5, 2000
-#: Occurrences that one range of keys gets on average, which bounds what a task holds, and words of a block.
-RANGE_MASS, BLOCK_WORDS = 1 << 22, 1 << 19
+#: Words of a block.
+BLOCK_WORDS = 1 << 19
 #: Bytes of text that become blocks at once, and bytes that go to a Python worker at once: rows are packed, some of them large.
 SLICE_BYTES, BATCH_BYTES = 2 << 20, 8 << 20
 NO_LANGUAGE = "und"
@@ -109,32 +110,17 @@ class _Block:
             yield n, place, keys
 
 
-def _range_of(keys: np.ndarray, n_ranges: int) -> np.ndarray:
-    return (keys >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)
-
-
-def _bounds(sorted_parts: np.ndarray) -> np.ndarray:
-    """Where runs of equal parts begin, and the end."""
-    changes = np.flatnonzero(sorted_parts[1:] != sorted_parts[:-1]) + 1
-    return np.concatenate(([0], changes, [len(sorted_parts)]) if len(sorted_parts) else ([0],)).astype(np.int32)
-
-
-def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """The runs' values as one binary each."""
-    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds * values.itemsize), pa.py_buffer(values)])
-
-
-def _shares(block: int, keys: list[np.ndarray], n_ranges: int) -> pa.Table:
-    """Distinct keys with counts, cut into ``n_ranges`` equal ranges of all keys."""
+def _shares(block: int, keys: list[np.ndarray], ranges: int) -> pa.Table:
+    """Distinct keys with counts, cut into ``ranges`` equal ranges of all keys."""
     distinct, counts = np.unique(np.concatenate(keys), return_counts=True)
-    part = _range_of(distinct, n_ranges)
-    bounds = _bounds(part)
+    part = range_of(distinct, ranges)
+    bounds = run_bounds(part)
     first = bounds[:-1]
     return pa.table({
         "part": pa.array(part[first].astype(np.int64)),
         "block": pa.array(np.full(len(first), block, np.int64)),
-        "keys": _cut(distinct, bounds),
-        "counts": _cut(counts.astype(np.uint32), bounds),
+        "keys": cut(distinct, bounds),
+        "counts": cut(counts.astype(np.uint32), bounds),
         "mass": pa.array(np.add.reduceat(counts, first) if len(first) else first.astype(np.int64)),
     })
 
@@ -178,10 +164,6 @@ class Summary:
         return np.zeros(0, np.uint64)
 
 
-def _column(batch: pa.RecordBatch, name: str, kind: type) -> Iterator[np.ndarray]:
-    return (np.frombuffer(v.as_buffer(), kind) for v in batch.column(name))
-
-
 def _summarised(capacity: int, threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Rows come by range of keys; the summary of a range is carried from batch to batch."""
 
@@ -191,7 +173,7 @@ def _summarised(capacity: int, threshold: int) -> Callable[[Iterator[pa.RecordBa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, summary = None, None
         for batch in batches:
-            for part, keys, counts in zip(batch.column("part").to_pylist(), _column(batch, "keys", np.uint64), _column(batch, "counts", np.uint32)):
+            for part, keys, counts in zip(batch.column("part").to_pylist(), packed(batch, "keys", np.uint64), packed(batch, "counts", np.uint32)):
                 if part != at:
                     if summary:
                         yield left(at, summary)
@@ -208,7 +190,7 @@ def _sent_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     left = np.zeros(0, np.uint64)
     for batch in batches:
         blocks, kept = [], []
-        for block, keys in zip(batch.column("block").to_pylist(), _column(batch, "keys", np.uint64)):
+        for block, keys in zip(batch.column("block").to_pylist(), packed(batch, "keys", np.uint64)):
             if block is None:
                 left = keys.copy()
             elif len(left):
@@ -254,14 +236,14 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
     blocks = materialise(texts.mapInArrow(_coded, "block long, lang string, words array<string>, codes binary, n long"), "phrase-blocks")
     sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
     total = blocks.agg(F.sum("n")).first()[0] or 0
-    n_ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * total // RANGE_MASS))
+    ranges = n_ranges(spark, 2 * total)
 
     def short(row: pa.Table) -> pa.Table:
-        return _shares(row.column("block")[0].as_py(), [keys for *_, keys in _Block(row).grams(min(2, longest))], n_ranges)
+        return _shares(row.column("block")[0].as_py(), [keys for *_, keys in _Block(row).grams(min(2, longest))], ranges)
 
     def long(row: pa.Table, kept: pa.Table) -> pa.Table:
         if not row.num_rows:
-            return _shares(0, [np.zeros(0, np.uint64)], n_ranges)
+            return _shares(0, [np.zeros(0, np.uint64)], ranges)
         block, known = _Block(row), _keys_of(kept)
         pairs, wanted = np.zeros(len(block.codes), bool), [np.zeros(0, np.uint64)]
         for n, place, keys in block.grams(longest):
@@ -272,7 +254,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
                 for k in range(n - 1):
                     whole &= pairs[place + k]
                 wanted.append(keys[whole])
-        return _shares(row.column("block")[0].as_py(), wanted, n_ranges)
+        return _shares(row.column("block")[0].as_py(), wanted, ranges)
 
     def held(row: pa.Table, kept: pa.Table) -> pa.Table:
         """The kept n-grams of a block as text, one row per range of keys: lines in ``phrases``, their counts beside."""
@@ -285,23 +267,23 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int =
                 at = place[there][first]
                 words = [block.words.take(pa.array(block.codes[at + k])) for k in range(n)]
                 lines.append(pc.binary_join_element_wise(*words, " ") if n > 1 else words[0])
-                parts.append(_range_of(distinct, n_ranges))
+                parts.append(range_of(distinct, ranges))
                 counts.append(each)
         part = np.concatenate([np.zeros(0, np.uint64), *parts])
         order = np.argsort(part, kind="stable")
-        bounds = _bounds(part[order])
+        bounds = run_bounds(part[order])
         text = pa.concat_arrays([pa.array([], pa.string()), *lines]).take(pa.array(order))
         total = np.concatenate([np.zeros(0, np.int64), *counts])[order].astype(np.uint32)
         joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), text), "\n")
         return pa.table({"part": pa.array(part[order][bounds[:-1]].astype(np.int64)), "lang": pa.array([block.lang] * len(joined) if len(joined) else [], pa.string()),
-                         "phrases": joined, "counts": _cut(total, bounds)})
+                         "phrases": joined, "counts": cut(total, bounds)})
 
     def counted(rows: pa.Table) -> pa.Table:
         """The sums of one range of keys, by language and text."""
         lists = pc.split_pattern(rows.column("phrases"), "\n").combine_chunks()
         each = pc.list_value_length(lists)
         langs = pa.array(np.repeat(np.arange(rows.num_rows), each.to_numpy(zero_copy_only=False)))
-        flat = pa.table({"lang": rows.column("lang").take(langs), "phrase": lists.flatten(), "a": np.concatenate(list(_column(rows, "counts", np.uint32))).astype(np.int64)})
+        flat = pa.table({"lang": rows.column("lang").take(langs), "phrase": lists.flatten(), "a": np.concatenate(list(packed(rows, "counts", np.uint32))).astype(np.int64)})
         sums = flat.group_by(["lang", "phrase"]).aggregate([("a", "sum")])
         sums = sums.filter(pc.greater_equal(sums.column("a_sum"), threshold))
         words = pc.add(pc.count_substring(sums.column("phrase"), " "), 1)
