@@ -122,6 +122,11 @@ def repeats(rows, width):
     return out
 
 
+def collapsed(text):
+    """A-Z lower-cased, runs of white space as one blank, none at the ends."""
+    return " ".join(words(lower(text)))
+
+
 def edits(passage, text):
     """Least edit distance of the passage to any part of the text (bytes)."""
     row = [0] * (len(text) + 1)

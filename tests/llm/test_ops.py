@@ -1,6 +1,7 @@
 """Each operator against its plain version, on the documents and on odd rows; empty tables give no rows."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 
@@ -410,7 +411,7 @@ def test_passages(spark, documents, doc_rows):
     passages = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
     items = passages.collect()
     got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.benchmark_matches(documents, passages).collect()}
-    expected = {(d, i.item_id) for d, t in doc_rows for i in items if brute.lower(i.text).replace("\n", " ") in brute.lower(t).replace("\n", " ")}
+    expected = {(d, i.item_id) for d, t in doc_rows for i in items if brute.collapsed(i.text) in brute.collapsed(t)}
     assert {k for k, e in got.items() if e == 0} == expected and expected
 
 
@@ -431,13 +432,35 @@ def test_passages_with_edits(spark):
     expected = {}
     for d, t in docs:
         for item, p in passages:
-            e = brute.edits(p.encode(), t.lower().encode())
+            e = brute.edits(brute.collapsed(p).encode(), brute.collapsed(t).encode())
             if e <= allowed[item]:
                 expected[d, item] = e
     rows = got.collect()
     assert {(r.doc_id, r.item_id): r.edits for r in rows} == expected and len(expected) > 20
     spans = {(d, i): t[a:b].lower() for d, t in docs for r in rows if r.doc_id == d for i, a, b in [(r.item_id, r.start, r.end)]}
-    assert all(brute.edits(dict(passages)[i].encode(), s.encode()) == expected[d, i] for (d, i), s in spans.items())
+    assert all(brute.edits(brute.collapsed(dict(passages)[i]).encode(), re.sub(" +", " ", s).encode()) == expected[d, i] for (d, i), s in spans.items())
+
+
+def test_short_passages_stand_between_word_boundaries(spark):
+    items = [(1, "what is the capital"), (2, "Ärger"), (3, "yes"), (4, "a+b"), (5, "yes"), (6, "  \n ")]
+    docs = [
+        (1, "Well, WHAT  is\nthe\tcapital?"), (2, "what is the capitals"), (3, "somewhat is the capital"), (4, "ärgerärger Ärger"), (5, "yes"),
+        (6, "eyes yesterday"), (7, "x a+b"), (8, "xa+b"), (9, "yes, yes"), (10, None), (11, ""),
+    ]
+    docs, items = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    got = {(r.doc_id, r.item_id): (r.edits, r.start, r.end) for r in decontaminate.benchmark_matches(docs, items).collect()}
+    assert got == {(1, 1): (0, 6, 28), (4, 2): (0, 11, 16), (5, 3): (0, 0, 3), (5, 5): (0, 0, 3), (7, 4): (0, 2, 5), (9, 3): (0, 0, 3), (9, 5): (0, 0, 3)}
+    assert {r.doc_id for r in decontaminate.without_benchmark(docs, items).collect()} == {2, 3, 6, 8, 10, 11}
+
+
+def test_wrapped_and_indented_passages(spark):
+    """White space costs no edits, however much of it there is."""
+    passage = "the quick brown fox jumps over the lazy dog and then rests for a while under the old oak tree"
+    wrapped = "Intro:\n\n" + "".join(f"    {w}\n\t " for w in passage.split()) + "\n\nend"
+    items = spark.createDataFrame([(1, f"  {passage}\n")], "item_id int, text string")
+    row = decontaminate.benchmark_matches(spark.createDataFrame([(1, wrapped)], "doc_id int, text string"), items).first()
+    assert row.edits == 0 and wrapped[row.start : row.end].split() == passage.split()
+    assert wrapped[row.start] == "t" and wrapped[row.end - 1] == "e"
 
 
 def test_passages_on_odd_rows(spark, odd, empty):

@@ -2,8 +2,9 @@
 
 The q-gram lemma: a passage of m bytes found with at most e edits keeps m - q + 1 - q * e of its q-grams, on diagonals
 (position in the text less position in the passage) that spread over at most e. So shared q-grams are counted in bands of
-diagonals that overlap by half; only bands that reach the bound are aligned, within the band. All over bytes, A-Z
-lower-cased, white space as blanks. The passages are the stated query set: every document is read against all of them, in
+diagonals that overlap by half; only bands that reach the bound are aligned, within the band. Passages too short for a budget
+are sought as they are, between word boundaries, all at once by an Aho-Corasick automaton. All over bytes, A-Z lower-cased,
+runs of white space as one blank. The passages are the stated query set: every document is read against all of them, in
 blocks of bounded size.
 """
 
@@ -21,7 +22,7 @@ from tidewater.llm.texts import filled, ragged, slices, text_bytes
 Q = 8
 #: Edits allowed per byte of a passage, as far as the lemma leaves a positive bound.
 EDIT_RATE = 0.05
-#: Shorter passages are not searched: so few characters are found by chance.
+#: Shorter passages have no edit budget: with one, so few characters are found by chance.
 MIN_PASSAGE = 40
 #: Bytes of passages in one block, which a task holds with its index.
 BLOCK_BYTES = 4 << 20
@@ -46,6 +47,8 @@ class Index(NamedTuple):
     window: int  # the region of every match has a window of so many positions
     dense: int  # with so many q-grams of the index
     reach: int  # the longest region
+    short: object  # automaton of the passages without a budget, or None; its values are places in ``short_ids``
+    short_ids: list[list]  # the ids of each distinct one
 
 
 def _grams(raw: np.ndarray) -> np.ndarray:
@@ -55,10 +58,36 @@ def _grams(raw: np.ndarray) -> np.ndarray:
     return np.ndarray((len(raw) - Q + 1,), dtype="<u8", buffer=np.ascontiguousarray(raw).data, strides=(1,))
 
 
+def _collapsed(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Folded bytes with runs of blanks as one, none at the begin of a text; bounds, and where each byte was."""
+    folded = _FOLD[raw]
+    blank = folded == 32
+    after = np.concatenate(([True], blank[:-1])) if len(blank) else blank
+    after[bounds[:-1][bounds[:-1] < len(raw)]] = True
+    kept = np.flatnonzero(~(blank & after))
+    return folded[kept], np.searchsorted(kept, bounds), kept
+
+
+def _passage(text: str) -> np.ndarray:
+    raw = np.frombuffer(text.encode(), np.uint8)
+    folded = _collapsed(raw, np.array([0, len(raw)]))[0]
+    return folded[:-1] if len(folded) and folded[-1] == 32 else folded
+
+
 def build_index(rows: list[tuple]) -> Index:
-    """An index of ``(item_id, text)`` rows; NULL and short passages are left out."""
-    kept = [(i, _FOLD[np.frombuffer(t.encode(), np.uint8)]) for i, t in rows if t]
-    kept = [(i, p) for i, p in kept if len(p) >= MIN_PASSAGE]
+    """An index of ``(item_id, text)`` rows; NULL and blank passages are left out."""
+    import ahocorasick
+
+    every = [(i, p) for i, p in ((i, _passage(t)) for i, t in rows if t) if len(p)]
+    short: dict[str, list] = {}
+    for i, p in every:
+        if len(p) < MIN_PASSAGE:
+            short.setdefault(p.tobytes().decode("latin-1"), []).append(i)
+    automaton = ahocorasick.Automaton()
+    for k, text in enumerate(short):
+        automaton.add_word(text, (k, len(text)))
+    automaton.make_automaton()
+    kept = [(i, p) for i, p in every if len(p) >= MIN_PASSAGE]
     size = np.array([len(p) for _, p in kept], np.int64)
     edits = np.minimum((size * EDIT_RATE).astype(np.int64), (size - Q) // Q)
     codes = [_grams(p).copy() for _, p in kept]
@@ -77,7 +106,7 @@ def build_index(rows: list[tuple]) -> Index:
     dense = int((-(-bound // -(-region // window))).min(initial=1 << 20))
     return Index(
         [i for i, _ in kept], [p for _, p in kept], grams, np.append(first, len(flat)), item[order], place[order], edits, bound,
-        present, shift, window, dense, int(region.max(initial=0)),
+        present, shift, window, dense, int(region.max(initial=0)), automaton if short else None, list(short.values()),
     )
 
 
@@ -109,9 +138,35 @@ def aligned(passage: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple
     return int(cell[best] >> np.int64(32)), int(cell[best] & np.int64(0xFFFFFFFF)), int(low + best + len(passage))
 
 
-def find_passages(raw: np.ndarray, bounds: np.ndarray, index: Index) -> list[tuple[int, int, int, int, int]]:
-    """``(text, item, edits, start, end)`` for the best place of each item in each text within its budget."""
-    raw = _FOLD[raw]
+def _inside_word(text: str, at: int) -> bool:
+    """Whether the place before character ``at`` is within a word; bytes of other scripts count as letters."""
+    return 0 < at < len(text) and all(c.isascii() and c.isalnum() or c > "\x7f" for c in text[at - 1 : at + 1])
+
+
+def _find_short(raw: np.ndarray, bounds: np.ndarray, index: Index) -> list[tuple[int, object, int, int, int]]:
+    """The first place of each short passage in each text."""
+    out = []
+    for t in range(len(bounds) - 1):
+        text, seen = raw[bounds[t] : bounds[t + 1]].tobytes().decode("latin-1"), {}
+        for last, (k, size) in index.short.iter(text):
+            start, end = last + 1 - size, last + 1
+            if k not in seen and not _inside_word(text, start) and not _inside_word(text, end):
+                seen[k] = (start, end)
+        out += [(t, i, 0, *place) for k, place in seen.items() for i in index.short_ids[k]]
+    return out
+
+
+def find_passages(raw: np.ndarray, bounds: np.ndarray, index: Index) -> list[tuple[int, object, int, int, int]]:
+    """``(text, item_id, edits, start, end)`` for the best place of each item in each text within its budget."""
+    folded, at, was = _collapsed(raw, bounds)
+    found = [(t, index.ids[i], *rest) for t, i, *rest in _find_long(folded, at, index)]
+    if index.short is not None:
+        found += _find_short(folded, at, index)
+    return [(t, i, edits, int(was[at[t] + start] - bounds[t]), int(was[at[t] + end - 1] + 1 - bounds[t])) for t, i, edits, start, end in found]
+
+
+def _find_long(raw: np.ndarray, bounds: np.ndarray, index: Index) -> list[tuple[int, int, int, int, int]]:
+    """``(text, item, edits, start, end)`` of the items with a budget, over collapsed bytes."""
     if len(raw) < Q or not len(index.grams):
         return []
     codes = _grams(raw)
@@ -172,8 +227,9 @@ def _blocks(passages: DataFrame, item_id: str, text: str) -> list[list[tuple]]:
 def benchmark_matches(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per row of ``docs`` and passage found in it: ``doc_id, item_id, edits, start, end`` in code points.
 
-    The best place is given: fewest edits, of those the first. NULL and empty texts and passages match nothing, passages
-    below MIN_PASSAGE bytes are not searched. Equal rows give equal rows; equal passages with several ids are found under
+    The best place is given: fewest edits, of those the first. NULL, empty and blank texts and passages match nothing; white
+    space counts as one blank in both, passages below MIN_PASSAGE bytes have to stand there as they are, between word
+    boundaries. Equal rows give equal rows; equal passages with several ids are found under
     each. Other columns are not read. Nothing in either table: no rows.
     """
     kind, item_kind = docs.schema[doc_id].dataType.simpleString(), passages.schema[item_id].dataType
@@ -194,7 +250,7 @@ def benchmark_matches(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_i
                     lead = np.concatenate(([0], np.cumsum((raw & 0xC0) != 0x80))) if got else None
                     t = [g[0] for g in got]
                     spans = [(lead[bounds[g[0]] + g[3]] - lead[bounds[g[0]]], lead[bounds[g[0]] + g[4]] - lead[bounds[g[0]]]) for g in got]
-                    cols = [part.column("doc_id").take(pa.array(t, pa.int64())), pa.array([index.ids[g[1]] for g in got], arrow), pa.array([g[2] for g in got], pa.int64())]
+                    cols = [part.column("doc_id").take(pa.array(t, pa.int64())), pa.array([g[1] for g in got], arrow), pa.array([g[2] for g in got], pa.int64())]
                     cols += [pa.array([int(s[k]) for s in spans], pa.int64()) for k in (0, 1)]
                     yield pa.record_batch(cols, names=["doc_id", "item_id", "edits", "start", "end"])
 
@@ -204,7 +260,10 @@ def benchmark_matches(docs: DataFrame, passages: DataFrame, doc_id: str = "doc_i
 
 
 def without_benchmark(docs: DataFrame, passages: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no passage is found, all columns unchanged."""
+    """The rows of ``docs`` in which no passage (see ``benchmark_matches``) is found, all columns unchanged.
+
+    Rows with NULL and empty texts stay, repeated rows stay or go together. No passages: all rows.
+    """
     spark = docs.sparkSession
     for rows in _blocks(passages, item_id, item_text):
         shared = spark.sparkContext.broadcast(build_index(rows))
