@@ -449,7 +449,7 @@ def test_short_passages_stand_between_word_boundaries(spark):
     ]
     docs, items = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
     got = {(r.doc_id, r.item_id): (r.edits, r.start, r.end) for r in decontaminate.benchmark_matches(docs, items).collect()}
-    assert got == {(1, 1): (0, 6, 28), (4, 2): (0, 11, 16), (5, 3): (0, 0, 3), (5, 5): (0, 0, 3), (7, 4): (0, 2, 5), (9, 3): (0, 0, 3), (9, 5): (0, 0, 3)}
+    assert got == {(1, 1): (0, 6, 26), (4, 2): (0, 11, 16), (5, 3): (0, 0, 3), (5, 5): (0, 0, 3), (7, 4): (0, 2, 5), (9, 3): (0, 0, 3), (9, 5): (0, 0, 3)}
     assert {r.doc_id for r in decontaminate.without_benchmark(docs, items).collect()} == {2, 3, 6, 8, 10, 11}
 
 
