@@ -168,7 +168,24 @@ def distance(p, q):
     return math.sqrt(max(0.0, (against(p, q) + against(q, p)) / 2))
 
 
-def kept_by_rules(rows, common_share, min_chars, min_words, most_class, most_word):
+def word_limit(n, shares, deviations, least, most, long_words):
+    """The largest distance of a text of ``n`` words, from the chances of all counts of each common word and of the rest."""
+    without = distance([0.0] * (len(shares) - 1) + [1.0], shares)
+    mean = variance = 0.0
+    for p in shares if n < long_words else []:
+        parts = []
+        for k in range(int(n * p + 12 * math.sqrt(n * p) + 30)):
+            q = k / n
+            m = (p + q) / 2
+            part = (p * math.log2(p / m) + (q * math.log2(q / m) if q else 0)) / 2
+            parts.append((math.exp(k * math.log(n * p) - n * p - math.lgamma(k + 1)), part))
+        own = sum(c * x for c, x in parts)
+        mean += own
+        variance += sum(c * (x - own) ** 2 for c, x in parts)
+    return min(most * without, max(least * without, math.sqrt(mean + deviations * math.sqrt(variance))))
+
+
+def kept_by_rules(rows, common_share, min_chars, min_words, most_class, limit):
     """doc_ids of (doc_id, text, lang) rows that the quality rules keep; every language has a reference."""
     shares, common, sizes = defaultdict(list), defaultdict(Counter), Counter()
     for _, text, lang in rows:
@@ -192,7 +209,7 @@ def kept_by_rules(rows, common_share, min_chars, min_words, most_class, most_wor
         far = total >= min_chars and distance(p, reference) > most_class
         if n >= min_words:
             q = [*top.values(), 1 - sum(top.values())]
-            far = far or distance([mine[w] / n for w in [*top, None]], q) > most_word
+            far = far or distance([mine[w] / n for w in [*top, None]], q) > limit(n, q)
         if not failed and not far:
             kept.add(d)
     return kept

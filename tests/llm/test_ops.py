@@ -120,6 +120,44 @@ def test_rules_know_junk_and_leave_clean_texts(spark, documents):
     assert by[1][0] >= 0.99 * by[1][1] and by[0][0] <= 0.02 * by[0][1]
 
 
+def test_word_limits():
+    shares = np.array([0.06, 0.03, *[0.004] * 30, 0.79])
+    limits = rules.word_limits(tuple(shares.tolist()))
+    for n in (50, 77, 130, 260, 399, 400):
+        plain = brute.word_limit(n, shares.tolist(), rules.DEVIATIONS, rules.LEAST_LIMIT, rules.MOST_LIMIT, rules.LONG_WORDS)
+        assert abs(limits[min(n, rules.LONG_WORDS)] - plain) < 2e-3
+    assert (np.diff(limits[50:]) <= 1e-9).all()
+
+
+def test_clean_texts_of_each_length_stay(spark):
+    """At least 99 of 100, short ones too; and texts of the same lengths with no word of the language go."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    scored = rules.quality_scores(spark.read.parquet(f"{folder}/documents.parquet")).join(labels.where("quality = 1"), "doc_id").collect()
+    for low, high in ((50, 75), (75, 100), (100, 200), (200, 400), (400, 10**9)):
+        kept = [r.kept for r in scored if low <= r.n_words < high]
+        assert len(kept) > 100 and sum(kept) >= 0.99 * len(kept), (low, sum(kept), len(kept))
+
+
+def test_case_counts_in_repeated_words(spark):
+    text = "One two three four. one two three four. One two three! " + "word " * 3
+    row = rules.quality_scores(spark.createDataFrame([(1, text, "en")], "doc_id int, text string, lang string")).first()
+    assert row.n_repeat_words == brute.counts(text)[4] == 6
+
+
+def test_copies_in_a_rare_language_are_dealt_to_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(rules, "GROUP_ROWS", 5)
+    monkeypatch.setattr(rules, "LANGUAGE_SHARE", 2.0)
+    rows = [(i, "same text in a rare tongue " * 20, "xx") for i in range(40)] + [(100, "another", "yy")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = rules.references(df)
+    dealt = rules.dealt_rows(df, refs, "text", "lang", F.lit(True))
+    held = {r["__lang"]: [] for r in dealt.collect()}
+    for r in dealt.groupBy("__lang", "__salt").count().collect():
+        held[r["__lang"]].append(r["count"])
+    assert len(held["xx"]) > 4 and max(held["xx"]) < 20 and held["yy"] == [1]
+
+
 def test_rare_languages_have_their_own_reference(spark, monkeypatch):
     """Clean texts of a rare language in another script stay; a language of a single text is not judged."""
     monkeypatch.setattr(rules, "GROUP_ROWS", 5)

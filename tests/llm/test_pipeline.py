@@ -12,7 +12,8 @@ from tidewater.llm import decontaminate, rules
 def test_pipeline(spark, documents, unigram):  # noqa: F811
     rows = {r.doc_id: (r.text, r.lang, r.source) for r in documents.collect()}
     good = brute.kept_by_rules(
-        [(d, t, lang) for d, (t, lang, _) in rows.items()], rules.COMMON_SHARE, rules.MIN_CHARS, rules.MIN_WORDS, rules.MAX_CLASS_DISTANCE, rules.MAX_WORD_DISTANCE
+        [(d, t, lang) for d, (t, lang, _) in rows.items()], rules.COMMON_SHARE, rules.MIN_CHARS, rules.MIN_WORDS, rules.MAX_CLASS_DISTANCE,
+        lambda n, shares: brute.word_limit(n, shares, rules.DEVIATIONS, rules.LEAST_LIMIT, rules.MOST_LIMIT, rules.LONG_WORDS),
     )
     left = [(d, rows[d][0]) for d in sorted(good)]
     assert 0 < len(left) < len(rows)

@@ -7,13 +7,15 @@ distances are judged only for texts long enough for a histogram to mean somethin
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.texts import SLICE_BYTES, filled, rows_of, slices, text_bytes, words_of
@@ -45,16 +47,19 @@ MIN_CHARS = 200
 MIN_WORDS = 50
 #: Largest distances of a kept text.
 MAX_CLASS_DISTANCE = 0.28
-#: The distances of words where a text without one common word has NO_COMMON_WORDS; for other languages in proportion to that
-#: text's distance, which the reference gives. Clean texts of 50 words come up to 0.39 (one in a hundred above 0.38, one in
-#: twenty above 0.36), from LONG_WORDS on up to 0.27; texts in the nearest other language begin at 0.287, mostly 0.38 to 0.40.
-MAX_WORD_DISTANCE = 0.36
-MAX_LONG_WORD_DISTANCE = 0.28
-NO_COMMON_WORDS = 0.4
-LONG_WORDS = 200
+#: A text of n words drawn from its language has a squared word distance with a mean and a deviation that follow from n and the
+#: reference. Kept up to so many deviations above the mean: of clean texts one in three hundred lies above three, none above five.
+DEVIATIONS = 4.0
+#: Long texts keep to a subject, which moves them further than drawing does: up to 0.27 where a text without one common word has
+#: a distance of 0.4, while texts in the nearest other language begin at 0.287. So the limit does not fall below this share of
+#: the distance of a text without a common word, and never reaches that distance itself.
+LEAST_LIMIT, MOST_LIMIT = 0.7, 0.97
+#: From so many words on the limit is the least one.
+LONG_WORDS = 400
 #: Common words that a judged text has on average; a clean text without any is then one in 160,000.
 MIN_EXPECTED = 12
 
+_LOG_FACTORIAL = np.array([math.lgamma(k + 1) for k in range(200)])
 _STATS = "lang string, kind string, item string, amount double"
 
 
@@ -129,7 +134,7 @@ def _reference(rows: list[tuple]) -> dict:
 class References(NamedTuple):
     frequent: dict[str, dict]  # by language
     rare: DataFrame | None  # lang, kind, item, amount, words of all others with enough texts or words; None without other languages
-    salts: int  # groups that a rare language's rows are dealt to
+    sizes: DataFrame | None  # lang, salts: groups that a rare language's rows are dealt to, where that is more than one
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
@@ -150,9 +155,25 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> Refer
     of_lang: dict[str, list] = {r.lang: [] for r in sums.where("frequent").select("lang").collect()}
     for lang_, *row in known.where("frequent").select("lang", "kind", "item", "amount", "words").collect():
         of_lang[lang_].append(row)
-    most = sums.where("NOT frequent").agg(F.max("texts")).first()[0]
-    rare = None if most is None else known.where("NOT frequent").select("lang", "kind", "item", "amount", "words")
-    return References({name: _reference(rows) for name, rows in of_lang.items()}, rare, 1 + int(most or 0) // GROUP_ROWS)
+    others = sums.where("NOT frequent")
+    by_lang = {name: _reference(rows) for name, rows in of_lang.items()}
+    if others.isEmpty():
+        return References(by_lang, None, None)
+    salts = F.floor(F.col("texts") / GROUP_ROWS) + 1
+    return References(by_lang, known.where("NOT frequent").select("lang", "kind", "item", "amount", "words"), others.select("lang", salts.alias("salts")).where("salts > 1"))
+
+
+def dealt_rows(docs: DataFrame, refs: References, text: str, lang: str, wanted: Column) -> DataFrame:
+    """The ``wanted`` rows with ``__lang`` and ``__salt``; the salt comes from the whole row, so that copies of a text with ids of
+    their own are dealt to all groups of their language.
+
+    There are at most GROUP_ROWS texts to a salt, so languages with salts are at most one in GROUP_ROWS texts.
+    """
+    name = F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(""))
+    row = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    named = docs.where(wanted).withColumn("__lang", name)
+    dealt = named.join(refs.sizes.select(F.col("lang").alias("__lang"), "salts"), "__lang", "left")
+    return dealt.select(*named.columns, F.pmod(row, F.coalesce("salts", F.lit(1))).alias("__salt"))
 
 
 def _by_reference(docs: DataFrame, refs: References, text: str, lang: str, judge, schema) -> DataFrame:
@@ -168,8 +189,8 @@ def _by_reference(docs: DataFrame, refs: References, text: str, lang: str, judge
     name = F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(""))
     frequent = name.isin(list(refs.frequent)) if refs.frequent else F.lit(False)
     n = len(docs.columns)
-    dealt = docs.where(~frequent).withColumns({"__lang": name, "__salt": F.pmod(F.xxhash64(F.col(f"`{text}`").cast("string")), F.lit(refs.salts))})
-    salted = refs.rare.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(refs.salts - 1)))).withColumn("__salt", F.col("__salt").cast("long"))
+    dealt = dealt_rows(docs, refs, text, lang, ~frequent)
+    salted = refs.rare.join(refs.sizes, "lang", "left").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)) - 1))).drop("salts")
 
     def joined(key: tuple[pa.Scalar, ...], rows: pa.Table, known: pa.Table) -> pa.Table:
         found = _reference(list(zip(*(known.column(c).to_pylist() for c in ("kind", "item", "amount", "words")))))
@@ -191,6 +212,30 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((against(p) + against(np.broadcast_to(q, p.shape))) / 2, 0, 1))
 
 
+@lru_cache(maxsize=64)
+def word_limits(shares: tuple[float, ...]) -> np.ndarray:
+    """The largest word distance of a kept text by its number of words, up to LONG_WORDS; the last share is that of all words
+    that are not common."""
+    p = np.array(shares)
+    without = js_distance((np.arange(len(p)) == len(p) - 1)[None].astype(float), p)[0]
+    drawn = np.full(LONG_WORDS + 1, np.inf)
+    cells = np.maximum(p, 1e-12)[:, None]
+    for n in range(1, LONG_WORDS):
+        # counts are Poisson; cells with many words come so close that the second order tells all
+        rate = n * cells
+        k = np.arange(int(min(rate.max(), 40.0) * 2 + 40))[None, :]
+        q, chance = k / n, np.exp(k * np.log(rate) - rate - _LOG_FACTORIAL[: k.shape[1]][None, :])
+        middle = (cells + q) / 2
+        part = (cells * np.log2(cells / middle) + q * np.log2(np.where(q > 0, q, 1) / middle)) / 2
+        mean = (chance * part).sum(axis=1)
+        variance = (chance * (part - mean[:, None]) ** 2).sum(axis=1)
+        large = rate[:, 0] > 40
+        mean[large], variance[large] = 1 / (8 * n * math.log(2)), 2 / (8 * n * math.log(2)) ** 2
+        drawn[n] = math.sqrt(mean.sum() + DEVIATIONS * math.sqrt(variance.sum()))
+    drawn[LONG_WORDS] = 0
+    return np.clip(drawn, LEAST_LIMIT * without, MOST_LIMIT * without)
+
+
 def _scored(batch: pa.RecordBatch, refs: dict[str, dict]) -> dict[str, np.ndarray]:
     texts = filled(batch.column("text"))
     n = len(texts)
@@ -220,8 +265,7 @@ def _scored(batch: pa.RecordBatch, refs: dict[str, dict]) -> dict[str, np.ndarra
         inside = local[row] >= 0
         hist = np.bincount(local[row[inside]] * (k + 1) + slot[found.codes[inside]], minlength=len(mine) * (k + 1)).reshape(len(mine), k + 1)
         shares = np.array([*ref["word"].values(), max(0.0, 1 - sum(ref["word"].values()))])
-        no_common = js_distance((np.arange(k + 1) == k)[None].astype(float), shares)[0]
-        most_word[mine] = np.where(n_words[mine] < LONG_WORDS, MAX_WORD_DISTANCE, MAX_LONG_WORD_DISTANCE) * no_common / NO_COMMON_WORDS
+        most_word[mine] = word_limits(tuple(shares.tolist()))[np.minimum(n_words[mine], LONG_WORDS)]
         least_words[mine] = np.maximum(MIN_WORDS, MIN_EXPECTED / (1 - shares[-1]))
         own_word[mine] = js_distance(hist / np.maximum(hist.sum(axis=1, keepdims=True), 1), shares)
     judged_c = (total >= MIN_CHARS) & np.isfinite(own_class)
