@@ -71,6 +71,8 @@ def composite_code(name: Column, year: Column, prefix: str = "ID-") -> Column:
 
 def split_literal(text: Column, sep: str, limit: int = -1) -> Column:
     """Pieces between literal separators."""
+    if len(sep) == 1 and sep not in ".$|()[{^?*+\\":  # Java splits at one plain character without a pattern
+        return F.split(text, sep, limit)
     return F.split(text, "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E", limit)
 
 

@@ -226,14 +226,18 @@ def dense_rank_in_group(
 ) -> DataFrame:
     """Dense rank of ``value`` per group: ties share a rank, no gaps, NULL values stay unranked.
 
-    One plan with two branches. Groups beyond the bound that hold more than an even share of the rows (a sketch of the keys
-    finds them in one pass) have their distinct values numbered bucket by bucket, and a value's rank is its distance from the
-    group's first; a bucket is a part of a large group, so no task holds one. All other groups use the window function.
+    Groups beyond the bound that hold more than an even share of the rows (a sketch of the keys finds them in one pass) have
+    their distinct values numbered bucket by bucket, and a value's rank is its distance from the group's first; a bucket is a
+    part of a large group, so no task holds one. All other groups use the window function, in the same plan. Without large
+    groups that is all there is.
     """
     hashed = F.xxhash64(*keys)
-    large = F.broadcast(hot_hashes(df, keys, group_bound))
-    small_rows = df.join(large, hashed == F.col("__item"), "left_anti")
     ranked = F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last()))
+    large = hot_hashes(df, keys, group_bound)
+    if large.isEmpty():
+        return df.withColumn(name, F.when(F.col(value).isNotNull(), ranked))
+    large = F.broadcast(large)
+    small_rows = df.join(large, hashed == F.col("__item"), "left_anti")
     small = small_rows.withColumn(name, F.when(F.col(value).isNotNull(), ranked))
 
     large_rows = df.join(large, hashed == F.col("__item"), "left_semi")

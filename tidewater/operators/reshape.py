@@ -14,12 +14,12 @@ FUNCTIONS = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "mean":
 
 def pivot_values(df: DataFrame, column: str) -> list:
     """Distinct non-NULL values of the future columns, sorted. They become a schema, so more of them than the session's
-    ``spark.sql.pivotMaxValues`` are an error; they are counted before they are fetched."""
-    values = df.select(column).where(F.col(column).isNotNull()).distinct()
+    ``spark.sql.pivotMaxValues`` are an error; no more than one beyond that is fetched."""
     most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
-    if (n := values.count()) > most:
-        raise ValueError(f"{column} has {n} values, too many to become columns ({most})")
-    return sorted(r[0] for r in values.collect())
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values, too many to become columns")
+    return sorted(r[0] for r in values)
 
 
 def pivot(df: DataFrame, index: list[str], columns: str, values: str, function: str, names: list | None = None) -> DataFrame:

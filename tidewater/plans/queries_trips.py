@@ -85,7 +85,8 @@ _written: dict[tuple, str] = {}
 
 def _once(t: Tables, label: str, write) -> str:
     """Folder that ``write`` filled, once per session and state of the input's files."""
-    files = t.lineitem.select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").distinct()
+    # a listing: the files themselves are not opened
+    files = t.spark.read.format("binaryFile").load(f"{t.folder}/lineitem.parquet").select("path", "modificationTime", "length")
     state = tuple(sorted((r[0], str(r[1]), r[2]) for r in files.collect()))
     key = (t.spark.sparkContext.applicationId, state, label)
     if key not in _written:
