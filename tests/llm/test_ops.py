@@ -346,6 +346,17 @@ def test_disclosing_term_as_last_word(spark):
     assert all(found[i] == ["kestrel"] for i in range(8)) and not any("part" in t or "partl" in t for i in range(8) for t in found[50 + i])
 
 
+def test_other_columns_keep_their_values(spark, odd):
+    """Also those named as columns that the operator makes on its way."""
+    wild = odd.withColumns({"__email": F.lit("e"), "__h": F.col("doc_id"), "__all": F.lit(1), "__new": F.lit("n"), "c0": F.lit("c")})
+    others = [c for c in wild.columns if c not in ("text", "n_chars")]
+    out = pii.sanitised(wild)
+    assert out.columns == wild.columns and bag(out.select(others).collect()) == bag(wild.select(others).collect())
+    found = pii.find_personal_data(wild)
+    kept = [c for c in wild.columns if c not in ("base", "terms")]
+    assert found.columns == [*kept, "base", "terms"] and bag(found.select(kept).collect()) == bag(wild.select(kept).collect())
+
+
 def test_redaction(docs, empty):
     out = pii.sanitised(docs)
     assert out.columns == docs.columns
