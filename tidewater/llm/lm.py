@@ -7,21 +7,22 @@ weight, to the state of the context less its first word, down to the root, which
 left to right: the state is carried from token to token, and the weights of the arcs taken add up to the score.
 
 Neither words nor arcs fit into a task, so texts are coded as blocks of a few MB, and a block gets the arcs and failure arcs
-that its own texts can take and no others. Words meet by name in one shuffle. N-grams travel as sorted 64-bit keys, a share for
-each range of keys; where shares of all blocks meet, counts are summed and go back to each block in the order of its share, so
-that keys are sent one way only. Pairs go first; a triple is counted only where both its pairs are kept, as others cannot be.
+that its own texts can take and no others. Words travel as text, n-grams as sorted 64-bit keys, a share for each range of
+hashes; where shares of all blocks meet, counts are summed and go back to each block in the order of its share, so that words
+and keys are sent one way only. Pairs go first; a triple is counted only where both its pairs are kept, as others cannot be.
 The failure weights of contexts are found and sent back in the same way. Keys exist in shuffles only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch
@@ -66,14 +67,35 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids), pa.array([held.tobytes()], pa.binary()),
-                    pa.array([bounds.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(found.vocabulary)], pa.int32()), found.vocabulary.cast(pa.string())), pa.array([len(codes)], pa.int64()),
+                    pa.array([bounds.tobytes()], pa.binary()), pa.array([_small(codes)], pa.binary()),
+                    pa.array([_small_lines(found.vocabulary)], pa.binary()), pa.array([len(codes)], pa.int64()),
                 ],
                 ["block", "doc_id", "held", "bounds", "codes", "words", "n"],
             )
             number += 1
 
 
+def _small(values: np.ndarray) -> bytes:
+    """The array's bytes, compressed: blocks are written once and shuffled several times."""
+    return values.nbytes.to_bytes(8, "little") + pa.compress(pa.py_buffer(np.ascontiguousarray(values)), codec="zstd", asbytes=True)
+
+
+def _whole(packed_bytes: pa.Buffer, kind: type) -> np.ndarray:
+    size = int.from_bytes(packed_bytes.slice(0, 8).to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(packed_bytes.slice(8), decompressed_size=size, codec="zstd"), kind) if size else np.zeros(0, kind)
+
+
+def _small_lines(words: pa.Array) -> bytes:
+    """Words, in which there is no line end, as lines."""
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())), "\n")
+    return _small(np.frombuffer(lines[0].as_py().encode(), np.uint8)) if len(words) else _small(np.zeros(0, np.uint8))
+
+
+def _lines(packed_bytes: pa.Buffer) -> pa.Array:
+    raw = _whole(packed_bytes, np.uint8)
+    return pc.split_pattern(pa.array([raw.tobytes().decode()]), "\n").flatten() if len(raw) else pa.array([], pa.string())
+
+
 class _Block:
     """The tokens of a block, and the distinct pairs and triples in them in the order of their keys."""
 
@@ -81,13 +103,15 @@ class _Block:
         give_back()
         self.number = row.column("block")[0].as_py()
         self.doc_ids = row.column("doc_id")[0].values
-        held, bounds, codes = (row.column(c)[0].as_buffer() for c in ("held", "bounds", "codes"))
+        held, bounds, codes, words = (row.column(c)[0].as_buffer() for c in ("held", "bounds", "codes", "words"))
         self.held = np.frombuffer(held, np.uint8).astype(bool)
-        self.bounds, self.codes = np.frombuffer(bounds, np.int64), np.frombuffer(codes, np.int32)
-        self.words = pa.concat_arrays([pa.array([END]), row.column("words")[0].values])
+        self.bounds, self.codes = np.frombuffer(bounds, np.int64), _whole(codes, np.int32)
+        self.words = pa.concat_arrays([pa.array([END]), _lines(words)])
         self.row = rows_of(self.bounds)
         self.trained = ~self.held[self.row]
         self.word_keys = word_hashes(self.words)
+
+    def find_pairs(self) -> None:
         same = self.row[1:] == self.row[:-1]
         self.pair_ends = np.flatnonzero(same) + 1
         key = np.zeros(len(self.codes), np.uint64)
@@ -114,11 +138,15 @@ class _Block:
     def triple_counts(self) -> np.ndarray:
         return np.bincount(self.triple_of[self.trained[self.triple_ends]], minlength=len(self.triple_keys))
 
+    def word_order(self) -> np.ndarray:
+        """The codes in the order in which the words are shared."""
+        return np.argsort(self.word_keys, kind="stable")
+
     def word_totals(self, known: pa.Table) -> np.ndarray:
         """Training counts of the block's words, by code."""
-        at = pc.index_in(self.words, known.column("word").combine_chunks().cast(self.words.type))
-        counts = np.append(known.column("c").to_numpy(), 0)
-        return counts[pc.fill_null(at, known.num_rows).to_numpy(zero_copy_only=False)]
+        out = np.zeros(len(self.words), np.int64)
+        out[self.word_order()] = _in_order(known)[0]
+        return out
 
     def contexts(self, word_totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Keys of all contexts that can have arcs, in order; where the words' and the pairs' stand among them, -1: nowhere."""
@@ -139,28 +167,62 @@ def _share(block: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.
     })
 
 
+def _word_share(row: pa.RecordBatch, ranges: int) -> pa.RecordBatch:
+    """The words of a block by ranges of their hashes, as text, with their training counts."""
+    block = _Block(row)
+    order = block.word_order()
+    counts = np.bincount(block.codes[block.trained], minlength=len(block.words))[order].astype(np.uint32)
+    part = range_of(block.word_keys[order], ranges)
+    bounds = run_bounds(part)
+    words = block.words.take(pa.array(order))
+    lines = [_small_lines(words.slice(x, y - x)) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    n = len(bounds) - 1
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[bounds[:-1]].astype(np.int64)), pa.array(np.full(n, block.number, np.int64)), pa.array(lines, pa.binary()), cut(counts, bounds)],
+        ["part", "block", "keys", "counts"],
+    )
+
+
+def _word_totals(rows: pa.Table) -> pa.Table:
+    """As ``_totals`` for words, which are compared as text; all that occur in training are kept, and in each range the number
+    of distinct ones and of their occurrences goes with the first share."""
+    rows = rows.sort_by("block")
+    lists = [_lines(v.as_buffer()) for v in rows.column("keys")]
+    coded = pa.concat_arrays(lists).dictionary_encode()
+    out, total = _summed_shares(rows, coded.indices.to_numpy(zero_copy_only=False), [len(x) for x in lists], 1)
+    first = [1] + [0] * (rows.num_rows - 1)
+    for name, value in (("distinct", int((total > 0).sum())), ("occurrences", int(total.sum()))):
+        out = out.append_column(name, pa.array([value * f for f in first], pa.int64()))
+    return out
+
+
 def _totals(rows: pa.Table) -> pa.Table:
     """For one range of keys, each share's sums over all blocks in the share's order, 0 below MIN_COUNT, and a bit for each key
     whether the share is that of the first block with it."""
     rows = rows.sort_by("block")
     keys = list(packed(rows, "keys", np.uint64))
-    distinct, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    return _summed_shares(rows, np.unique(np.concatenate(keys), return_inverse=True)[1], [len(k) for k in keys], MIN_COUNT)[0]
+
+
+def _summed_shares(rows: pa.Table, at: np.ndarray, sizes: list[int], least: int) -> tuple[pa.Table, np.ndarray]:
+    """``at`` numbers the distinct keys of all shares, one after the other; those with less than ``least`` get 0."""
+    distinct, first = np.unique(at, return_index=True)
     total = np.bincount(at, weights=np.concatenate(list(packed(rows, "counts", np.uint32))), minlength=len(distinct)).astype(np.int64)
-    total[total < MIN_COUNT] = 0
+    total[total < least] = 0
     lead = np.zeros(len(at), bool)
     lead[first] = True
-    ends = np.cumsum([len(k) for k in keys])
     totals, leads, widths = [], [], []
-    for end, own in zip(ends, keys):
-        mine = total[at[end - len(own) : end]]
+    for end, size in zip(np.cumsum(sizes), sizes):
+        mine = total[at[end - size : end]]
         width = next(w for w in (1, 2, 4, 8) if not len(mine) or mine.max() < 1 << 8 * w)
         totals.append(mine.astype(f"u{width}").tobytes())
         widths.append(width)
-        leads.append(np.packbits(lead[end - len(own) : end]).tobytes())
-    return pa.table({
+        leads.append(np.packbits(lead[end - size : end]).tobytes())
+    table = pa.table({
         "part": rows.column("part"), "block": rows.column("block"), "totals": pa.array(totals, pa.binary()),
         "width": pa.array(widths, pa.int32()), "lead": pa.array(leads, pa.binary()),
     })
+    return table, total
 
 
 def _in_order(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -186,6 +248,7 @@ def _grouped(keys: np.ndarray, columns: list[np.ndarray], same: list[np.ndarray]
 def _loaded(row: pa.Table, known: pa.Table) -> tuple[_Block, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The block with its pairs and triples: counts of words, first-block flags of pairs, counts and flags of triples."""
     block = _Block(row)
+    block.find_pairs()
     totals, pair_lead = _in_order(_rows(known, "pair"))
     block.with_pairs(totals)
     return block, block.word_totals(_rows(known, "word")), pair_lead, *_in_order(_rows(known, "triple"))
@@ -312,44 +375,45 @@ def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    blocks = materialise(base.mapInArrow(_coded, f"block long, doc_id array<{kind}>, held binary, bounds binary, codes binary, words array<string>, n long"), "lm-blocks")
+    blocks = materialise(base.mapInArrow(_coded, f"block long, doc_id array<{kind}>, held binary, bounds binary, codes binary, words binary, n long"), "lm-blocks")
     ranges = n_ranges(spark, blocks.agg(F.sum("n")).first()[0] or 0)
 
-    def word_counts(row: pa.Table) -> pa.Table:
-        block = _Block(row)
-        n = np.bincount(block.codes[block.trained], minlength=len(block.words))
-        return pa.table({"block": pa.array(np.full(len(n), block.number)), "word": block.words, "n": pa.array(n)})
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield _word_share(batch.slice(i, 1), ranges)
 
-    by_block = blocks.groupBy("block")
-    by_word = Window.partitionBy("word")
-    counted = by_block.applyInArrow(word_counts, "block long, word string, n long").withColumn("c", F.sum("n").over(by_word))
-    counted = counted.withColumn("lead", F.col("block") == F.min("block").over(by_word)).where("c > 0")
-    counted = materialise(counted.select("block", "word", "c", "lead"), "lm-words")
-    n_words, n_tokens = counted.where("lead").agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                block = _Block(batch.slice(i, 1))
+                block.find_pairs()
+                yield from _share(block.number, block.pair_keys, block.pair_counts(), ranges).combine_chunks().to_batches()
 
-    def pairs(row: pa.Table) -> pa.Table:
-        block = _Block(row)
-        return _share(block.number, block.pair_keys, block.pair_counts(), ranges)
+    counted = blocks.mapInArrow(words, _SHARE).groupBy("part").applyInArrow(_word_totals, f"{_TOTAL}, distinct long, occurrences long")
+    counted = materialise(counted, "lm-words")
+    n_words, n_tokens = counted.agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum("occurrences"), F.lit(0))).first()
 
     def triples(row: pa.Table, known: pa.Table) -> pa.Table:
         if not row.num_rows:
             return _share(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), ranges)
         block = _Block(row)
+        block.find_pairs()
         block.with_pairs(_in_order(known)[0])
         return _share(block.number, block.triple_keys, block.triple_counts(), ranges)
 
-    kept_pairs = materialise(by_block.applyInArrow(pairs, _SHARE).groupBy("part").applyInArrow(_totals, _TOTAL), "lm-pairs")
+    by_block = blocks.groupBy("block")
+    kept_pairs = materialise(blocks.mapInArrow(pairs, _SHARE).groupBy("part").applyInArrow(_totals, _TOTAL), "lm-pairs")
     shares = by_block.cogroup(kept_pairs.groupBy("block")).applyInArrow(triples, _SHARE)
     kept_triples = materialise(shares.groupBy("part").applyInArrow(_totals, _TOTAL), "lm-triples")
 
-    none = {c: F.lit(None).cast(t) for c, t in (("word", "string"), ("c", "long"), ("part", "long"), ("totals", "binary"), ("width", "int"), ("lead", "binary"), ("weights", "binary"))}
+    none = {c: F.lit(None).cast(t) for c, t in (("part", "long"), ("totals", "binary"), ("width", "int"), ("lead", "binary"), ("weights", "binary"))}
 
     def as_known(kind: str, frame: DataFrame, *columns: str) -> DataFrame:
         return frame.select(F.lit(kind).alias("kind"), "block", *[F.col(c) if c in columns else none[c].alias(c) for c in none])
 
-    known = as_known("word", counted, "word", "c")
-    for label, frame in (("pair", kept_pairs), ("triple", kept_triples)):
-        known = known.unionAll(as_known(label, frame, "part", "totals", "width", "lead"))
+    parts = [as_known(label, frame, "part", "totals", "width", "lead") for label, frame in (("word", counted), ("pair", kept_pairs), ("triple", kept_triples))]
+    known = reduce(DataFrame.unionAll, parts)
 
     def contexts(row: pa.Table, known: pa.Table) -> pa.Table:
         """What the block adds to the sums of contexts, and (rows with a block) the contexts whose weights it asks for."""
