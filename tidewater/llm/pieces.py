@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.texts import filled, ragged, slices
+from tidewater.llm.texts import filled, give_back, ragged, slices
 from tidewater.llm.scratch import materialise
 
 CHUNK = 4096
@@ -459,6 +459,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
                 flat, bounds = encode_small(v, filled(part.column("text")))
                 rows = batch.slice(at, part.num_rows)
                 at += part.num_rows
+                give_back()
                 yield pa.record_batch([*rows.columns, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat.astype(np.int32)))], names=[*kept, ids])
 
     schema = StructType([*base.schema.fields]).add(ids, ArrayType(IntegerType()))
