@@ -308,7 +308,11 @@ def quality_scores(docs: DataFrame, refs: References | None = None, doc_id: str
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` with a good verdict, all columns unchanged."""
+    """The rows of ``docs`` with a good verdict, all columns unchanged.
+
+    NULL and empty texts have no words and go, as do texts below 50 words; a NULL language is one of its own. Repeated rows stay
+    or go together. A text of any length is judged whole. No rows: no rows.
+    """
     refs = references(docs, text, lang)
 
     def keep(batch, known):
