@@ -96,6 +96,19 @@ def _lines(packed_bytes: pa.Buffer) -> pa.Array:
     return pc.split_pattern(pa.array([raw.tobytes().decode()]), "\n").flatten() if len(raw) else pa.array([], pa.string())
 
 
+def _first(at: np.ndarray, n: int) -> np.ndarray:
+    """The first place of each of the numbers 0 to n - 1."""
+    first = np.zeros(n, np.int64)
+    first[at[::-1]] = np.arange(len(at))[::-1]
+    return first
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, the first place of each, and the number of each place's key."""
+    distinct, at = np.unique(keys, return_inverse=True)
+    return distinct, _first(at, len(distinct)), at
+
+
 class _Block:
     """The tokens of a block, and the distinct pairs and triples in them in the order of their keys."""
 
@@ -117,7 +130,7 @@ class _Block:
         key = np.zeros(len(self.codes), np.uint64)
         key[self.pair_ends] = mixed(self.word_keys[self.codes[self.pair_ends - 1]] * _FACTOR + self.word_keys[self.codes[self.pair_ends]] + np.uint64(2))
         self._pair_at = key
-        self.pair_keys, self.pair_first, self.pair_of = np.unique(key[self.pair_ends], return_index=True, return_inverse=True)
+        self.pair_keys, self.pair_first, self.pair_of = _numbered(key[self.pair_ends])
 
     def pair_counts(self) -> np.ndarray:
         return np.bincount(self.pair_of[self.trained[self.pair_ends]], minlength=len(self.pair_keys))
@@ -133,7 +146,7 @@ class _Block:
         self.triple_ends = np.flatnonzero(kept[1:] & kept[:-1]) + 1
         ends = self.triple_ends
         keys = mixed(self._pair_at[ends - 1] * _FACTOR + self.word_keys[self.codes[ends]] + np.uint64(3))
-        self.triple_keys, self.triple_first, self.triple_of = np.unique(keys, return_index=True, return_inverse=True)
+        self.triple_keys, self.triple_first, self.triple_of = _numbered(keys)
 
     def triple_counts(self) -> np.ndarray:
         return np.bincount(self.triple_of[self.trained[self.triple_ends]], minlength=len(self.triple_keys))
@@ -148,9 +161,16 @@ class _Block:
         out[self.word_order()] = _in_order(known)[0]
         return out
 
-    def contexts(self, word_totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys of all contexts that can have arcs, in order; where the words' and the pairs' stand among them, -1: nowhere."""
-        words, pairs = np.flatnonzero(word_totals >= MIN_COUNT), np.flatnonzero(self.pair_total >= MIN_COUNT)
+    def contexts(self, word_totals: np.ndarray, triple_totals: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys of the contexts whose failure weights the block asks for, in order; where the words' and the pairs' stand among
+        them, -1: nowhere. A pair is asked for that can have arcs and is left by its failure arc somewhere in the block."""
+        arc = np.zeros(len(self.codes), bool)
+        arc[self.triple_ends] = triple_totals[self.triple_of] >= MIN_COUNT
+        left = self.pair_ends[~arc[self.pair_ends]] - 1  # the ends of what stands before a token that no arc of a pair takes
+        left = self.pair_at[left[self.pair_at[left] >= 0]]
+        asked = np.zeros(len(self.pair_keys), bool)
+        asked[left] = True
+        words, pairs = np.flatnonzero(word_totals >= MIN_COUNT), np.flatnonzero(asked & (self.pair_total >= MIN_COUNT))
         keys, at = np.unique(np.concatenate((self.word_keys[words], self.pair_keys[pairs])), return_inverse=True)
         word_at, pair_at = np.full(len(self.words), -1), np.full(len(self.pair_keys), -1)
         word_at[words], pair_at[pairs] = at[: len(words)], at[len(words) :]
@@ -206,11 +226,10 @@ def _totals(rows: pa.Table) -> pa.Table:
 
 def _summed_shares(rows: pa.Table, at: np.ndarray, sizes: list[int], least: int) -> tuple[pa.Table, np.ndarray]:
     """``at`` numbers the distinct keys of all shares, one after the other; those with less than ``least`` get 0."""
-    distinct, first = np.unique(at, return_index=True)
-    total = np.bincount(at, weights=np.concatenate(list(packed(rows, "counts", np.uint32))), minlength=len(distinct)).astype(np.int64)
+    total = np.bincount(at, weights=np.concatenate(list(packed(rows, "counts", np.uint32)))).astype(np.int64)
     total[total < least] = 0
     lead = np.zeros(len(at), bool)
-    lead[first] = True
+    lead[_first(at, len(total))] = True
     totals, leads, widths = [], [], []
     for end, size in zip(np.cumsum(sizes), sizes):
         mine = total[at[end - size : end]]
@@ -292,18 +311,21 @@ class Automaton:
     """States 0 (root) to n - 1, sorted arcs ``state * n_words + word``, and a failure arc for each state but the root."""
 
     def __init__(self, block: _Block, words: np.ndarray, triples: np.ndarray, weights: np.ndarray, root: np.ndarray):
-        _, word_at, pair_at = block.contexts(words)
+        _, word_at, pair_at = block.contexts(words, triples)
         weights = np.append(weights.astype(np.float64), np.nan)  # -1: no context
         word_weight, pair_weight = weights[word_at], weights[pair_at]
         self.n_words, self.root = len(words), root
         is_word, is_pair = ~np.isnan(word_weight), ~np.isnan(pair_weight)
+        # pairs with arcs here are states whether asked for or not; their failure arcs are not taken
+        with_arcs = block.pair_at[block.triple_ends[block.triple_first[triples >= MIN_COUNT]] - 1]
+        is_pair[with_arcs] = True
         self.after = np.where(is_word, np.cumsum(is_word), 0)  # by word: the state after it at the root
         pair_state = np.where(is_pair, is_word.sum() + np.cumsum(is_pair), 0)
         pair_end = block.pair_ends[block.pair_first]
         first, last = block.codes[pair_end - 1], block.codes[pair_end]
         # the longest context at the end of a pair
         behind = np.where(is_pair, pair_state, self.after[last]) if len(last) else pair_state
-        self.failure = np.concatenate(([0.0], word_weight[is_word], pair_weight[is_pair]))
+        self.failure = np.nan_to_num(np.concatenate(([0.0], word_weight[is_word], pair_weight[is_pair])))
         self.shorter = np.concatenate((np.zeros(1 + is_word.sum(), np.int64), self.after[last[is_pair]]))
         two = np.flatnonzero(block.pair_total >= MIN_COUNT)
         three = np.flatnonzero(triples >= MIN_COUNT)
@@ -421,7 +443,7 @@ def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
         if row.num_rows:
             block, words, *rest = _loaded(row, known)
             keys, columns = _context_sums(block, words, *rest, n_tokens)
-            asked, _, _ = block.contexts(words)
+            asked, _, _ = block.contexts(words, rest[1])
         else:
             keys = asked = np.zeros(0, np.uint64)
             columns = [np.zeros(0, np.int64)] * 5
