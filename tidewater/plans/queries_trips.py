@@ -80,6 +80,7 @@ def text_feeds(t: Tables, spoilt: dict | None = None) -> dict[str, DataFrame]:
     return feeds
 
 
+_feeds: dict[str, dict[str, DataFrame]] = {}
 _written: dict[tuple, str] = {}
 
 
@@ -104,7 +105,9 @@ def landed_feeds(t: Tables) -> dict[str, DataFrame]:
             write_csv(feed, f"{path}/{name}")
 
     landing = _once(t, "trip-feeds", write)
-    return {name: read_csv_text(t.spark, f"{landing}/{name}/*.csv") for name in job.FEED_NAMES}
+    if landing not in _feeds:  # plans, not rows: the headers of a landing that no longer changes are looked at once
+        _feeds[landing] = {name: read_csv_text(t.spark, f"{landing}/{name}/*.csv") for name in job.FEED_NAMES}
+    return _feeds[landing]
 
 
 def conformed(t: Tables) -> DataFrame:
