@@ -64,10 +64,14 @@ def test_log_is_the_repaired_conversation(spark):
 
 
 def test_one_long_conversation(spark):
-    """More rows than one batch holds, in one task."""
+    """Many batches of one conversation, in one task."""
     draw = random.Random(5)
-    rows = [(7, k, draw.choice(["user", "assistant"]), f"Text {k}{draw.choice('.!?x')}") for k in range(12_000)]
-    got = [tuple(r) for r in conversations.audits(conversations.repair(frame(spark, rows))).collect()]
+    rows = [(7, k, draw.choice(["user", "assistant"]), f"Text {k}{draw.choice('.!?x')}") for k in range(1500)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = [tuple(r) for r in conversations.audits(conversations.repair(frame(spark, rows))).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == list(expected(rows, [7]))
 
 

@@ -85,6 +85,10 @@ def _whole(packed_bytes: pa.Buffer, kind: type) -> np.ndarray:
     return np.frombuffer(pa.decompress(packed_bytes.slice(8), decompressed_size=size, codec="zstd"), kind) if size else np.zeros(0, kind)
 
 
+def _small_runs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.array([_small(values[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+
+
 def _small_lines(words: pa.Array) -> bytes:
     """Words, in which there is no line end, as lines."""
     lines = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())), "\n")
@@ -295,7 +299,7 @@ def _failures(rows: pa.Table) -> pa.Table:
     sums, requests = rows.filter(pc.invert(asks)), rows.filter(asks)
     names = ("own", "below", "arcs", "context", "shorter")
     key = np.concatenate([np.zeros(0, np.uint64), *packed(sums, "keys", np.uint64)])
-    columns = [np.concatenate([np.zeros(0, np.int64), *packed(sums, c, np.int64)]) for c in names]
+    columns = [np.concatenate([np.zeros(0, np.int64), *(_whole(v.as_buffer(), np.int64) for v in sums.column(c))]) for c in names]
     distinct, (own, below, arcs, context, shorter) = _grouped(key, columns[:3], columns[3:])
     left = [np.maximum(_LEAST, 1 - (x - DISCOUNT * arcs) / of) for x, of in ((own, context), (below, shorter))]
     weight = np.append(np.log10(left[0] / left[1]), np.nan).astype(np.float32)
@@ -455,7 +459,7 @@ def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
             "part": pa.array(np.concatenate((part[bounds[:-1]], asked_part[asked_bounds[:-1]])).astype(np.int64)),
             "block": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array([block.number] * m if m else [], pa.int64())]),
             "keys": pa.concat_arrays([cut(keys, bounds), cut(asked, asked_bounds)]),
-            **{name: pa.concat_arrays([cut(c.astype(np.int64), bounds), empty]) for name, c in zip(names, columns)},
+            **{name: pa.concat_arrays([_small_runs(c.astype(np.int64), bounds), empty]) for name, c in zip(names, columns)},
         })
 
     sums = by_block.cogroup(known.groupBy("block")).applyInArrow(
