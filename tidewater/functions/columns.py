@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,15 +13,25 @@ TIMESTAMP_PATTERNS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy hh:mm:ss a", "M/d/yyyy
 KM_PER_MILE = 1.60934
 
 
+def least_length(pattern: str) -> int:
+    """Code points that a text needs at least to be read by a timestamp pattern: numbers have all their letters' digits, AM and
+    PM two, anything not known here one; optional and quoted parts are not counted."""
+    if set(pattern) & set("[]'"):
+        return 0
+    runs = [m.group() for m in re.finditer(r"([A-Za-z])\1*|.", pattern, re.DOTALL)]
+    return sum(2 if r == "a" else len(r) if r == "yyyy" or r in ("MM", "dd", "HH", "hh", "mm", "ss") else 1 for r in runs)
+
+
 def parse_timestamp_multi(text: Column, patterns: tuple[str, ...] = TIMESTAMP_PATTERNS) -> Column:
     """The time by the first of the patterns that reads the text, in the given order; else NULL.
 
-    A failed parse is slow, so a pattern with a date separator is tried only on text that holds it.
+    A failed parse is slow, so a pattern is tried only on text that is long enough for it and holds its date separator.
     """
     def tried(pattern: str) -> Column:
         separator = next((ch for ch in pattern if not ch.isalpha()), None)
         parsed = F.try_to_timestamp(text, F.lit(pattern))
-        return parsed if separator is None else F.when(F.contains(text, F.lit(separator)), parsed)
+        fits = F.length(text) >= least_length(pattern)
+        return F.when(fits if separator is None else fits & F.contains(text, F.lit(separator)), parsed)
 
     return F.coalesce(*[tried(p) for p in patterns])
 

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,29 +13,30 @@ from pyspark.sql import types as T
 from tidewater.functions.columns import nan_to_null
 
 
-def _first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if batch.num_rows:
-            yield batch.slice(0, 1)
-            return
+#: Files whose headers one job looks at.
+HEADERS_AT_ONCE = 64
 
 
 def csv_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
     """The files under ``paths`` by their header, in order of path; empty files have none.
 
-    One task per file, which stops reading after the first line. The driver sees one line per file.
+    One task per file, which stops reading after the first line: a limit does that, while a Python function is sent the whole
+    file whatever it takes of it. The driver sees one line per file.
     """
     reader = spark.newSession()
     # a file is one split, and no task has a second one
     whole = str(1 << 40)
     for setting in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
         reader.conf.set(setting, whole)
-    reader.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = reader.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    reader.conf.set("spark.sql.unionOutputPartitioning", "false")  # files side by side, not one after the other in a task
+    files = [unquote(path) for path in sorted(reader.read.text(paths).inputFiles())]
     found: dict[tuple[str, ...], list[str]] = {}
-    for path, line in sorted(tuple(r) for r in lines.mapInArrow(_first_line, "path string, value string").collect()):
-        names = next(csv.reader([line.removeprefix("\ufeff")]), [])
-        found.setdefault(tuple(names), []).append(unquote(path))
+    for at in range(0, len(files), HEADERS_AT_ONCE):
+        some = files[at : at + HEADERS_AT_ONCE]
+        heads = [reader.read.text(path).coalesce(1).limit(1).select(F.lit(i).alias("i"), "value") for i, path in enumerate(some)]
+        for i, line in sorted(tuple(r) for r in reduce(DataFrame.unionAll, heads).collect()):
+            names = next(csv.reader([line.removeprefix("\ufeff")]), [])
+            found.setdefault(tuple(names), []).append(some[i])
     return found
 
 
@@ -121,15 +120,15 @@ def read_landing_tagged(spark: SparkSession, folder: str) -> dict[str, DataFrame
     return feeds
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Overwrite ``path`` with Parquet, partitioned by columns when given.
+def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), compression: str | None = None) -> None:
+    """Overwrite ``path`` with Parquet, partitioned by columns when given; ``compression`` names another codec than the session's.
 
     Rows are first spread by partition value through a rebalance: each value is written by few tasks,
     and a value that holds much of the data is split over several instead of ending in one.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**({"compression": compression} if compression else {}))
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
