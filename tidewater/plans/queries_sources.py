@@ -63,8 +63,8 @@ def _(t):
     """Two drops whose files have their columns in opposite orders."""
     landing = t.scratch("lineitem-csv")
     odd = F.col("l_orderkey") % 2 == 1
-    files.write_csv(t.lineitem.filter(odd).repartition(2, "l_orderkey"), f"{landing}/a")
-    files.write_csv(t.lineitem.filter(~odd).select(*reversed(t.lineitem.columns)).repartition(2, "l_orderkey"), f"{landing}/b")
+    files.write_csv(t.lineitem.filter(odd), f"{landing}/a")
+    files.write_csv(t.lineitem.filter(~odd).select(*reversed(t.lineitem.columns)), f"{landing}/b")
     rows = files.read_csv_text(t.spark, f"{landing}/*/*.csv")
     return rows.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n_rows"),
