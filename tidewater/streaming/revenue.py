@@ -117,9 +117,12 @@ def stream_revenue(
 
 
 def stream_batch_counts(
-    spark: SparkSession, folder: str, out: str, event_types: str | list[str] = "purchase", max_files: int = 1
+    spark: SparkSession, folder: str, out: str, event_types: str | list[str] = "purchase", max_files: int | None = 1
 ) -> DataFrame:
-    """Events per bounded batch: one row per micro-batch, replaced as a whole when the batch is repeated."""
+    """Events per batch: one row per micro-batch, replaced as a whole when the batch is repeated.
+
+    A batch has at most ``max_files`` files; without a bound it is all that arrived since the batch before.
+    """
     counts = f"{out}/counts"
     if _empty(spark, folder):
         return spark.createDataFrame([], "n_events bigint, batch_id int")
