@@ -112,7 +112,7 @@ def landed_feeds(t: Tables) -> dict[str, DataFrame]:
 
 def conformed(t: Tables) -> DataFrame:
     """The conformed table: parsed and written once per session, read by every report."""
-    path = _once(t, "trips", lambda out: job.conform_feeds(landed_feeds(t)).write.parquet(out))
+    path = _once(t, "trips", lambda out: write_parquet(job.conform_feeds(landed_feeds(t)), out, compression="zstd"))
     return t.spark.read.schema(", ".join(f"{c} {kind}" for c, kind in job.TARGET.items())).parquet(path)
 
 
@@ -345,7 +345,8 @@ def _(t):
 @query("sink_parquet_full", TRIPS_SQL + FEED_TOTALS_SQL.replace("FROM trips", "FROM clean"))
 def _(t):
     out = t.scratch("trips-full")
-    write_parquet(job.split_valid_invalid(conformed(t))[0], out)
+    # one pass from the text to the sink: a copy of the parsed rows would be written for this reader alone
+    write_parquet(job.split_valid_invalid(job.conform_feeds(landed_feeds(t)))[0], out, compression="zstd")
     return feed_totals(t.spark.read.parquet(out))
 
 
