@@ -12,6 +12,7 @@ manifest. So a task that runs again, or twice, leaves at most a file that nobody
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,17 +52,20 @@ _WORD_IDS: dict[str, tuple[dict, dict]] = {}
 def _word_ids(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of distinct words one after the other, and the number of each; words met lately are not encoded again."""
     new, old = _WORD_IDS.get(path, ({}, {}))
-    unknown = [w for w in words if w not in new and w not in old]
-    fresh = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(unknown, tokenizer_at(path).encode_batch_fast(unknown, add_special_tokens=False))}
-    got = []
-    for w in words:
-        ids = new.get(w)
+    got = list(map(new.get, words))
+    unknown = []
+    for i in [i for i, ids in enumerate(got) if ids is None]:
+        ids = old.get(words[i])
         if ids is None:
-            ids = new[w] = old[w] if w in old else fresh[w]
-        got.append(ids)
+            unknown.append(i)
+        else:
+            got[i] = new[words[i]] = ids
+    texts = [words[i] for i in unknown]
+    for i, w, e in zip(unknown, texts, tokenizer_at(path).encode_batch_fast(texts, add_special_tokens=False)):
+        got[i] = new[w] = array("I", e.ids).tobytes()
     _WORD_IDS[path] = ({}, new) if len(new) > KEPT_WORDS else (new, old)
-    size = np.fromiter(map(len, got), np.int64, len(got)) // 4
-    return np.frombuffer(b"".join(got), "<u4").astype(np.int64), size
+    size = np.fromiter(map(len, got), np.int64, len(got)) // array("I").itemsize
+    return np.frombuffer(b"".join(got), np.uintc).astype(np.int64), size
 
 
 def encode_texts(texts: pa.Array, path: str, by_word: bool) -> tuple[np.ndarray, np.ndarray]:
