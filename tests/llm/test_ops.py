@@ -575,3 +575,17 @@ def test_all_are_registered():
     names = set(contract.queries())
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
     assert set(llm.QUERIES) < names
+
+
+def test_near_copies_leave_only_who_stays(spark, docs):
+    """pipeline: what the join wrote on its way is deleted when the rows that stay are known."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from tidewater.session import scratch_root
+
+    folder = Path(urlparse(scratch_root(spark)).path) / "tidewater"
+    before = set(folder.glob("*"))
+    out = jaccard.one_of_each(docs, 5, 80)
+    assert [p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before] == ["jaccard-kept"]
+    assert 0 < out.count() <= docs.count()

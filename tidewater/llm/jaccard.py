@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
 from tidewater.llm.texts import filled, mixed, ragged, rows_of, slices, word_hashes, words_of
-from tidewater.llm.scratch import materialise
+from tidewater.llm.scratch import materialise, released
 
 #: Sets in a tile, on average; a task holds two tiles of bitmaps.
 TILE = 1024
@@ -396,9 +396,10 @@ def one_of_each(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "d
 
     Rows without words link with nothing and all stay. Fully repeated rows are copies of each other, so one stays.
     """
-    found = jaccard_components(docs, n, percent, doc_id, text)
-    kept = found.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_hash"))).alias("one"))
-    kept = materialise(kept.select(F.col("one.doc_id").alias("__d"), F.col("one.text_hash").alias("__h")), "jaccard-kept")
+    with released(docs.sparkSession):  # who stays is all that is read again
+        found = jaccard_components(docs, n, percent, doc_id, text)
+        kept = found.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_hash"))).alias("one"))
+        kept = materialise(kept.select(F.col("one.doc_id").alias("__d"), F.col("one.text_hash").alias("__h")), "jaccard-kept", outlives=True)
     has_words = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     key = F.xxhash64(F.col(text).cast("string"))
     chosen = docs.where(has_words).join(kept, (key == F.col("__h")) & F.col(doc_id).eqNullSafe(F.col("__d")), "left_semi")
