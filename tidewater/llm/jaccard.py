@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
-from tidewater.llm.texts import filled, mixed, ragged, rows_of, slices, word_hashes, words_of
+from tidewater.llm.texts import filled, give_back, mixed, ragged, rows_of, slices, word_hashes, words_of
 from tidewater.llm.scratch import materialise, released
 
 #: Sets in a tile, on average; a task holds two tiles of bitmaps.
@@ -259,6 +259,8 @@ def _compare(percent: int, each: int):
                 rows.append(tuple(c[i] for c in columns))
         if found := flush(rows) if rows else []:
             yield out(now[0], found)
+        rows.clear()
+        give_back()
 
     return compare
 
@@ -281,6 +283,7 @@ def _checked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 link.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.record_batch([*(batch.column(c) for c in _PAIR), pa.array(link, pa.bool_())], names=[*_PAIR, "link"])
+        give_back()
 
     both = pairs.join(first, ["a1", "b1"]).join(second, ["a2", "b2"]).select(*_PAIR, "x", "y")
     return both.mapInArrow(check, f"{_PAIR_SCHEMA}, link boolean")
@@ -339,6 +342,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
                 values, bounds = shingle_sets(filled(part.column("text")), n)
                 a, b = set_ids(values, bounds)
                 yield pa.record_batch([part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(bounds)), pa.array(a), pa.array(b)], names=["doc_id", "text_hash", "n", "a", "b"])
+        give_back()
 
     def signatures(batches):
         for batch in batches:
@@ -350,6 +354,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
                 some = values[ragged(bounds[first], sizes[first])]
                 sig, owner = part_signatures(some, np.concatenate(([0], np.cumsum(sizes[first]))), percent)
                 yield pa.record_batch([pa.array(sig), pa.array(a[first][owner])], names=["sig", "a"])
+        give_back()
 
     table = materialise(texts.mapInArrow(sets, f"doc_id {kind}, text_hash long, n long, a long, b long"), "jaccard-sets")
     # each part is tied to the least set that has it
@@ -371,6 +376,7 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
                 bits = pa.array([m.tobytes() for m in bitmaps(values, bounds, map_words)], pa.binary())
                 yield pa.record_batch([part.column("cluster"), pa.array(np.diff(bounds)), pa.array(a), pa.array(b), bits, lists], names=["cluster", "n", "a", "b", "bits", "grams"])
+        give_back()
 
     # few rows are in clusters: the condition, true for each of them, lets Spark filter the texts by their hashes first
     right = chosen.where("n > 0").select(F.col("text_hash").alias("h"), F.col("doc_id").alias("d"), "cluster")
