@@ -285,6 +285,31 @@ def test_large_cluster_in_small_tiles(spark, monkeypatch, words):
     assert 1 < len({x[1] for x in expected}) < 60
 
 
+def test_sets_tied_through_others_are_not_compared(spark, monkeypatch):
+    """pipeline: texts that hang together in a ring through phrases of their neighbours; rows that are compared grow with the
+    texts, not with their square."""
+    monkeypatch.setattr(jaccard, "TILE", 8)
+    counts, tiled = {}, jaccard._tiled
+
+    def counted(*args):
+        out = tiled(*args)
+        counts[len(rows)] = counts.get(len(rows), 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "_tiled", counted)
+    for size in (60, 240):
+        rows = []
+        for i in range(size):
+            phrases = [" ".join(f"p{(i + k) % size}x{j}" for j in range(12)) for k in range(5)]
+            rows.append((i, " ".join([*phrases, *(f"own{i}x{j}" for j in range(16))])))
+        rows += [(size + i, t.rsplit(" ", 2)[0] + f" near{i}") for i, t in rows[::10]]
+        got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).collect()
+        expected = brute.components(rows, 3, 80)
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {d: x for (d, _), x in zip(rows, expected)}
+        assert len({x[1] for x in expected}) == size
+    assert 0 < counts[66] and counts[264] < 6 * counts[66]
+
+
 def test_one_of_each(odd, odd_rows, empty):
     kept = jaccard.one_of_each(odd)
     assert kept.columns == odd.columns

@@ -1,23 +1,25 @@
 """Documents whose sets of word n-grams have a Jaccard similarity of at least a threshold, and their components.
 
 1. Every text becomes a set of hashed n-grams. Equal sets are one set from here on, whatever the number of copies.
-2. Ties are found by size class. Two sets that link differ in at most H elements, with H fixed by their class; hashing
-   the elements into more than H parts leaves at least one part equal in both. Sets that share a part of a class are
-   tied, through the least set with that part, so a part of m sets gives m - 1 ties.
-3. Tied sets form clusters, cut into tiles of bounded size by size band. Pairs of tiles whose bands can link are compared by
-   hashed bitmaps: bits that differ bound the elements that differ from below, hence the overlap from above. A pair of tiles
-   returns a forest that spans the pairs of sets within the bound, never all pairs.
-4. The pairs of the forest are checked on the sorted arrays. Links join components; where a pair was no link, the next round
+2. Groups are found by size class. Two sets that link differ in at most H elements, with H fixed by their class; hashing
+   the elements into more than H parts leaves at least one part equal in both. The sets that share a part of a class are a
+   group; groups of the same sets are one.
+3. Each set is compared with the least set of each of its groups, which joins most near copies. From here on only groups of
+   three or more sets that hold several components are looked at, each by itself: sets that share no part are never compared,
+   however they hang together through others.
+4. Sets are compared by hashed bitmaps: bits that differ bound the elements that differ from below, hence the overlap from
+   above. A group returns a forest that spans its pairs of sets within the bound, never all pairs. A group larger than a tile
+   is cut into tiles by size band, and pairs of tiles whose bands can link are compared.
+5. The pairs of the forest are checked on the sorted arrays. Links join components; where a pair was no link, the next round
    offers other pairs between the same components, until none is left that is not joined or checked.
 
-Nothing is sampled or capped: a larger cluster has more tiles. Within a size band every pair of its tiles is compared, so a
-band of t tiles repeats its bitmaps t times, which is the price of exact links inside one group of near copies.
+Nothing is sampled or capped: a larger group has more tiles. A size band of t tiles in one group repeats its bitmaps t times,
+the price of exact links among many sets that share a part and are no near copies.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from tidewater.llm.scratch import materialise, released
 
 #: Sets in a tile, on average; a task holds two tiles of bitmaps.
 TILE = 1024
+#: Up to so many sets are compared at once.
+_AT_ONCE = 64
 #: 64-bit words of a small set's bitmap, a power of two.
 BITMAP_WORDS = 32
 
@@ -171,9 +175,18 @@ def within_bound(size: np.ndarray, maps: np.ndarray, percent: int, i: int, other
     return others[(100 * most >= percent * (size[others] + size[i] - most)) & (others != i)]
 
 
+def _any_within(size: np.ndarray, maps: np.ndarray, label: np.ndarray, percent: int) -> bool:
+    """Whether any two sets with different labels may link, as in ``within_bound``."""
+    both = size[:, None] + size
+    most = (both - np.bitwise_count(maps[:, None] ^ maps).sum(axis=2, dtype=np.int64)) // 2
+    return bool(((100 * most >= percent * (both - most)) & (label[:, None] != label)).any())
+
+
 def spanning(size, maps, label, percent: int, left, right, checked: list[set[int]], each: int) -> list[tuple[int, int]]:
     """Pairs within the bound that span all such pairs of ``left`` and ``right`` with different labels: up to ``each`` for two
     labels; pairs in ``checked`` (known to be no links) are left out."""
+    if len(size) <= _AT_ONCE and not _any_within(size, maps, label, percent):
+        return []
     label, out, offered = label.copy(), [], {}
     for i in left:
         may = right[label[right] != label[i]]
@@ -191,12 +204,22 @@ def spanning(size, maps, label, percent: int, left, right, checked: list[set[int
     return out
 
 
-def _tiled(members: DataFrame, percent: int) -> DataFrame:
-    """Members repeated for each pair of tiles they take part in: column ``pair``, and ``side`` 0, 1 or 2 (both).
+def _tiled(groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The sets of each group (``cluster``, of ``m`` sets) with their columns of ``members``, repeated for each pair of tiles they
+    take part in: column ``pair``, and ``side`` 0, 1 or 2 (both). A group that fits into a tile is one pair.
 
     The tiles are laid out without the bitmaps, which are joined at the end.
     """
-    wide, members = members.select("a", "b", "n", "bits", "root", "checked"), members.select("cluster", "n", "a", "b")
+    wide = members.select("a", "b", "n", "bits", "root", "checked")
+    whole = groups.where(F.col("m") <= TILE).select("cluster", "a", "b", F.lit("").alias("pair"), F.lit(2).alias("side"))
+    large = groups.where(F.col("m") > TILE).select("cluster", "a", "b")
+    if not large.isEmpty():
+        whole = whole.unionAll(_cut(large.join(members.select("a", "b", "n"), ["a", "b"]), percent))
+    return whole.join(wide, ["a", "b"]).select("cluster", "pair", "side", "a", "b", "n", "bits", "root", "checked")
+
+
+def _cut(members: DataFrame, percent: int) -> DataFrame:
+    """``cluster, a, b, pair, side`` of the sets of large groups, by size band."""
     largest = members.agg(F.max("n")).first()[0] or 1
     firsts = F.array(*[F.lit(int(x)) for x in size_bands(percent, largest)])
     members = members.withColumn("band", F.size(F.filter(firsts, lambda x: x <= F.col("n"))).cast("long"))
@@ -217,13 +240,30 @@ def _tiled(members: DataFrame, percent: int) -> DataFrame:
     upper = F.transform(F.sequence(F.lit(0).cast("long"), F.col("above") - 1), lambda q: key(band, tile, band + 1, q, F.lit(0)))
     lower = F.transform(F.sequence(F.lit(0).cast("long"), F.col("below") - 1), lambda q: key(band - 1, q, band, tile, F.lit(1)))
     pairs = [same, *[F.when(F.col(n).isNotNull(), x).otherwise(F.array()) for n, x in (("above", upper), ("below", lower))]]
-    laid = members.select("cluster", "a", "b", F.concat(*pairs).alias("pairs")).join(wide, ["a", "b"])
-    return laid.withColumn("at", F.explode("pairs")).select("cluster", F.col("at.pair").alias("pair"), F.col("at.side").alias("side"), "a", "b", "n", "bits", "root", "checked")
+    laid = members.select("cluster", "a", "b", F.explode(F.concat(*pairs)).alias("at"))
+    return laid.select("cluster", "a", "b", F.col("at.pair").alias("pair"), F.col("at.side").alias("side"))
+
 
+#: A pair of sets that may link, with the roots of their components so far.
+_PAIR = ["a1", "b1", "a2", "b2", "root1", "root2"]
+_PAIR_SCHEMA = "a1 long, b1 long, a2 long, b2 long, root1 string, root2 string"
+
+
+def _tied(percent: int):
+    """Pairs of sets with both sizes and bitmaps: those within the bound."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = [batch.column(c).to_numpy() for c in ("n1", "n2")]
+            differ = np.zeros(batch.num_rows, np.int64)
+            for i, maps in enumerate(zip(batch.column("bits1"), batch.column("bits2"))):
+                one, two = folded([np.frombuffer(m.as_buffer(), np.uint64) for m in maps])
+                differ[i] = np.bitwise_count(one ^ two).sum(dtype=np.int64)
+            most = (size[0] + size[1] - differ) // 2
+            yield batch.select(_PAIR).filter(pa.array(100 * most >= percent * (size[0] + size[1] - most)))
+        give_back()
 
-#: A pair of sets that may link, with their cluster and the roots of their components so far.
-_PAIR = ["cluster", "a1", "b1", "a2", "b2", "root1", "root2"]
-_PAIR_SCHEMA = "cluster long, a1 long, b1 long, a2 long, b2 long, root1 string, root2 string"
+    return compare
 
 
 def _compare(percent: int, each: int):
@@ -246,7 +286,7 @@ def _compare(percent: int, each: int):
         def out(cluster, found):
             kinds = [pa.int64()] * 4 + [pa.string()] * 2
             cols = [pa.array([cluster] * len(found), pa.int64()), *(pa.array(c, kind) for c, kind in zip(zip(*found), kinds))]
-            return pa.record_batch(cols, names=_PAIR)
+            return pa.record_batch(cols, names=["cluster", *_PAIR])
 
         for batch in batches:
             keys = list(zip(batch.column("cluster").to_pylist(), batch.column("pair").to_pylist()))
@@ -269,10 +309,11 @@ def _node(x: str, y: str) -> Column:
     return F.concat_ws(":", F.col(x).cast("string"), F.col(y).cast("string"))
 
 
-def _checked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` with ``link``: whether the sorted arrays of the two sets share enough."""
-    first = members.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("grams").alias("x"))
-    second = members.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("grams").alias("y"))
+def _checked(pairs: DataFrame, arrays, percent: int) -> DataFrame:
+    """``pairs`` with ``link``: whether the sorted arrays of the two sets (``arrays`` of the sets ``a, b``) share enough."""
+    sets = arrays(pairs.select(F.col("a1").alias("a"), F.col("b1").alias("b")).union(pairs.select("a2", "b2")).distinct())
+    first = sets.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("grams").alias("x"))
+    second = sets.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("grams").alias("y"))
 
     def check(batches):
         for batch in batches:
@@ -289,40 +330,42 @@ def _checked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(check, f"{_PAIR_SCHEMA}, link boolean")
 
 
-def _linked(members: DataFrame, percent: int) -> DataFrame:
-    """``node, root`` of all sets: components of the links inside the clusters.
+def _linked(members: DataFrame, groups: DataFrame, arrays, percent: int) -> DataFrame:
+    """``node, root`` of all sets of ``members``: components of the links inside the ``groups``.
 
-    Each round takes the clusters that are still open, with the components found so far, and looks at pairs of different
-    components only; its links join components of the contracted graph, a node for each component. A cluster is done when
-    all pairs of a round link, as its forest spans all pairs within the bound, or when it is one component.
+    The first round compares each set with the least one of its groups. Each later one takes the groups that are still open,
+    with the components found so far, and looks at pairs of different components only; its links join components of the
+    contracted graph, a node for each component. A group is done when all its pairs of a round link, as its forest spans all
+    pairs within the bound, or when it is in one component.
     """
-    node = _node("a", "b")
-    state = members.select("cluster", "n", "a", "b", "bits", node.alias("node"), node.alias("root"), F.lit(None).cast("array<string>").alias("checked"))
-    done, each = [], 1
+    node, none = _node("a", "b"), F.array().cast("array<string>")
+    state = members.select("a", "b", node.alias("node"), node.alias("root"), none.alias("checked"))
+    one, two = (members.select(*[F.col(c).alias(f"{c}{k}") for c in ("a", "b", "n", "bits")], node.alias(f"root{k}")) for k in (1, 2))
+    ties = groups.where("a <> least").select(F.col("a").alias("a1"), F.col("least").alias("a2")).distinct().join(one, "a1").join(two, "a2")
+    ties = ties.where(100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")).select(*_PAIR, "n1", "n2", "bits1", "bits2")
+    offered = materialise(ties.mapInArrow(_tied(percent), _PAIR_SCHEMA), "jaccard-offered")
+    # in a group of two the tie is the only pair
+    open_, least, each = groups.select("cluster", "a"), 3, 1
     while True:
-        tiled = _tiled(state, percent).repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
-        offered = tiled.mapInArrow(_compare(percent, each), _PAIR_SCHEMA)
-        found = materialise(_checked(offered.distinct(), members, percent), "jaccard-pairs")
+        found = materialise(_checked(offered.select(*_PAIR).distinct(), arrays, percent), "jaccard-pairs")
         failed = found.where("not link")
         moved = materialise(components(found.where("link").select(F.col("root1").alias("u"), F.col("root2").alias("v"))), "jaccard-roots")
-        moved = moved.select(F.col("node").alias("root"), F.col("root").alias("to"))
-        labelled = state.join(moved, "root", "left").withColumn("root", F.coalesce("to", "root")).drop("to")
-        if failed.isEmpty():
-            done.append(labelled.select("node", "root"))
-            return materialise(reduce(DataFrame.unionAll, done), "jaccard-linked")
-        # a cluster with a failed pair is open while it has several components
-        several = labelled.join(failed.select("cluster").distinct(), "cluster", "left_semi").groupBy("cluster").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        several = several.where("x <> y").select("cluster", F.lit(True).alias("open"))
-        one, two = _node("a1", "b1"), _node("a2", "b2")
-        no = failed.select(one.alias("node"), two.alias("o")).union(failed.select(two.alias("node"), one.alias("o"))).groupBy("node").agg(F.collect_set("o").alias("no"))
-        state = labelled.join(several, "cluster", "left").join(no, "node", "left")
-        state = state.withColumns({"checked": F.array_union(F.coalesce("checked", F.array().cast("array<string>")), F.coalesce("no", F.array().cast("array<string>"))), "open": F.coalesce("open", F.lit(False))})
-        # bitmaps and checked pairs of a cluster that is done are not written again
-        state = state.withColumns({"bits": F.when(F.col("open"), F.col("bits")), "checked": F.when(F.col("open"), F.col("checked"))}).drop("no")
+        state = state.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").withColumn("root", F.coalesce("to", "root"))
+        first, second = _node("a1", "b1"), _node("a2", "b2")
+        no = failed.select(first.alias("node"), second.alias("o")).union(failed.select(second.alias("node"), first.alias("o"))).groupBy("node").agg(F.collect_set("o").alias("no"))
+        state = state.join(no, "node", "left").select("a", "b", "node", "root", F.array_union("checked", F.coalesce("no", none)).alias("checked"))
         state = materialise(state, "jaccard-state")
-        done.append(state.where("not open").select("node", "root"))
-        state = state.where("open").drop("open")
-        each *= 4
+        if "cluster" in offered.columns:  # a group with a failed pair is open while it has several components
+            pair = ["a1", "b1", "a2", "b2"]
+            open_ = open_.join(offered.join(failed.select(*pair), pair, "left_semi").select("cluster").distinct(), "cluster", "left_semi")
+        labelled = open_.join(state.select("a", "b", "root"), "a").select("cluster", "a", "b", "root")
+        several = labelled.groupBy("cluster").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where((F.col("x") != F.col("y")) & (F.col("m") >= least))
+        groups = materialise(labelled.join(several.select("cluster", "m"), "cluster").select("cluster", "a", "b", "m"), "jaccard-open")
+        if groups.isEmpty():
+            return state.select("node", "root")
+        tiled = _tiled(groups, state.join(members, ["a", "b"]), percent).repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
+        offered = materialise(tiled.mapInArrow(_compare(percent, each), f"cluster long, {_PAIR_SCHEMA}"), "jaccard-offered")
+        open_, least, each = groups.select("cluster", "a").distinct(), 2, each * 4
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -357,34 +400,42 @@ def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: s
         give_back()
 
     table = materialise(texts.mapInArrow(sets, f"doc_id {kind}, text_hash long, n long, a long, b long"), "jaccard-sets")
-    # each part is tied to the least set that has it
-    sigs = texts.select("text").mapInArrow(signatures, "sig long, a long")
-    least = F.min("a").over(Window.partitionBy("sig")).alias("v")
-    ties = sigs.select(F.col("a").alias("u"), least).where("u <> v").distinct()
-    clusters = materialise(components(ties).select(F.col("node").alias("a"), F.col("root").alias("cluster")), "jaccard-clusters")
+    # a group for each part that several sets share, numbered by its sets: groups of the same sets are one
+    sigs, by_sig = texts.select("text").mapInArrow(signatures, "sig long, a long"), Window.partitionBy("sig")
+    shared = sigs.select("sig", "a", F.min("a").over(by_sig).alias("least"), F.max("a").over(by_sig).alias("most")).where("least <> most").select("sig", "a", "least").distinct()
+    groups = shared.select(F.bit_xor(F.xxhash64("a")).over(by_sig).alias("cluster"), "a", "least").distinct()
+    groups = materialise(groups, "jaccard-groups")
 
-    chosen = table.join(clusters, "a").groupBy("a", "b", "cluster").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"), F.max("n").alias("n"))
-    chosen = materialise(chosen.select("cluster", "n", "one.doc_id", "one.text_hash"), "jaccard-chosen")
+    chosen = table.where("n > 0").join(groups.select("a").distinct(), "a").groupBy("a", "b").agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
+    chosen = materialise(chosen.select("a", "b", "one.doc_id", "one.text_hash"), "jaccard-chosen")
 
     map_words = BITMAP_WORDS
 
-    def members(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                values, bounds = shingle_sets(filled(part.column("text")), n)
-                a, b = set_ids(values, bounds)
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
-                bits = pa.array([m.tobytes() for m in bitmaps(values, bounds, map_words)], pa.binary())
-                yield pa.record_batch([part.column("cluster"), pa.array(np.diff(bounds)), pa.array(a), pa.array(b), bits, lists], names=["cluster", "n", "a", "b", "bits", "grams"])
-        give_back()
-
-    # few rows are in clusters: the condition, true for each of them, lets Spark filter the texts by their hashes first
-    right = chosen.where("n > 0").select(F.col("text_hash").alias("h"), F.col("doc_id").alias("d"), "cluster")
-    picked = texts.join(right, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("cluster", "text")
-    # repeated rows of the one chosen document are one member
-    member = picked.mapInArrow(members, "cluster long, n long, a long, b long, bits binary, grams array<long>").dropDuplicates(["cluster", "a", "b"])
-    member = materialise(member, "jaccard-members", few_match=True)
-    linked = _linked(member, percent)
+    def of_texts(rows: DataFrame, column: str, values_of) -> DataFrame:
+        """``a, b, n`` and ``column`` of the sets of the ``chosen`` documents in ``rows``."""
+
+        def read(batches):
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    values, bounds = shingle_sets(filled(part.column("text")), n)
+                    a, b = set_ids(values, bounds)
+                    yield pa.record_batch([pa.array(a), pa.array(b), pa.array(np.diff(bounds)), values_of(values, bounds)], names=["a", "b", "n", column])
+            give_back()
+
+        # few rows are wanted: the condition, true for each of them, lets Spark filter the texts by their hashes first
+        right = rows.where("text_hash is not null").select(F.col("text_hash").alias("h"), F.col("doc_id").alias("d"))
+        picked = texts.join(right, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("text")
+        kind = "binary" if column == "bits" else "array<long>"
+        # repeated rows of the one chosen document are one member
+        found = picked.mapInArrow(read, f"a long, b long, n long, {column} {kind}").dropDuplicates(["a", "b"])
+        return materialise(found, f"jaccard-{column}", few_match=True)
+
+    def arrays(sets: DataFrame) -> DataFrame:
+        lists = lambda values, bounds: pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
+        return of_texts(chosen.join(sets, ["a", "b"], "left_semi"), "grams", lists)
+
+    member = of_texts(chosen, "bits", lambda values, bounds: pa.array([m.tobytes() for m in bitmaps(values, bounds, map_words)], pa.binary()))
+    linked = _linked(member, groups, arrays, percent)
     # ids by set first (copies meet before the shuffle), then by component
     least = F.min("doc_id").alias("least")
     by_set = table.where("n > 0").groupBy("a", "b").agg(least).withColumn("node", _node("a", "b")).join(linked, "node", "left")
