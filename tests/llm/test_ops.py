@@ -97,6 +97,19 @@ def test_scores_are_those_of_the_whole_automaton(docs):
     assert any(r.n_at_root < r.n_tokens for r in got)
 
 
+def test_keys_travel_as_gaps():
+    """op1: what blocks send to ranges takes less than the 12 bytes of a key and its count."""
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 2**64, 200_000, np.uint64))
+    counts = rng.geometric(0.7, len(keys))
+    rows = lm._share(3, keys, counts, 20)
+    assert sum(rows.column(c).nbytes for c in ("keys", "counts")) < 7 * len(keys)
+    totals, lead = lm._in_order(pa.concat_tables([lm._totals(rows.slice(i, 1)) for i in range(rows.num_rows)]))
+    assert np.array_equal(totals, np.where(counts < lm.MIN_COUNT, 0, counts)) and np.array_equal(lead, counts >= lm.MIN_COUNT)
+    for odd in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.array([0, 1, 2**64 - 1], np.uint64)):
+        assert np.array_equal(lm._whole_keys(pa.py_buffer(lm._small_keys(odd))), odd)
+
+
 def test_scores_without_training(empty, odd):
     assert lm.lm_scores(empty, F.lit(False)).count() == 0
     got = lm.lm_scores(odd, F.lit(True)).collect()

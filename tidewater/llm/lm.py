@@ -9,7 +9,7 @@ left to right: the state is carried from token to token, and the weights of the
 Neither words nor arcs fit into a task, so texts are coded as blocks of a few MB, and a block gets the arcs and failure arcs
 that its own texts can take and no others. Words travel as text, n-grams as sorted 64-bit keys, a share for each range of
 hashes; where shares of all blocks meet, counts are summed and go back to each block in the order of its share, so that words
-and keys are sent one way only. Pairs go first; a triple is counted only where both its pairs are kept, as others cannot be.
+and keys are sent one way only; sorted keys travel as the gaps between them. Pairs go first; a triple is counted only where both its pairs are kept, as others cannot be.
 The failure weights of contexts are found and sent back in the same way. Keys exist in shuffles only.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm import scratch
-from tidewater.llm.shares import cut, n_ranges, packed, range_of, run_bounds
+from tidewater.llm.shares import n_ranges, range_of, run_bounds
 from tidewater.llm.texts import filled, give_back, mixed, ragged, rows_of, slices, word_hashes, words_of
 
 ORDER = 3
@@ -42,7 +42,7 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _LEAST = 1e-12
 
 _SHARE = "part long, block long, keys binary, counts binary"
-_TOTAL = "part long, block long, totals binary, width int, lead binary"
+_TOTAL = "part long, block long, totals binary, lead binary"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -67,7 +67,7 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids), pa.array([held.tobytes()], pa.binary()),
-                    pa.array([bounds.tobytes()], pa.binary()), pa.array([_small(codes)], pa.binary()),
+                    pa.array([bounds.tobytes()], pa.binary()), pa.array([_small_ints(codes)], pa.binary()),
                     pa.array([_small_lines(found.vocabulary)], pa.binary()), pa.array([len(codes)], pa.int64()),
                 ],
                 ["block", "doc_id", "held", "bounds", "codes", "words", "n"],
@@ -85,8 +85,43 @@ def _whole(packed_bytes: pa.Buffer, kind: type) -> np.ndarray:
     return np.frombuffer(pa.decompress(packed_bytes.slice(8), decompressed_size=size, codec="zstd"), kind) if size else np.zeros(0, kind)
 
 
-def _small_runs(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    return pa.array([_small(values[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+def _small_ints(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on: the first bytes of all, then the second ones and so on, compressed apart, as the upper ones are
+    mostly zero."""
+    planes = np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
+    out = [len(values).to_bytes(8, "little")]
+    for plane in planes:
+        some = pa.compress(pa.py_buffer(plane), codec="zstd", asbytes=True) if plane.any() else b""
+        out += [len(some).to_bytes(8, "little"), some]
+    return b"".join(out)
+
+
+def _whole_ints(packed_bytes: pa.Buffer) -> np.ndarray:
+    n, at = int.from_bytes(packed_bytes.slice(0, 8).to_pybytes(), "little"), 8
+    planes = np.zeros((8, n), np.uint8)
+    for plane in planes:
+        size = int.from_bytes(packed_bytes.slice(at, 8).to_pybytes(), "little")
+        if size:
+            plane[:] = np.frombuffer(pa.decompress(packed_bytes.slice(at + 8, size), decompressed_size=n, codec="zstd"), np.uint8)
+        at += 8 + size
+    return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
+
+
+def _small_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, as the gaps between them: these have as many bits less as a run has keys."""
+    return _small_ints(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _whole_keys(packed_bytes: pa.Buffer) -> np.ndarray:
+    return np.cumsum(_whole_ints(packed_bytes), dtype=np.uint64)
+
+
+def _small_runs(values: np.ndarray, bounds: np.ndarray, small=_small_ints) -> pa.Array:
+    return pa.array([small(values[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.binary())
+
+
+def _key_runs(rows: pa.Table) -> list[np.ndarray]:
+    return [_whole_keys(v.as_buffer()) for v in rows.column("keys")]
 
 
 def _small_lines(words: pa.Array) -> bytes:
@@ -122,7 +157,7 @@ class _Block:
         self.doc_ids = row.column("doc_id")[0].values
         held, bounds, codes, words = (row.column(c)[0].as_buffer() for c in ("held", "bounds", "codes", "words"))
         self.held = np.frombuffer(held, np.uint8).astype(bool)
-        self.bounds, self.codes = np.frombuffer(bounds, np.int64), _whole(codes, np.int32)
+        self.bounds, self.codes = np.frombuffer(bounds, np.int64), _whole_ints(codes).astype(np.int32)
         self.words = pa.concat_arrays([pa.array([END]), _lines(words)])
         self.row = rows_of(self.bounds)
         self.trained = ~self.held[self.row]
@@ -187,7 +222,7 @@ def _share(block: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> pa.
     first = bounds[:-1]
     return pa.table({
         "part": pa.array(part[first].astype(np.int64)), "block": pa.array(np.full(len(first), block, np.int64)),
-        "keys": cut(keys, bounds), "counts": cut(counts.astype(np.uint32), bounds),
+        "keys": _small_runs(keys, bounds, _small_keys), "counts": _small_runs(counts, bounds),
     })
 
 
@@ -195,14 +230,14 @@ def _word_share(row: pa.RecordBatch, ranges: int) -> pa.RecordBatch:
     """The words of a block by ranges of their hashes, as text, with their training counts."""
     block = _Block(row)
     order = block.word_order()
-    counts = np.bincount(block.codes[block.trained], minlength=len(block.words))[order].astype(np.uint32)
+    counts = np.bincount(block.codes[block.trained], minlength=len(block.words))[order]
     part = range_of(block.word_keys[order], ranges)
     bounds = run_bounds(part)
     words = block.words.take(pa.array(order))
     lines = [_small_lines(words.slice(x, y - x)) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
     n = len(bounds) - 1
     return pa.RecordBatch.from_arrays(
-        [pa.array(part[bounds[:-1]].astype(np.int64)), pa.array(np.full(n, block.number, np.int64)), pa.array(lines, pa.binary()), cut(counts, bounds)],
+        [pa.array(part[bounds[:-1]].astype(np.int64)), pa.array(np.full(n, block.number, np.int64)), pa.array(lines, pa.binary()), _small_runs(counts, bounds)],
         ["part", "block", "keys", "counts"],
     )
 
@@ -222,28 +257,25 @@ def _word_totals(rows: pa.Table) -> pa.Table:
 
 def _totals(rows: pa.Table) -> pa.Table:
     """For one range of keys, each share's sums over all blocks in the share's order, 0 below MIN_COUNT, and a bit for each key
-    whether the share is that of the first block with it."""
+    that is kept whether the share is that of the first block with it."""
     rows = rows.sort_by("block")
-    keys = list(packed(rows, "keys", np.uint64))
+    keys = _key_runs(rows)
     return _summed_shares(rows, np.unique(np.concatenate(keys), return_inverse=True)[1], [len(k) for k in keys], MIN_COUNT)[0]
 
 
 def _summed_shares(rows: pa.Table, at: np.ndarray, sizes: list[int], least: int) -> tuple[pa.Table, np.ndarray]:
     """``at`` numbers the distinct keys of all shares, one after the other; those with less than ``least`` get 0."""
-    total = np.bincount(at, weights=np.concatenate(list(packed(rows, "counts", np.uint32)))).astype(np.int64)
+    total = np.bincount(at, weights=np.concatenate([_whole_ints(v.as_buffer()) for v in rows.column("counts")])).astype(np.int64)
     total[total < least] = 0
     lead = np.zeros(len(at), bool)
     lead[_first(at, len(total))] = True
-    totals, leads, widths = [], [], []
+    lead &= total[at] > 0  # nothing is asked of keys that are not kept
+    totals, leads = [], []
     for end, size in zip(np.cumsum(sizes), sizes):
-        mine = total[at[end - size : end]]
-        width = next(w for w in (1, 2, 4, 8) if not len(mine) or mine.max() < 1 << 8 * w)
-        totals.append(mine.astype(f"u{width}").tobytes())
-        widths.append(width)
-        leads.append(np.packbits(lead[end - size : end]).tobytes())
+        totals.append(_small_ints(total[at[end - size : end]]))
+        leads.append(_small(np.packbits(lead[end - size : end])))
     table = pa.table({
-        "part": rows.column("part"), "block": rows.column("block"), "totals": pa.array(totals, pa.binary()),
-        "width": pa.array(widths, pa.int32()), "lead": pa.array(leads, pa.binary()),
+        "part": rows.column("part"), "block": rows.column("block"), "totals": pa.array(totals, pa.binary()), "lead": pa.array(leads, pa.binary()),
     })
     return table, total
 
@@ -252,9 +284,9 @@ def _in_order(known: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """The totals and first-block flags of a block's distinct keys, from its shares."""
     known = known.sort_by("part")
     totals, leads = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
-    for t, width, lead in zip(known.column("totals"), known.column("width").to_pylist(), known.column("lead")):
-        totals.append(np.frombuffer(t.as_buffer(), f"u{width}").astype(np.int64))
-        leads.append(np.unpackbits(np.frombuffer(lead.as_buffer(), np.uint8), count=len(totals[-1])).astype(bool))
+    for t, lead in zip(known.column("totals"), known.column("lead")):
+        totals.append(_whole_ints(t.as_buffer()).astype(np.int64))
+        leads.append(np.unpackbits(_whole(lead.as_buffer(), np.uint8), count=len(totals[-1])).astype(bool))
     return np.concatenate(totals), np.concatenate(leads)
 
 
@@ -298,16 +330,16 @@ def _failures(rows: pa.Table) -> pa.Table:
     asks = pc.is_valid(rows.column("block"))
     sums, requests = rows.filter(pc.invert(asks)), rows.filter(asks)
     names = ("own", "below", "arcs", "context", "shorter")
-    key = np.concatenate([np.zeros(0, np.uint64), *packed(sums, "keys", np.uint64)])
-    columns = [np.concatenate([np.zeros(0, np.int64), *(_whole(v.as_buffer(), np.int64) for v in sums.column(c))]) for c in names]
+    key = np.concatenate([np.zeros(0, np.uint64), *_key_runs(sums)])
+    columns = [np.concatenate([np.zeros(0, np.int64), *(_whole_ints(v.as_buffer()).astype(np.int64) for v in sums.column(c))]) for c in names]
     distinct, (own, below, arcs, context, shorter) = _grouped(key, columns[:3], columns[3:])
     left = [np.maximum(_LEAST, 1 - (x - DISCOUNT * arcs) / of) for x, of in ((own, context), (below, shorter))]
     weight = np.append(np.log10(left[0] / left[1]), np.nan).astype(np.float32)
     out = []
-    for asked in packed(requests, "keys", np.uint64):
+    for asked in _key_runs(requests):
         at = np.minimum(np.searchsorted(distinct, asked), max(len(distinct) - 1, 0))
         found = distinct[at] == asked if len(distinct) else np.zeros(len(asked), bool)
-        out.append(weight[np.where(found, at, len(distinct))].tobytes())
+        out.append(_small(weight[np.where(found, at, len(distinct))]))
     return pa.table({"part": requests.column("part"), "block": requests.column("block"), "weights": pa.array(out, pa.binary())})
 
 
@@ -433,12 +465,12 @@ def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
     shares = by_block.cogroup(kept_pairs.groupBy("block")).applyInArrow(triples, _SHARE)
     kept_triples = materialise(shares.groupBy("part").applyInArrow(_totals, _TOTAL), "lm-triples")
 
-    none = {c: F.lit(None).cast(t) for c, t in (("part", "long"), ("totals", "binary"), ("width", "int"), ("lead", "binary"), ("weights", "binary"))}
+    none = {c: F.lit(None).cast(t) for c, t in (("part", "long"), ("totals", "binary"), ("lead", "binary"), ("weights", "binary"))}
 
     def as_known(kind: str, frame: DataFrame, *columns: str) -> DataFrame:
         return frame.select(F.lit(kind).alias("kind"), "block", *[F.col(c) if c in columns else none[c].alias(c) for c in none])
 
-    parts = [as_known(label, frame, "part", "totals", "width", "lead") for label, frame in (("word", counted), ("pair", kept_pairs), ("triple", kept_triples))]
+    parts = [as_known(label, frame, "part", "totals", "lead") for label, frame in (("word", counted), ("pair", kept_pairs), ("triple", kept_triples))]
     known = reduce(DataFrame.unionAll, parts)
 
     def contexts(row: pa.Table, known: pa.Table) -> pa.Table:
@@ -458,8 +490,8 @@ def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
         return pa.table({
             "part": pa.array(np.concatenate((part[bounds[:-1]], asked_part[asked_bounds[:-1]])).astype(np.int64)),
             "block": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array([block.number] * m if m else [], pa.int64())]),
-            "keys": pa.concat_arrays([cut(keys, bounds), cut(asked, asked_bounds)]),
-            **{name: pa.concat_arrays([_small_runs(c.astype(np.int64), bounds), empty]) for name, c in zip(names, columns)},
+            "keys": pa.concat_arrays([_small_runs(keys, bounds, _small_keys), _small_runs(asked, asked_bounds, _small_keys)]),
+            **{name: pa.concat_arrays([_small_runs(c, bounds), empty]) for name, c in zip(names, columns)},
         })
 
     sums = by_block.cogroup(known.groupBy("block")).applyInArrow(
@@ -473,7 +505,7 @@ def lm_scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "te
             kinds = [row.schema.field("doc_id").type.value_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
             return pa.table([pa.array([], t) for t in kinds], names=names)
         block, words, _, triples, _ = _loaded(row, known)
-        weights = [np.frombuffer(w.as_buffer(), np.float32) for w in _rows(known, "failure").sort_by("part").column("weights")]
+        weights = [_whole(w.as_buffer(), np.float32) for w in _rows(known, "failure").sort_by("part").column("weights")]
         left_over = DISCOUNT * n_words
         root = np.log10(np.where(words > 0, np.maximum(words - DISCOUNT, 0.1), max(left_over, 1e-9)) / n_tokens) if n_tokens else np.zeros(len(words))
         automaton = Automaton(block, words, triples, np.concatenate([np.zeros(0, np.float32), *weights]), root)
